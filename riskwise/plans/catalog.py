@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskwise import roles
+from riskwise.functions import columns as C
+from riskwise.operators import quality, stats
 from riskwise.operators.score import LinearRisk, band_summary
 from riskwise.session import table
 
@@ -27,6 +29,66 @@ def q_risk_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return band_summary(model.transform(li.select(*LI.features)))
 
 
+def li_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem(spark, sf_dir).withColumn("label", LI.label())
+
+
+def li_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with zeros -> NULL in the zero-missing features and the label."""
+    return C.zeros_to_null(li_labeled(spark, sf_dir), LI.zero_missing)
+
+
+# ---- step 2: quality and EDA ------------------------------------------------
+def q_missing_profile(spark, sf_dir):
+    return quality.missing_profile(lineitem(spark, sf_dir), LI.features)
+
+
+def q_kpis(spark, sf_dir):
+    return quality.kpis(li_labeled(spark, sf_dir), "label", ["l_quantity", "l_discount"], LI.zero_missing)
+
+
+def q_label_counts(spark, sf_dir):
+    return quality.label_counts(li_labeled(spark, sf_dir), "label")
+
+
+def q_group_means(spark, sf_dir):
+    return stats.group_means(li_clean(spark, sf_dir), "label", LI.features)
+
+
+def q_describe(spark, sf_dir):
+    return stats.describe(li_clean(spark, sf_dir), LI.features)
+
+
+def q_histogram_by_label(spark, sf_dir):
+    return stats.histogram_by_label(li_labeled(spark, sf_dir), LI.hist_width, "label")
+
+
+def q_corr_matrix(spark, sf_dir):
+    return stats.corr_matrix(li_labeled(spark, sf_dir), list(LI.features) + ["label"])
+
+
+LI_ALL = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+          "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def q_first_rows(spark, sf_dir):
+    return quality.first_rows(lineitem(spark, sf_dir), LI_ALL, 5)
+
+
+def q_clip_bounds(spark, sf_dir):
+    li = lineitem(spark, sf_dir).select(*LI.key, *LI.features)
+    return C.clip_columns(li, LI.clip)
+
+
 QUERIES = {
     "risk_bands": q_risk_bands,
+    "missing_profile": q_missing_profile,
+    "kpis": q_kpis,
+    "label_counts": q_label_counts,
+    "group_means": q_group_means,
+    "describe": q_describe,
+    "histogram_by_label": q_histogram_by_label,
+    "corr_matrix": q_corr_matrix,
+    "first_rows": q_first_rows,
+    "clip_bounds": q_clip_bounds,
 }

@@ -45,10 +45,73 @@ def _band(p: str) -> str:
             f"WHEN {p} * 100.0 < {e2} THEN '{n1}' ELSE '{n2}' END")
 
 
+FEATS = list(LI.features)
+ZM = set(LI.zero_missing)
+
+
+def _feat(c: str) -> str:
+    return f"nullif({c}, 0)" if c in ZM else c
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_missing = _union(
+    f"SELECT '{c}' AS column, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"CAST(count_if({c} = 0) AS BIGINT) AS n_zero, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM lineitem"
+    for c in FEATS)
+
+_describe = "WITH li AS (SELECT " + ", ".join(f"{_feat(c)} AS {c}" for c in FEATS) + " FROM lineitem)\n" + _union(
+    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    f"round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+    f"round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM li"
+    for c in FEATS)
+
+_hist = "WITH li AS (SELECT *, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem)\n" + _union(
+    f"SELECT '{c}' AS column, CAST(floor({c} / {float(w)}) AS BIGINT) AS bin, label, count(*) AS n "
+    f"FROM li WHERE {c} IS NOT NULL GROUP BY 2, 3"
+    for c, w in LI.hist_width.items())
+
+
+def _corr_sql() -> str:
+    cols = FEATS + ["label"]
+    parts = []
+    for i, a in enumerate(cols):
+        for j in range(len(cols)):
+            b = cols[j]
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            r = (f"round(covar_samp({a}, {b}) / nullif(stddev_samp(CASE WHEN {both} THEN {a} END) * "
+                 f"stddev_samp(CASE WHEN {both} THEN {b} END), 0), 6)")
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r} AS r FROM li")
+    return ("WITH li AS (SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_discount, l_tax, "
+            "CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem)\n" + _union(parts))
+
+
+_LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+           "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+
 ORACLE = {
     "risk_bands": f"""
     WITH {_li_filled()}
     SELECT {_band('p')} AS band, count(*) AS n, round(avg(p), 6) AS avg_p
     FROM li_scored GROUP BY 1
     """,
+    "missing_profile": _missing,
+    "kpis": """
+    SELECT count(*) AS n_total, count_if(l_returnflag = 'R') AS n_positive,
+           count_if(l_returnflag <> 'R') AS n_negative,
+           round(avg(l_quantity), 6) AS mean_l_quantity, round(avg(nullif(l_discount, 0)), 6) AS mean_l_discount,
+           round(count_if(l_returnflag = 'R') * 100.0 / count(*), 6) AS prevalence_pct
+    FROM lineitem""",
+    "label_counts": """
+    SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, count(*) AS n FROM lineitem GROUP BY 1""",
+    "group_means": "SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, " + ", ".join(
+        f"round(avg({_feat(c)}), 6) AS mean_{c}" for c in FEATS) + " FROM lineitem GROUP BY 1",
+    "describe": _describe,
+    "histogram_by_label": _hist,
+    "corr_matrix": _corr_sql(),
+    "first_rows": f"SELECT {_LI_ALL} FROM lineitem ORDER BY {_LI_ALL} LIMIT 5",
+    "clip_bounds": "SELECT l_orderkey, l_linenumber, " + ", ".join(
+        f"least(greatest({c}, {float(lo)}), {float(hi)}) AS {c}" for c, (lo, hi) in LI.clip.items()) + " FROM lineitem",
 }
