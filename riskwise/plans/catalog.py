@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from riskwise import roles
 from riskwise.functions import columns as C
-from riskwise.operators import quality, stats
+from riskwise.operators import quality, split, stats
+from riskwise.operators.prep import fit_impute, fit_scale
 from riskwise.operators.score import LinearRisk, band_summary
 from riskwise.session import table
 
@@ -80,6 +81,107 @@ def q_clip_bounds(spark, sf_dir):
     return C.clip_columns(li, LI.clip)
 
 
+# ---- step 3: preparation and splits -----------------------------------------
+def q_median_surrogates(spark, sf_dir):
+    clean = C.zeros_to_null(lineitem(spark, sf_dir), LI.zero_missing)
+    return fit_impute(clean, LI.zero_missing, "median").table(spark)
+
+
+def q_impute_median(spark, sf_dir):
+    clean = C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.key, *LI.zero_missing), LI.zero_missing)
+    return fit_impute(clean, LI.zero_missing, "median").transform(clean)
+
+
+def _standardize(spark, sf_dir, ddof):
+    clean = C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.key, *LI.features), LI.zero_missing)
+    filled = fit_impute(clean, LI.zero_missing, "median").transform(clean)
+    z = fit_scale(filled, LI.features, ddof=ddof, suffix="__z").transform(filled)
+    return z.select(*LI.key, *[F.round(f"{c}__z", 6).alias(f"z_{c}") for c in LI.features])
+
+
+def q_standardize_samp(spark, sf_dir):
+    return _standardize(spark, sf_dir, 1)
+
+
+def q_standardize_pop(spark, sf_dir):
+    return _standardize(spark, sf_dir, 0)
+
+
+def _split_counts(df, by):
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_pos"))
+
+
+def q_hash_split(spark, sf_dir):
+    return _split_counts(split.hash_split(li_labeled(spark, sf_dir), ["l_orderkey"], 20), "split")
+
+
+def q_fold_assign(spark, sf_dir):
+    return _split_counts(split.fold_assign(li_labeled(spark, sf_dir), ["l_orderkey"], 3), "fold")
+
+
+def q_stratified_split(spark, sf_dir):
+    s = split.stratified_split(li_labeled(spark, sf_dir), "label", ["l_orderkey"], LI_ALL, 0.2)
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- step 4: scoring and rules -----------------------------------------------
+def li_scored(spark, sf_dir, keep_z=False):
+    li = li_labeled(spark, sf_dir)
+    return LinearRisk.for_role(li, LI).transform(li, keep_z=keep_z)
+
+
+def q_linear_score(spark, sf_dir):
+    return li_scored(spark, sf_dir).select(*LI.key, "label", F.round("p", 6).alias("p"),
+                                           "prediction", "risk_pct")
+
+
+def q_score_labels(spark, sf_dir):
+    s = li_scored(spark, sf_dir)
+    return s.select(*LI.key,
+                    C.outcome_word("prediction", roles.DIAGNOSIS_WORDS).alias("diagnosis"),
+                    C.risk_band(F.col("p") * 100.0).alias("band"),
+                    C.pct_text("p", 2).alias("confidence"),
+                    (F.col("risk_pct") >= roles.ALERT_PCT).alias("alert"))
+
+
+def q_margin_to_probability(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector
+    s = li_scored(spark, sf_dir).withColumn(
+        "rawPrediction", array_to_vector(F.array(-F.col("margin"), F.col("margin"))))
+    return s.select(*LI.key, F.round(C.margin_to_probability("rawPrediction"), 6).alias("p_margin"))
+
+
+def q_contributions(spark, sf_dir):
+    li = lineitem(spark, sf_dir)
+    c = LinearRisk.for_role(li, LI).contributions(li, LI.key)
+    return c.select(*LI.key, "feature", F.round("contribution", 6).alias("contribution"))
+
+
+def q_guidance_rules(spark, sf_dir):
+    li = lineitem(spark, sf_dir)
+    return li.select(*LI.key, C.guidance_text(roles.LINEITEM_GUIDANCE, roles.LINEITEM_GUIDANCE_DEFAULT)
+                     .alias("guidance"))
+
+
+def report_column(features, guidance_rules, default) -> "F.Column":
+    """Multi-line report from the measurements, the outcome and the guidance."""
+    lines = [F.lit("MEASUREMENTS:")]
+    for f in features:
+        lines.append(F.format_string(f"- {f}: %.2f", F.col(f)))
+    lines += [F.lit("OUTCOME:"),
+              F.concat(F.lit("- Predictive Diagnostic: "), C.outcome_word("prediction", roles.DIAGNOSIS_WORDS)),
+              F.concat(F.lit("- Confidence Score: "), C.pct_text("p", 2)),
+              F.lit("GUIDANCE:"),
+              C.guidance_text(guidance_rules, default)]
+    return F.concat_ws("\n", *lines)
+
+
+def q_report_text(spark, sf_dir):
+    s = li_scored(spark, sf_dir)
+    return s.select(*LI.key, report_column(LI.features, roles.LINEITEM_GUIDANCE,
+                                           roles.LINEITEM_GUIDANCE_DEFAULT).alias("report"))
+
+
 QUERIES = {
     "risk_bands": q_risk_bands,
     "missing_profile": q_missing_profile,
@@ -91,4 +193,17 @@ QUERIES = {
     "corr_matrix": q_corr_matrix,
     "first_rows": q_first_rows,
     "clip_bounds": q_clip_bounds,
+    "median_surrogates": q_median_surrogates,
+    "impute_median": q_impute_median,
+    "standardize_samp": q_standardize_samp,
+    "standardize_pop": q_standardize_pop,
+    "hash_split": q_hash_split,
+    "fold_assign": q_fold_assign,
+    "stratified_split": q_stratified_split,
+    "linear_score": q_linear_score,
+    "score_labels": q_score_labels,
+    "margin_to_probability": q_margin_to_probability,
+    "contributions": q_contributions,
+    "guidance_rules": q_guidance_rules,
+    "report_text": q_report_text,
 }

@@ -28,7 +28,7 @@ def _li_filled() -> str:
              avg(l_tax) AS a4, stddev_samp(l_tax) AS s4
       FROM li_filled),
     li_z AS (
-      SELECT l_orderkey, l_linenumber, label,
+      SELECT l_orderkey, l_linenumber, label, l_quantity, l_extendedprice, l_discount, l_tax,
              (l_quantity - a1) / s1 AS z1, (l_extendedprice - a2) / s2 AS z2,
              (l_discount - a3) / s3 AS z3, (l_tax - a4) / s4 AS z4
       FROM li_filled, li_stats),
@@ -88,6 +88,29 @@ def _corr_sql() -> str:
             "CAST(l_returnflag = 'R' AS DOUBLE) AS label FROM lineitem)\n" + _union(parts))
 
 
+_H = "CAST(concat('0x', substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def _std_sql(fn: str) -> str:
+    stats = ", ".join(f"avg({c}) AS a_{c}, {fn}({c}) AS s_{c}" for c in FEATS)
+    z = ", ".join(f"round(({c} - a_{c}) / s_{c}, 6) AS z_{c}" for c in FEATS)
+    return (f"WITH {_li_filled()}, st AS (SELECT {stats} FROM li_filled)\n"
+            f"SELECT l_orderkey, l_linenumber, {z} FROM li_filled, st")
+
+
+def _guidance_sql(rules, default) -> str:
+    cases = ", ".join(f"CASE WHEN {c} > {float(t)} THEN '{txt}' END" for c, t, txt in rules)
+    g = f"concat_ws(chr(10), {cases})"
+    return f"CASE WHEN coalesce({g}, '') = '' THEN '{default}' ELSE {g} END"
+
+
+def _diag(pred: str) -> str:
+    w0, w1 = roles.DIAGNOSIS_WORDS
+    return f"CASE WHEN {pred} = 1 THEN '{w1}' WHEN {pred} = 0 THEN '{w0}' END"
+
+
+_LI_ALL_LIST = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 _LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
            "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
 
@@ -111,6 +134,54 @@ ORACLE = {
     "describe": _describe,
     "histogram_by_label": _hist,
     "corr_matrix": _corr_sql(),
+    "median_surrogates": """
+    SELECT 'l_discount' AS column, quantile_disc(nullif(l_discount, 0), 0.5) AS surrogate FROM lineitem
+    UNION ALL
+    SELECT 'l_tax', quantile_disc(nullif(l_tax, 0), 0.5) FROM lineitem""",
+    "impute_median": f"WITH {_li_filled()} SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM li_filled",
+    "standardize_samp": _std_sql("stddev_samp"),
+    "standardize_pop": _std_sql("stddev_pop"),
+    "hash_split": f"""
+    SELECT CASE WHEN {_H} % 100 < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
+           count_if(l_returnflag = 'R') AS n_pos
+    FROM lineitem GROUP BY 1""",
+    "fold_assign": f"""
+    SELECT CAST({_H} % 3 AS INTEGER) AS fold, count(*) AS n, count_if(l_returnflag = 'R') AS n_pos
+    FROM lineitem GROUP BY 1""",
+    "stratified_split": f"""
+    WITH t AS (
+      SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
+             row_number() OVER (PARTITION BY l_returnflag = 'R'
+                                ORDER BY {_H}, {', '.join(c + ' ASC NULLS FIRST' for c in _LI_ALL_LIST)}) AS rn,
+             count(*) OVER (PARTITION BY l_returnflag = 'R') AS n_label
+      FROM lineitem)
+    SELECT label, CASE WHEN rn <= ceil(0.2 * n_label) THEN 'test' ELSE 'train' END AS split, count(*) AS n
+    FROM t GROUP BY 1, 2""",
+    "linear_score": f"""
+    WITH {_li_filled()}
+    SELECT l_orderkey, l_linenumber, label, round(p, 6) AS p,
+           CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction, round(p * 100.0, 1) AS risk_pct
+    FROM li_scored""",
+    "score_labels": f"""
+    WITH {_li_filled()}
+    SELECT l_orderkey, l_linenumber, {_diag(f'CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER)')} AS diagnosis,
+           {_band('p')} AS band, printf('%.2f%%', p * 100.0) AS confidence,
+           round(p * 100.0, 1) >= {roles.ALERT_PCT} AS alert
+    FROM li_scored""",
+    "margin_to_probability": f"WITH {_li_filled()} SELECT l_orderkey, l_linenumber, round(p, 6) AS p_margin FROM li_scored",
+    "contributions": f"WITH {_li_filled()}\n" + _union(
+        f"SELECT l_orderkey, l_linenumber, '{c}' AS feature, round({float(w)} * z{i + 1}, 6) AS contribution FROM li_z"
+        for i, (c, w) in enumerate(zip(FEATS, LI.weights))),
+    "guidance_rules": "SELECT l_orderkey, l_linenumber, " + _guidance_sql(
+        roles.LINEITEM_GUIDANCE, roles.LINEITEM_GUIDANCE_DEFAULT) + " AS guidance FROM lineitem",
+    "report_text": f"""
+    WITH {_li_filled()}
+    SELECT l_orderkey, l_linenumber, concat_ws(chr(10), 'MEASUREMENTS:',
+      {', '.join(f"printf('- {c}: %.2f', {c})" for c in FEATS)},
+      'OUTCOME:', '- Predictive Diagnostic: ' || {_diag(f'CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER)')},
+      '- Confidence Score: ' || printf('%.2f%%', p * 100.0),
+      'GUIDANCE:', {_guidance_sql(roles.LINEITEM_GUIDANCE, roles.LINEITEM_GUIDANCE_DEFAULT)}) AS report
+    FROM li_scored""",
     "first_rows": f"SELECT {_LI_ALL} FROM lineitem ORDER BY {_LI_ALL} LIMIT 5",
     "clip_bounds": "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"least(greatest({c}, {float(lo)}), {float(hi)}) AS {c}" for c, (lo, hi) in LI.clip.items()) + " FROM lineitem",
