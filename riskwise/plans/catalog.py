@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskwise import roles
 from riskwise.functions import columns as C
+from riskwise.operators import evaluate as EV
 from riskwise.operators import quality, split, stats
 from riskwise.operators.prep import fit_impute, fit_scale
 from riskwise.operators.score import LinearRisk, band_summary
@@ -182,6 +183,61 @@ def q_report_text(spark, sf_dir):
                                            roles.LINEITEM_GUIDANCE_DEFAULT).alias("report"))
 
 
+# ---- step 5: evaluation on fixed scores ---------------------------------------
+def li_scored_long(spark, sf_dir):
+    """One row per (line, scorer): model, label, p, prediction."""
+    li = li_labeled(spark, sf_dir)
+    lr = LinearRisk.for_role(li, LI)
+    z = lr.transform(li, keep_z=True)
+    arr = F.array(*[F.struct(F.lit(name).alias("model"),
+                             C.sigmoid(C.linear_margin(lr.zcols(), w, b)).alias("p"))
+                    for name, w, b in roles.LINEITEM_SCORERS])
+    return (z.select("label", F.inline(arr))
+            .withColumn("prediction", (F.col("p") > roles.DECISION_THRESHOLD).cast("int")))
+
+
+def q_confusion(spark, sf_dir):
+    return EV.confusion(li_scored(spark, sf_dir))
+
+
+def q_classification_metrics(spark, sf_dir):
+    return EV.classification_metrics(li_scored(spark, sf_dir))
+
+
+def q_roc_curve(spark, sf_dir):
+    return EV.roc_curve(li_scored(spark, sf_dir))
+
+
+def q_roc_auc_trapezoid(spark, sf_dir):
+    return EV.trapezoid_auc(EV.roc_curve(li_scored(spark, sf_dir)))
+
+
+def q_auc_exact(spark, sf_dir):
+    return EV.auc_exact(li_scored(spark, sf_dir))
+
+
+def q_metrics_unpivot(spark, sf_dir):
+    return EV.metric_table(li_scored_long(spark, sf_dir))
+
+
+def q_metrics_pivot(spark, sf_dir):
+    return EV.metric_pivot(EV.metric_table(li_scored_long(spark, sf_dir)))
+
+
+def q_leaderboard(spark, sf_dir):
+    wide = EV.metric_pivot(EV.metric_table(li_scored_long(spark, sf_dir)))
+    order = {name: i for i, (name, _, _) in enumerate(roles.LINEITEM_SCORERS)}
+    return EV.leaderboard(wide, order)
+
+
+def q_coef_rank(spark, sf_dir):
+    z = li_scored(spark, sf_dir, keep_z=True)
+    one = z.agg(*[F.round(F.regr_slope(F.col("label").cast("double"), F.col(f"{c}__z")), 6).alias(c)
+                  for c in LI.features])
+    coefs = one.unpivot([], list(LI.features), "feature", "weight")
+    return EV.coef_rank(coefs)
+
+
 QUERIES = {
     "risk_bands": q_risk_bands,
     "missing_profile": q_missing_profile,
@@ -206,4 +262,13 @@ QUERIES = {
     "contributions": q_contributions,
     "guidance_rules": q_guidance_rules,
     "report_text": q_report_text,
+    "confusion": q_confusion,
+    "classification_metrics": q_classification_metrics,
+    "roc_curve": q_roc_curve,
+    "roc_auc_trapezoid": q_roc_auc_trapezoid,
+    "auc_exact": q_auc_exact,
+    "metrics_unpivot": q_metrics_unpivot,
+    "metrics_pivot": q_metrics_pivot,
+    "leaderboard": q_leaderboard,
+    "coef_rank": q_coef_rank,
 }

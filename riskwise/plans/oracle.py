@@ -109,6 +109,73 @@ def _diag(pred: str) -> str:
     return f"CASE WHEN {pred} = 1 THEN '{w1}' WHEN {pred} = 0 THEN '{w0}' END"
 
 
+def _long_sql() -> str:
+    """(model, label, p, prediction) for every fixed scorer."""
+    parts = []
+    for name, w, b in roles.LINEITEM_SCORERS:
+        m = " + ".join(f"{float(wi)} * z{i + 1}" for i, wi in enumerate(w))
+        parts.append(f"SELECT '{name}' AS model, label, 1.0 / (1.0 + exp(-({float(b)} + {m}))) AS p FROM li_z")
+    return (f"WITH {_li_filled()}, lg AS (" + _union(parts) + "),\n"
+            f"sc AS (SELECT model, label, p, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction FROM lg)")
+
+
+def _cls_sql(src: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""
+    c AS (SELECT {g}
+            CAST(count_if(label = 1 AND prediction = 1) AS DOUBLE) AS tp,
+            CAST(count_if(label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+            CAST(count_if(label = 1 AND prediction = 0) AS DOUBLE) AS fn,
+            CAST(count_if(label = 0 AND prediction = 0) AS DOUBLE) AS tn
+          FROM {src} {gb}),
+    r AS (SELECT *, tp + fp + fn + tn AS n,
+            coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+            coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0
+          FROM c),
+    m AS (SELECT {g} round(coalesce((tp + tn) / nullif(n, 0), 0), 6) AS accuracy,
+            round(p1 * coalesce((tp + fn) / nullif(n, 0), 0) + p0 * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS precision,
+            round(r1 * coalesce((tp + fn) / nullif(n, 0), 0) + r0 * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS recall,
+            round(coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0) * coalesce((tp + fn) / nullif(n, 0), 0)
+                + coalesce(2.0 * p0 * r0 / nullif(p0 + r0, 0), 0) * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS f1_score,
+            round(p1, 6) AS precision_pos, round(r1, 6) AS recall_pos,
+            round(coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0), 6) AS f1_pos
+          FROM r)"""
+
+
+def _auc_sql(src: str, group: str = "") -> str:
+    pg = f"PARTITION BY {group}" if group else ""
+    pgp = f"PARTITION BY {group}, p" if group else "PARTITION BY p"
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""
+    rk AS (SELECT {g} label, (2 * rank() OVER ({pg} ORDER BY p) + count(*) OVER ({pgp}) - 1) / 2.0 AS mr FROM {src}),
+    auc AS (SELECT {g} round((sum(CASE WHEN label = 1 THEN mr END)
+                   - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0)
+                   / (CAST(count_if(label = 1) AS DOUBLE) * count_if(label = 0)), 6) AS roc_auc
+            FROM rk {gb})"""
+
+
+_ROC = f"""
+    b AS (SELECT CAST(floor(p * 10000) AS BIGINT) AS bucket, sum(label) AS pos, sum(1 - label) AS neg
+          FROM li_scored GROUP BY 1),
+    cum AS (SELECT bucket, sum(pos) OVER (ORDER BY bucket DESC ROWS UNBOUNDED PRECEDING) AS tp,
+                   sum(neg) OVER (ORDER BY bucket DESC ROWS UNBOUNDED PRECEDING) AS fp,
+                   sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM b),
+    roc AS (SELECT round(bucket / 10000.0, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+                   round(tp / P, 6) AS tpr, round(fp / N, 6) AS fpr FROM cum)"""
+
+_METRICS = ("accuracy", "roc_auc", "f1_score", "precision", "recall")
+
+
+def _wide_sql() -> str:
+    return (_long_sql() + ", " + _cls_sql("sc", "model") + ", " + _auc_sql("sc", "model")
+            + ",\n wide AS (SELECT m.model, accuracy, roc_auc, f1_score, precision, recall "
+              "FROM m JOIN auc USING (model))")
+
+
+_ORDER = " ".join(f"WHEN '{n}' THEN {i}" for i, (n, _, _) in enumerate(roles.LINEITEM_SCORERS))
+
 _LI_ALL_LIST = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 _LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -182,6 +249,34 @@ ORACLE = {
       '- Confidence Score: ' || printf('%.2f%%', p * 100.0),
       'GUIDANCE:', {_guidance_sql(roles.LINEITEM_GUIDANCE, roles.LINEITEM_GUIDANCE_DEFAULT)}) AS report
     FROM li_scored""",
+    "confusion": f"""
+    WITH {_li_filled()}
+    SELECT label, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction, count(*) AS n
+    FROM li_scored GROUP BY 1, 2""",
+    "classification_metrics": f"""
+    WITH {_li_filled()}, sc AS (SELECT label, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction
+                                FROM li_scored), {_cls_sql('sc')}
+    SELECT accuracy, precision, recall, f1_score, precision_pos, recall_pos, f1_pos FROM m""",
+    "roc_curve": f"WITH {_li_filled()}, {_ROC} SELECT * FROM roc",
+    "roc_auc_trapezoid": f"""
+    WITH {_li_filled()}, {_ROC},
+    seg AS (SELECT fpr, tpr, lag(fpr, 1, 0.0) OVER (ORDER BY fpr, tpr) AS pf,
+                   lag(tpr, 1, 0.0) OVER (ORDER BY fpr, tpr) AS pt FROM roc)
+    SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc_trapezoid FROM seg""",
+    "auc_exact": f"WITH {_li_filled()}, {_auc_sql('li_scored')} SELECT roc_auc FROM auc",
+    "metrics_unpivot": _wide_sql() + """
+    SELECT model, metric, score FROM wide
+    UNPIVOT (score FOR metric IN (accuracy, roc_auc, f1_score, precision, recall))""",
+    "metrics_pivot": _wide_sql() + " SELECT * FROM wide",
+    "leaderboard": _wide_sql() + f"""
+    SELECT model, roc_auc, CAST(row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) AS INTEGER) AS rank,
+           row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) = 1 AS champion
+    FROM wide""",
+    "coef_rank": f"""
+    WITH {_li_filled()}, w AS (
+      {_union(f"SELECT '{c}' AS feature, round(regr_slope(CAST(label AS DOUBLE), z{i + 1}), 6) AS weight FROM li_z"
+              for i, c in enumerate(FEATS))})
+    SELECT feature, weight, CAST(row_number() OVER (ORDER BY abs(weight), feature) AS INTEGER) AS abs_rank FROM w""",
     "first_rows": f"SELECT {_LI_ALL} FROM lineitem ORDER BY {_LI_ALL} LIMIT 5",
     "clip_bounds": "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"least(greatest({c}, {float(lo)}), {float(hi)}) AS {c}" for c, (lo, hi) in LI.clip.items()) + " FROM lineitem",

@@ -129,6 +129,16 @@ LINEITEM = Role(
           "l_discount": (0.0, 0.08), "l_tax": (0.0, 0.06)},
 )
 
+# Fixed scorers compared by the evaluation queries: (name, weights on the z-scored
+# features, intercept).  The first one is the role's linear model.
+LINEITEM_SCORERS = (
+    ("linear", (0.9, 0.5, -0.3, 0.2), -0.2),
+    ("quantity", (1.0, 0.0, 0.0, 0.0), 0.0),
+    ("price", (0.0, 1.0, 0.0, 0.0), 0.0),
+    ("discount", (0.0, 0.0, 1.0, 0.0), 0.0),
+    ("tax", (0.0, 0.0, 0.0, 1.0), 0.0),
+)
+
 # Guidance rules for the lineitem role (same shape as the clinical rules).
 LINEITEM_GUIDANCE = (
     ("l_quantity", 40.0, "- Quantity is high (>40). Review bulk terms."),
