@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskwise import roles
 from riskwise.functions import columns as C
 from riskwise.operators import evaluate as EV
+from riskwise.operators import feed as FD
 from riskwise.operators import quality, split, stats
 from riskwise.operators.prep import fit_impute, fit_scale
 from riskwise.operators.score import LinearRisk, band_summary
@@ -238,6 +239,61 @@ def q_coef_rank(spark, sf_dir):
     return EV.coef_rank(coefs)
 
 
+# ---- step 7: feed (batch and streaming) -----------------------------------------
+FEED_COLS = ("event_id", "feed_key", "tag", "clock", "value", "k", "risk_pct", "diagnosis")
+
+
+def feed_scored(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return FD.FeedScorer.fit(ev).transform(ev).withColumnRenamed(roles.FEED_KEY, "feed_key")
+
+
+def q_feed_score(spark, sf_dir):
+    return feed_scored(spark, sf_dir).select(*FEED_COLS)
+
+
+def q_last20_rate(spark, sf_dir):
+    r = FD.rolling_rate(feed_scored(spark, sf_dir), "feed_key", roles.FEED_TIME, roles.FEED_ID, "prediction")
+    return r.select("event_id", "feed_key", "n_window", "n_pos", "pos_rate")
+
+
+def q_newest20(spark, sf_dir):
+    nw = FD.newest_per_key(feed_scored(spark, sf_dir), "feed_key", roles.FEED_TIME, roles.FEED_ID)
+    return nw.select("feed_key", "event_id", "position", "risk_pct", "diagnosis")
+
+
+def q_timeline(spark, sf_dir):
+    t = FD.timeline(feed_scored(spark, sf_dir), roles.FEED_TIME, roles.FEED_ID)
+    return t.select("step", "event_id", "feed_key", "clock", "risk_pct")
+
+
+def q_feed_kpis(spark, sf_dir):
+    nw = FD.newest_per_key(feed_scored(spark, sf_dir), "feed_key", roles.FEED_TIME, roles.FEED_ID)
+    return FD.feed_kpis(nw, "feed_key")
+
+
+def _stream_setup(spark, sf_dir):
+    from riskwise.streaming import feed as ST
+    ev = table(spark, sf_dir, "events")
+    return ST, FD.FeedScorer.fit(ev), ST.event_source(spark, sf_dir, "events.parquet")
+
+
+def q_stream_score(spark, sf_dir):
+    ST, scorer, src = _stream_setup(spark, sf_dir)
+    return spark.read.parquet(ST.score_stream(spark, src, scorer)).select(*FEED_COLS)
+
+
+def q_stream_last20(spark, sf_dir):
+    ST, scorer, src = _stream_setup(spark, sf_dir)
+    out = spark.read.parquet(ST.last_n_stream(spark, src, scorer))
+    return out.select("event_id", "feed_key", "n_window", "n_pos", "pos_rate")
+
+
+def q_stream_trend(spark, sf_dir):
+    ST, scorer, src = _stream_setup(spark, sf_dir)
+    return ST.read_trend(spark, ST.trend_stream(spark, src, scorer))
+
+
 QUERIES = {
     "risk_bands": q_risk_bands,
     "missing_profile": q_missing_profile,
@@ -271,4 +327,12 @@ QUERIES = {
     "metrics_pivot": q_metrics_pivot,
     "leaderboard": q_leaderboard,
     "coef_rank": q_coef_rank,
+    "feed_score": q_feed_score,
+    "last20_rate": q_last20_rate,
+    "newest20": q_newest20,
+    "timeline": q_timeline,
+    "feed_kpis": q_feed_kpis,
+    "stream_score": q_stream_score,
+    "stream_last20": q_stream_last20,
+    "stream_trend": q_stream_trend,
 }

@@ -176,6 +176,38 @@ def _wide_sql() -> str:
 
 _ORDER = " ".join(f"WHEN '{n}' THEN {i}" for i, (n, _, _) in enumerate(roles.LINEITEM_SCORERS))
 
+def _feed_sql() -> str:
+    (lv, hv), (lk, hk) = roles.FEED_CLIP["value"], roles.FEED_CLIP["k"]
+    w1, w2 = roles.FEED_WEIGHTS
+    d0, d1 = roles.FEED_DIAGNOSIS
+    return f"""
+    ev AS (SELECT event_id, ts, event_type AS feed_key, least(greatest(value, {lv}), {hv}) AS value,
+                  least(greatest(CAST(json_extract_string(props, '$.k') AS DOUBLE), {lk}), {hk}) AS k
+           FROM events),
+    fst AS (SELECT avg(value) AS mv, stddev_samp(value) AS sv, avg(k) AS mk, stddev_samp(k) AS sk FROM ev),
+    fp AS (SELECT ev.*, 1.0 / (1.0 + exp(-({roles.FEED_INTERCEPT} + {w1} * ((value - mv) / sv)
+                                            + {w2} * ((k - mk) / sk)))) AS p FROM ev, fst),
+    fsc AS (SELECT *, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction,
+                   round(p * 100.0, 1) AS risk_pct,
+                   printf('PT-%04d', event_id) AS tag, strftime(ts, '%H:%M:%S') AS clock
+            FROM fp),
+    feed AS (SELECT *, CASE WHEN prediction = 1 THEN '{d1}' WHEN prediction = 0 THEN '{d0}' END AS diagnosis FROM fsc)"""
+
+
+_LAST20 = f"""
+    WITH {_feed_sql()}
+    SELECT event_id, feed_key,
+           count(*) OVER w AS n_window, CAST(sum(prediction) OVER w AS BIGINT) AS n_pos,
+           round(CAST(sum(prediction) OVER w AS DOUBLE) / count(*) OVER w, 6) AS pos_rate
+    FROM feed
+    WINDOW w AS (PARTITION BY feed_key ORDER BY ts, event_id ROWS BETWEEN {roles.FEED_HISTORY - 1} PRECEDING AND CURRENT ROW)"""
+
+_FEED_SCORE = f"WITH {_feed_sql()} SELECT event_id, feed_key, tag, clock, value, k, risk_pct, diagnosis FROM feed"
+
+_NEWEST = f"""
+    nw AS (SELECT *, CAST(row_number() OVER (PARTITION BY feed_key ORDER BY ts DESC, event_id DESC) AS INTEGER) AS position
+           FROM feed QUALIFY position <= {roles.FEED_HISTORY})"""
+
 _LI_ALL_LIST = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 _LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -277,6 +309,25 @@ ORACLE = {
       {_union(f"SELECT '{c}' AS feature, round(regr_slope(CAST(label AS DOUBLE), z{i + 1}), 6) AS weight FROM li_z"
               for i, c in enumerate(FEATS))})
     SELECT feature, weight, CAST(row_number() OVER (ORDER BY abs(weight), feature) AS INTEGER) AS abs_rank FROM w""",
+    "feed_score": _FEED_SCORE,
+    "stream_score": _FEED_SCORE,
+    "last20_rate": _LAST20,
+    "stream_last20": _LAST20,
+    "newest20": f"WITH {_feed_sql()}, {_NEWEST} SELECT feed_key, event_id, position, risk_pct, diagnosis FROM nw",
+    "timeline": f"""
+    WITH {_feed_sql()}, top AS (SELECT * FROM feed ORDER BY ts DESC, event_id DESC LIMIT {roles.FEED_HISTORY})
+    SELECT CAST(row_number() OVER (ORDER BY ts, event_id) AS INTEGER) AS step, event_id, feed_key, clock, risk_pct
+    FROM top""",
+    "feed_kpis": f"""
+    WITH {_feed_sql()}, {_NEWEST}
+    SELECT feed_key, count(*) AS n_retained,
+           round(CAST(sum(prediction) AS DOUBLE) * 100.0 / count(*), 6) AS positive_pct,
+           max(CASE WHEN position = 1 THEN risk_pct END) AS latest_risk_pct
+    FROM nw GROUP BY 1""",
+    "stream_trend": f"""
+    WITH {_feed_sql()}
+    SELECT date_trunc('day', ts) AS window_start, feed_key, count(*) AS n, round(avg(risk_pct), 6) AS avg_risk_pct
+    FROM feed GROUP BY 1, 2""",
     "first_rows": f"SELECT {_LI_ALL} FROM lineitem ORDER BY {_LI_ALL} LIMIT 5",
     "clip_bounds": "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"least(greatest({c}, {float(lo)}), {float(hi)}) AS {c}" for c, (lo, hi) in LI.clip.items()) + " FROM lineitem",
