@@ -16,7 +16,7 @@ from riskwise.operators import feed as FD
 from riskwise.operators import quality, split, stats
 from riskwise.operators.prep import fit_impute, fit_scale
 from riskwise.operators.score import LinearRisk, band_summary
-from riskwise.session import table
+from riskwise.session import scratch_path, table
 
 LI = roles.LINEITEM
 
@@ -294,6 +294,128 @@ def q_stream_trend(spark, sf_dir):
     return ST.read_trend(spark, ST.trend_stream(spark, src, scorer))
 
 
+# ---- step 6: learners on the labelled documents ----------------------------------
+def docs_labelled(spark, sf_dir):
+    from riskwise.functions.text import labelled_documents
+    return labelled_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_doc_features(spark, sf_dir):
+    return docs_labelled(spark, sf_dir).select("doc_id", "quality", *roles.DOC_FEATURES)
+
+
+DOC_ZERO_MISSING = ("n_digits",)
+
+
+def _doc_split(spark, sf_dir):
+    from riskwise.plans import learners as L
+    d = L.prepare(docs_labelled(spark, sf_dir), roles.DOC_FEATURES, DOC_ZERO_MISSING)
+    d = split.hash_split(d, ["doc_id"], 20)
+    return d.where("split = 'train'"), d.where("split = 'test'")
+
+
+def _train_one(spark, sf_dir, name, grid_name="full"):
+    from riskwise.plans import learners as L
+    grid = (L.FULL_GRID if grid_name == "full" else L.WALKTHROUGH_GRID)[name]
+    train, test = _doc_split(spark, sf_dir)
+    res = L.tune(train, name, grid, roles.DOC_FEATURES, DOC_ZERO_MISSING, roles.DOC_LABEL, ["doc_id"])
+    return res, test
+
+
+def _train_query(name):
+    def q(spark, sf_dir):
+        from riskwise.plans import learners as L
+        res, test = _train_one(spark, sf_dir, name)
+        cv = spark.createDataFrame([(name, "cv_roc_auc", float(round(res.cv_auc, 6)))],
+                                   "model string, metric string, score double")
+        return L.test_metrics(res.model, test, name, roles.DOC_LABEL).unionByName(cv)
+    q.__name__ = f"q_train_{name}"
+    return q
+
+
+def q_grid_cv(spark, sf_dir):
+    res, _ = _train_one(spark, sf_dir, "LogisticRegression")
+    rows = [("LogisticRegression", ", ".join(f"{k}={v}" for k, v in sorted(p.items())), float(round(a, 6)))
+            for p, a in res.cv_table]
+    return spark.createDataFrame(rows, "model string, params string, cv_roc_auc double")
+
+
+def q_champion(spark, sf_dir):
+    """A15 on the walkthrough grid: pick the model with the best mean CV ROC-AUC
+    (first wins ties), then report its held-out metrics."""
+    from riskwise.plans import learners as L
+    results = {}
+    for name in L.MODEL_ORDER:
+        if name in L.WALKTHROUGH_GRID:
+            results[name], test = _train_one(spark, sf_dir, name, "walkthrough")
+    order = {n: i for i, n in enumerate(L.MODEL_ORDER)}
+    cv = spark.createDataFrame([(n, float(r.cv_auc)) for n, r in results.items()], "model string, roc_auc double")
+    board = EV.leaderboard(cv, order)
+    best = board.where("champion").first()["model"]
+    held = L.test_metrics(results[best].model, test, best, roles.DOC_LABEL)
+    return board.withColumnRenamed("roc_auc", "cv_roc_auc").join(
+        held.groupBy("model").pivot("metric", list(EV.METRICS)).agg(F.first("score")), "model", "left")
+
+
+def q_save_load_score(spark, sf_dir):
+    """S3 -> S4 -> M14 -> S6: save the tuned pipeline, load it back, score the
+    held-out rows and write the predictions as a table."""
+    from riskwise.plans import learners as L
+    res, test = _train_one(spark, sf_dir, "LogisticRegression", "walkthrough")
+    path = scratch_path(spark, "model")
+    L.save_model(res.model, path)
+    model = L.load_model(path)
+    pred = L.predictions(model, test, roles.DOC_LABEL, ["doc_id"])
+    return L.export_predictions(pred.withColumn("p", F.round("p", 6)), scratch_path(spark, "predictions"))
+
+
+def q_lr_coefficients(spark, sf_dir):
+    from riskwise.plans import learners as L
+    res, _ = _train_one(spark, sf_dir, "LogisticRegression", "walkthrough")
+    return EV.coef_rank(L.coefficients(res.model, roles.DOC_FEATURES).where("feature <> '(intercept)'"))
+
+
+# ---- sources and sinks ---------------------------------------------------------------
+def q_csv_scan(spark, sf_dir):
+    """Write a derived measurement table as header CSV, scan it back with a
+    declared schema, profile it."""
+    from pyspark.sql import types as T
+
+    from riskwise.sources import files
+    path = scratch_path(spark, "csv")
+    li_labeled(spark, sf_dir).select(*LI.key, *LI.features, "label").write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())]
+                          + [T.StructField(c, T.DoubleType()) for c in LI.features]
+                          + [T.StructField("label", T.IntegerType())])
+    back = files.read_csv(spark, path, schema)
+    return quality.kpis(back, "label", ["l_quantity", "l_discount"], LI.zero_missing)
+
+
+def q_schema_ingest(spark, sf_dir):
+    """Enforce a scoring-record schema on raw rows."""
+    from pyspark.sql import types as T
+
+    from riskwise.sources import files
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_quantity", T.IntegerType()), T.StructField("l_extendedprice", T.DoubleType()),
+                           T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType())])
+    return files.to_frame(lineitem(spark, sf_dir), schema)
+
+
+def q_metrics_json(spark, sf_dir):
+    """Metric table written as JSON and read back with its schema."""
+    from riskwise.sources import files
+    path = scratch_path(spark, "metrics-json")
+    files.write_metrics_json(EV.metric_table(li_scored_long(spark, sf_dir)), path)
+    return files.read_metrics_json(spark, path)
+
+
+def q_predictions_sink(spark, sf_dir):
+    """Per-row predictions written as a table and read back."""
+    from riskwise.plans.learners import export_predictions
+    return export_predictions(q_linear_score(spark, sf_dir), scratch_path(spark, "scores"))
+
+
 QUERIES = {
     "risk_bands": q_risk_bands,
     "missing_profile": q_missing_profile,
@@ -335,4 +457,18 @@ QUERIES = {
     "stream_score": q_stream_score,
     "stream_last20": q_stream_last20,
     "stream_trend": q_stream_trend,
+    "doc_features": q_doc_features,
+    "train_lr": _train_query("LogisticRegression"),
+    "train_dt": _train_query("DecisionTree"),
+    "train_rf": _train_query("RandomForest"),
+    "train_gbt": _train_query("GradientBoosting"),
+    "train_svc": _train_query("SupportVectorMachine"),
+    "grid_cv": q_grid_cv,
+    "champion": q_champion,
+    "save_load_score": q_save_load_score,
+    "lr_coefficients": q_lr_coefficients,
+    "csv_scan": q_csv_scan,
+    "schema_ingest": q_schema_ingest,
+    "metrics_json": q_metrics_json,
+    "predictions_sink": q_predictions_sink,
 }

@@ -328,7 +328,28 @@ ORACLE = {
     WITH {_feed_sql()}
     SELECT date_trunc('day', ts) AS window_start, feed_key, count(*) AS n, round(avg(risk_pct), 6) AS avg_risk_pct
     FROM feed GROUP BY 1, 2""",
+    "doc_features": """
+    SELECT d.doc_id, l.quality, d.n_chars,
+           CAST(len(regexp_extract_all(d.text, '\\S+')) AS BIGINT) AS n_words,
+           CAST(len(string_split(d.text, chr(10))) AS BIGINT) AS n_lines,
+           CAST(length(regexp_replace(d.text, '[^0-9]', '', 'g')) AS BIGINT) AS n_digits,
+           CAST(length(regexp_replace(d.text, '[^.,;:!?]', '', 'g')) AS BIGINT) AS n_punct,
+           CAST(length(regexp_replace(d.text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper
+    FROM documents d JOIN labels l USING (doc_id)""",
+    "csv_scan": """
+    SELECT count(*) AS n_total, count_if(l_returnflag = 'R') AS n_positive,
+           count_if(l_returnflag <> 'R') AS n_negative,
+           round(avg(l_quantity), 6) AS mean_l_quantity, round(avg(nullif(l_discount, 0)), 6) AS mean_l_discount,
+           round(count_if(l_returnflag = 'R') * 100.0 / count(*), 6) AS prevalence_pct
+    FROM lineitem""",
+    "schema_ingest": """
+    SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS l_quantity, l_extendedprice, l_discount, l_tax
+    FROM lineitem""",
     "first_rows": f"SELECT {_LI_ALL} FROM lineitem ORDER BY {_LI_ALL} LIMIT 5",
     "clip_bounds": "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"least(greatest({c}, {float(lo)}), {float(hi)}) AS {c}" for c, (lo, hi) in LI.clip.items()) + " FROM lineitem",
 }
+
+# sinks read back what the source queries produced
+ORACLE["metrics_json"] = ORACLE["metrics_unpivot"]
+ORACLE["predictions_sink"] = ORACLE["linear_score"]
