@@ -21,16 +21,30 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+ROWS_PER_BUCKET = 1_000_000
+MIN_BUCKETS, MAX_BUCKETS = 16, 65536
+
+
+def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets so that one window partition holds about ``rows_per_bucket`` rows."""
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_rows // rows_per_bucket))))
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                   group_cols: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+                   group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Adds ``before_<c>``: the sum of ``c`` over rows of the same group with a
-    strictly smaller ``order_col`` (ties broken by nothing: pre-aggregate first)."""
+    strictly smaller ``order_col`` (ties broken by nothing: pre-aggregate first).
+
+    ``buckets`` defaults to one per ~1M input rows (16 to 65,536), so the largest
+    window partition stays around a million rows at any table size; the sketch
+    accuracy follows the bucket count.
+    """
     group_cols = list(group_cols)
+    if buckets is None:
+        buckets = bucket_count(df.count())
     probs = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000)).first()[0] or []
+    accuracy = max(1000, 4 * buckets)
+    edges = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy)).first()[0] or []
     splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
     src = df.withColumn("__x", F.col(order_col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(src)
