@@ -78,8 +78,9 @@ def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int =
        gives each slice its starting row number and positive count;
     3. a window *inside* each slice adds the local running count and sum, which
        yields the record's global row number ``rn`` and cumulative positives;
-    4. the value at ``rn - n`` comes from an equi-join on (key, rn), which
-       hashes on the row number too, so a hot feed spreads over all partitions.
+    4. the value at ``rn - n`` comes from one grouped pass on (key, rn): every
+       record also emits a look-up copy at ``rn + n``; grouping hashes on the row
+       number too, so a hot feed spreads over all partitions (groups hold <= 2 rows).
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("__b", F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long")) \
@@ -92,15 +93,25 @@ def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int =
     ranked = (base.join(off, [key, "__b"])
               .withColumn("__rn", F.col("__oc") + F.row_number().over(w))
               .withColumn("__cum", F.col("__os") + F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    prev = ranked.select(F.col(key).alias("__pk"), (F.col("__rn") + F.lit(n)).alias("__prn"),
-                         F.col("__cum").alias("__pcum"))
-    j = ranked.join(prev, (ranked[key] == prev["__pk"]) & (ranked["__rn"] == prev["__prn"]), "left")
-    n_win = F.least(F.col("__rn"), F.lit(n))
+    # one pass instead of a self-join: each record is emitted at its own row number
+    # and, as a look-up copy carrying its cumulative count, at row number + n; a
+    # group of (key, row number) then holds the record and the value n rows back.
+    payload = [c for c in df.columns]
+    rec = ranked.select(key, "__rn", "__cum", F.struct(*[F.col(c) for c in payload if c != key]).alias("__row"))
+    row_type = rec.schema["__row"].dataType
+    both = rec.select(key, F.inline(F.array(
+        F.struct(F.col("__rn").alias("__j"), F.col("__cum").alias("__c"),
+                 F.lit(None).cast("long").alias("__p"), F.col("__row").alias("__row")),
+        F.struct((F.col("__rn") + F.lit(n)).alias("__j"), F.lit(None).cast("long").alias("__c"),
+                 F.col("__cum").alias("__p"), F.lit(None).cast(row_type).alias("__row")))))
+    g = (both.groupBy(key, "__j")
+         .agg(F.max("__c").alias("__cum"), F.max("__p").alias("__pcum"),
+              F.first("__row", ignorenulls=True).alias("__row"))
+         .where(F.col("__cum").isNotNull()))
+    n_win = F.least(F.col("__j"), F.lit(n))
     pos = F.col("__cum") - F.coalesce(F.col("__pcum"), F.lit(0))
-    return (j.withColumn("n_window", n_win.cast("long"))
-            .withColumn("n_pos", pos.cast("long"))
-            .withColumn("pos_rate", F.round(F.col("n_pos").cast("double") / F.col("n_window").cast("double"), 6))
-            .drop("__b", "__f", "__oc", "__os", "__rn", "__cum", "__pk", "__prn", "__pcum"))
+    return (g.select(key, "__row.*", n_win.cast("long").alias("n_window"), pos.cast("long").alias("n_pos"))
+            .withColumn("pos_rate", F.round(F.col("n_pos").cast("double") / F.col("n_window").cast("double"), 6)))
 
 
 def newest_per_key(df: DataFrame, key: str, ts: str, tie: str, n: int = roles.FEED_HISTORY) -> DataFrame:
