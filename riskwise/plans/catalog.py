@@ -231,6 +231,12 @@ def q_leaderboard(spark, sf_dir):
     return EV.leaderboard(wide, order)
 
 
+def q_metric_labels(spark, sf_dir):
+    """Display form of the metric table (``ROC-AUC``, fixed 4 decimals)."""
+    t = EV.metric_table(li_scored_long(spark, sf_dir))
+    return t.select("model", C.metric_label("metric").alias("metric_label"), C.fixed4("score").alias("score_text"))
+
+
 def q_coef_rank(spark, sf_dir):
     z = li_scored(spark, sf_dir, keep_z=True)
     one = z.agg(*[F.round(F.regr_slope(F.col("label").cast("double"), F.col(f"{c}__z")), 6).alias(c)
@@ -449,6 +455,7 @@ QUERIES = {
     "metrics_pivot": q_metrics_pivot,
     "leaderboard": q_leaderboard,
     "coef_rank": q_coef_rank,
+    "metric_labels": q_metric_labels,
     "feed_score": q_feed_score,
     "last20_rate": q_last20_rate,
     "newest20": q_newest20,

@@ -161,13 +161,17 @@ def test_metrics(model: PipelineModel, test: DataFrame, name: str, label: str) -
 
 
 def coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """M13 + R4: (feature, weight) of a linear final stage, plus the intercept row."""
+    """M13 + R4: (feature, weight) of a linear final stage via ``inline(arrays_zip)``,
+    plus an ``(intercept)`` row.  The fitted vector has one entry per feature."""
     from pyspark.sql import SparkSession
 
     last = model.stages[-1]
-    rows = [(f, float(w)) for f, w in zip(features, last.coefficients.toArray())]
-    rows.append(("(intercept)", float(last.intercept)))
-    return SparkSession.getActiveSession().createDataFrame(rows, "feature string, weight double")
+    one = SparkSession.getActiveSession().createDataFrame(
+        [(list(features), [float(w) for w in last.coefficients.toArray()], float(last.intercept))],
+        "features array<string>, coefficients array<double>, intercept double")
+    zipped = one.select(F.inline(F.arrays_zip(F.col("features").alias("feature"),
+                                              F.col("coefficients").alias("weight"))))
+    return zipped.unionByName(one.select(F.lit("(intercept)").alias("feature"), F.col("intercept").alias("weight")))
 
 
 def export_predictions(pred: DataFrame, path: str) -> DataFrame:

@@ -304,6 +304,9 @@ ORACLE = {
     SELECT model, roc_auc, CAST(row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) AS INTEGER) AS rank,
            row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) = 1 AS champion
     FROM wide""",
+    "metric_labels": _wide_sql() + """
+    SELECT model, replace(upper(metric), '_', '-') AS metric_label, printf('%.4f', score) AS score_text FROM wide
+    UNPIVOT (score FOR metric IN (accuracy, roc_auc, f1_score, precision, recall))""",
     "coef_rank": f"""
     WITH {_li_filled()}, w AS (
       {_union(f"SELECT '{c}' AS feature, round(regr_slope(CAST(label AS DOUBLE), z{i + 1}), 6) AS weight FROM li_z"
