@@ -9,7 +9,7 @@ Spark ML supplies the learners.  What changes against a plain
   that fold's training rows - leakage-free - and the transformed fold frames are
   cached, so only the classifier is fitted per grid point (31 x 3 classifier fits
   instead of 98 full pipeline fits);
-* grid points of one fold are fitted concurrently (``fitMultiple`` on a thread pool);
+* all (fold, grid point) fits run concurrently on a thread pool;
 * the winner is chosen on the mean cross-validated ROC-AUC, and the held-out test
   rows are only used to report the winner's metrics.
 """
@@ -116,26 +116,42 @@ class TuneResult:
 
 
 def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_missing: Sequence[str],
-         label: str, key: Sequence[str], folds: int = 3, parallelism: int = 4) -> TuneResult:
-    """Fold-wise cross-validation on ROC-AUC, then refit on all training rows."""
+         label: str, key: Sequence[str], folds: int = 3, parallelism: int | None = None) -> TuneResult:
+    """Fold-wise cross-validation on ROC-AUC, then refit on all training rows.
+
+    The preprocessing is fitted once per fold; then every (fold, grid point) fit
+    runs on one thread pool.  On small data that overlaps many short Spark jobs;
+    on a large cluster each fit already fills the cluster, so keep ``parallelism``
+    small there (default: min(8, defaultParallelism)).
+    """
+    spark = train.sparkSession
+    if parallelism is None:
+        parallelism = max(1, min(8, spark.sparkContext.defaultParallelism))
     clf = make_classifier(name, label)
     maps = param_maps(clf, grid)
     data = SP.fold_assign(train, key, folds, "__fold")
-    sums = [0.0] * len(maps)
     prep = prep_pipeline(features, zero_missing)
+    frames = []
     for f in range(folds):
         tr = data.where(F.col("__fold") != f)
         va = data.where(F.col("__fold") == f)
         pm = prep.fit(tr)
-        tr_x = pm.transform(tr).select(label, "features").persist()
-        va_x = pm.transform(va).select(label, "features").persist()
-        try:
-            it = clf.fitMultiple(tr_x, maps)  # thread-safe iterator; each next() fits one map
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                models = dict(pool.map(lambda _: next(it), range(len(maps))))
-            for i, m in models.items():
-                sums[i] += _auc(m.transform(va_x), label)
-        finally:
+        frames.append((pm.transform(tr).select(label, "features").persist(),
+                       pm.transform(va).select(label, "features").persist()))
+
+    def fit_eval(job):
+        f, i = job
+        tr_x, va_x = frames[f]
+        model = clf.copy(maps[i]).fit(tr_x)
+        return i, _auc(model.transform(va_x), label)
+
+    sums = [0.0] * len(maps)
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for i, auc in pool.map(fit_eval, [(f, i) for f in range(folds) for i in range(len(maps))]):
+                sums[i] += auc
+    finally:
+        for tr_x, va_x in frames:
             tr_x.unpersist()
             va_x.unpersist()
     means = [s / folds for s in sums]
