@@ -221,8 +221,8 @@ ORACLE = {
     """,
     "missing_profile": _missing,
     "kpis": """
-    SELECT count(*) AS n_total, count_if(l_returnflag = 'R') AS n_positive,
-           count_if(l_returnflag <> 'R') AS n_negative,
+    SELECT count(*) AS n_total, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_positive,
+           CAST(count_if(l_returnflag <> 'R') AS BIGINT) AS n_negative,
            round(avg(l_quantity), 6) AS mean_l_quantity, round(avg(nullif(l_discount, 0)), 6) AS mean_l_discount,
            round(count_if(l_returnflag = 'R') * 100.0 / count(*), 6) AS prevalence_pct
     FROM lineitem""",
@@ -242,10 +242,10 @@ ORACLE = {
     "standardize_pop": _std_sql("stddev_pop"),
     "hash_split": f"""
     SELECT CASE WHEN {_H} % 100 < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
-           count_if(l_returnflag = 'R') AS n_pos
+           CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_pos
     FROM lineitem GROUP BY 1""",
     "fold_assign": f"""
-    SELECT CAST({_H} % 3 AS INTEGER) AS fold, count(*) AS n, count_if(l_returnflag = 'R') AS n_pos
+    SELECT CAST({_H} % 3 AS INTEGER) AS fold, count(*) AS n, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_pos
     FROM lineitem GROUP BY 1""",
     "stratified_split": f"""
     WITH t AS (
@@ -340,8 +340,8 @@ ORACLE = {
            CAST(length(regexp_replace(d.text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper
     FROM documents d JOIN labels l USING (doc_id)""",
     "csv_scan": """
-    SELECT count(*) AS n_total, count_if(l_returnflag = 'R') AS n_positive,
-           count_if(l_returnflag <> 'R') AS n_negative,
+    SELECT count(*) AS n_total, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_positive,
+           CAST(count_if(l_returnflag <> 'R') AS BIGINT) AS n_negative,
            round(avg(l_quantity), 6) AS mean_l_quantity, round(avg(nullif(l_discount, 0)), 6) AS mean_l_discount,
            round(count_if(l_returnflag = 'R') * 100.0 / count(*), 6) AS prevalence_pct
     FROM lineitem""",
