@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskwise.operators.ordered import running_totals
+from riskwise.session import shared_dir
 
 METRICS = ("accuracy", "roc_auc", "f1_score", "precision", "recall")
 
@@ -62,7 +63,7 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 
 
 def auc_exact(df: DataFrame, score: str = "p", label: str = "label",
-              group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
+              group_cols: Sequence[str] = (), digits: int = 6, reuse: bool = True) -> DataFrame:
     """Exact ROC-AUC (ties count one half), i.e. the midrank statistic.
 
     Rows are first reduced to one row per distinct score (partial aggregation),
@@ -72,6 +73,11 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "label",
     counts = (df.groupBy(*group_cols, F.col(score).alias("__s"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                    F.sum((1 - F.col(label)).cast("long")).alias("neg")))
+    if reuse:
+        # the per-score table is read three times (size, sketch, totals); a reliable
+        # checkpoint in the shared folder stores it once and cuts the lineage
+        shared_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
     rt = running_totals(counts, "__s", ["neg"], group_cols)
     return rt.groupBy(*group_cols).agg(
         F.round(F.try_divide(
