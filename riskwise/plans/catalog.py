@@ -381,6 +381,22 @@ def q_lr_coefficients(spark, sf_dir):
     return EV.coef_rank(L.coefficients(res.model, roles.DOC_FEATURES).where("feature <> '(intercept)'"))
 
 
+# ---- vector features (embeddings) -------------------------------------------------
+def q_embedding_group_means(spark, sf_dir):
+    from riskwise.operators import vectors
+    return vectors.vector_group_means(table(spark, sf_dir, "embeddings"), "label", "embedding")
+
+
+def q_embedding_corr(spark, sf_dir):
+    from riskwise.operators import vectors
+    return vectors.vector_corr(table(spark, sf_dir, "embeddings"), "embedding")
+
+
+def q_embedding_standardize(spark, sf_dir):
+    from riskwise.operators import vectors
+    return vectors.vector_standardize(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 # ---- sources and sinks ---------------------------------------------------------------
 def q_csv_scan(spark, sf_dir):
     """Write a derived measurement table as header CSV, scan it back with a
@@ -474,6 +490,9 @@ QUERIES = {
     "champion": q_champion,
     "save_load_score": q_save_load_score,
     "lr_coefficients": q_lr_coefficients,
+    "embedding_group_means": q_embedding_group_means,
+    "embedding_corr": q_embedding_corr,
+    "embedding_standardize": q_embedding_standardize,
     "csv_scan": q_csv_scan,
     "schema_ingest": q_schema_ingest,
     "metrics_json": q_metrics_json,

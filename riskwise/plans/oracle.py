@@ -339,6 +339,19 @@ ORACLE = {
            CAST(length(regexp_replace(d.text, '[^.,;:!?]', '', 'g')) AS BIGINT) AS n_punct,
            CAST(length(regexp_replace(d.text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper
     FROM documents d JOIN labels l USING (doc_id)""",
+    "embedding_group_means": """
+    WITH e AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+    SELECT label, CAST(dim AS INTEGER) AS dim, round(avg(CAST(v AS DOUBLE)), 6) AS mean FROM e GROUP BY 1, 2""",
+    "embedding_corr": """
+    WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v,
+                      generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+    SELECT CAST(a.dim AS INTEGER) AS dim_a, CAST(b.dim AS INTEGER) AS dim_b, round(corr(a.v, b.v), 6) AS r
+    FROM e a JOIN e b USING (vec_id) GROUP BY 1, 2""",
+    "embedding_standardize": """
+    WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v,
+                      generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+    s AS (SELECT dim, avg(v) AS m, stddev_samp(v) AS sd FROM e GROUP BY 1)
+    SELECT vec_id, CAST(dim AS INTEGER) AS dim, round((v - m) / sd, 6) AS z FROM e JOIN s USING (dim)""",
     "csv_scan": """
     SELECT count(*) AS n_total, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS n_positive,
            CAST(count_if(l_returnflag <> 'R') AS BIGINT) AS n_negative,
