@@ -25,6 +25,11 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction",
              .agg(F.count(F.lit(1)).alias("n"))
 
 
+def _round(x, digits):
+    """Round to ``digits`` places; ``None`` keeps full precision (format later)."""
+    return x if digits is None else F.round(x, digits)
+
+
 def _ratio(a, b):
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
@@ -51,13 +56,13 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
     w1, w0 = _ratio(F.col("tp") + F.col("fn"), n), _ratio(F.col("tn") + F.col("fp"), n)
     out = c.select(
         *group_cols,
-        F.round(_ratio(F.col("tp") + F.col("tn"), n), digits).alias("accuracy"),
-        F.round(p1 * w1 + p0 * w0, digits).alias("precision"),
-        F.round(r1 * w1 + r0 * w0, digits).alias("recall"),
-        F.round(f1(p1, r1) * w1 + f1(p0, r0) * w0, digits).alias("f1_score"),
-        F.round(p1, digits).alias("precision_pos"),
-        F.round(r1, digits).alias("recall_pos"),
-        F.round(f1(p1, r1), digits).alias("f1_pos"),
+        _round(_ratio(F.col("tp") + F.col("tn"), n), digits).alias("accuracy"),
+        _round(p1 * w1 + p0 * w0, digits).alias("precision"),
+        _round(r1 * w1 + r0 * w0, digits).alias("recall"),
+        _round(f1(p1, r1) * w1 + f1(p0, r0) * w0, digits).alias("f1_score"),
+        _round(p1, digits).alias("precision_pos"),
+        _round(r1, digits).alias("recall_pos"),
+        _round(f1(p1, r1), digits).alias("f1_pos"),
     )
     return out
 
@@ -80,7 +85,7 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "label",
         counts = counts.checkpoint(eager=True)
     rt = running_totals(counts, "__s", ["neg"], group_cols)
     return rt.groupBy(*group_cols).agg(
-        F.round(F.try_divide(
+        _round(F.try_divide(
             F.sum(F.col("pos").cast("double") * (F.col("before_neg").cast("double") + 0.5 * F.col("neg"))),
             F.sum("pos").cast("double") * F.sum("neg").cast("double")), digits).alias("roc_auc"))
 

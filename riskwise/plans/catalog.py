@@ -233,7 +233,7 @@ def q_leaderboard(spark, sf_dir):
 
 def q_metric_labels(spark, sf_dir):
     """Display form of the metric table (``ROC-AUC``, fixed 4 decimals)."""
-    t = EV.metric_table(li_scored_long(spark, sf_dir))
+    t = EV.metric_table(li_scored_long(spark, sf_dir), digits=None)  # format full precision once
     return t.select("model", C.metric_label("metric").alias("metric_label"), C.fixed4("score").alias("score_text"))
 
 

@@ -119,7 +119,11 @@ def _long_sql() -> str:
             f"sc AS (SELECT model, label, p, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction FROM lg)")
 
 
-def _cls_sql(src: str, group: str = "") -> str:
+def _rnd(x: str, digits) -> str:
+    return x if digits is None else f"round({x}, {digits})"
+
+
+def _cls_sql(src: str, group: str = "", digits=6) -> str:
     g = f"{group}, " if group else ""
     gb = f"GROUP BY {group}" if group else ""
     return f"""
@@ -133,26 +137,23 @@ def _cls_sql(src: str, group: str = "") -> str:
             coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
             coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0
           FROM c),
-    m AS (SELECT {g} round(coalesce((tp + tn) / nullif(n, 0), 0), 6) AS accuracy,
-            round(p1 * coalesce((tp + fn) / nullif(n, 0), 0) + p0 * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS precision,
-            round(r1 * coalesce((tp + fn) / nullif(n, 0), 0) + r0 * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS recall,
-            round(coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0) * coalesce((tp + fn) / nullif(n, 0), 0)
-                + coalesce(2.0 * p0 * r0 / nullif(p0 + r0, 0), 0) * coalesce((tn + fp) / nullif(n, 0), 0), 6) AS f1_score,
-            round(p1, 6) AS precision_pos, round(r1, 6) AS recall_pos,
-            round(coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0), 6) AS f1_pos
+    m AS (SELECT {g} {_rnd("coalesce((tp + tn) / nullif(n, 0), 0)", digits)} AS accuracy,
+            {_rnd("p1 * coalesce((tp + fn) / nullif(n, 0), 0) + p0 * coalesce((tn + fp) / nullif(n, 0), 0)", digits)} AS precision,
+            {_rnd("r1 * coalesce((tp + fn) / nullif(n, 0), 0) + r0 * coalesce((tn + fp) / nullif(n, 0), 0)", digits)} AS recall,
+            {_rnd("coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0) * coalesce((tp + fn) / nullif(n, 0), 0) + coalesce(2.0 * p0 * r0 / nullif(p0 + r0, 0), 0) * coalesce((tn + fp) / nullif(n, 0), 0)", digits)} AS f1_score,
+            {_rnd("p1", digits)} AS precision_pos, {_rnd("r1", digits)} AS recall_pos,
+            {_rnd("coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0)", digits)} AS f1_pos
           FROM r)"""
 
 
-def _auc_sql(src: str, group: str = "") -> str:
+def _auc_sql(src: str, group: str = "", digits=6) -> str:
     pg = f"PARTITION BY {group}" if group else ""
     pgp = f"PARTITION BY {group}, p" if group else "PARTITION BY p"
     g = f"{group}, " if group else ""
     gb = f"GROUP BY {group}" if group else ""
     return f"""
     rk AS (SELECT {g} label, (2 * rank() OVER ({pg} ORDER BY p) + count(*) OVER ({pgp}) - 1) / 2.0 AS mr FROM {src}),
-    auc AS (SELECT {g} round((sum(CASE WHEN label = 1 THEN mr END)
-                   - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0)
-                   / (CAST(count_if(label = 1) AS DOUBLE) * count_if(label = 0)), 6) AS roc_auc
+    auc AS (SELECT {g} {_rnd("(sum(CASE WHEN label = 1 THEN mr END) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0) / (CAST(count_if(label = 1) AS DOUBLE) * count_if(label = 0))", digits)} AS roc_auc
             FROM rk {gb})"""
 
 
@@ -168,8 +169,8 @@ _ROC = f"""
 _METRICS = ("accuracy", "roc_auc", "f1_score", "precision", "recall")
 
 
-def _wide_sql() -> str:
-    return (_long_sql() + ", " + _cls_sql("sc", "model") + ", " + _auc_sql("sc", "model")
+def _wide_sql(digits=6) -> str:
+    return (_long_sql() + ", " + _cls_sql("sc", "model", digits) + ", " + _auc_sql("sc", "model", digits)
             + ",\n wide AS (SELECT m.model, accuracy, roc_auc, f1_score, precision, recall "
               "FROM m JOIN auc USING (model))")
 
@@ -304,7 +305,7 @@ ORACLE = {
     SELECT model, roc_auc, CAST(row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) AS INTEGER) AS rank,
            row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, CASE model {_ORDER} END) = 1 AS champion
     FROM wide""",
-    "metric_labels": _wide_sql() + """
+    "metric_labels": _wide_sql(None) + """
     SELECT model, replace(upper(metric), '_', '-') AS metric_label, printf('%.4f', score) AS score_text FROM wide
     UNPIVOT (score FOR metric IN (accuracy, roc_auc, f1_score, precision, recall))""",
     "coef_rank": f"""

@@ -4,6 +4,7 @@ the stored probabilities through our scoring functions."""
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskwise import roles
 from riskwise.functions import columns as C
@@ -25,8 +26,8 @@ ROWS = [
 
 
 def test_golden_probabilities(spark):
-    df = spark.createDataFrame([r + (p,) for r, p in ROWS],
-                               roles.SCORING_SCHEMA.add("expected", "double"))
+    schema = T.StructType(roles.SCORING_SCHEMA.fields + [T.StructField("expected", T.DoubleType())])
+    df = spark.createDataFrame([r + (p,) for r, p in ROWS], schema)
     clean = C.zeros_to_null(df, roles.CLINICAL_ZERO_MISSING)
     filled = clean.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in FILLS.items()})
     scored = filled.withColumn("p", C.sigmoid(C.linear_margin(list(SLOPES), list(SLOPES.values()), CONST)))
