@@ -65,7 +65,7 @@ class FeedScorer:
 
 
 def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int = roles.FEED_HISTORY,
-                 bucket_seconds: int = 3600) -> DataFrame:
+                 bucket_seconds: int = 60) -> DataFrame:
     """Per record, the count and the positive rate over the last ``n`` records of
     its feed (ordered by ``ts``, ``tie``) - a ROWS frame of ``n - 1`` preceding.
 
@@ -81,6 +81,10 @@ def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int =
     4. the value at ``rn - n`` comes from one grouped pass on (key, rn): every
        record also emits a look-up copy at ``rn + n``; grouping hashes on the row
        number too, so a hot feed spreads over all partitions (groups hold <= 2 rows).
+
+    ``bucket_seconds`` trades the two window sizes: the offsets window holds
+    (time range / bucket) rows per feed (43,200 for a month of minutes), the inner
+    window one feed-bucket of records (a minute of the busiest feed).
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("__b", F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long")) \

@@ -54,8 +54,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
     """
     h = "__h"
     base = df.withColumn(h, key_hash(key_cols))
-    labels = [r[0] for r in base.select(label).distinct().collect()]  # class values (a handful)
-    counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}
+    counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}  # one row per class
+    labels = list(counts)
     piv = base.select(*[F.when(F.col(label) == v, F.col(h)).alias(f"__c{i}") for i, v in enumerate(labels)])
     need_k = {v: math.ceil(test_frac * counts[v] - 1e-9) for v in labels}
     kth = kth_values(piv, [f"__c{i}" for i in range(len(labels))],
