@@ -64,8 +64,23 @@ class FeedScorer:
         })
 
 
+ROWS_PER_SLICE = 1_000_000
+
+
+def slice_seconds(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> int:
+    """Slice width so that the busiest feed puts about ``rows_per_slice`` records in
+    one slice: one aggregate gives the highest per-feed event rate (1 s .. 1 day)."""
+    sec = F.unix_seconds(F.col(ts).cast("timestamp"))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                  (F.max(sec) - F.min(sec) + 1).alias("span"))
+    rate = per_key.agg(F.max(F.col("n") / F.col("span"))).first()[0]
+    if not rate:
+        return 86400
+    return int(min(86400, max(1, rows_per_slice / rate)))
+
+
 def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int = roles.FEED_HISTORY,
-                 bucket_seconds: int = 60) -> DataFrame:
+                 bucket_seconds: int | None = None) -> DataFrame:
     """Per record, the count and the positive rate over the last ``n`` records of
     its feed (ordered by ``ts``, ``tie``) - a ROWS frame of ``n - 1`` preceding.
 
@@ -83,9 +98,12 @@ def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int =
        number too, so a hot feed spreads over all partitions (groups hold <= 2 rows).
 
     ``bucket_seconds`` trades the two window sizes: the offsets window holds
-    (time range / bucket) rows per feed (43,200 for a month of minutes), the inner
-    window one feed-bucket of records (a minute of the busiest feed).
+    (time range / bucket) rows per feed, the inner window one feed-bucket of
+    records.  By default it is sized from the data (``slice_seconds``) so that a
+    slice of the busiest feed holds about a million records.
     """
+    if bucket_seconds is None:
+        bucket_seconds = slice_seconds(df, key, ts)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("__b", F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long")) \
              .withColumn("__f", F.coalesce(F.col(flag).cast("long"), F.lit(0)))
