@@ -57,3 +57,18 @@ def test_int_feature_fractional_mean(spark):
     m = fit_impute(df, ["x"], "mean")
     out = sorted(r[0] for r in m.transform(df).collect())
     assert out == pytest.approx([1.0, 5 / 3, 2.0, 2.0])  # filled with 1.666.., not truncated to 1
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
+                min_size=1, max_size=300),
+       st.sampled_from([0.0, 0.2, 0.5, 0.77, 1.0]))
+def test_property_matches_sorting(spark, vals, p):
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert Q.exact_quantiles(df, ["x"], [p], "disc")[("x", p)] == _np_disc(vals, p)
+    assert Q.exact_quantiles(df, ["x"], [p], "cont")[("x", p)] == pytest.approx(
+        float(np.quantile(np.asarray(vals, dtype=float), p)), rel=1e-12, abs=1e-9)
