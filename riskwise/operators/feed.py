@@ -105,14 +105,20 @@ def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int =
     if bucket_seconds is None:
         bucket_seconds = slice_seconds(df, key, ts)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = df.withColumn("__b", F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long")) \
+    # a NULL time sorts first (ascending NULLS FIRST), so it gets the lowest slice
+    slice_of = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long"),
+                          F.lit(-(2 ** 63)))
+    base = df.withColumn("__b", slice_of) \
              .withColumn("__f", F.coalesce(F.col(flag).cast("long"), F.lit(0)))
     slices = base.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__c"), F.sum("__f").alias("__s"))
     wb = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = slices.select(key, "__b", F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__oc"),
+    off = slices.select(F.col(key).alias("__k"), F.col("__b").alias("__ob"),
+                        F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__oc"),
                         F.coalesce(F.sum("__s").over(wb), F.lit(0)).alias("__os"))
     w = Window.partitionBy(key, "__b").orderBy(ts, tie)
-    ranked = (base.join(off, [key, "__b"])
+    # NULL-safe on the feed key: records without a key form their own feed, none is dropped
+    ranked = (base.join(off, base[key].eqNullSafe(off["__k"]) & (base["__b"] == off["__ob"]))
+              .drop("__k", "__ob")
               .withColumn("__rn", F.col("__oc") + F.row_number().over(w))
               .withColumn("__cum", F.col("__os") + F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     # one pass instead of a self-join: each record is emitted at its own row number

@@ -41,6 +41,12 @@ def disc_rank(p: float, n: int) -> int:
     return min(n, max(1, math.ceil(p * n - 1e-9)))
 
 
+def valid(c: str):
+    """The column as double, NULL where it is NULL or NaN (NaN has no rank)."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(ci, x) pairs for the non-null, non-NaN values of ``cols``."""
     arr = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("x"))
@@ -50,18 +56,24 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict) -> dict:
+def column_stats(df: DataFrame, cols: Sequence[str]):
+    """One aggregate: per column ``s<i> = (n, lo, hi)`` over the rankable values."""
+    return df.agg(*[F.struct(F.count(valid(c)).alias("n"), F.min(valid(c)).alias("lo"),
+                             F.max(valid(c)).alias("hi")).alias(f"s{i}")
+                    for i, c in enumerate(cols)]).first()
+
+
+def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None) -> dict:
     """Exact k-th smallest values.
 
     ``ranks`` maps column name -> list of 1-based ranks.  Returns
-    ``{(col, rank): value}``.
+    ``{(col, rank): value}``.  ``stats`` may pass a ``column_stats`` row.
     """
     cols = list(cols)
     if not cols:
         return {}
-    stats = df.agg(*[F.struct(F.count(c).alias("n"), F.min(F.col(c).cast("double")).alias("lo"),
-                              F.max(F.col(c).cast("double")).alias("hi")).alias(f"s{i}")
-                     for i, c in enumerate(cols)]).first()
+    if stats is None:
+        stats = column_stats(df, cols)
     result: dict = {}
     # open probes: (ci, k, lo, hi, below) - rank k counted over the whole column,
     # ``below`` rows are known to be < lo.
@@ -144,11 +156,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     between the values at 0-based positions floor((n-1)p) and ceil((n-1)p)).
     """
     cols = list(cols)
-    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    stats = column_stats(df, cols)
     ranks: dict = {}
     plan: dict = {}
     for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
+        n = stats[f"s{i}"]["n"]
         for p in probs:
             if n == 0:
                 plan[(c, p)] = None
@@ -162,7 +174,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 lo, hi = math.floor(pos), math.ceil(pos)
                 plan[(c, p)] = ("c", lo + 1, hi + 1, pos - lo)
                 ranks.setdefault(c, set()).update({lo + 1, hi + 1})
-    vals = kth_values(df, cols, {c: sorted(v) for c, v in ranks.items()})
+    vals = kth_values(df, cols, {c: sorted(v) for c, v in ranks.items()}, stats)
     out = {}
     for (c, p), spec in plan.items():
         if spec is None:

@@ -67,3 +67,19 @@ def test_stratified_split_exact_counts(spark):
     assert got[(1, "test")] == 150 and got[(0, "test")] == 450
     assert got[(1, "train")] == n1 - 150 and got[(0, "train")] == n0 - 450
     assert s.count() == 3000
+
+
+def test_rolling_rate_keeps_null_keys_and_times(spark):
+    rows = [(1, None, "a", 1), (2, datetime(2024, 1, 1), "a", 0), (3, datetime(2024, 1, 2), None, 1),
+            (4, datetime(2024, 1, 3), None, 1), (5, None, None, 0)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, feed string, flag int")
+    got = {r["event_id"]: (r["n_window"], r["n_pos"])
+           for r in FD.rolling_rate(df, "feed", "ts", "event_id", "flag", n=20).collect()}
+    # NULL times first within a feed; the NULL feed is a feed of its own
+    assert got == {1: (1, 1), 2: (2, 1), 5: (1, 0), 3: (2, 1), 4: (3, 2)}
+
+
+def test_quantiles_ignore_nan(spark):
+    from riskwise.operators import quantiles as Q
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,), (3.0,)], "x double")
+    assert Q.exact_quantiles(df, ["x"], [0.5])[("x", 0.5)] == 2.0
