@@ -89,6 +89,17 @@ def q_median_surrogates(spark, sf_dir):
     return fit_impute(clean, LI.zero_missing, "median").table(spark)
 
 
+def q_imputer_ml_surrogates(spark, sf_dir):
+    """A9, Spark ML form: ``Imputer(strategy='median')`` surrogates (approximate,
+    relativeError 0.001), next to the exact ``median_surrogates``."""
+    from pyspark.ml.feature import Imputer
+    clean = C.to_double(C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.zero_missing), LI.zero_missing),
+                        LI.zero_missing)
+    model = Imputer(inputCols=list(LI.zero_missing), outputCols=[f"{c}_imputed" for c in LI.zero_missing],
+                    strategy="median").fit(clean)
+    return model.surrogateDF.unpivot([], list(LI.zero_missing), "column", "surrogate")
+
+
 def q_impute_median(spark, sf_dir):
     clean = C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.key, *LI.zero_missing), LI.zero_missing)
     return fit_impute(clean, LI.zero_missing, "median").transform(clean)
@@ -217,6 +228,17 @@ def q_auc_exact(spark, sf_dir):
     return EV.auc_exact(li_scored(spark, sf_dir))
 
 
+def q_auc_binned(spark, sf_dir):
+    """A13, Spark ML form: ``BinaryClassificationEvaluator`` (1,000 score bins by
+    default), next to the exact ``auc_exact``."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    s = li_scored(spark, sf_dir).withColumn("rawPrediction", array_to_vector(F.array(-F.col("margin"),
+                                                                                     F.col("margin"))))
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(s)
+    return spark.createDataFrame([(float(auc),)], "roc_auc_binned double")
+
+
 def q_metrics_unpivot(spark, sf_dir):
     return EV.metric_table(li_scored_long(spark, sf_dir))
 
@@ -451,6 +473,7 @@ QUERIES = {
     "clip_bounds": q_clip_bounds,
     "median_surrogates": q_median_surrogates,
     "impute_median": q_impute_median,
+    "imputer_ml_surrogates": q_imputer_ml_surrogates,
     "standardize_samp": q_standardize_samp,
     "standardize_pop": q_standardize_pop,
     "hash_split": q_hash_split,
@@ -467,6 +490,7 @@ QUERIES = {
     "roc_curve": q_roc_curve,
     "roc_auc_trapezoid": q_roc_auc_trapezoid,
     "auc_exact": q_auc_exact,
+    "auc_binned": q_auc_binned,
     "metrics_unpivot": q_metrics_unpivot,
     "metrics_pivot": q_metrics_pivot,
     "leaderboard": q_leaderboard,
