@@ -313,7 +313,7 @@ def q_stream_score(spark, sf_dir):
 
 def q_stream_last20(spark, sf_dir):
     ST, scorer, src = _stream_setup(spark, sf_dir)
-    out = spark.read.parquet(ST.last_n_stream(spark, src, scorer))
+    out = ST.read_last_n(spark, ST.last_n_stream(spark, src, scorer))
     return out.select("event_id", "feed_key", "n_window", "n_pos", "pos_rate")
 
 

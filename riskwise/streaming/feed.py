@@ -60,60 +60,88 @@ def score_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, sin
 
 
 LAST_N_OUT = ("event_id long, feed_key string, event_time timestamp_ntz, prediction int, "
-              "n_window long, n_pos long, pos_rate double")
-LAST_N_STATE = "ts array<long>, ids array<long>, flags array<int>"
+              "n_window long, n_pos long, pos_rate double, version long")
+LAST_N_STATE = "ts array<long>, ids array<long>, flags array<int>, evicted long, version long"
 
 
-def _last_n_fn(n: int):
+def _last_n_fn(n: int, lateness_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # rows of this feed in this micro-batch (bounded by the trigger size), in event order
+        # rows of this feed in this micro-batch (bounded by the trigger size)
         batch = pd.concat(list(pdfs), ignore_index=True)
-        batch = batch.sort_values(["ts_us", roles.FEED_ID], kind="mergesort").reset_index(drop=True)
         if state.exists:
-            ts_s, ids_s, fl_s = state.get
-            hist_ts, hist_id, hist_fl = list(ts_s), list(ids_s), list(fl_s)
+            ts_s, ids_s, fl_s, evicted, version = state.get
         else:
-            hist_ts, hist_id, hist_fl = [], [], []
-        m = len(hist_fl)
-        flags = np.concatenate([np.asarray(hist_fl, dtype=np.int64),
-                                batch["prediction"].to_numpy(dtype=np.int64)])
+            ts_s, ids_s, fl_s, evicted, version = [], [], [], 0, 0
+        version += 1
+        old = pd.DataFrame({"ts": np.asarray(ts_s, dtype=np.int64), "id": np.asarray(ids_s, dtype=np.int64),
+                            "flag": np.asarray(fl_s, dtype=np.int64), "new": False})
+        new = pd.DataFrame({"ts": batch["ts_us"].to_numpy(dtype=np.int64),
+                            "id": batch[roles.FEED_ID].to_numpy(dtype=np.int64),
+                            "flag": batch["prediction"].fillna(0).to_numpy(dtype=np.int64), "new": True})
+        # event-time order; a re-delivered record keeps its first copy
+        merged = (pd.concat([old, new], ignore_index=True).drop_duplicates("id", keep="first")
+                  .sort_values(["ts", "id"], kind="mergesort").reset_index(drop=True))
+        first_new = int(np.argmax(merged["new"].to_numpy())) if merged["new"].any() else len(merged)
+        flags = merged["flag"].to_numpy()
         cs = np.concatenate([[0], np.cumsum(flags)])
-        pos = np.arange(m, len(flags))           # positions of this batch's records
-        lo = np.maximum(pos + 1 - n, 0)          # window start (ROWS n-1 PRECEDING)
-        out_np = cs[pos + 1] - cs[lo]
-        out_nw = pos + 1 - lo
-        keep = slice(max(len(flags) - n, 0), None)
-        all_ts = hist_ts + batch["ts_us"].tolist()
-        all_id = hist_id + batch[roles.FEED_ID].tolist()
-        state.update((all_ts[keep], all_id[keep], flags[keep].tolist()))
+        idx = np.arange(first_new, len(merged))  # new records and every record after the first one
+        lo = np.maximum(idx + 1 - n, 0)
+        out = merged.iloc[first_new:]
         res = pd.DataFrame({
-            "event_id": batch[roles.FEED_ID].astype("int64"),
+            "event_id": out["id"].to_numpy(),
             "feed_key": key[0],
-            "event_time": batch[roles.FEED_TIME],
-            "prediction": batch["prediction"].astype("int32"),
-            "n_window": out_nw.astype("int64"),
-            "n_pos": out_np.astype("int64"),
+            "event_time": pd.to_datetime(out["ts"].to_numpy(), unit="us"),
+            "prediction": out["flag"].to_numpy().astype("int32"),
+            "n_window": np.minimum(evicted + idx + 1, n).astype("int64"),
+            "n_pos": (cs[idx + 1] - cs[lo]).astype("int64"),
         })
         res["pos_rate"] = (res["n_pos"] / res["n_window"]).round(6)
+        res["version"] = np.int64(version)
+        # keep what a record arriving up to ``lateness`` behind the newest one needs:
+        # the records inside the horizon plus the n - 1 before them
+        if len(merged):
+            horizon = merged["ts"].iloc[-1] - lateness_us
+            k0 = max(0, int(np.searchsorted(merged["ts"].to_numpy(), horizon, side="left")) - (n - 1))
+        else:
+            k0 = 0
+        kept = merged.iloc[k0:]
+        state.update((kept["ts"].tolist(), kept["id"].tolist(), kept["flag"].astype(int).tolist(),
+                      int(evicted + k0), int(version)))
         yield res
     return fn
 
 
 def last_n_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, n: int = roles.FEED_HISTORY,
-                  sink: str | None = None) -> str:
-    """Last-n history per feed in keyed state; one output row per record."""
+                  lateness_seconds: int = 600, sink: str | None = None) -> str:
+    """Last-n history per feed in keyed state, placed by event time.
+
+    A record may arrive up to ``lateness_seconds`` behind the newest record of its
+    feed: it is inserted at its event-time position and every later record of the
+    feed is re-emitted with a higher ``version`` (append log; ``read_last_n`` keeps
+    the newest version per record).  State per feed is the records inside the
+    lateness horizon plus n - 1, so it is bounded by the feed's rate x lateness.
+    """
     sink = sink or scratch_path(spark, "feed-last-n")
     scored = scorer.transform(source).select(
         roles.FEED_ID, roles.FEED_KEY, roles.FEED_TIME, "prediction",
         F.unix_micros(F.col(roles.FEED_TIME).cast("timestamp")).alias("ts_us"))
     out = scored.groupBy(roles.FEED_KEY).applyInPandasWithState(
-        _last_n_fn(n), LAST_N_OUT, LAST_N_STATE, "append", GroupStateTimeout.NoTimeout)
+        _last_n_fn(n, lateness_seconds * 1_000_000), LAST_N_OUT, LAST_N_STATE, "append",
+        GroupStateTimeout.NoTimeout)
     q = (out.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", sink + "-ckpt").trigger(availableNow=True).start())
     _run(q)
     return sink
 
 
+def read_last_n(spark: SparkSession, sink: str) -> DataFrame:
+    """Newest version of every record's rolling values (groups of one record)."""
+    log = spark.read.parquet(sink)
+    cols = [c for c in log.columns if c not in ("event_id", "version")]
+    latest = log.groupBy("event_id").agg(F.max_by(F.struct(*cols), "version").alias("r"))
+    return latest.select("event_id", "r.*")
+
+
 def trend_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, window: str = "1 day",
                  watermark: str = "1 day", sink: str | None = None) -> str:
     """T4: average risk and record count per (event-time window, feed).

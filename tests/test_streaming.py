@@ -10,14 +10,16 @@ from riskwise.streaming import feed as ST
 from .conftest import SF_SMALL
 
 
-def _landing(spark, parts=4):
+def _landing(spark, parts=4, reverse=False):
     """The event table cut into ``parts`` files by event time, in a landing folder."""
     ev = table(spark, SF_SMALL, "events")
     folder = scratch_path(spark, "landing")
     edges = ev.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")),
                                        [i / parts for i in range(1, parts)], 10000)).first()[0]
     bounds = [None] + list(edges) + [None]
-    for i in range(parts):
+    # the file source takes files in modification order: write the newest slice first to make
+    # every later micro-batch late
+    for i in (reversed(range(parts)) if reverse else range(parts)):
         us = F.unix_micros(F.col("ts").cast("timestamp"))
         cond = F.lit(True)
         if bounds[i] is not None:
@@ -39,7 +41,7 @@ def test_last_n_and_trend_across_batches(spark):
     batch_scored = scorer.transform(ev).withColumnRenamed(roles.FEED_KEY, "feed_key")
 
     sink = ST.last_n_stream(spark, _source(spark, folder), scorer)
-    got = {r["event_id"]: (r["n_window"], r["n_pos"]) for r in spark.read.parquet(sink).collect()}
+    got = {r["event_id"]: (r["n_window"], r["n_pos"]) for r in ST.read_last_n(spark, sink).collect()}
     want = {r["event_id"]: (r["n_window"], r["n_pos"]) for r in
             FD.rolling_rate(batch_scored, "feed_key", "ts", "event_id", "prediction").collect()}
     assert got == want
@@ -55,3 +57,16 @@ def test_last_n_and_trend_across_batches(spark):
     assert set(trend) == set(want_t)
     for k, (n, a) in want_t.items():
         assert trend[k][0] == n and abs(trend[k][1] - a) < 1e-6
+
+
+def test_last_n_with_late_batches(spark):
+    """Batches arrive newest first: every later batch is late and revises rows."""
+    ev, folder = _landing(spark, 3, reverse=True)
+    scorer = FD.FeedScorer.fit(ev)
+    batch_scored = scorer.transform(ev).withColumnRenamed(roles.FEED_KEY, "feed_key")
+    sink = ST.last_n_stream(spark, _source(spark, folder), scorer, lateness_seconds=40 * 86400)
+    assert spark.read.parquet(sink).count() > ev.count()  # late records revised earlier rows
+    got = {r["event_id"]: (r["n_window"], r["n_pos"], r["pos_rate"]) for r in ST.read_last_n(spark, sink).collect()}
+    want = {r["event_id"]: (r["n_window"], r["n_pos"], r["pos_rate"]) for r in
+            FD.rolling_rate(batch_scored, "feed_key", "ts", "event_id", "prediction").collect()}
+    assert got == want
