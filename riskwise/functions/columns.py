@@ -90,11 +90,11 @@ def risk_band(pct, edges: Sequence[float] = roles.BAND_EDGES,
     return expr.otherwise(F.lit(names[len(edges)]))
 
 
-def guidance_lines(rules: Sequence[tuple], default: str) -> Column:
-    """Ordered list of triggered guidance lines, or the default line.
+def _rule_messages(rules: Sequence[tuple]) -> list:
+    """One CASE per rule: its text when the value is above the threshold, else NULL.
 
     ``rules`` holds (column, threshold, text); ``{value:.1f}`` in a text is filled
-    with the record's value.  Built from CASE expressions, no Python per row.
+    with the record's value.
     """
     parts = []
     for col, thr, text in rules:
@@ -104,7 +104,12 @@ def guidance_lines(rules: Sequence[tuple], default: str) -> Column:
         else:
             msg = F.lit(text)
         parts.append(F.when(F.col(col) > thr, msg))
-    arr = F.filter(F.array(*parts), lambda x: x.isNotNull())
+    return parts
+
+
+def guidance_lines(rules: Sequence[tuple], default: str) -> Column:
+    """Ordered list of triggered guidance lines, or the default line."""
+    arr = F.filter(F.array(*_rule_messages(rules)), lambda x: x.isNotNull())
     return F.when(F.size(arr) == 0, F.array(F.lit(default))).otherwise(arr)
 
 
@@ -113,15 +118,7 @@ def guidance_text(rules: Sequence[tuple], default: str, sep: str = "\n") -> Colu
 
     Written with ``concat_ws`` over CASEs so the same text is expressible in SQL.
     """
-    parts = []
-    for col, thr, text in rules:
-        if "{value:.1f}" in text:
-            head, tail = text.split("{value:.1f}", 1)
-            msg = F.concat(F.lit(head), F.format_string("%.1f", F.col(col)), F.lit(tail))
-        else:
-            msg = F.lit(text)
-        parts.append(F.when(F.col(col) > thr, msg))
-    joined = F.concat_ws(sep, *parts)
+    joined = F.concat_ws(sep, *_rule_messages(rules))
     return F.when(joined == "", F.lit(default)).otherwise(joined)
 
 
@@ -151,12 +148,3 @@ def linear_margin(cols: Sequence, weights: Sequence[float], intercept: float) ->
     for c, w in zip(cols, weights):
         expr = expr + F.lit(float(w)) * _c(c)
     return expr
-
-
-def md5_bucket(key_cols: Sequence[str], buckets: int = 100) -> Column:
-    """Portable hash bucket: first 8 hex digits of md5 of the key, modulo ``buckets``.
-
-    Independent of partitioning and of the engine (the same value in DuckDB).
-    """
-    key = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])
-    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")

@@ -12,16 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _stack(row_df: DataFrame, names: Sequence[str], fields: Sequence[str], out_cols: Sequence[str]) -> DataFrame:
-    """Turn a one-row frame with ``f"{field}_{i}"`` columns into one row per name."""
-    parts = []
-    for i, name in enumerate(names):
-        parts.append(f"'{name}'")
-        parts += [f"`{f}_{i}`" for f in fields]
-    expr = f"stack({len(names)}, {', '.join(parts)}) AS ({', '.join(out_cols)})"
-    return row_df.selectExpr(expr)
-
-
 def missing_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Zeros and NULLs per column in one pass -> (column, n_rows, n_zero, n_null)."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]

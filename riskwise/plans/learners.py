@@ -207,7 +207,3 @@ def load_model(path: str) -> PipelineModel:
         return PipelineModel.load(path)
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(f"trained model pipeline not found at {path!r}; run training first") from e
-
-
-def vector_prob(col: str = "probability") -> F.Column:
-    return vector_to_array(F.col(col))[1]

@@ -110,10 +110,6 @@ FEED_DIAGNOSIS = ("NEGATIVE (Healthy)", "POSITIVE (Diabetic)")
 FEED_HISTORY = 20
 DECISION_THRESHOLD = 0.5
 
-# Feature names of the stored winning linear model (coefficient order).
-CLINICAL_COEF_FEATURES = CLINICAL_FEATURES
-
-
 # ---------------------------------------------------------------------------
 # Test-table roles
 # ---------------------------------------------------------------------------
