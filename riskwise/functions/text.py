@@ -16,19 +16,29 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.col(text)
     return docs.withColumns({
         "n_words": F.regexp_count(t, F.lit(r"\S+")).cast("long"),
-        "n_lines": F.size(F.split(t, "\n")).cast("long"),
+        "n_lines": (F.regexp_count(t, F.lit("\n")) + 1).cast("long"),
         "n_digits": count_chars(t, "0-9").cast("long"),
         "n_punct": count_chars(t, ".,;:!?").cast("long"),
         "n_upper": count_chars(t, "A-Z").cast("long"),
     })
 
 
-def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents joined with their labels (inner join on ``doc_id``).
+BROADCAST_LABEL_ROWS = 5_000_000  # (doc_id, quality, toxic) rows: about 100 MB as a hash table
 
-    The planner picks the join: the label table is broadcast only when its
-    measured size is under the broadcast threshold (AQE), otherwise both sides
-    are shuffled on ``doc_id``.
+
+def labelled_documents(documents: DataFrame, labels: DataFrame,
+                       broadcast_rows: int = BROADCAST_LABEL_ROWS) -> DataFrame:
+    """documents joined with their labels (inner join on ``doc_id``), with text features.
+
+    The label table's row count is checked first (one small count):
+
+    * up to ``broadcast_rows`` labels: the labels are broadcast and joined map-side
+      first, so the regexes run only on labelled documents and no text is shuffled;
+    * beyond it: features are computed on the scan and only numbers are shuffled
+      into a sort-merge join on ``doc_id``.
     """
-    feats = text_features(documents.select("doc_id", "text", "n_chars")).drop("text")
-    return feats.join(labels.select("doc_id", "quality", "toxic"), "doc_id")
+    lab = labels.select("doc_id", "quality", "toxic")
+    docs = documents.select("doc_id", "text", "n_chars")
+    if lab.count() <= broadcast_rows:
+        return text_features(docs.join(F.broadcast(lab), "doc_id")).drop("text")
+    return text_features(docs).drop("text").join(lab, "doc_id")
