@@ -62,29 +62,31 @@ def histogram_by_label(df: DataFrame, widths: dict, label: str) -> DataFrame:
             .groupBy("column", "bin", "label").agg(F.count(F.lit(1)).alias("n")))
 
 
+PAIRS_PER_PASS = 9  # 10 buffer fields per pair: stays under the 100-field codegen limit
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation for every ordered pair, pairwise-complete rows.
 
-    One aggregate computes the upper triangle (and the diagonal); ``stack``
-    mirrors it.  A constant column yields NULL instead of a division error.
+    Each aggregate computes up to ``PAIRS_PER_PASS`` pairs of the upper triangle
+    (and the diagonal) so it stays inside whole-stage codegen; ``stack`` mirrors
+    each chunk and the chunks are unioned.  A constant column yields NULL instead of
+    a division error.
     """
     cols = list(cols)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    out = None
+    for start in range(0, len(pairs), PAIRS_PER_PASS):
+        aggs, parts = [], []
+        for i, j in pairs[start:start + PAIRS_PER_PASS]:
+            a, b = cols[i], cols[j]
             xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
             both = xa.isNotNull() & xb.isNotNull()
-            cov = F.covar_samp(xa, xb)
-            sa = F.stddev_samp(F.when(both, xa))
-            sb = F.stddev_samp(F.when(both, xb))
-            aggs.append(F.round(F.try_divide(cov, sa * sb), digits).alias(f"r_{i}_{j}"))
-            pairs.append((a, b, f"r_{i}_{j}"))
-    one = df.agg(*aggs)
-    parts = []
-    for a, b, name in pairs:
-        parts += [f"'{a}'", f"'{b}'", name]
-        if a != b:
-            parts += [f"'{b}'", f"'{a}'", name]
-    n = len(parts) // 3
-    return one.selectExpr(f"stack({n}, {', '.join(parts)}) AS (col_a, col_b, r)")
+            sa, sb = F.stddev_samp(F.when(both, xa)), F.stddev_samp(F.when(both, xb))
+            aggs.append(F.round(F.try_divide(F.covar_samp(xa, xb), sa * sb), digits).alias(f"r_{i}_{j}"))
+            parts += [f"'{a}'", f"'{b}'", f"r_{i}_{j}"]
+            if a != b:
+                parts += [f"'{b}'", f"'{a}'", f"r_{i}_{j}"]
+        chunk = df.agg(*aggs).selectExpr(f"stack({len(parts) // 3}, {', '.join(parts)}) AS (col_a, col_b, r)")
+        out = chunk if out is None else out.unionByName(chunk)
+    return out
