@@ -68,6 +68,7 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None) -> d
 
     ``ranks`` maps column name -> list of 1-based ranks.  Returns
     ``{(col, rank): value}``.  ``stats`` may pass a ``column_stats`` row.
+    Values are ranked as doubles: integers beyond 2**53 must be narrowed first.
     """
     cols = list(cols)
     if not cols:

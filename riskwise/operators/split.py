@@ -10,17 +10,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from riskwise.operators.quantiles import kth_values
 
 
-def key_hash(key_cols: Sequence[str]) -> Column:
-    """Unsigned 32-bit hash of the key (first 8 hex digits of md5) as bigint."""
+def key_hash(key_cols: Sequence[str], digits: int = 8) -> Column:
+    """Unsigned hash of the key: the first ``digits`` hex digits of md5 (8 -> 32
+    bits, 13 -> 52 bits, still exact as a double) as bigint; the same value in any engine."""
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(key), 1, digits), 16, 10).cast("bigint")
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], test_pct: int = 20, col: str = "split") -> DataFrame:
@@ -38,43 +39,90 @@ def fold_assign(df: DataFrame, key_cols: Sequence[str], k: int = 3, col: str = "
     return df.withColumn(col, (key_hash(key_cols) % k).cast("int"))
 
 
+def _kth_per_class(df: DataFrame, label: str, col: str, ranks: dict) -> dict:
+    """Exact ``ranks[v]``-th smallest ``col`` within each class ``v`` (one pivoted
+    column per class, distributed histogram narrowing)."""
+    labels = [v for v, k in ranks.items() if k >= 1]
+    if not labels:
+        return {}
+    piv = df.select(*[F.when(F.col(label) == v, F.col(col)).alias(f"__c{i}") for i, v in enumerate(labels)])
+    kth = kth_values(piv, [f"__c{i}" for i in range(len(labels))],
+                     {f"__c{i}": [ranks[v]] for i, v in enumerate(labels)})
+    return {v: kth.get((f"__c{i}", ranks[v])) for i, v in enumerate(labels)}
+
+
+def _per_class(label: str, values: dict, cast: str) -> Column:
+    e = F.lit(None).cast(cast)
+    for v, t in values.items():
+        if t is not None:
+            e = F.when(F.col(label) == v, F.lit(t).cast(cast)).otherwise(e)
+    return e
+
+
+def _counts_below(df: DataFrame, label: str, col: str, thr: str) -> dict:
+    return {r[0]: r[1] for r in df.where(F.col(col) < F.col(thr)).groupBy(label).count().collect()}
+
+
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_cols: Sequence[str],
                      test_frac: float = 0.2, col: str = "split") -> DataFrame:
     """Exact stratified split.
 
     Per label value, the ``ceil(test_frac * n_label)`` rows first in the order
-    (key hash, tie columns) form the test side - the same rows as a
-    ``row_number() OVER (PARTITION BY label ORDER BY ...)`` cut, but without
-    sending a whole class to one task:
-
-    * the hash threshold per class is an exact k-th value (distributed histogram
-      narrowing, see ``quantiles``), computed on one pivoted column per class;
-    * only the rows that tie on the threshold hash are ranked by a window, and
-      that group is as large as the rows sharing one key.
+    (key hash, row hash) form the test side - the same cut as
+    ``row_number() OVER (PARTITION BY label ORDER BY key_hash, row_hash)``, where
+    the row hash is a 52-bit md5 of the tie columns (exact as a double) - without ever ranking a whole
+    class, a whole key or a whole group of copies in one task:
+
+    1. the per-class cut on the key hash is an exact k-th value (distributed
+       histogram narrowing, see ``quantiles``);
+    2. inside the rows that tie on it (all rows of one key - possibly a third of
+       the table), the cut on the row hash is again an exact k-th value;
+    3. rows still tied are copies (equal tie columns), so which of them are taken
+       does not change the result; the first ``room`` are taken by per-partition
+       quotas (counts per input partition, a bounded table), so the numbering
+       window holds at most one input partition.
     """
-    h = "__h"
-    base = df.withColumn(h, key_hash(key_cols))
+    h, h2 = "__h", "__h2"
+    base = df.withColumn(h, key_hash(key_cols)).withColumn(h2, key_hash(tie_cols, 13) if tie_cols else F.lit(0))
     counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}  # one row per class
-    labels = list(counts)
-    piv = base.select(*[F.when(F.col(label) == v, F.col(h)).alias(f"__c{i}") for i, v in enumerate(labels)])
-    need_k = {v: math.ceil(test_frac * counts[v] - 1e-9) for v in labels}
-    kth = kth_values(piv, [f"__c{i}" for i in range(len(labels))],
-                     {f"__c{i}": [need_k[v]] for i, v in enumerate(labels) if need_k[v] >= 1})
-    thr = {v: kth.get((f"__c{i}", need_k[v])) for i, v in enumerate(labels)}
-    thr_col = F.lit(None).cast("bigint")
-    for v, t in thr.items():
-        if t is not None:
-            thr_col = F.when(F.col(label) == v, F.lit(int(t))).otherwise(thr_col)
-    marked = base.withColumn("__t", thr_col)
-    below = {r[0]: r[1] for r in marked.where(F.col(h) < F.col("__t")).groupBy(label).count().collect()}
-    room = F.lit(0)
-    for v in labels:
-        room = F.when(F.col(label) == v, F.lit(int(need_k[v] - below.get(v, 0)))).otherwise(room)
-    w = Window.partitionBy(label).orderBy(*[F.asc_nulls_first(c) for c in tie_cols])
-    ties = (marked.where(F.col(h) == F.col("__t"))
-            .withColumn("__rn", F.row_number().over(w))
-            .withColumn(col, F.when(F.col("__rn") <= room, "test").otherwise("train"))
-            .drop("__rn"))
-    rest = (marked.where(F.col("__t").isNull() | (F.col(h) != F.col("__t")))
-            .withColumn(col, F.when(F.col(h) < F.col("__t"), "test").otherwise("train")))
-    return rest.unionByName(ties).drop(h, "__t")
+    need = {v: math.ceil(test_frac * n - 1e-9) for v, n in counts.items() if v is not None}
+
+    # level 1: key hash
+    thr1 = _kth_per_class(base, label, h, need)
+    b1 = base.withColumn("__t1", _per_class(label, thr1, "bigint"))
+    below1 = _counts_below(b1, label, h, "__t1")
+    room1 = {v: need[v] - below1.get(v, 0) for v in thr1}
+    rest1 = (b1.where(F.col("__t1").isNull() | (F.col(h) != F.col("__t1")))
+             .withColumn(col, F.when(F.col(h) < F.col("__t1"), "test").otherwise("train")))
+    tie1 = b1.where(F.col(h) == F.col("__t1"))
+
+    # level 2: tie-column hash inside the tied key
+    thr2 = _kth_per_class(tie1, label, h2, room1)
+    b2 = tie1.withColumn("__t2", _per_class(label, thr2, "bigint"))
+    below2 = _counts_below(b2, label, h2, "__t2")
+    room2 = {v: room1[v] - below2.get(v, 0) for v in thr2}
+    rest2 = (b2.where(F.col("__t2").isNull() | (F.col(h2) != F.col("__t2")))
+             .withColumn(col, F.when(F.col(h2) < F.col("__t2"), "test").otherwise("train")))
+
+    # level 3: copies - per-partition quotas
+    tie2 = (b2.where(F.col(h2) == F.col("__t2"))
+            .withColumn("__pid", F.spark_partition_id())
+            .withColumn("__mid", F.monotonically_increasing_id()))
+    per = sorted((r[label], r["__pid"], r["count"])
+                 for r in tie2.groupBy(label, "__pid").count().collect())  # classes x partitions
+    left = dict(room2)
+    quota = []
+    for v, pid, c in per:
+        q = max(0, min(c, left.get(v, 0)))
+        left[v] = left.get(v, 0) - q
+        quota.append((v, pid, q))
+    qschema = T.StructType([T.StructField(label, base.schema[label].dataType),
+                            T.StructField("__pid", T.IntegerType()), T.StructField("__q", T.LongType())])
+    qdf = df.sparkSession.createDataFrame(quota, qschema)
+    w = Window.partitionBy(label, "__pid").orderBy("__mid")
+    rest3 = (tie2.join(F.broadcast(qdf), [label, "__pid"], "left")  # bounded: classes x partitions
+             .withColumn(col, F.when(F.row_number().over(w) <= F.coalesce(F.col("__q"), F.lit(0)), "test")
+                         .otherwise("train"))
+             .drop("__pid", "__mid", "__q"))
+    drop = [h, h2, "__t1", "__t2"]
+    return (rest1.drop(*drop).unionByName(rest2.drop(*drop)).unionByName(rest3.drop(*drop)))

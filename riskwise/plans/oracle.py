@@ -89,6 +89,10 @@ def _corr_sql() -> str:
 
 
 _H = "CAST(concat('0x', substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT)"
+_LI_ALL_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_H2 = ("CAST(concat('0x', substr(md5(concat_ws('|', "
+       + ", ".join(f"CAST({c} AS VARCHAR)" for c in _LI_ALL_COLS) + ")), 1, 13)) AS BIGINT)")
 
 
 def _std_sql(fn: str) -> str:
@@ -251,8 +255,7 @@ ORACLE = {
     "stratified_split": f"""
     WITH t AS (
       SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
-             row_number() OVER (PARTITION BY l_returnflag = 'R'
-                                ORDER BY {_H}, {', '.join(c + ' ASC NULLS FIRST' for c in _LI_ALL_LIST)}) AS rn,
+             row_number() OVER (PARTITION BY l_returnflag = 'R' ORDER BY {_H}, {_H2}) AS rn,
              count(*) OVER (PARTITION BY l_returnflag = 'R') AS n_label
       FROM lineitem)
     SELECT label, CASE WHEN rn <= ceil(0.2 * n_label) THEN 'test' ELSE 'train' END AS split, count(*) AS n

@@ -83,3 +83,25 @@ def test_quantiles_ignore_nan(spark):
     from riskwise.operators import quantiles as Q
     df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,), (3.0,)], "x double")
     assert Q.exact_quantiles(df, ["x"], [0.5])[("x", 0.5)] == 2.0
+
+
+def test_stratified_split_hot_key_and_copies(spark):
+    # one key holds a third of all rows, and half of those are identical copies
+    hot = spark.range(0, 1000).select(F.lit(7).alias("key"), F.lit(1).alias("label"),
+                                      F.when(F.col("id") < 500, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    rest = spark.range(0, 2000).select((F.col("id") % 900 + 100).alias("key"),
+                                       (F.col("id") % 2).cast("int").alias("label"), F.col("id").alias("v"))
+    df = hot.unionByName(rest).repartition(7)
+    s = SP.stratified_split(df, "label", ["key"], ["key", "label", "v"], 0.2)
+    got = {(r["label"], r["split"]): r["count"] for r in s.groupBy("label", "split").count().collect()}
+    n1, n0 = 1000 + 1000, 1000
+    assert got[(1, "test")] == 400 and got[(0, "test")] == 200
+    assert got[(1, "train")] == n1 - 400 and got[(0, "train")] == n0 - 200
+    # the same rows as the row_number cut (copies are interchangeable)
+    from pyspark.sql import Window as W
+    ordered = df.withColumn("h", SP.key_hash(["key"])).withColumn("h2", SP.key_hash(["key", "label", "v"], 13)) \
+        .withColumn("rn", F.row_number().over(W.partitionBy("label").orderBy("h", "h2")))
+    need = {1: 400, 0: 200}
+    want = sorted((r["label"], r["key"], r["v"]) for r in ordered.collect() if r["rn"] <= need[r["label"]])
+    have = sorted((r["label"], r["key"], r["v"]) for r in s.where("split = 'test'").collect())
+    assert have == want
