@@ -28,8 +28,9 @@ def vector_corr(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
     """A7 for wide vectors: Pearson matrix as (dim_a, dim_b, r).
 
     ``Correlation.corr`` tree-aggregates a d x d Gramian; its one-row result (a
-    d x d matrix, bounded by the dimension) is reshaped into rows.  A constant
-    dimension gives NULL.
+    d x d matrix: bounded by the dimension, never by the row count) is reshaped
+    into rows.  Meant for dense vectors up to a few thousand dimensions.  A
+    constant dimension gives NULL.
     """
     mat = Correlation.corr(to_vector(df.select(col), col), "features", "pearson").first()[0].toArray()
     n = len(mat)
