@@ -7,11 +7,12 @@ sketch instead, which is bounded but not exact.
 
 Here the exact k-th smallest value is found by narrowing a value range:
 
-1. one aggregate gives ``count/min/max`` per column;
+1. one aggregate gives ``count/min/max`` per column and an approximate-quantile
+   sketch whose rank-error bound brackets each wanted value;
 2. each pass histograms the rows that fall inside the current range of every open
    probe into ``BINS`` equal-width bins (``groupBy(probe, bin)`` with map-side
    partial aggregation, so a pass shuffles at most ``probes * BINS`` rows per
-   task), keeping count, min and max per bin;
+   task), keeping count, min and max per bin, and counts the rows below the range;
 3. the bin holding rank k becomes the next range (tightened to the bin's real
    min/max).  A bin whose min equals its max is a single value - a hot value that
    holds a third of the table is resolved in one pass;
@@ -56,18 +57,28 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-def column_stats(df: DataFrame, cols: Sequence[str]):
-    """One aggregate: per column ``s<i> = (n, lo, hi)`` over the rankable values."""
-    return df.agg(*[F.struct(F.count(valid(c)).alias("n"), F.min(valid(c)).alias("lo"),
-                             F.max(valid(c)).alias("hi")).alias(f"s{i}")
-                    for i, c in enumerate(cols)]).first()
+SKETCH_ACCURACY = 10000  # GK sketch: rank error <= n / accuracy, bounded memory per task
 
 
-def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None) -> dict:
+def column_stats(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = ()):
+    """One aggregate: per column ``s<i> = (n, lo, hi[, q])`` over the rankable values,
+    with ``q`` an approximate-quantile sketch at ``probs`` (used as brackets)."""
+    aggs = []
+    for i, c in enumerate(cols):
+        fields = [F.count(valid(c)).alias("n"), F.min(valid(c)).alias("lo"), F.max(valid(c)).alias("hi")]
+        if probs:
+            fields.append(F.percentile_approx(valid(c), list(probs), SKETCH_ACCURACY).alias("q"))
+        aggs.append(F.struct(*fields).alias(f"s{i}"))
+    return df.agg(*aggs).first()
+
+
+def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hints: dict | None = None) -> dict:
     """Exact k-th smallest values.
 
     ``ranks`` maps column name -> list of 1-based ranks.  Returns
-    ``{(col, rank): value}``.  ``stats`` may pass a ``column_stats`` row.
+    ``{(col, rank): value}``.  ``stats`` may pass a ``column_stats`` row;
+    ``hints`` may give a starting value range per (col, rank) - a wrong hint only
+    costs a pass, the result stays exact.
     Values are ranked as doubles: integers beyond 2**53 must be narrowed first.
     """
     cols = list(cols)
@@ -75,34 +86,43 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None) -> d
         return {}
     if stats is None:
         stats = column_stats(df, cols)
+    hints = hints or {}
     result: dict = {}
-    # open probes: (ci, k, lo, hi, below) - rank k counted over the whole column,
-    # ``below`` rows are known to be < lo.
+    full: dict = {}
+    # open probes: (ci, k, lo, hi) - rank k counted over the whole column; every
+    # pass also counts the rows below lo, so a range needs no bookkeeping
     probes = []
     for ci, c in enumerate(cols):
         s = stats[f"s{ci}"]
+        full[ci] = (s["lo"], s["hi"])
         for k in ranks.get(c, []):
             if s["n"] == 0 or k < 1 or k > s["n"]:
                 result[(c, k)] = None
             elif s["lo"] == s["hi"]:
                 result[(c, k)] = s["lo"]
             else:
-                probes.append((ci, k, s["lo"], s["hi"], 0))
+                lo, hi = hints.get((c, k), (s["lo"], s["hi"]))
+                if lo is None or hi is None or not (s["lo"] <= lo <= hi <= s["hi"]):
+                    lo, hi = s["lo"], s["hi"]
+                probes.append((ci, k, lo, hi))
     long = _long(df, cols)
     spark = df.sparkSession
+
+    def range_table(rs):
+        # one row per open range: a proven, tiny size for the broadcast
+        return spark.createDataFrame([(i, ci, lo, hi) for i, (ci, lo, hi) in enumerate(rs)],
+                                     "rid int, ci int, lo double, hi double")
+
     while probes:
-        # ranges shared by several probes are histogrammed once
-        ranges = sorted({(ci, lo, hi) for ci, _, lo, hi, _ in probes})
+        ranges = sorted({(ci, lo, hi) for ci, _, lo, hi in probes})  # shared ranges: one histogram
         rid = {r: i for i, r in enumerate(ranges)}
-        rdf = spark.createDataFrame(
-            [(i, ci, lo, hi) for (ci, lo, hi), i in rid.items()],
-            "rid int, ci int, lo double, hi double")
-        # the range table has one row per open probe: a proven, tiny size
-        joined = long.join(F.broadcast(rdf), "ci").where(F.col("x").between(F.col("lo"), F.col("hi")))
-        hist = (joined
-                .withColumn("b", F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                                                 * F.lit(BINS)), F.lit(BINS - 1)).cast("int"))
-                .groupBy("rid", "b")
+        joined = long.join(F.broadcast(range_table(ranges)), "ci").where(F.col("x") <= F.col("hi"))
+        width = F.col("hi") - F.col("lo")
+        b = (F.when(F.col("x") < F.col("lo"), F.lit(-1))
+             .when(width == 0, F.lit(0))  # a one-value range (CASE is lazy: no division by zero)
+             .otherwise(F.least(F.floor((F.col("x") - F.col("lo")) / width * F.lit(BINS)),
+                                F.lit(BINS - 1)).cast("int")))
+        hist = (joined.withColumn("b", b).groupBy("rid", "b")
                 .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
                 .collect())
         bins: dict = {}
@@ -111,35 +131,41 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None) -> d
         for v in bins.values():
             v.sort()
         nxt, finish = [], []
-        for ci, k, lo, hi, below in probes:
-            acc = below
-            for b, n, mn, mx in bins.get(rid[(ci, lo, hi)], []):
-                if acc + n >= k:
+        for ci, k, lo, hi in probes:
+            hb = bins.get(rid[(ci, lo, hi)], [])
+            acc = sum(n for bb, n, _, _ in hb if bb < 0)  # rows below the range
+            found = False
+            for bb, n, mn, mx in hb:
+                if bb < 0:
+                    continue
+                if acc + n >= k and acc < k:
                     if mn == mx:
                         result[(cols[ci], k)] = mn
                     elif n <= FINISH:
-                        finish.append((ci, k, mn, mx, acc))
+                        finish.append((ci, k, mn, mx))
                     else:
-                        nxt.append((ci, k, mn, mx, acc))
+                        nxt.append((ci, k, mn, mx))
+                    found = True
                     break
                 acc += n
-            else:  # pragma: no cover - the ranks were checked against n
-                raise RuntimeError("rank outside histogram")
+            if not found:
+                if (lo, hi) == full[ci]:  # pragma: no cover - ranks were checked against n
+                    raise RuntimeError("rank outside histogram")
+                nxt.append((ci, k) + full[ci])  # the hint missed: one more pass over the full range
         if finish:
-            fr = sorted({(ci, lo, hi) for ci, _, lo, hi, _ in finish})
-            fdf = spark.createDataFrame([(i, ci, lo, hi) for i, (ci, lo, hi) in enumerate(fr)],
-                                        "rid int, ci int, lo double, hi double")
-            vals = (long.join(F.broadcast(fdf), "ci")
-                    .where(F.col("x").between(F.col("lo"), F.col("hi")))
+            fr = sorted({(ci, lo, hi) for ci, _, lo, hi in finish})
+            fid = {r: i for i, r in enumerate(fr)}
+            vals = (long.join(F.broadcast(range_table(fr)), "ci").where(F.col("x") <= F.col("hi"))
+                    .withColumn("x", F.when(F.col("x") >= F.col("lo"), F.col("x")))  # NULL = below the range
                     .groupBy("rid", "x").agg(F.count(F.lit(1)).alias("n"))
                     .collect())
             per: dict = {}
             for r in vals:
                 per.setdefault(r["rid"], []).append((r["x"], r["n"]))
-            fid = {r: i for i, r in enumerate(fr)}
-            for ci, k, lo, hi, below in finish:
-                acc = below
-                for x, n in sorted(per.get(fid[(ci, lo, hi)], [])):
+            for ci, k, lo, hi in finish:
+                pairs = per.get(fid[(ci, lo, hi)], [])
+                acc = sum(n for x, n in pairs if x is None)
+                for x, n in sorted((x, n) for x, n in pairs if x is not None):
                     acc += n
                     if acc >= k:
                         result[(cols[ci], k)] = x
@@ -155,27 +181,41 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``method='disc'`` is ``percentile_disc`` (an observed value);
     ``method='cont'`` is ``percentile``/``quantile_cont`` (linear interpolation
     between the values at 0-based positions floor((n-1)p) and ceil((n-1)p)).
+
+    The first aggregate also sketches each quantile at p -/+ 3/accuracy; by the
+    sketch's rank-error bound that bracket holds the exact value, so narrowing
+    starts from ~6/accuracy of the rows instead of the whole value range.
     """
     cols = list(cols)
-    stats = column_stats(df, cols)
+    eps = 3.0 / SKETCH_ACCURACY
+    brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    stats = column_stats(df, cols, brackets)
     ranks: dict = {}
     plan: dict = {}
+    hints: dict = {}
     for i, c in enumerate(cols):
-        n = stats[f"s{i}"]["n"]
+        s = stats[f"s{i}"]
+        n = s["n"]
+        sketch = dict(zip(brackets, s["q"] or [])) if n else {}
         for p in probs:
             if n == 0:
                 plan[(c, p)] = None
                 continue
             if method == "disc":
-                k = disc_rank(p, n)
-                plan[(c, p)] = ("d", k)
-                ranks.setdefault(c, set()).add(k)
+                ks = [disc_rank(p, n)]
+                plan[(c, p)] = ("d", ks[0])
             else:
                 pos = (n - 1) * p
                 lo, hi = math.floor(pos), math.ceil(pos)
+                ks = [lo + 1, hi + 1]
                 plan[(c, p)] = ("c", lo + 1, hi + 1, pos - lo)
-                ranks.setdefault(c, set()).update({lo + 1, hi + 1})
-    vals = kth_values(df, cols, {c: sorted(v) for c, v in ranks.items()}, stats)
+            ranks.setdefault(c, set()).update(ks)
+            if n * eps >= 4 and sketch:  # the bracket is only worth it on large columns
+                bl = sketch.get(min(1.0, max(0.0, p - eps)))
+                bh = sketch.get(min(1.0, max(0.0, p + eps)))
+                for k in ks:
+                    hints[(c, k)] = (bl, bh)
+    vals = kth_values(df, cols, {c: sorted(v) for c, v in ranks.items()}, stats, hints)
     out = {}
     for (c, p), spec in plan.items():
         if spec is None:

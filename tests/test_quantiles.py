@@ -72,3 +72,22 @@ def test_property_matches_sorting(spark, vals, p):
     assert Q.exact_quantiles(df, ["x"], [p], "disc")[("x", p)] == _np_disc(vals, p)
     assert Q.exact_quantiles(df, ["x"], [p], "cont")[("x", p)] == pytest.approx(
         float(np.quantile(np.asarray(vals, dtype=float), p)), rel=1e-12, abs=1e-9)
+
+
+def test_sketch_bracket_path_and_wrong_hints(spark):
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([rng.lognormal(3, 2, 20000), np.full(10000, 42.0), rng.uniform(-5, 5, 5000)])
+    rng.shuffle(vals)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.001, 0.25, 0.5, 0.6, 0.999]
+    got = Q.exact_quantiles(df, ["x"], probs, "disc")          # large enough for sketch brackets
+    for p in probs:
+        assert got[("x", p)] == _np_disc(vals, p)
+    cont = Q.exact_quantiles(df, ["x"], [0.3, 0.7], "cont")
+    for p in [0.3, 0.7]:
+        assert cont[("x", p)] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+    # hints that miss the value on either side only cost passes
+    k = 17000
+    want = float(np.sort(vals)[k - 1])
+    for hint in [(-4.0, -3.0), (1e5, 2e5), (42.0, 42.0)]:
+        assert Q.kth_values(df, ["x"], {"x": [k]}, hints={("x", k): hint})[("x", k)] == want
