@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwise.operators.quantiles import kth_values
+from riskwise.session import shared_dir
 
 
 def key_hash(key_cols: Sequence[str], digits: int = 8) -> Column:
@@ -94,7 +95,10 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
     room1 = {v: need[v] - below1.get(v, 0) for v in thr1}
     rest1 = (b1.where(F.col("__t1").isNull() | (F.col(h) != F.col("__t1")))
              .withColumn(col, F.when(F.col(h) < F.col("__t1"), "test").otherwise("train")))
-    tie1 = b1.where(F.col(h) == F.col("__t1"))
+    # the tie group is read by every later pass: store it once in the shared folder
+    # (a reliable checkpoint, so its partitions are also fixed for the quotas below)
+    shared_dir(df.sparkSession)
+    tie1 = b1.where(F.col(h) == F.col("__t1")).checkpoint(eager=True)
 
     # level 2: tie-column hash inside the tied key
     thr2 = _kth_per_class(tie1, label, h2, room1)
