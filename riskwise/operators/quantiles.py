@@ -72,13 +72,15 @@ def column_stats(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = ()
     return df.agg(*aggs).first()
 
 
-def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hints: dict | None = None) -> dict:
+def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hints: dict | None = None,
+               below: dict | None = None) -> dict:
     """Exact k-th smallest values.
 
     ``ranks`` maps column name -> list of 1-based ranks.  Returns
     ``{(col, rank): value}``.  ``stats`` may pass a ``column_stats`` row;
     ``hints`` may give a starting value range per (col, rank) - a wrong hint only
-    costs a pass, the result stays exact.
+    costs a pass, the result stays exact.  If ``below`` is a dict it receives, per
+    (col, rank), the number of values strictly smaller than the k-th value.
     Values are ranked as doubles: integers beyond 2**53 must be narrowed first.
     """
     cols = list(cols)
@@ -100,6 +102,8 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                 result[(c, k)] = None
             elif s["lo"] == s["hi"]:
                 result[(c, k)] = s["lo"]
+                if below is not None:
+                    below[(c, k)] = 0
             else:
                 lo, hi = hints.get((c, k), (s["lo"], s["hi"]))
                 if lo is None or hi is None or not (s["lo"] <= lo <= hi <= s["hi"]):
@@ -141,6 +145,8 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                 if acc + n >= k and acc < k:
                     if mn == mx:
                         result[(cols[ci], k)] = mn
+                        if below is not None:
+                            below[(cols[ci], k)] = acc
                     elif n <= FINISH:
                         finish.append((ci, k, mn, mx))
                     else:
@@ -166,10 +172,12 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                 pairs = per.get(fid[(ci, lo, hi)], [])
                 acc = sum(n for x, n in pairs if x is None)
                 for x, n in sorted((x, n) for x, n in pairs if x is not None):
-                    acc += n
-                    if acc >= k:
+                    if acc + n >= k:
                         result[(cols[ci], k)] = x
+                        if below is not None:
+                            below[(cols[ci], k)] = acc
                         break
+                    acc += n
         probes = nxt
     return result
 

@@ -40,16 +40,19 @@ def fold_assign(df: DataFrame, key_cols: Sequence[str], k: int = 3, col: str = "
     return df.withColumn(col, (key_hash(key_cols) % k).cast("int"))
 
 
-def _kth_per_class(df: DataFrame, label: str, col: str, ranks: dict) -> dict:
+def _kth_per_class(df: DataFrame, label: str, col: str, ranks: dict) -> tuple:
     """Exact ``ranks[v]``-th smallest ``col`` within each class ``v`` (one pivoted
-    column per class, distributed histogram narrowing)."""
+    column per class, distributed histogram narrowing), and per class the number
+    of rows strictly below it."""
     labels = [v for v, k in ranks.items() if k >= 1]
     if not labels:
-        return {}
+        return {}, {}
     piv = df.select(*[F.when(F.col(label) == v, F.col(col)).alias(f"__c{i}") for i, v in enumerate(labels)])
+    under: dict = {}
     kth = kth_values(piv, [f"__c{i}" for i in range(len(labels))],
-                     {f"__c{i}": [ranks[v]] for i, v in enumerate(labels)})
-    return {v: kth.get((f"__c{i}", ranks[v])) for i, v in enumerate(labels)}
+                     {f"__c{i}": [ranks[v]] for i, v in enumerate(labels)}, below=under)
+    return ({v: kth.get((f"__c{i}", ranks[v])) for i, v in enumerate(labels)},
+            {v: under.get((f"__c{i}", ranks[v]), 0) for i, v in enumerate(labels)})
 
 
 def _per_class(label: str, values: dict, cast: str) -> Column:
@@ -60,10 +63,6 @@ def _per_class(label: str, values: dict, cast: str) -> Column:
     return e
 
 
-def _counts_below(df: DataFrame, label: str, col: str, thr: str) -> dict:
-    return {r[0]: r[1] for r in df.where(F.col(col) < F.col(thr)).groupBy(label).count().collect()}
-
-
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_cols: Sequence[str],
                      test_frac: float = 0.2, col: str = "split") -> DataFrame:
     """Exact stratified split.
@@ -89,9 +88,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
     need = {v: math.ceil(test_frac * n - 1e-9) for v, n in counts.items() if v is not None}
 
     # level 1: key hash
-    thr1 = _kth_per_class(base, label, h, need)
+    thr1, below1 = _kth_per_class(base, label, h, need)
     b1 = base.withColumn("__t1", _per_class(label, thr1, "bigint"))
-    below1 = _counts_below(b1, label, h, "__t1")
     room1 = {v: need[v] - below1.get(v, 0) for v in thr1}
     rest1 = (b1.where(F.col("__t1").isNull() | (F.col(h) != F.col("__t1")))
              .withColumn(col, F.when(F.col(h) < F.col("__t1"), "test").otherwise("train")))
@@ -101,9 +99,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
     tie1 = b1.where(F.col(h) == F.col("__t1")).checkpoint(eager=True)
 
     # level 2: tie-column hash inside the tied key
-    thr2 = _kth_per_class(tie1, label, h2, room1)
+    thr2, below2 = _kth_per_class(tie1, label, h2, room1)
     b2 = tie1.withColumn("__t2", _per_class(label, thr2, "bigint"))
-    below2 = _counts_below(b2, label, h2, "__t2")
     room2 = {v: room1[v] - below2.get(v, 0) for v in thr2}
     rest2 = (b2.where(F.col("__t2").isNull() | (F.col(h2) != F.col("__t2")))
              .withColumn(col, F.when(F.col(h2) < F.col("__t2"), "test").otherwise("train")))
