@@ -126,7 +126,10 @@ def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_
     """
     spark = train.sparkSession
     if parallelism is None:
-        parallelism = max(1, min(8, spark.sparkContext.defaultParallelism))
+        try:
+            parallelism = max(1, min(8, spark.sparkContext.defaultParallelism))
+        except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+            parallelism = 4
     clf = make_classifier(name, label)
     maps = param_maps(clf, grid)
     data = SP.fold_assign(train, key, folds, "__fold")

@@ -48,14 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     ``DataFrame.checkpoint()`` and the stream sinks have somewhere to write.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="riskwise-ckpt-", dir=os.environ.get("RISKWISE_TMP", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
