@@ -48,10 +48,11 @@ def valid(c: str):
     return F.when(~F.isnan(x), x)
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(ci, x) pairs for the non-null, non-NaN values of ``cols``."""
+def _long(df: DataFrame, cols: Sequence[str], only=None) -> DataFrame:
+    """(ci, x) pairs for the non-null, non-NaN values of ``cols`` (or of the column
+    indexes in ``only``: the scan then reads just those columns)."""
     arr = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("x"))
-                    for i, c in enumerate(cols)])
+                    for i, c in enumerate(cols) if only is None or i in only])
     return (df.select(F.explode(arr).alias("s"))
             .select("s.ci", "s.x")
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
@@ -109,7 +110,6 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                 if lo is None or hi is None or not (s["lo"] <= lo <= hi <= s["hi"]):
                     lo, hi = s["lo"], s["hi"]
                 probes.append((ci, k, lo, hi))
-    long = _long(df, cols)
     spark = df.sparkSession
 
     def range_table(rs):
@@ -118,6 +118,8 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                                      "rid int, ci int, lo double, hi double")
 
     while probes:
+        # only columns with an open probe are read in this pass (column pruning)
+        long = _long(df, cols, {ci for ci, _, _, _ in probes})
         ranges = sorted({(ci, lo, hi) for ci, _, lo, hi in probes})  # shared ranges: one histogram
         rid = {r: i for i, r in enumerate(ranges)}
         joined = long.join(F.broadcast(range_table(ranges)), "ci").where(F.col("x") <= F.col("hi"))
@@ -159,6 +161,7 @@ def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hint
                     raise RuntimeError("rank outside histogram")
                 nxt.append((ci, k) + full[ci])  # the hint missed: one more pass over the full range
         if finish:
+            long = _long(df, cols, {ci for ci, _, _, _ in finish})
             fr = sorted({(ci, lo, hi) for ci, _, lo, hi in finish})
             fid = {r: i for i, r in enumerate(fr)}
             vals = (long.join(F.broadcast(range_table(fr)), "ci").where(F.col("x") <= F.col("hi"))
