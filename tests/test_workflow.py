@@ -41,3 +41,16 @@ def test_train_select_save_and_score(spark):
     assert all(0.0 <= r["probability"] <= 1.0 and r["band"] in roles.BAND_NAMES for r in rows)
     assert all((r["probability"] > 0.5) == (r["prediction"] == 1) for r in rows if res["champion"] ==
                "LogisticRegression")
+
+
+def test_cli_score(spark):
+    from riskwise import cli
+    df = _clinical(spark)
+    out = scratch_path(spark, "clinical-cli")
+    res = workflow.train_and_select(spark, df, out, grid={"LogisticRegression": {"regParam": [0.01]}})
+    records = scratch_path(spark, "records")
+    df.drop("Outcome").limit(30).write.option("header", True).csv(records)
+    scored = scratch_path(spark, "scored")
+    cli.main(["score", res["model"], records, scored])
+    rows = spark.read.parquet(scored).collect()
+    assert len(rows) == 30 and all(r["band"] in roles.BAND_NAMES for r in rows)
