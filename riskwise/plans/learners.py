@@ -25,7 +25,6 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
