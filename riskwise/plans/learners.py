@@ -131,7 +131,9 @@ def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_
             parallelism = 4
     clf = make_classifier(name, label)
     maps = param_maps(clf, grid)
-    data = SP.fold_assign(train, key, folds, "__fold")
+    # the training rows are read by every fold and the final refit: keep them once
+    # (a cache: lost blocks are recomputed from lineage)
+    data = SP.fold_assign(train, key, folds, "__fold").persist()
     prep = prep_pipeline(features, zero_missing)
     frames = []
     for f in range(folds):
@@ -159,7 +161,10 @@ def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_
     means = [s / folds for s in sums]
     best = max(range(len(maps)), key=lambda i: (means[i], -i))  # first wins ties
     best_params = {p.name: v for p, v in maps[best].items()}
-    final = Pipeline(stages=prep.getStages() + [clf.copy(maps[best])]).fit(train)
+    try:
+        final = Pipeline(stages=prep.getStages() + [clf.copy(maps[best])]).fit(data)
+    finally:
+        data.unpersist()
     table = [({p.name: v for p, v in m.items()}, means[i]) for i, m in enumerate(maps)]
     return TuneResult(name, best_params, means[best], table, final)
 
