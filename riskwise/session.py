@@ -7,10 +7,15 @@ folder (``spark.checkpoint.dir``) for checkpoints, stream state and written tabl
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -40,22 +45,51 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+def _context(spark: SparkSession):
+    """The session's SparkContext; None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except PySparkAttributeError:
+        return None
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context.
+
+    Python functions of the library are pickled by reference, so tasks must be able to
+    import it.  With the package installed on the executors this changes nothing.
+    """
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_riskwise_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():  # else the package itself came as an archive
+        folder = tempfile.mkdtemp(prefix="riskwise-package-")  # the driver serves it while it lives
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, f"riskwise-{uuid.uuid4().hex[:8]}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(archive)
+    sc._riskwise_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and must be used as is.  Only when it
-    is unset (local tests) do we create one and register it, so that
-    ``DataFrame.checkpoint()`` and the stream sinks have somewhere to write.
+    On a cluster it must be set and is used as is.  Only a local master (tests), where
+    driver and executors are one process, gets a fresh folder of its own, removed at exit.
     """
+    ship(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        sc = None
+    sc = _context(spark)
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="riskwise-ckpt-", dir=os.environ.get("RISKWISE_TMP", "/tmp"))
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="riskwise-ckpt-", dir=os.environ.get("RISKWISE_TMP"))
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
         if sc is not None:
             sc.setCheckpointDir(path)
@@ -71,4 +105,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one test table; Catalyst prunes columns and pushes filters into the scan."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
