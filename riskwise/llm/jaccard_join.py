@@ -39,7 +39,7 @@ from . import words as W
 from .graph import components, saved
 
 SEEDS = 4                 # min-hash buckets per class in the seed step
-BITS = 1024               # parity bitmap of a set
+BITS = 1024               # smallest parity bitmap; larger sets have as many bits as shingles
 BLOCK = 1024              # members of one side of a tile's block pair
 BUCKET_SHINGLES = 4_000_000   # prefix shingles that one counting task holds, on average
 BROADCAST_CLASSES = 1_000_000  # active classes (24 bytes each) up to which they are broadcast
@@ -148,8 +148,15 @@ def _shared_counts(table: pa.Table) -> pa.Table:
 
 def _bitmap(shingles: np.ndarray) -> bytes:
     """Bit i = parity of the shingles that hash to i, so XOR of two bitmaps has at most as
-    many ones as the symmetric difference has members."""
-    return np.packbits(np.bincount((shingles >> np.uint64(7)) % np.uint64(BITS), minlength=BITS) & 1).tobytes()
+    many ones as the symmetric difference has members.  The width is a power of two not
+    below the set's size: a fixed width would be full, and bound nothing, for long texts."""
+    width = max(BITS, 1 << (len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles >> np.uint64(7)) % np.uint64(width), minlength=width) & 1).tobytes()
+
+
+def _folded(bitmap: bytes, width: int) -> np.ndarray:
+    """The bitmap at a smaller power-of-two width: parities of bits that fall together."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint8).reshape(-1, width // 8), axis=0)
 
 
 def _active_sets(k: int):
@@ -229,25 +236,30 @@ def _tile_pairs(num: int, den: int):
     """Pairs of one block pair that different components, sizes and bitmaps allow."""
     def run(table: pa.Table) -> pa.Table:
         cls, comp, n, block = (table[c].to_numpy() for c in ("cls", "comp", "n", "block"))
-        bits = np.unpackbits(np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(len(cls), -1), axis=1)
+        maps = table["bits"].to_pylist()
+        width = 8 * min(map(len, maps))
+        packed = np.stack([_folded(m, width) for m in maps])
         lo = table["i"][0].as_py()
         left = np.flatnonzero(block == lo)
         right = left if table["j"][0].as_py() == lo else np.flatnonzero(block != lo)
-        out_a, out_b = [], []
-        f = bits.astype(np.float32)
-        ones = bits.sum(axis=1, dtype=np.int64)
-        for s in range(0, len(left), 256):
-            x = left[s:s + 256]
-            differ = ones[x][:, None] + ones[right][None] - 2 * (f[x] @ f[right].T).astype(np.int64)
-            size = n[x][:, None] + n[right][None]
-            # overlap <= (size - differ) / 2, and a link needs overlap >= num / (num + den) * size
-            ok = (num + den) * (size - differ) >= 2 * num * size
-            ok &= comp[x][:, None] != comp[right][None]
-            ok &= num * np.maximum(n[x][:, None], n[right][None]) <= den * np.minimum(n[x][:, None], n[right][None])
-            p, q = np.nonzero(ok)
-            out_a.append(cls[x[p]])
-            out_b.append(cls[right[q]])
-        a, b = np.concatenate(out_a or [np.zeros(0, np.int64)]), np.concatenate(out_b or [np.zeros(0, np.int64)])
+        step = max(1, min(256, (1 << 22) // width))
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for s in range(0, len(left), step):
+            x = left[s:s + step]
+            f = np.unpackbits(packed[x], axis=1).astype(np.float32)
+            for t in range(0, len(right), step):
+                y = right[t:t + step]
+                g = np.unpackbits(packed[y], axis=1).astype(np.float32)
+                differ = f.sum(axis=1)[:, None] + g.sum(axis=1)[None] - 2 * (f @ g.T)
+                size = n[x][:, None] + n[y][None]
+                # overlap <= (size - differ) / 2, and a link needs overlap >= num / (num + den) * size
+                ok = (num + den) * (size - differ) >= 2 * num * size
+                ok &= comp[x][:, None] != comp[y][None]
+                ok &= num * np.maximum(n[x][:, None], n[y][None]) <= den * np.minimum(n[x][:, None], n[y][None])
+                p, q = np.nonzero(ok)
+                out_a.append(cls[x[p]])
+                out_b.append(cls[y[q]])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
     return run
 
