@@ -8,9 +8,9 @@ of 64-bit hashes) and returns the connected components of the links:
 2. With shingles in hash order, linked sets share several of their first shingles (the
    prefix lemma below).  A distributed count of prefix shingles that occur in more than
    one class leaves the few *active* classes that can have a partner at all.
-3. Seed links: active classes with an equal min-hash and similar size are verified
-   against one pivot per bucket (one pair per member, never all pairs).  This gathers
-   large groups of near copies into components at once.
+3. Seed links: in each bucket of active classes with an equal min-hash and similar size, a
+   spanning forest of the nearest pairs by bitmap is verified (at most one pair per member,
+   never all pairs).  This gathers large groups of near copies into components at once.
 4. Exact completion: a tile is (prefix shingle, size band).  Every linked pair shares a
    tile.  Tiles whose members are one component already can be skipped, as can copies of
    the same tile.  The others are cut into blocks of bounded size; inside a pair of
@@ -168,9 +168,10 @@ def _active_sets(k: int):
             cls, rows = batch.column("cls").to_numpy(zero_copy_only=False), []
             for row, s in _rows(batch, k):
                 if len(s) and np.uint64(_class_of(s)).astype(np.int64) == cls[row]:
-                    band = np.uint64(int(math.log(len(s)) / math.log(1.1)) + 1)
+                    # size classes whose borders shift from seed to seed
+                    size = (math.log(len(s)) / math.log(1.25) + 1 + np.arange(SEEDS) / SEEDS).astype(np.uint64)
                     least = np.array([W.mix(s * salt).min() for salt in salts])
-                    keys = W.mix(least * np.uint64(31) + band + salts).view(np.int64)
+                    keys = W.mix(least * np.uint64(31) + size + salts).view(np.int64)
                     rows.append((int(cls[row]), len(s), s.tobytes(), _bitmap(s), keys.tolist()))
             if rows:
                 c, n, sets, bits, keys = zip(*rows)
@@ -232,35 +233,80 @@ def _postings(num: int, den: int):
     return run
 
 
-def _tile_pairs(num: int, den: int):
-    """Pairs of one block pair that different components, sizes and bitmaps allow."""
-    def run(table: pa.Table) -> pa.Table:
-        cls, comp, n, block = (table[c].to_numpy() for c in ("cls", "comp", "n", "block"))
+class _Block:
+    """Members of one group with their bitmaps folded to one width."""
+
+    def __init__(self, table: pa.Table, num: int, den: int):
+        self.cls, self.n = table["cls"].to_numpy(), table["n"].to_numpy()
         maps = table["bits"].to_pylist()
-        width = 8 * min(map(len, maps))
-        packed = np.stack([_folded(m, width) for m in maps])
-        lo = table["i"][0].as_py()
-        left = np.flatnonzero(block == lo)
-        right = left if table["j"][0].as_py() == lo else np.flatnonzero(block != lo)
-        step = max(1, min(256, (1 << 22) // width))
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.width = 8 * min(map(len, maps))
+        self.packed = np.stack([_folded(m, self.width) for m in maps])
+        self.num, self.den = num, den
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(left rows, right rows, differing bits over joint size) of the pairs that sizes and bitmaps allow."""
+        num, den = self.num, self.den
+        step = max(1, min(256, (1 << 22) // self.width))
         for s in range(0, len(left), step):
             x = left[s:s + step]
-            f = np.unpackbits(packed[x], axis=1).astype(np.float32)
+            f = np.unpackbits(self.packed[x], axis=1).astype(np.float32)
             for t in range(0, len(right), step):
                 y = right[t:t + step]
-                g = np.unpackbits(packed[y], axis=1).astype(np.float32)
+                g = np.unpackbits(self.packed[y], axis=1).astype(np.float32)
                 differ = f.sum(axis=1)[:, None] + g.sum(axis=1)[None] - 2 * (f @ g.T)
-                size = n[x][:, None] + n[y][None]
-                # overlap <= (size - differ) / 2, and a link needs overlap >= num / (num + den) * size
-                ok = (num + den) * (size - differ) >= 2 * num * size
-                ok &= comp[x][:, None] != comp[y][None]
-                ok &= num * np.maximum(n[x][:, None], n[y][None]) <= den * np.minimum(n[x][:, None], n[y][None])
+                a, b = self.n[x][:, None], self.n[y][None]
+                # overlap <= (a + b - differ) / 2, and a link needs overlap >= num / (num + den) * (a + b)
+                ok = (num + den) * (a + b - differ) >= 2 * num * (a + b)
+                ok &= num * np.maximum(a, b) <= den * np.minimum(a, b)
                 p, q = np.nonzero(ok)
-                out_a.append(cls[x[p]])
-                out_b.append(cls[y[q]])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+                yield x[p], y[q], differ[p, q] / (a + b)[p, q]
+
+
+def _pair_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+
+def _seed_pairs(num: int, den: int):
+    """A spanning forest of one bucket's allowed pairs, nearest pairs first: at most one pair per member."""
+    def run(table: pa.Table) -> pa.Table:
+        block = _Block(table, num, den)
+        every = np.arange(len(block.cls))
+        x, y, far = (np.concatenate(c) for c in zip(*block.pairs(every, every)))
+        once = x < y
+        x, y, far = x[once], y[once], far[once]
+        root, kept = every.tolist(), []
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for k in np.argsort(far, kind="stable").tolist():
+            i, j = find(int(x[k])), find(int(y[k]))
+            if i != j:
+                root[i] = j
+                kept.append(k)
+                if len(kept) == len(every) - 1:
+                    break
+        return _pair_table(block.cls[x[kept]], block.cls[y[kept]])
+    return run
+
+
+def _tile_pairs(num: int, den: int):
+    """Pairs of one block pair that sizes and bitmaps allow, between different components."""
+    def run(table: pa.Table) -> pa.Table:
+        block = _Block(table, num, den)
+        comp, side = table["comp"].to_numpy(), table["block"].to_numpy()
+        lo = table["i"][0].as_py()
+        left = np.flatnonzero(side == lo)
+        same = table["j"][0].as_py() == lo
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y, _ in block.pairs(left, left if same else np.flatnonzero(side != lo)):
+            new = (comp[x] != comp[y]) & ((x < y) | (not same))
+            out_a.append(block.cls[x[new]])
+            out_b.append(block.cls[y[new]])
+        return _pair_table(np.concatenate(out_a), np.concatenate(out_b))
     return run
 
 
@@ -293,8 +339,11 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, d
         sets = saved(sets.dropDuplicates(["cls"]))   # the representative's row was repeated
 
     keyed = sets.select("cls", F.explode("keys").alias("key"))
-    pivots = keyed.groupBy("key").agg(F.min("cls").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    seeds = (keyed.join(pivots, "key").where("cls <> a").select("a", F.col("cls").alias("b")).distinct())
+    buckets = (keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"),
+                                        F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
+    seeds = (keyed.join(buckets, "key").join(sets.select("cls", "n", "bits"), "cls")
+             .withColumn("cut", F.pmod(F.xxhash64("cls"), "cuts")).groupBy("key", "cut")
+             .applyInArrow(_seed_pairs(num, den), "a long, b long").distinct())
     first = saved(_verify(seeds, sets, num, den))
     labels = components(first)
 
