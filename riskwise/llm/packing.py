@@ -13,7 +13,9 @@ that would leave its last window part empty are first cut off as a few sequences
 
 from __future__ import annotations
 
+import gc
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,36 +27,90 @@ from pyspark.sql import functions as F
 from . import words as W
 
 WINDOW = 4096
-POOL_TOKENS = 1 << 20     # tokens packed together in one task
+POOL_TOKENS = 1 << 19     # tokens packed together in one task
 UNIT = 64                 # shorter pieces are joined to runs of about this many tokens
-MEMO = 400_000            # word encodings that a worker keeps
+MEMO = 400_000            # words, and half the letter runs, that a worker keeps between groups of texts
+SIGNS = b".,;:!?%*#$&|<>()[]{}+-=/_~^@\"`"
+GROUP_BYTES = 4 << 20     # texts encoded together
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
-class WordEncoder(dict):
-    """Token ids (little-endian uint32 bytes) of ASCII-space-delimited byte strings.
+class WordEncoder:
+    """Token ids (little-endian uint32 bytes) of whole texts.
 
-    The vocabulary's splitter never joins characters across white space, so a text's ids
-    are the concatenation of its words' ids; each distinct word is encoded once.
+    The vocabulary's splitter never joins characters across white space, nor letters with
+    anything else, and lower-cases.  So a text's ids are the concatenation of its
+    words' ids, and those of a word that is letters and closing signs are the letters' ids and
+    the signs' ids.  Each distinct word is looked up once.  ASCII letters go straight to the
+    vocabulary's model; other new letter runs are encoded together, where every one ends with
+    the only token that carries the end-of-word mark.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
+        self.model = self.tokenizer.model
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+
+    def _ids(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = np.array(ids, dtype="<u4").tobytes()
-        if len(self) >= MEMO:
-            self.clear()
-        self[word] = out
-        return out
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _learn_letters(self, runs: set[bytes]) -> None:
+        """Encode runs of letters, some not ASCII, in one call."""
+        order = list(runs)
+        ids = np.frombuffer(self._ids(b" ".join(order)), dtype="<u4")
+        stop = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stop) != len(order):     # a character that the splitter does not take for a letter
+            self.letters.update((r, self._ids(r)) for r in order)
+            return
+        raw = ids.tobytes()
+        self.letters.update((r, raw[x:y]) for r, x, y in zip(order, [0, *stop], stop))
+
+    def learn(self, texts: set[bytes]) -> None:
+        new = texts - self.words.keys()
+        if len(self.words) + len(new) > MEMO:
+            self.words, new = {}, texts
+        if len(self.letters) > 2 * MEMO:
+            self.letters = {}
+        words, letters, signs, tokenize = self.words, self.letters, {b"": b""}, self.model.tokenize
+        later: list[tuple[bytes, bytes, bytes]] = []
+        for w in new:
+            run = w.rstrip(SIGNS)
+            tail = w[len(run):]
+            if tail not in signs:
+                signs[tail] = self._ids(tail)
+            run = run.lower()           # ASCII letters only; the tokenizer lower-cases the rest
+            if run in letters:
+                words[w] = letters[run] + signs[tail]
+            elif run.isalpha():
+                ids = [t.id for t in tokenize(run.decode("ascii"))]
+                letters[run] = found = struct.pack(f"<{len(ids)}I", *ids)
+                words[w] = found + signs[tail]
+            elif run and run.decode("utf-8", "replace").isalpha():
+                later.append((w, run, tail))
+            else:
+                words[w] = self._ids(w)
+        if later:
+            self._learn_letters({r for _, r, _ in later})
+            words.update((w, letters[r] + signs[t]) for w, r, t in later)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        parts = [t.split() for t in texts]
+        collecting = gc.isenabled()
+        gc.disable()                    # many small objects, none of them in cycles
+        try:
+            self.learn(set().union(*parts))
+        finally:
+            if collecting:
+                gc.enable()
+        return [b"".join(map(self.words.__getitem__, p)) for p in parts]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -203,8 +259,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             kind = batch.schema.field("id").type
             raw, offsets = W.text_buffer(batch.column("text"))
-            for i, doc in enumerate(batch.column("id").to_pylist()):
-                ids = encode(raw[offsets[i]:offsets[i + 1]].tobytes()) + end
+            encoded = (ids + end for i, j in W.row_chunks(offsets, GROUP_BYTES)
+                       for ids in encode([raw[offsets[x]:offsets[x + 1]].tobytes() for x in range(i, j)]))
+            for doc, ids in zip(batch.column("id").to_pylist(), encoded):
                 n, full = len(ids) // 4, []
                 for start in range(0, n, window):
                     piece = Piece(doc, start, ids[4 * start:4 * (start + window)], n)
