@@ -30,14 +30,14 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys with the sums of their counts."""
+def summed(keys: np.ndarray, carried: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys, the value that each key carries, and the sums of its counts."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     if not len(keys):
-        return (keys, *counts)
+        return (keys, carried, *counts)
     start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return (keys[start], *(np.add.reduceat(c[order], start) for c in counts))
+    return (keys[start], carried[order][start], *(np.add.reduceat(c[order], start) for c in counts))
 
 
 def cells(parts: list[np.ndarray], cuts: np.ndarray) -> list[pa.Array]:

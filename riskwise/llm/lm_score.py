@@ -32,32 +32,40 @@ BUCKET_GRAMS = 4_000_000  # partial counts that one merging task holds, on avera
 
 
 
-def _partial_counts(buckets: int, pairs: bool):
-    """Per Arrow batch and bucket: sorted n-gram hashes with their counts in all and in target rows."""
+def _known(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
+    if not len(vocabulary):
+        return np.zeros(len(words), dtype=bool)
+    at = np.searchsorted(vocabulary, words)
+    at[at == len(vocabulary)] = 0
+    return vocabulary[at] == words
+
+
+def _partial_counts(buckets: int, vocabulary: np.ndarray | None):
+    """Per chunk of rows and bucket: sorted n-gram hashes with their counts in all and in target rows.
+
+    Words, or with a vocabulary the pairs of its words.
+    """
     def run(batches):
         for batch in batches:
             raw, offsets = W.text_buffer(batch.column("text"))
             chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            keys, context, every, target = [], [], [], []
             for i, j in W.row_chunks(offsets):
                 words, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 own = np.repeat(chosen[i:j], np.diff(first)).astype(np.int64)
                 before = words
-                if pairs:
-                    words, at = G.bigram_hashes(words, first)
-                    own, before = own[at], before[at]
-                for out, x in zip((keys, context, every, target),
-                                  G.summed(words, before, np.ones(len(words), np.int64), own)):
-                    out.append(x)
-            if not keys:
-                continue
-            k, c, e, t = G.summed(*map(np.concatenate, (keys, context, every, target)))
-            home = k % np.uint64(buckets)
-            order = np.argsort(home, kind="stable")
-            cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
-            cols = G.cells([k[order], c[order], e[order].astype(np.uint32), t[order].astype(np.uint32)], cuts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *cols],
-                                             ["bucket", "key", "context", "every", "target"])
+                if vocabulary is not None:
+                    pairs, at = G.bigram_hashes(words, first)
+                    known = _known(vocabulary, words)
+                    keep = known[at] & known[at + 1]
+                    at = at[keep]
+                    words, own, before = pairs[keep], own[at], words[at]
+                k, c, e, t = G.summed(words, before, np.ones(len(words), np.int64), own)
+                home = k % np.uint64(buckets)
+                order = np.argsort(home, kind="stable")
+                cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
+                cols = G.cells([k[order], c[order], e[order].astype(np.uint32), t[order].astype(np.uint32)], cuts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *cols],
+                                                 ["bucket", "key", "context", "every", "target"])
     return run
 
 
@@ -72,14 +80,15 @@ def _merged_counts(floor: float):
     return run
 
 
-def frequent_grams(rows: DataFrame, tokens: int, share: float, pairs: bool) -> tuple[np.ndarray, ...]:
+def frequent_grams(rows: DataFrame, tokens: int, share: float, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Sorted hashes of the n-grams holding at least ``share`` of ``tokens``, their first words and both counts.
 
-    At most ``1 / share`` entries reach the driver.
+    At most ``1 / share`` entries reach the driver.  With a vocabulary the n-grams are pairs of its words; if
+    its share is no higher, no frequent pair is missed, as both words are at least as frequent.
     """
     spark = rows.sparkSession
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / BUCKET_GRAMS))
-    found = (rows.mapInArrow(_partial_counts(buckets, pairs), "bucket int, key binary, context binary, every binary, target binary")
+    found = (rows.mapInArrow(_partial_counts(buckets, vocabulary), "bucket int, key binary, context binary, every binary, target binary")
              .groupBy("bucket").applyInArrow(_merged_counts(max(2.0, share * tokens)),
                                              "key long, context long, every long, target long").toArrow())
     keys = found["key"].to_numpy().view(np.uint64)
@@ -155,8 +164,8 @@ def train_models(rows: DataFrame) -> Models:
 
     n = rows.mapInArrow(totals, "every long, target long").agg(F.sum("every"), F.sum("target")).first()
     tokens, target = n[0] or 0, n[1] or 0
-    words = frequent_grams(rows, tokens, WORD_SHARE, pairs=False)
-    return Models(words, frequent_grams(rows, tokens, PAIR_SHARE, pairs=True), tokens, target)
+    words = frequent_grams(rows, tokens, WORD_SHARE)
+    return Models(words, frequent_grams(rows, tokens, PAIR_SHARE, words[0]), tokens, target)
 
 
 def lm_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
