@@ -5,7 +5,8 @@ no shuffle and no group that grows with the table.  Documents longer than a wind
 cut; their full windows stand alone and the rest goes to the pool.  A pool is split
 into near-equal windows by differencing: the two partial partitions of largest spread are
 merged with opposing order until one is left.  If a window exceeds the capacity, the
-window count rises by one and the pool is split again.
+window count rises by one and the pool is split again; if that took over a hundredth more
+windows, longer pieces are halved first.
 
 A sequence whose length is a power of two needs no padding.  So the tokens of a pool
 that would leave its last window part empty are first cut off as a few sequences of such lengths.
@@ -192,6 +193,36 @@ def _carved(pieces: list[Piece], lengths: list[int]) -> list[list[Piece]]:
     return out
 
 
+def _units(pieces: list[Piece], limit: int) -> list[list[Piece]]:
+    """What is placed as one: runs of short pieces, and longer ones cut to ``limit``."""
+    units: list[list[Piece]] = []
+    size = UNIT
+    for p in pieces:
+        while len(p) > limit:
+            head, p = p.cut(limit)
+            units.append([head])
+            size = UNIT
+        if size < UNIT and size + len(p) <= limit:
+            units[-1].append(p)
+            size += len(p)
+        else:
+            units.append([p])
+            size = len(p)
+    return units
+
+
+def _rejoined(row: list[Piece]) -> list[Piece]:
+    """The sequence, parts of one document that meet again made one piece."""
+    out: list[Piece] = []
+    for p in row:
+        last = out[-1] if out else None
+        if last is not None and last.doc == p.doc and last.total == p.total and last.start + len(last) == p.start:
+            out[-1] = Piece(p.doc, last.start, last.ids + p.ids, p.total)
+        else:
+            out.append(p)
+    return out
+
+
 def pack_pool(pieces: list[Piece], window: int = WINDOW) -> list[list[Piece]]:
     """Sequences of at most ``window`` ids holding every id of the pieces once."""
     pieces = list(pieces)
@@ -203,25 +234,23 @@ def pack_pool(pieces: list[Piece], window: int = WINDOW) -> list[list[Piece]]:
     spare = min(total, -(-(total - k * window + 8 * k) // UNIT) * UNIT)
     out = _carved(pieces, [1 << i for i in range(spare.bit_length()) if spare >> i & 1 and 1 << i <= window]) \
         if spare <= window else []
-    units: list[list[Piece]] = []
-    for p in pieces:
-        if units and sum(map(len, units[-1])) < UNIT:
-            units[-1].append(p)
-        else:
-            units.append([p])
-    sizes = [sum(map(len, u)) for u in units]
-    k = -(-sum(sizes) // window)
-    while units:
-        place = differencing(sizes, k)
-        if np.bincount(place, weights=sizes, minlength=k).max() <= window:
-            rows: list[list[Piece]] = [[] for _ in range(k)]
-            for u, w in zip(units, place.tolist()):
-                rows[w] += u
-            return out + [r for r in rows if r]
-        k += 1
-        if max(sizes) > window:  # a run of joined pieces can outgrow the window: take it apart
-            units = [[p] for u in units for p in u]
-            sizes = [len(u[0]) for u in units]
+    total = sum(map(len, pieces))
+    least = -(-total // window)
+    limit = window
+    while pieces:
+        units = _units(pieces, limit)
+        sizes = [sum(map(len, u)) for u in units]
+        k = least
+        # a few more windows than the least, else finer cuts; at the finest, as many as it takes
+        while k <= least + max(1, least // 100) or limit <= 2 * UNIT:
+            place = differencing(sizes, k)
+            if np.bincount(place, weights=sizes, minlength=k).max() <= window:
+                rows: list[list[Piece]] = [[] for _ in range(k)]
+                for u, w in zip(units, place.tolist()):
+                    rows[w] += u
+                return out + [_rejoined(r) for r in rows if r]
+            k += 1
+        limit //= 2
     return out
 
 
