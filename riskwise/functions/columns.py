@@ -15,8 +15,10 @@ def _c(col) -> Column:
 
 
 def zeros_to_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Replace 0 by NULL in the given columns (one projection)."""
-    return df.withColumns({c: F.expr(f"nullif(`{c}`, 0)") for c in cols})
+    """Replace 0, and NaN, by NULL in the given columns (one projection)."""
+    floating = {n for n, t in df.dtypes if t in ("double", "float")}
+    return df.withColumns({c: F.expr(f"nullif({f'nanvl(`{c}`, null)' if c in floating else f'`{c}`'}, 0)")
+                           for c in cols})
 
 
 def to_double(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -25,8 +27,9 @@ def to_double(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def clip(col, lo: float, hi: float) -> Column:
-    """Clamp into [lo, hi]; NULL stays NULL."""
-    return F.least(F.greatest(_c(col), F.lit(lo)), F.lit(hi))
+    """Clamp into [lo, hi]; NULL and NaN become NULL (``least``/``greatest`` alone skip NULLs)."""
+    c = _c(col)
+    return F.when(c.isNotNull() & ~F.isnan(c.cast("double")), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
 def clip_columns(df: DataFrame, bounds: dict) -> DataFrame:
@@ -84,7 +87,7 @@ def risk_band(pct, edges: Sequence[float] = roles.BAND_EDGES,
               names: Sequence[str] = roles.BAND_NAMES) -> Column:
     """Band of a risk percentage: below edge 0, below edge 1, ..., else last."""
     c = _c(pct)
-    expr = F.when(c.isNull(), F.lit(None).cast("string"))
+    expr = F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(None).cast("string"))
     for edge, name in zip(edges, names):
         expr = expr.when(c < edge, F.lit(name))
     return expr.otherwise(F.lit(names[len(edges)]))

@@ -23,22 +23,12 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     })
 
 
-BROADCAST_LABEL_ROWS = 5_000_000  # (doc_id, quality, toxic) rows: about 100 MB as a hash table
-
-
-def labelled_documents(documents: DataFrame, labels: DataFrame,
-                       broadcast_rows: int = BROADCAST_LABEL_ROWS) -> DataFrame:
+def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """documents joined with their labels (inner join on ``doc_id``), with text features.
 
-    The label table's row count is checked first (one small count):
-
-    * up to ``broadcast_rows`` labels: the labels are broadcast and joined map-side
-      first, so the regexes run only on labelled documents and no text is shuffled;
-    * beyond it: features are computed on the scan and only numbers are shuffled
-      into a sort-merge join on ``doc_id``.
+    The planner chooses the join by the label table's size: broadcast labels are joined
+    before the regexes run; beyond the broadcast threshold both sides are shuffled.
     """
     lab = labels.select("doc_id", "quality", "toxic")
     docs = documents.select("doc_id", "text", "n_chars")
-    if lab.count() <= broadcast_rows:
-        return text_features(docs.join(F.broadcast(lab), "doc_id")).drop("text")
-    return text_features(docs).drop("text").join(lab, "doc_id")
+    return text_features(docs.join(lab, "doc_id")).drop("text")

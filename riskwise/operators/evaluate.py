@@ -38,22 +38,32 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
                            group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """Accuracy, label-weighted precision/recall/F1 (the evaluator's
     ``weightedPrecision``/``weightedRecall``/``f1``) and positive-class
-    precision/recall/F1 for a 0/1 label, per group."""
+    precision/recall/F1 for a 0/1 label, per group.
+
+    A row whose prediction is NULL or not 0/1 counts as wrong for its class; a label that
+    is NULL or not 0/1 is an error."""
     conf = confusion(df, label, pred, group_cols)
 
     def cnt(lv, pv):
         return F.sum(F.when((F.col("label") == lv) & (F.col("prediction") == pv), F.col("n")).otherwise(0))
 
-    c = conf.groupBy(*group_cols).agg(cnt(1, 1).alias("tp"), cnt(0, 1).alias("fp"),
-                                      cnt(1, 0).alias("fn"), cnt(0, 0).alias("tn"))
-    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    p1, r1 = _ratio(F.col("tp"), F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
-    p0, r0 = _ratio(F.col("tn"), F.col("tn") + F.col("fn")), _ratio(F.col("tn"), F.col("tn") + F.col("fp"))
+    def rows(lv):
+        return F.sum(F.when(F.col("label") == lv, F.col("n")).otherwise(0))
+
+    odd = F.coalesce(F.sum(F.when(F.col("label").isin(0, 1), 0).otherwise(F.col("n"))), F.lit(0))
+    c = conf.groupBy(*group_cols).agg(
+        cnt(1, 1).alias("tp"), cnt(0, 1).alias("fp"), cnt(1, 0).alias("fn"), cnt(0, 0).alias("tn"),
+        rows(0).alias("n0"),
+        F.when(odd > 0, F.raise_error(F.concat(odd.cast("string"), F.lit(" rows have a label other than 0 and 1")))
+               .cast("long")).otherwise(rows(1)).alias("n1"))
+    n = F.col("n0") + F.col("n1")
+    p1, r1 = _ratio(F.col("tp"), F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("n1"))
+    p0, r0 = _ratio(F.col("tn"), F.col("tn") + F.col("fn")), _ratio(F.col("tn"), F.col("n0"))
 
     def f1(p, r):
         return _ratio(F.lit(2.0) * p * r, p + r)
 
-    w1, w0 = _ratio(F.col("tp") + F.col("fn"), n), _ratio(F.col("tn") + F.col("fp"), n)
+    w1, w0 = _ratio(F.col("n1"), n), _ratio(F.col("n0"), n)
     out = c.select(
         *group_cols,
         _round(_ratio(F.col("tp") + F.col("tn"), n), digits).alias("accuracy"),
@@ -67,15 +77,21 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
     return out
 
 
+def _scored(df: DataFrame, score: str, label: str) -> DataFrame:
+    s = F.col(score)
+    return df.where(s.isNotNull() & ~F.isnan(s.cast("double")) & F.col(label).isin(0, 1))
+
+
 def auc_exact(df: DataFrame, score: str = "p", label: str = "label",
               group_cols: Sequence[str] = (), digits: int = 6, reuse: bool = True) -> DataFrame:
     """Exact ROC-AUC (ties count one half), i.e. the midrank statistic.
 
     Rows are first reduced to one row per distinct score (partial aggregation),
     then ``neg_below`` comes from distributed running totals.  A class missing
-    from a group gives NULL (AUC undefined).
+    from a group gives NULL (AUC undefined).  Rows without a score (NULL or NaN) or
+    without a 0/1 label cannot be ranked and are left out, here and in ``roc_curve``.
     """
-    counts = (df.groupBy(*group_cols, F.col(score).alias("__s"))
+    counts = (_scored(df, score, label).groupBy(*group_cols, F.col(score).alias("__s"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                    F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     if reuse:
@@ -99,7 +115,7 @@ def roc_curve(df: DataFrame, score: str = "p", label: str = "label", resolution:
     A row is predicted positive at threshold t when its bucket >= t.
     """
     steps = int(round(1 / resolution))
-    b = (df.groupBy(F.floor(F.col(score) * steps).cast("long").alias("bucket"))
+    b = (_scored(df, score, label).groupBy(F.floor(F.col(score) * steps).cast("long").alias("bucket"))
          .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
     wall = Window.partitionBy(F.lit(1))

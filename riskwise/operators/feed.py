@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from riskwise import roles
 from riskwise.functions import columns as C
+from riskwise.operators.prep import ScaleModel
 
 
 def with_k(events: DataFrame) -> DataFrame:
-    """Extract the numeric ``k`` attribute from the JSON ``props`` column."""
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    """Extract the numeric ``k`` attribute from the JSON ``props`` column (NULL if it is not a number)."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").try_cast("double"))
 
 
 @dataclass
@@ -50,7 +51,9 @@ class FeedScorer:
 
     def transform(self, events: DataFrame) -> DataFrame:
         x = C.clip_columns(with_k(events), self.clip)
-        z = [(F.col(c) - F.lit(self.mean[c])) / F.lit(self.std[c]) for c in self.mean]
+        scaled = ScaleModel(self.mean, self.std, suffix="__z")  # a constant feature scales to 0
+        x = scaled.transform(x)
+        z = [F.col(f"{c}__z") for c in self.mean]
         p = C.sigmoid(C.linear_margin(z, self.weights, self.intercept))
         pred = (p > roles.DECISION_THRESHOLD).cast("int")
         return x.withColumns({
@@ -61,7 +64,7 @@ class FeedScorer:
             "diagnosis": C.outcome_word("prediction", roles.FEED_DIAGNOSIS),
             "tag": C.record_tag(roles.FEED_ID, "PT"),
             "clock": C.clock(roles.FEED_TIME),
-        })
+        }).drop(*[f"{c}__z" for c in self.mean])
 
 
 ROWS_PER_SLICE = 1_000_000

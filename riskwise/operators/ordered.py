@@ -54,7 +54,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                      *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in sum_cols])
     # ``off`` has at most groups x buckets rows; AQE broadcasts it when its measured
     # size is under the broadcast threshold and shuffles it otherwise.
-    j = b.join(off, [*group_cols, "__b"])
+    off = off.withColumnsRenamed({c: f"__g_{c}" for c in group_cols} | {"__b": "__ob"})
+    same = F.col("__b").eqNullSafe(F.col("__ob"))  # rows with a NULL group or order value stay
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
+    j = b.join(off, same).drop("__ob", *[f"__g_{c}" for c in group_cols])
     w = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     out = j.withColumns({f"before_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))
                          for c in sum_cols})

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskwise.operators.quantiles import exact_quantiles
+from riskwise.operators.quantiles import exact_quantiles, valid
 
 
 @dataclass
@@ -22,7 +22,7 @@ class ImputeModel:
     suffix: str = ""
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"{c}{self.suffix}": F.coalesce(F.col(c).cast("double"), F.lit(v))
+        return df.withColumns({f"{c}{self.suffix}": F.coalesce(valid(c), F.lit(v))
                                for c, v in self.surrogates.items()})
 
     def table(self, spark) -> DataFrame:
@@ -32,7 +32,7 @@ class ImputeModel:
 
 def fit_impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
                suffix: str = "") -> ImputeModel:
-    """Surrogate per column over the non-null values.
+    """Surrogate per column over the values that are not NULL or NaN; both are filled.
 
     ``median`` is the exact lower median (``percentile_disc(0.5)``), ``median_cont``
     the interpolated one, ``mean`` the average, ``mode`` the most frequent value
@@ -45,12 +45,12 @@ def fit_impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
         q = exact_quantiles(df, cols, [0.5], "disc" if strategy == "median" else "cont")
         sur = {c: q[(c, 0.5)] for c in cols}
     elif strategy == "mean":
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+        row = df.agg(*[F.avg(valid(c)).alias(c) for c in cols]).first()
         sur = {c: row[c] for c in cols}
     elif strategy == "mode":
         sur = {}
         for c in cols:  # one grouped aggregate per column; groups = distinct values
-            r = (df.where(F.col(c).isNotNull()).groupBy(c).count()
+            r = (df.where(valid(c).isNotNull()).groupBy(c).count()
                  .orderBy(F.desc("count"), F.asc(c)).limit(1).first())
             sur[c] = None if r is None else float(r[c])
     else:
@@ -93,7 +93,7 @@ def fit_scale(df: DataFrame, cols: Sequence[str], ddof: int = 1, with_mean: bool
     fn = F.stddev_samp if ddof == 1 else F.stddev_pop
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = valid(c)
         aggs += [F.avg(x).alias(f"m{i}"), fn(x).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return ScaleModel({c: row[f"m{i}"] for i, c in enumerate(cols)},

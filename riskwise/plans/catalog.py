@@ -303,7 +303,7 @@ def q_feed_kpis(spark, sf_dir):
 def _stream_setup(spark, sf_dir):
     from riskwise.streaming import feed as ST
     ev = table(spark, sf_dir, "events")
-    return ST, FD.FeedScorer.fit(ev), ST.event_source(spark, sf_dir, "events.parquet")
+    return ST, FD.FeedScorer.fit(ev), ST.event_source(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def q_stream_score(spark, sf_dir):

@@ -1,44 +1,39 @@
 """Structured Streaming feed.
 
 * ``score_stream``   - T1/T2: stateless clean + clip + score of every arriving record.
-* ``last_n_stream``  - T3: per-feed last-N history with the positive rate, kept in
-  keyed state by ``applyInPandasWithState`` (row-count windows are not time
-  windows, so a windowed aggregate cannot express them).
-* ``trend_stream``   - T4: event-time windows with a watermark, emitted in update
-  mode into an epoch-stamped upsert log; readers take the latest version per window.
+* ``last_n_stream``  - T3: per-feed last-N history with the positive rate.  Every
+  micro-batch runs the sliced batch operator over its own records and the stored
+  ones that they touch, so late records are placed by event time, however late.
+* ``trend_stream``   - T4: every micro-batch adds its counts and sums per event-time
+  window; readers add them up, so no record is ever too late to count.
 
 All sinks and checkpoints live in the shared folder; every sink write is
 idempotent per epoch, so a restarted query (or a lost executor) replays safely.
+No result depends on how records are dealt to files or in which order they arrive.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskwise import roles
-from riskwise.operators.feed import FeedScorer
+from riskwise.operators.feed import FeedScorer, newest_per_key, rolling_rate
 from riskwise.session import scratch_path
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                 "value double, props string")
 
 
-def event_source(spark: SparkSession, folder: str, pattern: str = "*.parquet",
-                 files_per_trigger: int = 1) -> DataFrame:
+def event_source(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """File stream of event records with a declared schema (no inference).
 
-    New files landing in ``folder`` that match ``pattern`` become micro-batches;
-    ``maxFilesPerTrigger`` bounds the size of one batch.
+    ``path`` is a table as the batch reader takes it: one file or a folder of part
+    files.  New files become micro-batches; ``maxFilesPerTrigger`` bounds the size of one.
     """
     return (spark.readStream.schema(EVENT_SCHEMA)
             .option("maxFilesPerTrigger", files_per_trigger)
-            .option("pathGlobFilter", pattern).parquet(folder))
+            .option("recursiveFileLookup", "true").parquet(path))
 
 
 def _run(query) -> None:
@@ -59,120 +54,103 @@ def score_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, sin
     return sink
 
 
-LAST_N_OUT = ("event_id long, feed_key string, event_time timestamp_ntz, prediction int, "
-              "n_window long, n_pos long, pos_rate double, version long")
-LAST_N_STATE = "ts array<long>, ids array<long>, flags array<int>, evicted long, version long"
-
-
-def _last_n_fn(n: int, lateness_us: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # rows of this feed in this micro-batch (bounded by the trigger size)
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            ts_s, ids_s, fl_s, evicted, version = state.get
-        else:
-            ts_s, ids_s, fl_s, evicted, version = [], [], [], 0, 0
-        version += 1
-        old = pd.DataFrame({"ts": np.asarray(ts_s, dtype=np.int64), "id": np.asarray(ids_s, dtype=np.int64),
-                            "flag": np.asarray(fl_s, dtype=np.int64), "new": False})
-        new = pd.DataFrame({"ts": batch["ts_us"].to_numpy(dtype=np.int64),
-                            "id": batch[roles.FEED_ID].to_numpy(dtype=np.int64),
-                            "flag": batch["prediction"].fillna(0).to_numpy(dtype=np.int64), "new": True})
-        # event-time order; a re-delivered record keeps its first copy
-        merged = (pd.concat([old, new], ignore_index=True).drop_duplicates("id", keep="first")
-                  .sort_values(["ts", "id"], kind="mergesort").reset_index(drop=True))
-        first_new = int(np.argmax(merged["new"].to_numpy())) if merged["new"].any() else len(merged)
-        flags = merged["flag"].to_numpy()
-        cs = np.concatenate([[0], np.cumsum(flags)])
-        idx = np.arange(first_new, len(merged))  # new records and every record after the first one
-        lo = np.maximum(idx + 1 - n, 0)
-        out = merged.iloc[first_new:]
-        res = pd.DataFrame({
-            "event_id": out["id"].to_numpy(),
-            "feed_key": key[0],
-            "event_time": pd.to_datetime(out["ts"].to_numpy(), unit="us"),
-            "prediction": out["flag"].to_numpy().astype("int32"),
-            "n_window": np.minimum(evicted + idx + 1, n).astype("int64"),
-            "n_pos": (cs[idx + 1] - cs[lo]).astype("int64"),
-        })
-        res["pos_rate"] = (res["n_pos"] / res["n_window"]).round(6)
-        res["version"] = np.int64(version)
-        # keep what a record arriving up to ``lateness`` behind the newest one needs:
-        # the records inside the horizon plus the n - 1 before them
-        if len(merged):
-            horizon = merged["ts"].iloc[-1] - lateness_us
-            k0 = max(0, int(np.searchsorted(merged["ts"].to_numpy(), horizon, side="left")) - (n - 1))
-        else:
-            k0 = 0
-        kept = merged.iloc[k0:]
-        state.update((kept["ts"].tolist(), kept["id"].tolist(), kept["flag"].astype(int).tolist(),
-                      int(evicted + k0), int(version)))
-        yield res
-    return fn
+RECORDS = "event_id long, feed_key string, ts timestamp_ntz, prediction int, us long"
+RATES = RECORDS + ", n_window long, n_pos long, pos_rate double"
+SINCE = "feed_key string, since long"
+TREND = "window_start timestamp, feed_key string, n long, sum_risk double"
+_FIRST = -(2 ** 63)  # a record without an event time comes before all others of its feed
+
+
+def _empty_log(spark: SparkSession, path: str, schema: str) -> None:
+    """An empty first epoch, so that a log can be read before any record has arrived."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema + ", epoch long").parquet(path)
 
 
 def last_n_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, n: int = roles.FEED_HISTORY,
-                  lateness_seconds: int = 600, sink: str | None = None) -> str:
-    """Last-n history per feed in keyed state, placed by event time.
-
-    A record may arrive up to ``lateness_seconds`` behind the newest record of its
-    feed: it is inserted at its event-time position and every later record of the
-    feed is re-emitted with a higher ``version`` (append log; ``read_last_n`` keeps
-    the newest version per record).  State per feed is the records inside the
-    lateness horizon plus n - 1, so it is bounded by the feed's rate x lateness.
+                  sink: str | None = None) -> str:
+    """Rolling count and positive rate of every record over the last n of its feed.
+
+    A micro-batch changes, per feed, only records from its earliest event time on.
+    Those are computed again from the stored and new records since then and the
+    ``n - 1`` before, and logged under the epoch; ``read_last_n`` takes each record
+    from the last epoch that reached it.  Repeated ids are records of their own.
     """
     sink = sink or scratch_path(spark, "feed-last-n")
+    for part, schema in (("records", RECORDS), ("rates", RATES), ("since", SINCE)):
+        _empty_log(spark, f"{sink}/{part}", schema)
     scored = scorer.transform(source).select(
-        roles.FEED_ID, roles.FEED_KEY, roles.FEED_TIME, "prediction",
-        F.unix_micros(F.col(roles.FEED_TIME).cast("timestamp")).alias("ts_us"))
-    out = scored.groupBy(roles.FEED_KEY).applyInPandasWithState(
-        _last_n_fn(n, lateness_seconds * 1_000_000), LAST_N_OUT, LAST_N_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-    q = (out.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", sink + "-ckpt").trigger(availableNow=True).start())
-    _run(q)
+        F.col(roles.FEED_ID).alias("event_id"), F.col(roles.FEED_KEY).alias("feed_key"),
+        F.col(roles.FEED_TIME).alias("ts"), "prediction",
+        F.coalesce(F.unix_micros(F.col(roles.FEED_TIME).cast("timestamp")), F.lit(_FIRST)).alias("us"))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        s = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{sink}/records/epoch={epoch}")
+        stored = _log(s, f"{sink}/records", RECORDS)
+        new = stored.where(F.col("epoch") == epoch).drop("epoch")
+        (new.groupBy("feed_key").agg(F.min("us").alias("since"))
+         .write.mode("overwrite").parquet(f"{sink}/since/epoch={epoch}"))
+        since = _log(s, f"{sink}/since", SINCE).where(F.col("epoch") == epoch).select(
+            F.col("feed_key").alias("k"), "since")
+        touched = stored.where(F.col("epoch") < epoch).drop("epoch").join(
+            since, F.col("feed_key").eqNullSafe(F.col("k"))).drop("k")
+        before = newest_per_key(touched.where("us < since"), "feed_key", "us", "event_id", n - 1)
+        rows = new.unionByName(touched.where("us >= since").drop("since")).withColumn("changed", F.lit(True))
+        rows = rows.unionByName(before.drop("since", "position").withColumn("changed", F.lit(False)))
+        rates = rolling_rate(rows, "feed_key", "ts", "event_id", "prediction", n).where("changed")
+        (rates.select(*[f.split()[0] for f in RATES.split(", ")])
+         .write.mode("overwrite").parquet(f"{sink}/rates/epoch={epoch}"))
+
+    _run(scored.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
+         .trigger(availableNow=True).start())
     return sink
 
 
 def read_last_n(spark: SparkSession, sink: str) -> DataFrame:
-    """Newest version of every record's rolling values (groups of one record)."""
-    log = spark.read.parquet(sink)
-    cols = [c for c in log.columns if c not in ("event_id", "version")]
-    latest = log.groupBy("event_id").agg(F.max_by(F.struct(*cols), "version").alias("r"))
-    return latest.select("event_id", "r.*")
+    """Every record's rolling values, from the last epoch that reached it."""
+    later = Window.partitionBy("feed_key").orderBy("epoch").rowsBetween(1, Window.unboundedFollowing)
+    since = _log(spark, f"{sink}/since", SINCE)  # feeds x epochs rows
+    redone = since.select(F.col("feed_key").alias("k"), F.col("epoch").alias("e"),
+                          F.min("since").over(later).alias("redone"))
+    rates = _log(spark, f"{sink}/rates", RATES)
+    return (rates.join(redone, F.col("feed_key").eqNullSafe(F.col("k")) & (F.col("epoch") == F.col("e")))
+            .where("redone is null or us < redone")
+            .select("event_id", "feed_key", F.col("ts").alias("event_time"), "prediction",
+                    "n_window", "n_pos", "pos_rate"))
 
 
 def trend_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, window: str = "1 day",
-                 watermark: str = "1 day", sink: str | None = None) -> str:
+                 sink: str | None = None) -> str:
     """T4: average risk and record count per (event-time window, feed).
 
-    Update mode keeps state bounded by the watermark; each epoch's updated rows
-    are written under ``epoch=<id>`` (overwrite of that folder only, so a replayed
-    epoch rewrites the same files).  ``read_trend`` takes the newest version of
-    every (window, feed).
+    Each micro-batch's counts and sums are written under ``epoch=<id>`` (overwrite of
+    that folder only, so a replayed epoch rewrites the same files).  There is no state
+    to expire, so no watermark drops a late record.  Records without an event time
+    belong to no window.
     """
     sink = sink or scratch_path(spark, "feed-trend")
-    scored = scorer.transform(source).withColumn("__et", F.col(roles.FEED_TIME).cast("timestamp"))
-    agg = (scored.withWatermark("__et", watermark)
-           .groupBy(F.window("__et", window).alias("w"), F.col(roles.FEED_KEY).alias("feed_key"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("risk_pct").alias("sum_risk")))
+    _empty_log(spark, sink, TREND)
+    scored = scorer.transform(source).select(
+        F.col(roles.FEED_TIME).cast("timestamp").alias("et"), F.col(roles.FEED_KEY).alias("feed_key"), "risk_pct")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        (batch.select(F.col("w.start").alias("window_start"), "feed_key", "n", "sum_risk")
-         .withColumn("epoch", F.lit(epoch))
+        (batch.where("et is not null").groupBy(F.window("et", window).alias("w"), "feed_key")
+         .agg(F.count(F.lit(1)).alias("n"), F.sum("risk_pct").alias("sum_risk"))
+         .select(F.col("w.start").alias("window_start"), "feed_key", "n", "sum_risk")
          .write.mode("overwrite").parquet(f"{sink}/epoch={epoch}"))
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", sink + "-ckpt").trigger(availableNow=True).start())
-    _run(q)
+    _run(scored.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
+         .trigger(availableNow=True).start())
     return sink
 
 
 def read_trend(spark: SparkSession, sink: str) -> DataFrame:
-    """Latest version of every (window, feed) from the upsert log."""
-    log = spark.read.parquet(sink)
-    w = Window.partitionBy("window_start", "feed_key").orderBy(F.desc("epoch"))
-    latest = log.withColumn("__r", F.row_number().over(w)).where("__r = 1")
-    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "feed_key",
-                         F.col("n").cast("long").alias("n"),
-                         F.round(F.col("sum_risk") / F.col("n"), 6).alias("avg_risk_pct"))
+    """Sums of all epochs per (window, feed)."""
+    total = _log(spark, sink, TREND).groupBy("window_start", "feed_key").agg(
+        F.sum("n").alias("n"), F.sum("sum_risk").alias("sum_risk"))
+    return total.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "feed_key", "n",
+                        F.round(F.col("sum_risk") / F.col("n"), 6).alias("avg_risk_pct"))

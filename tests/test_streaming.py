@@ -64,9 +64,27 @@ def test_last_n_with_late_batches(spark):
     ev, folder = _landing(spark, 3, reverse=True)
     scorer = FD.FeedScorer.fit(ev)
     batch_scored = scorer.transform(ev).withColumnRenamed(roles.FEED_KEY, "feed_key")
-    sink = ST.last_n_stream(spark, _source(spark, folder), scorer, lateness_seconds=40 * 86400)
-    assert spark.read.parquet(sink).count() > ev.count()  # late records revised earlier rows
+    sink = ST.last_n_stream(spark, _source(spark, folder), scorer)
+    assert spark.read.parquet(f"{sink}/rates").count() > ev.count()  # late records revised earlier rows
+    trend = ST.read_trend(spark, ST.trend_stream(spark, _source(spark, folder), scorer))
+    assert trend.agg(F.sum("n")).first()[0] == ev.count()
     got = {r["event_id"]: (r["n_window"], r["n_pos"], r["pos_rate"]) for r in ST.read_last_n(spark, sink).collect()}
     want = {r["event_id"]: (r["n_window"], r["n_pos"], r["pos_rate"]) for r in
             FD.rolling_rate(batch_scored, "feed_key", "ts", "event_id", "prediction").collect()}
     assert got == want
+
+
+def test_repeated_ids_and_missing_times_equal_batch(spark):
+    ev = table(spark, SF_SMALL, "events")
+    odd = ev.limit(40).unionByName(ev.limit(10)).withColumn(
+        "ts", F.expr("if(event_id % 7 = 0, cast(null as timestamp_ntz), ts)")).withColumn("event_id", F.expr("event_id % 5"))
+    folder = scratch_path(spark, "landing")
+    for i in (2, 0, 1):
+        odd.where(F.pmod(F.xxhash64("ts", "value"), F.lit(3)) == i).coalesce(1).write.parquet(f"{folder}/part{i}")
+    scorer = FD.FeedScorer.fit(ev)
+    stored = spark.read.parquet(*[f"{folder}/part{i}" for i in range(3)])
+    want = FD.rolling_rate(scorer.transform(stored).withColumnRenamed(roles.FEED_KEY, "feed_key"),
+                           "feed_key", "ts", "event_id", "prediction")
+    got = ST.read_last_n(spark, ST.last_n_stream(spark, ST.event_source(spark, folder), scorer))
+    assert sorted(r["n_window"] for r in got.collect()) == sorted(r["n_window"] for r in want.collect())
+    assert got.count() == 50
