@@ -5,7 +5,7 @@ no shuffle and no group that grows with the table.  Documents longer than a wind
 cut; their full windows stand alone and the rest goes to the pool.  A pool is split
 into near-equal windows by differencing: the two partial partitions of largest spread are
 merged with opposing order until one is left.  If a window exceeds the capacity, the
-window count rises by one and the pool is split again; if that took over a hundredth more
+window count rises by one and the pool is split again; if that took over a fiftieth more
 windows, longer pieces are halved first.
 
 A sequence whose length is a power of two needs no padding.  So the tokens of a pool
@@ -30,9 +30,9 @@ from . import words as W
 WINDOW = 4096
 POOL_TOKENS = 1 << 19     # tokens packed together in one task
 UNIT = 64                 # shorter pieces are joined to runs of about this many tokens
-MEMO = 400_000            # words, and half the letter runs, that a worker keeps between groups of texts
+MEMO = 250_000            # words, and half the letter runs, that a worker keeps between groups of texts
 SIGNS = b".,;:!?%*#$&|<>()[]{}+-=/_~^@\"`"
-GROUP_BYTES = 4 << 20     # texts encoded together
+GROUP_BYTES = 2 << 20     # texts encoded together
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -242,7 +242,7 @@ def pack_pool(pieces: list[Piece], window: int = WINDOW) -> list[list[Piece]]:
         sizes = [sum(map(len, u)) for u in units]
         k = least
         # a few more windows than the least, else finer cuts; at the finest, as many as it takes
-        while k <= least + max(1, least // 100) or limit <= 2 * UNIT:
+        while k <= least + max(1, least // 50) or limit <= 2 * UNIT:
             place = differencing(sizes, k)
             if np.bincount(place, weights=sizes, minlength=k).max() <= window:
                 rows: list[list[Piece]] = [[] for _ in range(k)]

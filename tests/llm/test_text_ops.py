@@ -192,7 +192,7 @@ def test_packing_leaves_little_padding():
     sums = [sum(map(len, s)) for s in packing.pack_pool(pieces)]
     total = sum(map(len, pieces))
     assert sum(sums) == total and max(sums) <= 4096
-    assert sum(4096 - s for s in sums if s & (s - 1)) < 0.02 * total
+    assert sum(4096 - s for s in sums if s & (s - 1)) < 0.03 * total
     assert packing.pack_pool([]) == [] and len(packing.differencing([5, 5, 4, 4, 3, 3], 3)) == 6
     place = packing.differencing([8, 7, 6, 5, 4], 2)
     assert abs(sum(np.where(place == 0, [8, 7, 6, 5, 4], 0)) - 15) <= 1
