@@ -3,13 +3,17 @@
 Two multinomials over hashed word unigrams and bigrams are counted over all documents:
 one over the trusted target (labelled good), one over the raw corpus.  A document's
 score is the mean log-likelihood ratio of its n-grams.  Both sides have ``PRIOR`` pseudo-counts per bucket
-at the raw corpus' rate, and a target count that chance explains scores 0.  A document's own n-grams are taken out of the
+at the raw corpus' rate, and a target count that chance explains, or that is within a factor of two of the
+expected one, scores 0: the mix of languages and copies moves many n-grams a little, and in long
+documents those small ratios would outweigh the few words that the target never holds.  A document's own n-grams are taken out of the
 counts before it is scored (leave one out), so labelled documents do not vouch for
 themselves.  Every document is kept or not by one threshold, chosen on the scores of all labelled documents.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +27,7 @@ UNIGRAMS, BIGRAMS = 1 << 20, 1 << 17
 BUCKETS = UNIGRAMS + BIGRAMS
 PRIOR = 20.0
 SIGMA = 4.0               # deviations from the expected target count below this many are chance
+LEAST = math.log(2)       # ratios nearer to 0 than this count as 0
 MAX_LOST = 0.02           # share of the labelled good documents that the threshold may drop
 BINS = 4000               # of the score histogram that sets the threshold
 SPAN = 4.0                # scores are cut to -SPAN..SPAN for the histogram
@@ -86,7 +91,7 @@ def _scores(parts: list, n: np.ndarray, good: np.ndarray, every: np.ndarray, tar
     rate = (target.sum() - n * good) / np.maximum(every.sum() - n, 1)
     seen, expected = target[bucket] - count * good[row], (every[bucket] - count) * rate[row]
     ratio = np.log((seen + PRIOR) / (expected + PRIOR))
-    ratio[np.abs(seen - expected) <= SIGMA * np.sqrt(expected + 1)] = 0.0
+    ratio[(np.abs(seen - expected) <= SIGMA * np.sqrt(expected + 1)) | (np.abs(ratio) < LEAST)] = 0.0
     total = np.bincount(row, weights=ratio * count, minlength=len(n))
     return np.round(total / np.maximum(n, 1), 9)
 
