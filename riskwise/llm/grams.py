@@ -45,5 +45,13 @@ def cells(parts: list[np.ndarray], cuts: np.ndarray) -> list[pa.Array]:
     return [pa.array([p[cuts[i]:cuts[i + 1]].tobytes() for i in range(len(cuts) - 1)], pa.binary()) for p in parts]
 
 
+def filled(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:
+    """The rows with something in any of the binary columns: with many buckets most cells of a chunk are empty."""
+    keep = np.zeros(batch.num_rows, dtype=bool)
+    for c in columns:
+        keep |= np.diff(np.frombuffer(batch.column(c).buffers()[1], np.int32)[:batch.num_rows + 1]) > 0
+    return batch.filter(pa.array(keep))
+
+
 def uncell(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import grams as G
 from . import words as W
 from .graph import components, saved
 
@@ -119,9 +120,9 @@ def _prefix_chunks(k: int, num: int, den: int, buckets: int):
             cls, count = cls[order], count[order].astype(np.int32)
             cut2 = np.searchsorted(home[order], np.arange(buckets + 1))
             cell = lambda x, c: pa.array([x[c[i]:c[i + 1]].tobytes() for i in range(buckets)], pa.binary())
-            yield pa.RecordBatch.from_arrays(
+            yield G.filled(pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(buckets, dtype=np.int32)), cell(token, cut), cell(owner, cut),
-                 cell(cls, cut2), cell(count, cut2)], ["bucket", "token", "owner", "cls", "count"])
+                 cell(cls, cut2), cell(count, cut2)], ["bucket", "token", "owner", "cls", "count"]), ["token", "cls"])
     return run
 
 

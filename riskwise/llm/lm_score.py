@@ -64,8 +64,8 @@ def _partial_counts(buckets: int, vocabulary: np.ndarray | None):
                 order = np.argsort(home, kind="stable")
                 cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
                 cols = G.cells([k[order], c[order], e[order].astype(np.uint32), t[order].astype(np.uint32)], cuts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *cols],
-                                                 ["bucket", "key", "context", "every", "target"])
+                yield G.filled(pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *cols],
+                                                          ["bucket", "key", "context", "every", "target"]), ["key"])
     return run
 
 
