@@ -67,6 +67,14 @@ def risk_probability(df: DataFrame, prob_col: str = "probability",
     return _c(pred_col).cast("double")
 
 
+def scored_risk(df: DataFrame, prob_col: str = "probability", pred_col: str = "prediction") -> Column:
+    """P8 in scoring: probability[1] if the model has one, else the predicted label as 0.0 or 1.0.
+
+    (``risk_probability``, with the margin link between the two, is the form of the predictions export.)
+    """
+    return vector_element(prob_col, 1) if prob_col in df.columns else _c(pred_col).cast("double")
+
+
 def risk_pct(p, digits: int = 1) -> Column:
     """Percentage rounded to ``digits`` places."""
     return F.round(_c(p) * 100.0, digits)
@@ -151,3 +159,23 @@ def linear_margin(cols: Sequence, weights: Sequence[float], intercept: float) ->
     for c, w in zip(cols, weights):
         expr = expr + F.lit(float(w)) * _c(c)
     return expr
+
+
+def report_text(measurements: Sequence[tuple], rules: Sequence[tuple], default: str, prediction, p,
+                imputed: Sequence[str] = (), words: Sequence[str] = roles.DIAGNOSIS_WORDS) -> Column:
+    """Multi-line report from the values as entered, the outcome and the guidance.
+
+    ``measurements`` holds (column, name, format, unit); a NULL value is "not measured".  Columns in
+    ``imputed`` that are 0 or missing get a note that scoring filled them.
+    """
+    lines = [F.lit("MEASUREMENTS:")]
+    for col, name, fmt, unit in measurements:
+        value = F.format_string(f"- {name}: {fmt}{' ' + unit if unit else ''}", F.col(col))
+        lines.append(F.when(F.col(col).isNull(), F.lit(f"- {name}: not measured")).otherwise(value))
+    lines += [F.lit("OUTCOME:"),
+              F.concat(F.lit("- Predictive Diagnostic: "), outcome_word(prediction, words)),
+              F.concat(F.lit("- Confidence Score: "), pct_text(p, 2))]
+    for col in imputed:
+        x = F.col(col).cast("double")
+        lines.append(F.when(x.isNull() | F.isnan(x) | (x == 0), F.lit(f"- Imputed for scoring: {col}")))
+    return F.concat_ws("\n", *lines, F.lit("GUIDANCE:"), guidance_text(rules, default))

@@ -111,10 +111,13 @@ def roc_curve(df: DataFrame, score: str = "p", label: str = "label", resolution:
     """ROC points at score thresholds on a ``resolution`` grid.
 
     Scores are bucketed first (at most 1/resolution + 1 buckets), so the
-    cumulative window runs over a bounded table regardless of the row count.
-    A row is predicted positive at threshold t when its bucket >= t.
+    cumulative window runs over a bounded table regardless of the row count; a score
+    outside 0..1 is an error.  A row is predicted positive at threshold t when its bucket >= t.
+    ``roc_points`` has a point at every score.
     """
     steps = int(round(1 / resolution))
+    df = df.withColumn(score, F.when(F.col(score).between(0, 1) | F.col(score).isNull() | F.isnan(score), F.col(score))
+                       .otherwise(F.raise_error(F.lit("ROC buckets need scores in 0..1")).cast("double")))
     b = (_scored(df, score, label).groupBy(F.floor(F.col(score) * steps).cast("long").alias("bucket"))
          .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
     w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
@@ -128,13 +131,31 @@ def roc_curve(df: DataFrame, score: str = "p", label: str = "label", resolution:
         F.round(F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")), digits).alias("fpr"))
 
 
+def roc_points(df: DataFrame, score: str = "p", label: str = "label", digits: int = 6) -> DataFrame:
+    """ROC points at every distinct score: (threshold, tp, fp, tpr, fpr).
+
+    A row is predicted positive at a threshold when its score is not below it.  Counts come from
+    distributed running totals, so no window spans the whole table.
+    """
+    counts = (_scored(df, score, label).groupBy(F.col(score).cast("double").alias("threshold"))
+              .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
+    shared_dir(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    total = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
+    P, N = F.lit(total["pos"] or 0).cast("long"), F.lit(total["neg"] or 0).cast("long")
+    rt = running_totals(counts, "threshold", ["pos", "neg"])
+    return (rt.select("threshold", (P - F.col("before_pos")).alias("tp"), (N - F.col("before_neg")).alias("fp"))
+            .withColumn("tpr", F.round(F.try_divide(F.col("tp").cast("double"), P.cast("double")), digits))
+            .withColumn("fpr", F.round(F.try_divide(F.col("fp").cast("double"), N.cast("double")), digits)))
+
+
 def trapezoid_auc(roc: DataFrame, digits: int = 6) -> DataFrame:
-    """Area under the (fpr, tpr) polyline starting at (0, 0), via ``lag``."""
-    w = Window.orderBy(F.col("fpr"), F.col("tpr"))
-    seg = roc.select("fpr", "tpr").withColumn("pf", F.lag("fpr", 1, 0.0).over(w)) \
-             .withColumn("pt", F.lag("tpr", 1, 0.0).over(w))
-    return seg.agg(F.round(F.sum((F.col("fpr") - F.col("pf")) * (F.col("tpr") + F.col("pt")) / 2.0), digits)
-                   .alias("auc_trapezoid"))
+    """Area under the bucketed curve from (0, 0), via ``lag`` over its counts; rounded once, at the end."""
+    w = Window.orderBy(F.col("fp"), F.col("tp"))
+    seg = (roc.select(F.col("fp").cast("double"), F.col("tp").cast("double"))
+           .withColumn("pf", F.lag("fp", 1, 0.0).over(w)).withColumn("pt", F.lag("tp", 1, 0.0).over(w)))
+    area = F.sum((F.col("fp") - F.col("pf")) * (F.col("tp") + F.col("pt")) / 2.0)
+    return seg.agg(F.round(F.try_divide(area, F.max("fp") * F.max("tp")), digits).alias("auc_trapezoid"))
 
 
 def metric_table(scored_long: DataFrame, model_col: str = "model", score: str = "p",

@@ -21,6 +21,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskwise.operators.quantiles import sketch_points, task_group, valid
+
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS, MAX_BUCKETS = 16, 65536
 
@@ -36,15 +38,17 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     strictly smaller ``order_col`` (ties broken by nothing: pre-aggregate first).
 
     ``buckets`` defaults to one per ~1M input rows (16 to 65,536), so the largest
-    window partition stays around a million rows at any table size; the sketch
-    accuracy follows the bucket count.
+    window partition stays around a million rows at any table size; the sketch, merged in
+    two levels, follows the bucket count.
     """
     group_cols = list(group_cols)
     if buckets is None:
         buckets = bucket_count(df.count())
     probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(1000, 4 * buckets)
-    edges = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy)).first()[0] or []
+    k = min(65535, max(1024, 4 * buckets))
+    sketch = (df.groupBy(task_group()).agg(F.kll_sketch_agg_double(valid(order_col), k).alias("s"))
+              .where(F.kll_sketch_get_n_double("s") > 0).agg(F.kll_merge_agg_double("s", k).alias("s")))
+    edges = sketch.select(sketch_points("s", probs)).first()[0] or [0.0]  # no values: any edge will do
     splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
     src = df.withColumn("__x", F.col(order_col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(src)

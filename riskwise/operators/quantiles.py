@@ -7,8 +7,8 @@ sketch instead, which is bounded but not exact.
 
 Here the exact k-th smallest value is found by narrowing a value range:
 
-1. one aggregate gives ``count/min/max`` per column and an approximate-quantile
-   sketch whose rank-error bound brackets each wanted value;
+1. one scan gives ``count/min/max`` per column and an approximate-quantile sketch,
+   merged in two levels, whose rank error brackets each wanted value;
 2. each pass histograms the rows that fall inside the current range of every open
    probe into ``BINS`` equal-width bins (``groupBy(probe, bin)`` with map-side
    partial aggregation, so a pass shuffles at most ``probes * BINS`` rows per
@@ -58,19 +58,39 @@ def _long(df: DataFrame, cols: Sequence[str], only=None) -> DataFrame:
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-SKETCH_ACCURACY = 10000  # GK sketch: rank error <= n / accuracy, bounded memory per task
+SKETCH_K = 4096       # KLL sketch of about 100 KB, rank error about 0.0013 of the rows
+SKETCH_ERROR = 2e-3   # half width of the bracket around a wanted quantile
+SKETCH_GROUPS = 256   # sketches that reach the last merge
+
+
+def task_group():
+    """Group of the running task.  Summaries are merged per group first, so that the last merge gets at
+    most ``SKETCH_GROUPS`` of them and not one for every task of the scan."""
+    return (F.spark_partition_id() % SKETCH_GROUPS).alias("__g")
+
+
+def sketch_points(sketch: str, probs: Sequence[float]):
+    """Approximate quantiles of a merged KLL sketch; NULL if it holds no value."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0,
+                  F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(p)) for p in probs])))
 
 
 def column_stats(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = ()):
-    """One aggregate: per column ``s<i> = (n, lo, hi[, q])`` over the rankable values,
-    with ``q`` an approximate-quantile sketch at ``probs`` (used as brackets)."""
-    aggs = []
+    """One scan: per column ``s<i> = (n, lo, hi[, q])`` over the rankable values,
+    with ``q`` approximate quantiles at ``probs`` (used as brackets)."""
+    part, merge, out = [], [], []
     for i, c in enumerate(cols):
-        fields = [F.count(valid(c)).alias("n"), F.min(valid(c)).alias("lo"), F.max(valid(c)).alias("hi")]
+        x = valid(c)
+        part += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        merge += [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"), F.min(f"lo{i}").alias(f"lo{i}"),
+                  F.max(f"hi{i}").alias(f"hi{i}")]
+        fields = [F.col(f"{f}{i}").alias(f) for f in ("n", "lo", "hi")]
         if probs:
-            fields.append(F.percentile_approx(valid(c), list(probs), SKETCH_ACCURACY).alias("q"))
-        aggs.append(F.struct(*fields).alias(f"s{i}"))
-    return df.agg(*aggs).first()
+            part.append(F.kll_sketch_agg_double(x, SKETCH_K).alias(f"k{i}"))
+            merge.append(F.kll_merge_agg_double(f"k{i}", SKETCH_K).alias(f"k{i}"))
+            fields.append(F.when(F.col(f"n{i}") > 0, sketch_points(f"k{i}", probs)).alias("q"))
+        out.append(F.struct(*fields).alias(f"s{i}"))
+    return df.groupBy(task_group()).agg(*part).agg(*merge).select(*out).first()
 
 
 def kth_values(df: DataFrame, cols: Sequence[str], ranks: dict, stats=None, hints: dict | None = None,
@@ -193,12 +213,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``method='cont'`` is ``percentile``/``quantile_cont`` (linear interpolation
     between the values at 0-based positions floor((n-1)p) and ceil((n-1)p)).
 
-    The first aggregate also sketches each quantile at p -/+ 3/accuracy; by the
-    sketch's rank-error bound that bracket holds the exact value, so narrowing
-    starts from ~6/accuracy of the rows instead of the whole value range.
+    The first scan also sketches each quantile at p -/+ ``SKETCH_ERROR``; that bracket holds the
+    exact value (if not, narrowing starts again from the whole range), so narrowing starts from
+    about 2 ``SKETCH_ERROR`` of the rows.
     """
     cols = list(cols)
-    eps = 3.0 / SKETCH_ACCURACY
+    eps = SKETCH_ERROR
     brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     stats = column_stats(df, cols, brackets)
     ranks: dict = {}

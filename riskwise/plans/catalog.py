@@ -176,23 +176,13 @@ def q_guidance_rules(spark, sf_dir):
                      .alias("guidance"))
 
 
-def report_column(features, guidance_rules, default) -> "F.Column":
-    """Multi-line report from the measurements, the outcome and the guidance."""
-    lines = [F.lit("MEASUREMENTS:")]
-    for f in features:
-        lines.append(F.format_string(f"- {f}: %.2f", F.col(f)))
-    lines += [F.lit("OUTCOME:"),
-              F.concat(F.lit("- Predictive Diagnostic: "), C.outcome_word("prediction", roles.DIAGNOSIS_WORDS)),
-              F.concat(F.lit("- Confidence Score: "), C.pct_text("p", 2)),
-              F.lit("GUIDANCE:"),
-              C.guidance_text(guidance_rules, default)]
-    return F.concat_ws("\n", *lines)
-
-
 def q_report_text(spark, sf_dir):
-    s = li_scored(spark, sf_dir)
-    return s.select(*LI.key, report_column(LI.features, roles.LINEITEM_GUIDANCE,
-                                           roles.LINEITEM_GUIDANCE_DEFAULT).alias("report"))
+    """P15 on the values as entered: the score uses the filled ones, the report does not print them."""
+    li = lineitem(spark, sf_dir).select(*LI.key, *LI.features)
+    s = LinearRisk.for_role(li, LI).transform(li.withColumn("entered", F.struct(*LI.features)))
+    report = C.report_text([(c, c, "%.2f", "") for c in LI.features], roles.LINEITEM_GUIDANCE,
+                           roles.LINEITEM_GUIDANCE_DEFAULT, "prediction", "p", LI.zero_missing)
+    return s.select(*LI.key, "prediction", "p", "entered.*").select(*LI.key, report.alias("report"))
 
 
 # ---- step 5: evaluation on fixed scores ---------------------------------------
@@ -220,6 +210,10 @@ def q_roc_curve(spark, sf_dir):
     return EV.roc_curve(li_scored(spark, sf_dir))
 
 
+def q_roc_points(spark, sf_dir):
+    return EV.roc_points(li_scored(spark, sf_dir)).withColumn("threshold", F.round("threshold", 6))
+
+
 def q_roc_auc_trapezoid(spark, sf_dir):
     return EV.trapezoid_auc(EV.roc_curve(li_scored(spark, sf_dir)))
 
@@ -403,6 +397,46 @@ def q_lr_coefficients(spark, sf_dir):
     return EV.coef_rank(L.coefficients(res.model, roles.DOC_FEATURES).where("feature <> '(intercept)'"))
 
 
+def q_learner_checks(spark, sf_dir):
+    """One fitted pipeline per family, and checks computed from its own rows."""
+    from riskwise.plans import learners as L
+    train, test = _doc_split(spark, sf_dir)
+    rows = []
+    for name in L.MODEL_ORDER:
+        found = L.check_learner(train, test, name, roles.DOC_FEATURES, DOC_ZERO_MISSING, roles.DOC_LABEL, "doc_id",
+                                scratch_path(spark, f"checked-{name}"))
+        rows.append((name, len(L.param_maps(L.make_classifier(name, roles.DOC_LABEL), L.FULL_GRID[name])), *found))
+    return spark.createDataFrame(rows, "model string, grid_points int, n_train long, n_test long, n_test_pos long, "
+                                       "surrogates_ok boolean, scaler_ok boolean, prediction_follows_score boolean, "
+                                       "reload_agrees boolean, metrics_agree boolean")
+
+
+def q_tuning_checks(spark, sf_dir):
+    """Rows of every fold, the winner, and the logistic regression's gradient at its weights."""
+    from riskwise.plans import learners as L
+    train, _ = _doc_split(spark, sf_dir)
+    res = L.tune(train, "LogisticRegression", L.WALKTHROUGH_GRID["LogisticRegression"], roles.DOC_FEATURES,
+                 DOC_ZERO_MISSING, roles.DOC_LABEL, ["doc_id"])
+    ok = L.check_tuning(res, train, roles.DOC_FEATURES, roles.DOC_LABEL)
+    folds = split.fold_assign(train, ["doc_id"], 3).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(roles.DOC_LABEL) == 1).alias("n_pos"))
+    return folds.select("fold", "n", "n_pos", F.lit(len(res.cv_table)).alias("grid_points"),
+                        *[F.lit(bool(v)).alias(k) for k, v in ok.items()])
+
+
+def q_ml_form_checks(spark, sf_dir):
+    """The approximate Spark ML forms lie within their bounds of the exact operators."""
+    clean = C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.zero_missing), LI.zero_missing)
+    fitted = {r["column"]: r["surrogate"] for r in q_imputer_ml_surrogates(spark, sf_dir).collect()}
+    shares = clean.agg(*[F.struct(F.try_divide(F.count_if(F.col(c) < v), F.count(c)).alias("below"),
+                                  F.try_divide(F.count_if(F.col(c) <= v), F.count(c)).alias("upto")).alias(c)
+                         for c, v in fitted.items()]).first()
+    rows = [(f"median rank of {c}", shares[c]["below"] <= 0.501 and shares[c]["upto"] >= 0.499) for c in fitted]
+    binned, exact = q_auc_binned(spark, sf_dir).first()[0], q_auc_exact(spark, sf_dir).first()[0]
+    rows.append(("binned ROC-AUC", abs(binned - exact) <= 0.002))
+    return spark.createDataFrame(rows, "check string, ok boolean")
+
+
 # ---- vector features (embeddings) -------------------------------------------------
 def q_embedding_group_means(spark, sf_dir):
     from riskwise.operators import vectors
@@ -454,6 +488,16 @@ def q_metrics_json(spark, sf_dir):
     return files.read_metrics_json(spark, path)
 
 
+def q_metrics_document(spark, sf_dir):
+    """The whole comparison document (metrics, linear coefficients, best model), written and read back."""
+    from riskwise.sources import files
+    path = scratch_path(spark, "metrics-document")
+    name, weights, intercept = roles.LINEITEM_SCORERS[0]
+    files.write_metrics_document(EV.metric_table(li_scored_long(spark, sf_dir)), [n for n, _, _ in roles.LINEITEM_SCORERS],
+                                 (name, list(LI.features), [float(w) for w in weights], float(intercept)), path)
+    return files.read_metrics_document(spark, path)
+
+
 def q_predictions_sink(spark, sf_dir):
     """Per-row predictions written as a table and read back."""
     from riskwise.plans.learners import export_predictions
@@ -488,6 +532,7 @@ QUERIES = {
     "confusion": q_confusion,
     "classification_metrics": q_classification_metrics,
     "roc_curve": q_roc_curve,
+    "roc_points": q_roc_points,
     "roc_auc_trapezoid": q_roc_auc_trapezoid,
     "auc_exact": q_auc_exact,
     "auc_binned": q_auc_binned,
@@ -514,11 +559,15 @@ QUERIES = {
     "champion": q_champion,
     "save_load_score": q_save_load_score,
     "lr_coefficients": q_lr_coefficients,
+    "learner_checks": q_learner_checks,
+    "tuning_checks": q_tuning_checks,
+    "ml_form_checks": q_ml_form_checks,
     "embedding_group_means": q_embedding_group_means,
     "embedding_corr": q_embedding_corr,
     "embedding_standardize": q_embedding_standardize,
     "csv_scan": q_csv_scan,
     "schema_ingest": q_schema_ingest,
     "metrics_json": q_metrics_json,
+    "metrics_document": q_metrics_document,
     "predictions_sink": q_predictions_sink,
 }

@@ -23,8 +23,9 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -209,8 +210,75 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    """Load a fitted pipeline; a clear error if it was never trained."""
+    """Load a fitted pipeline; a clear error if it was never trained, any other failure as it is."""
     try:
         return PipelineModel.load(path)
-    except Exception as e:  # noqa: BLE001
+    except Exception as e:  # noqa: BLE001 - the reader's error class depends on the file system
+        if "path does not exist" not in str(e).lower() and "PATH_NOT_FOUND" not in str(e):
+            raise
         raise FileNotFoundError(f"trained model pipeline not found at {path!r}; run training first") from e
+
+
+def check_learner(train: DataFrame, test: DataFrame, name: str, features: Sequence[str], zero_missing: Sequence[str],
+                  label: str, key: str, path: str) -> tuple:
+    """Fit one family at its first grid point, save and load it, score the held-out rows, and check from the rows:
+
+    the surrogates are medians (rank error 0.001), the scaler holds mean and sample deviation of the filled
+    columns, the predicted label follows the score, the loaded pipeline scores every row like the fitted one,
+    and our metrics equal the Spark evaluators'.  Returns the three row counts and the five verdicts.
+    """
+    clf = make_classifier(name, label)
+    prep = prep_pipeline(features, zero_missing)
+    model = Pipeline(stages=prep.getStages() + [clf.copy(param_maps(clf, FULL_GRID[name])[0])]).fit(train)
+    save_model(model, path)
+
+    fill = {r["c"]: r["v"] for r in model.stages[0].surrogateDF.unpivot([], list(zero_missing), "c", "v").collect()} \
+        if zero_missing else {}
+    filled = {c: F.coalesce(F.col(c), F.lit(fill[c])) if c in fill else F.col(c) for c in features}
+    got = train.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.avg(x) for x in filled.values()]).alias("mean"),
+        F.array(*[F.stddev_samp(x) for x in filled.values()]).alias("std"),
+        F.array(*[F.coalesce(F.try_divide(F.count_if(F.col(c) < v), F.count(c)) <= 0.501, F.lit(False))
+                  & (F.try_divide(F.count_if(F.col(c) <= v), F.count(c)) >= 0.499) for c, v in fill.items()],
+                F.lit(True)).alias("medians")).first()
+    scaler = model.stages[-2]
+    close = all(abs(a - b) <= 1e-6 * max(1.0, abs(b)) for have, want in ((scaler.mean, got["mean"]), (scaler.std, got["std"]))
+                for a, b in zip(have.toArray().tolist(), want))
+
+    raw = model.transform(test).persist()
+    try:
+        own = raw.select(F.col(key), F.col(label).cast("int").alias("label"), F.col("prediction").cast("int"),
+                         score_column(raw).alias("p"))
+        loaded = load_model(path).transform(test)
+        other = loaded.select(F.col(key).alias("k2"), F.col("prediction").cast("int").alias("prediction2"),
+                              score_column(loaded).alias("p2")).distinct()
+        rows = own.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos"),
+                       F.count_if((F.col("p") > 0.5) != (F.col("prediction") == 1)).alias("odd")).first()
+        same = own.join(other, (F.col(key) == F.col("k2")) & (F.abs(F.col("p") - F.col("p2")) < 1e-12)
+                        & (F.col("prediction") == F.col("prediction2"))).count()
+        ours = EV.classification_metrics(own, digits=None).first()
+        pairs = [(EV.auc_exact(own, digits=None).first()[0], _auc(raw, label))]
+        for ours_name, theirs in (("accuracy", "accuracy"), ("f1_score", "f1"), ("precision", "weightedPrecision"),
+                                  ("recall", "weightedRecall")):
+            pairs.append((ours[ours_name], MulticlassClassificationEvaluator(labelCol=label, metricName=theirs).evaluate(raw)))
+    finally:
+        raw.unpersist()
+    agree = all(a is not None and abs(a - b) < 1e-6 for a, b in pairs)
+    return (got["n"], rows["n"], rows["pos"], all(got["medians"]), close, rows["odd"] == 0, same == rows["n"], agree)
+
+
+def check_tuning(res: TuneResult, train: DataFrame, features: Sequence[str], label: str) -> dict:
+    """The winner is the first of largest mean AUC; the coefficient table holds the fitted weights; and the
+    ridge objective's gradient, mean((p - y) x) + regParam w, is near zero at them."""
+    aucs = [a for _, a in res.cv_table]
+    winner = res.cv_table[aucs.index(max(aucs))][0] == res.best_params and max(aucs) == res.cv_auc
+    weights = {r["feature"]: r["weight"] for r in coefficients(res.model, features).collect()}
+    rows = res.model.transform(train).select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
+    margin = F.lit(weights["(intercept)"])
+    for i, c in enumerate(features):
+        margin = margin + F.lit(weights[c]) * F.col("x")[i]
+    rows = rows.withColumn("e", C.sigmoid(margin) - F.col("y"))
+    slope = rows.agg(F.avg("e"), *[F.avg(F.col("e") * F.col("x")[i]) for i in range(len(features))]).first()
+    pull = [0.0] + [res.best_params["regParam"] * weights[c] for c in features]
+    return {"winner_ok": winner, "gradient_ok": all(abs(a + b) < 1e-3 for a, b in zip(slope, pull))}

@@ -13,13 +13,14 @@ def _li_filled() -> str:
     li_base AS (
       SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
              nullif(l_discount, 0) AS l_discount, nullif(l_tax, 0) AS l_tax,
+             l_discount AS raw_discount, l_tax AS raw_tax,
              CAST(l_returnflag = 'R' AS INTEGER) AS label
       FROM lineitem),
     li_med AS (
       SELECT quantile_disc(l_discount, 0.5) AS m_disc, quantile_disc(l_tax, 0.5) AS m_tax FROM li_base),
     li_filled AS (
       SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
-             coalesce(l_discount, m_disc) AS l_discount, coalesce(l_tax, m_tax) AS l_tax, label
+             coalesce(l_discount, m_disc) AS l_discount, coalesce(l_tax, m_tax) AS l_tax, label, raw_discount, raw_tax
       FROM li_base, li_med),
     li_stats AS (
       SELECT avg(l_quantity) AS a1, stddev_samp(l_quantity) AS s1,
@@ -28,7 +29,7 @@ def _li_filled() -> str:
              avg(l_tax) AS a4, stddev_samp(l_tax) AS s4
       FROM li_filled),
     li_z AS (
-      SELECT l_orderkey, l_linenumber, label, l_quantity, l_extendedprice, l_discount, l_tax,
+      SELECT l_orderkey, l_linenumber, label, l_quantity, l_extendedprice, l_discount, l_tax, raw_discount, raw_tax,
              (l_quantity - a1) / s1 AS z1, (l_extendedprice - a2) / s2 AS z2,
              (l_discount - a3) / s3 AS z3, (l_tax - a4) / s4 AS z4
       FROM li_filled, li_stats),
@@ -280,11 +281,13 @@ ORACLE = {
     "report_text": f"""
     WITH {_li_filled()}
     SELECT l_orderkey, l_linenumber, concat_ws(chr(10), 'MEASUREMENTS:',
-      {', '.join(f"printf('- {c}: %.2f', {c})" for c in FEATS)},
+      {', '.join(f"coalesce(printf('- {c}: %.2f', {c}), '- {c}: not measured')" for c in FEATS)},
       'OUTCOME:', '- Predictive Diagnostic: ' || {_diag(f'CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER)')},
       '- Confidence Score: ' || printf('%.2f%%', p * 100.0),
+      {', '.join(f"CASE WHEN coalesce({c}, 0) = 0 THEN '- Imputed for scoring: {c}' END" for c in LI.zero_missing)},
       'GUIDANCE:', {_guidance_sql(roles.LINEITEM_GUIDANCE, roles.LINEITEM_GUIDANCE_DEFAULT)}) AS report
-    FROM li_scored""",
+    FROM (SELECT l_orderkey, l_linenumber, p, l_quantity, l_extendedprice, raw_discount AS l_discount,
+                 raw_tax AS l_tax FROM li_scored)""",
     "confusion": f"""
     WITH {_li_filled()}
     SELECT label, CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) AS prediction, count(*) AS n
@@ -294,11 +297,17 @@ ORACLE = {
                                 FROM li_scored), {_cls_sql('sc')}
     SELECT accuracy, precision, recall, f1_score, precision_pos, recall_pos, f1_pos FROM m""",
     "roc_curve": f"WITH {_li_filled()}, {_ROC} SELECT * FROM roc",
+    "roc_points": f"""
+    WITH {_li_filled()}, s AS (SELECT p, sum(label) AS pos, sum(1 - label) AS neg FROM li_scored GROUP BY 1),
+    c AS (SELECT p, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
+                 sum(pos) OVER () AS n_pos, sum(neg) OVER () AS n_neg
+          FROM s WINDOW w AS (ORDER BY p DESC ROWS UNBOUNDED PRECEDING))
+    SELECT round(p, 6) AS threshold, tp, fp, round(tp / n_pos, 6) AS tpr, round(fp / n_neg, 6) AS fpr FROM c""",
     "roc_auc_trapezoid": f"""
     WITH {_li_filled()}, {_ROC},
-    seg AS (SELECT fpr, tpr, lag(fpr, 1, 0.0) OVER (ORDER BY fpr, tpr) AS pf,
-                   lag(tpr, 1, 0.0) OVER (ORDER BY fpr, tpr) AS pt FROM roc)
-    SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc_trapezoid FROM seg""",
+    seg AS (SELECT fp, tp, lag(fp, 1, 0) OVER (ORDER BY fp, tp) AS pf,
+                   lag(tp, 1, 0) OVER (ORDER BY fp, tp) AS pt FROM roc)
+    SELECT round(sum((fp - pf) * (tp + pt) / 2.0) / (CAST(max(fp) AS DOUBLE) * max(tp)), 6) AS auc_trapezoid FROM seg""",
     "auc_exact": f"WITH {_li_filled()}, {_auc_sql('li_scored')} SELECT roc_auc FROM auc",
     "metrics_unpivot": _wide_sql() + """
     SELECT model, metric, score FROM wide
@@ -373,3 +382,30 @@ ORACLE = {
 # sinks read back what the source queries produced
 ORACLE["metrics_json"] = ORACLE["metrics_unpivot"]
 ORACLE["predictions_sink"] = ORACLE["linear_score"]
+
+_w = roles.LINEITEM_SCORERS[0]
+ORACLE["metrics_document"] = _wide_sql() + ", tall AS (SELECT model, metric, score FROM wide UNPIVOT (score FOR metric IN (" \
+    + ", ".join(_METRICS) + f""")))
+    SELECT 'metric' AS section, model AS name, metric AS item, score AS value FROM tall
+    UNION ALL SELECT 'coefficient', '{_w[0]}', item, value FROM (VALUES {
+    ", ".join(f"('{c}', CAST({float(x)} AS DOUBLE))" for c, x in [*zip(FEATS, _w[1]), ("(intercept)", _w[2])])}) t(item, value)
+    UNION ALL SELECT 'meta', model, 'best_roc_auc', roc_auc FROM (
+      SELECT model, roc_auc FROM wide ORDER BY roc_auc DESC, CASE model {_ORDER} END LIMIT 1)"""
+
+_DH = _H.replace("l_orderkey", "doc_id")
+_DOC_TRAIN = (f"d AS (SELECT quality, {_DH} % 100 < 80 AS train, CAST({_DH} % 3 AS INTEGER) AS fold "
+              "FROM documents JOIN labels USING (doc_id))")
+ORACLE["learner_checks"] = f"""
+    WITH {_DOC_TRAIN},
+    g(model, grid_points) AS (VALUES ('LogisticRegression', 9), ('DecisionTree', 3), ('RandomForest', 9),
+                                     ('GradientBoosting', 6), ('SupportVectorMachine', 4))
+    SELECT model, any_value(grid_points) AS grid_points, count_if(train) AS n_train, count_if(NOT train) AS n_test,
+           count_if(NOT train AND quality = 1) AS n_test_pos, true AS surrogates_ok, true AS scaler_ok,
+           true AS prediction_follows_score, true AS reload_agrees, true AS metrics_agree
+    FROM g JOIN d ON true GROUP BY 1"""
+ORACLE["tuning_checks"] = f"""
+    WITH {_DOC_TRAIN}
+    SELECT fold, count(*) AS n, count_if(quality = 1) AS n_pos, 2 AS grid_points, true AS winner_ok, true AS gradient_ok
+    FROM d WHERE train GROUP BY 1"""
+ORACLE["ml_form_checks"] = "SELECT unnest([" + ", ".join(
+    f"'median rank of {c}'" for c in LI.zero_missing) + ", 'binned ROC-AUC']) AS \"check\", true AS ok"

@@ -42,14 +42,20 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
         m = L.test_metrics(r.model, test, name, label)
         metrics = m if metrics is None else metrics.unionByName(m)
     paths = {"model": f"{out_dir}/best_model", "metrics": f"{out_dir}/model_comparison",
-             "predictions": f"{out_dir}/test_predictions", "coefficients": f"{out_dir}/coefficients"}
+             "predictions": f"{out_dir}/test_predictions", "coefficients": f"{out_dir}/coefficients", "document": f"{out_dir}/model_document"}
     L.save_model(results[champion].model, paths["model"])
     files.write_metrics_json(metrics, paths["metrics"])
     pred = L.predictions(results[champion].model, test, label, list(features))
     pred.write.mode("overwrite").parquet(paths["predictions"])
+    linear = None
     if "LogisticRegression" in results:
+        last = results["LogisticRegression"].model.stages[-1]
+        linear = ("LogisticRegression", list(features), [float(w) for w in last.coefficients.toArray()],
+                  float(last.intercept))
         L.coefficients(results["LogisticRegression"].model, features).write.mode("overwrite").parquet(
             paths["coefficients"])
+    files.write_metrics_document(files.read_metrics_json(spark, paths["metrics"]), L.MODEL_ORDER, linear,
+                                 paths["document"])
     train.unpersist()
     test.unpersist()
     return {"champion": champion, **paths}
@@ -59,16 +65,17 @@ def score_records(records: DataFrame, model_path: str,
                   zero_missing: Sequence[str] = roles.CLINICAL_ZERO_MISSING) -> DataFrame:
     """M14 + P8-P15: score every record with the saved pipeline."""
     model = L.load_model(model_path)
-    clean = C.zeros_to_null(files.to_frame(records, roles.SCORING_SCHEMA, strict=False), zero_missing)
-    out = model.transform(clean)
-    p = C.risk_probability(out)
-    guidance = C.guidance_text(roles.CLINICAL_GUIDANCE, roles.CLINICAL_GUIDANCE_DEFAULT)
+    fields = roles.SCORING_SCHEMA.fieldNames()
+    raw = files.to_frame(records, roles.SCORING_SCHEMA, strict=False).withColumn("entered", F.struct(*fields))
+    out = model.transform(C.zeros_to_null(raw, zero_missing))
+    # guidance and report judge and print what was entered, not what scoring filled in
+    out = out.select("entered.*", F.col("prediction").cast("int").alias("prediction"), C.scored_risk(out).alias("p"))
     return out.select(
-        *roles.SCORING_SCHEMA.fieldNames(),
-        F.col("prediction").cast("int").alias("prediction"),
-        p.alias("probability"),
-        C.outcome_word(F.col("prediction").cast("int")).alias("outcome"),
-        C.risk_pct(p, 1).alias("risk_pct"),
-        C.risk_band(p * 100.0).alias("band"),
-        guidance.alias("guidance"),
+        *fields, "prediction", F.col("p").alias("probability"),
+        C.outcome_word("prediction").alias("outcome"),
+        C.risk_pct("p", 1).alias("risk_pct"),
+        C.risk_band(F.col("p") * 100.0).alias("band"),
+        C.guidance_text(roles.CLINICAL_GUIDANCE, roles.CLINICAL_GUIDANCE_DEFAULT).alias("guidance"),
+        C.report_text(roles.CLINICAL_REPORT, roles.CLINICAL_GUIDANCE, roles.CLINICAL_GUIDANCE_DEFAULT,
+                      "prediction", "p", zero_missing).alias("report"),
     )

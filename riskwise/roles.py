@@ -98,6 +98,18 @@ CLINICAL_GUIDANCE_DEFAULT = (
     "- Excellent indicators! Keep up the balanced nutritional choices and active exercise routine."
 )
 
+# Report lines, in display order: (column, name, format, unit).
+CLINICAL_REPORT = (
+    ("Pregnancies", "Pregnancies", "%d", ""),
+    ("Glucose", "Plasma Glucose", "%.1f", "mg/dL"),
+    ("BloodPressure", "Diastolic Blood Pressure", "%.1f", "mm Hg"),
+    ("SkinThickness", "Triceps Skin Fold", "%.1f", "mm"),
+    ("Insulin", "2-Hour Serum Insulin", "%.1f", "mu U/ml"),
+    ("BMI", "Body Mass Index (BMI)", "%.1f", "kg/m^2"),
+    ("DiabetesPedigreeFunction", "Diabetes Pedigree Function", "%.3f", ""),
+    ("Age", "Age", "%d", "Years"),
+)
+
 # Risk bands on the risk percentage: [0, 35) low, [35, 70) moderate, [70, 100] high;
 # alert line at 70.
 BAND_EDGES = (35.0, 70.0)

@@ -6,6 +6,8 @@ between int and double); sinks are distributed writes, never a driver collect.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +49,38 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ()) -> None:
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+METRICS_DOCUMENT = ("models map<string,map<string,double>>, "
+                    "linear struct<model:string,features:array<string>,coefficients:array<double>,intercept:double>, "
+                    "meta struct<best_model_name:string,best_roc_auc:double>")
+
+
+def write_metrics_document(metrics: DataFrame, order: Sequence[str], linear: tuple | None, path: str) -> None:
+    """The whole comparison as one JSON document: every model's metrics, the linear model's
+    (name, features, coefficients, intercept) and the best model with its ROC-AUC.
+
+    The best model is the first in ``order`` of largest ``roc_auc``.  The document has one entry per model and
+    metric and one per feature, so it is built from collected rows.
+    """
+    models: dict = {}
+    for r in metrics.collect():
+        models.setdefault(r["model"], {})[r["metric"]] = r["score"]
+    ranked = [m for m in order if models.get(m, {}).get("roc_auc") is not None]
+    best = max(ranked, key=lambda m: models[m]["roc_auc"], default=None)
+    meta = (best, models[best]["roc_auc"]) if best else None
+    metrics.sparkSession.createDataFrame([(models, linear, meta)], METRICS_DOCUMENT).coalesce(1).write.mode(
+        "overwrite").json(path)
+
+
+def read_metrics_document(spark: SparkSession, path: str) -> DataFrame:
+    """The document as rows (section, name, item, value)."""
+    doc = spark.read.schema(METRICS_DOCUMENT).json(path)
+    scores = (doc.select(F.explode("models").alias("name", "m")).select("name", F.explode("m").alias("item", "value"))
+              .select(F.lit("metric").alias("section"), "name", "item", "value"))
+    weights = doc.where("linear is not null").select(
+        F.lit("coefficient").alias("section"), F.col("linear.model").alias("name"), F.inline(F.concat(
+            F.arrays_zip(F.col("linear.features").alias("item"), F.col("linear.coefficients").alias("value")),
+            F.array(F.struct(F.lit("(intercept)").alias("item"), F.col("linear.intercept").alias("value"))))))
+    best = doc.where("meta is not null").select(
+        F.lit("meta").alias("section"), F.col("meta.best_model_name").alias("name"), F.lit("best_roc_auc").alias("item"),
+        F.col("meta.best_roc_auc").alias("value"))
+    return scores.unionByName(weights).unionByName(best)
