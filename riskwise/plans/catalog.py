@@ -424,6 +424,32 @@ def q_tuning_checks(spark, sf_dir):
                         *[F.lit(bool(v)).alias(k) for k, v in ok.items()])
 
 
+def q_stream_model_score(spark, sf_dir):
+    """T1 with a saved pipeline: every document scored as it arrives, held against the batch scores."""
+    from pyspark.ml import Pipeline
+
+    from riskwise.functions.text import text_features
+    from riskwise.plans import learners as L
+    from riskwise.streaming import feed as ST
+    train, _ = _doc_split(spark, sf_dir)
+    stages = L.prep_pipeline(roles.DOC_FEATURES, DOC_ZERO_MISSING).getStages()
+    path = scratch_path(spark, "stream-model")
+    L.save_model(Pipeline(stages=[*stages, L.make_classifier("LogisticRegression", roles.DOC_LABEL)]).fit(train), path)
+    model = L.load_model(path)
+
+    def scored(docs):
+        rows = text_features(docs.select("doc_id", "text", "n_chars")).drop("text")
+        return L.score_records(model, rows, roles.DOC_FEATURES, DOC_ZERO_MISSING, ["doc_id"])
+
+    docs = table(spark, sf_dir, "documents")
+    source = (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{sf_dir.rstrip('/')}/documents.parquet"))
+    live = spark.read.parquet(ST.append_stream(spark, scored(source), "model-scored"))
+    batch = scored(docs).select("doc_id", F.col("p").alias("batch_p"), F.col("prediction").alias("batch_prediction"))
+    same = (F.abs(F.col("p") - F.col("batch_p")) < 1e-12) & (F.col("prediction") == F.col("batch_prediction"))
+    return live.join(batch, "doc_id", "left").select("doc_id", *roles.DOC_FEATURES, F.coalesce(same, F.lit(False)).alias("agrees"))
+
+
 def q_ml_form_checks(spark, sf_dir):
     """The approximate Spark ML forms lie within their bounds of the exact operators."""
     clean = C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.zero_missing), LI.zero_missing)
@@ -561,6 +587,7 @@ QUERIES = {
     "lr_coefficients": q_lr_coefficients,
     "learner_checks": q_learner_checks,
     "tuning_checks": q_tuning_checks,
+    "stream_model_score": q_stream_model_score,
     "ml_form_checks": q_ml_form_checks,
     "embedding_group_means": q_embedding_group_means,
     "embedding_corr": q_embedding_corr,

@@ -178,6 +178,19 @@ def predictions(model: PipelineModel, df: DataFrame, label: str, keep: Sequence[
                       score_column(out).alias("p"))
 
 
+def score_records(model: PipelineModel, records: DataFrame, features: Sequence[str], zero_missing: Sequence[str],
+                  keep: Sequence[str] = (), clip: dict | None = None) -> DataFrame:
+    """T1 + P8: records, a table or a stream, through clip, zeros to NULL and the saved pipeline.
+
+    Returns the kept columns with the features as entered, ``prediction``, ``p`` (the label itself for a
+    model without a probability) and ``risk_pct``.  It is one projection: no state, no shuffle.
+    """
+    rows = records.select(F.struct(*keep, *[c for c in features if c not in keep]).alias("entered"), *features)
+    out = model.transform(prepare(C.clip_columns(rows, clip) if clip else rows, features, zero_missing))
+    return (out.select("entered.*", F.col("prediction").cast("int").alias("prediction"), C.scored_risk(out).alias("p"))
+            .withColumn("risk_pct", C.risk_pct("p", 1)))
+
+
 def test_metrics(model: PipelineModel, test: DataFrame, name: str, label: str) -> DataFrame:
     """The five held-out metrics of one model, tall (model, metric, score)."""
     pred = predictions(model, test, label).withColumn("model", F.lit(name))

@@ -409,3 +409,5 @@ ORACLE["tuning_checks"] = f"""
     FROM d WHERE train GROUP BY 1"""
 ORACLE["ml_form_checks"] = "SELECT unnest([" + ", ".join(
     f"'median rank of {c}'" for c in LI.zero_missing) + ", 'binned ROC-AUC']) AS \"check\", true AS ok"
+ORACLE["stream_model_score"] = ORACLE["doc_features"].replace("l.quality, ", "").replace(
+    "FROM documents d JOIN labels l USING (doc_id)", ", true AS agrees FROM documents d")

@@ -44,13 +44,17 @@ def _run(query) -> None:
 
 def score_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, sink: str | None = None) -> str:
     """Score every record; append to a parquet sink (exactly-once file sink)."""
-    sink = sink or scratch_path(spark, "feed-scored")
     out = scorer.transform(source).select(
         F.col(roles.FEED_ID), F.col(roles.FEED_KEY).alias("feed_key"), F.col(roles.FEED_TIME).alias("event_time"),
         "tag", "clock", "value", "k", "risk_pct", "diagnosis", "prediction")
-    q = (out.writeStream.format("parquet").option("path", sink)
+    return append_stream(spark, out, "feed-scored", sink)
+
+
+def append_stream(spark: SparkSession, rows: DataFrame, name: str, sink: str | None = None) -> str:
+    """Append a stateless stream to a parquet sink until its source is drained (exactly-once file sink)."""
+    sink = sink or scratch_path(spark, name)
+    _run(rows.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", sink + "-ckpt").trigger(availableNow=True).start())
-    _run(q)
     return sink
 
 

@@ -66,3 +66,29 @@ def test_metrics_document_keeps_the_first_of_equal_models(spark, tmp_path):
             ("metric", "x", "roc_auc", 0.7)} <= got
     files.write_metrics_document(tall.limit(0), ["x"], None, path)
     assert files.read_metrics_document(spark, path).count() == 0
+
+
+def test_saved_pipeline_scores_a_stream_like_a_table(spark, tmp_path):
+    from pyspark.ml import Pipeline
+
+    from riskwise.streaming import feed as ST
+    rows = [(i, float(i % 7), float(i % 5) if i % 4 else 0.0, int(i % 7 > 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int")
+    for name in ("LogisticRegression", "SupportVectorMachine"):
+        model = Pipeline(stages=[*L.prep_pipeline(["a", "b"], ["b"]).getStages(), L.make_classifier(name, "y")]).fit(
+            L.prepare(df, ["a", "b"], ["b"]))
+        odd = df.drop("y").unionByName(spark.createDataFrame([(900, None, 2.0), (901, 99.0, None)], df.drop("y").schema)
+                                       .fillna(3.0, ["a"]))
+        src = str(tmp_path / name)
+        odd.repartition(3).write.parquet(src)
+
+        def score(x):
+            return L.score_records(model, x, ["a", "b"], ["b"], ["id"], {"a": (0.0, 10.0)})
+
+        stream = spark.readStream.schema(odd.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        live = spark.read.parquet(ST.append_stream(spark, score(stream), "t", str(tmp_path / f"{name}-out")))
+        got, want = (sorted(map(tuple, x.collect()), key=lambda r: r[0]) for x in (live, score(odd)))
+        assert got == want and len(got) == 202
+        assert got[-1][1:3] == (99.0, None)          # as entered
+        if name == "SupportVectorMachine":
+            assert {r[-2] for r in got} <= {0.0, 1.0}
