@@ -3,12 +3,19 @@ from riskwise.session import table
 
 from .conftest import SF_SMALL
 
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
 
 def test_both_join_paths_agree(spark):
     docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
-    small = labelled_documents(docs, labels)                     # labels broadcast, join first
-    large = labelled_documents(docs, labels, broadcast_rows=0)   # features first, shuffle join
-    cols = sorted(small.columns)
-    assert cols == sorted(large.columns)
-    assert sorted(small.select(cols).collect()) == sorted(large.select(cols).collect())
-    assert small.count() == labels.join(docs, "doc_id").count()
+    joined = labelled_documents(docs, labels)
+    cols = sorted(joined.columns)
+    small = sorted(joined.select(cols).collect())                # labels under the planner's broadcast threshold
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    try:
+        large = sorted(labelled_documents(docs, labels).select(cols).collect())   # shuffle join
+    finally:
+        spark.conf.set(THRESHOLD, before)
+    assert small == large
+    assert len(small) == labels.join(docs, "doc_id").count()
