@@ -1,11 +1,12 @@
 """LM scoring by cross-entropy difference.
 
 A target and a background model of the same form (interpolated word bigrams over unigrams) share
-one vocabulary: the words that make up at least ``WORD_SHARE`` of all corpus tokens; all others are
+one vocabulary: the words that occur ``FEWEST`` times or more in the corpus; all others are
 one unknown word.  Both are counted over whole texts: the target over documents labelled good, the
-background over all documents.  Bigrams below ``PAIR_SHARE`` of all tokens are left
-to the unigram part.  These shares bound the model's size (a share of s admits at most 1/s
-entries) whatever the input's size, while what is counted follows the input.
+background over all documents.  Bigrams that occur less often than that are left to the unigram part.
+The floor does not rise with the corpus, so the models grow with the input and are never
+held as a whole, neither by the driver nor by a task: rows are dealt into chunks of neighbours,
+n-gram counts are summed by hash bucket, and every bucket sends each chunk the counts of the chunk's own n-grams.
 
 A document's score is the mean per-token loss under the background minus that under the
 target; above 0 the document is more like the target than like the corpus.
@@ -17,107 +18,169 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskwise.session import scratch_path
+
 from . import grams as G
 from . import words as W
 from .quality import LABEL_ROWS, label_table
 
-WORD_SHARE = 2e-6
-PAIR_SHARE = 2e-6
+FEWEST = 2                # occurrences from which an n-gram has an entry of its own, at any corpus size
+WORD_SHARE = 0.0          # no share of the corpus is asked of a word or pair besides
+PAIR_SHARE = 0.0
 BACKOFF = 0.4             # weight of the unigram part
 PRIOR = 1.0               # pseudo-count per unigram, at the background rate, in the target model
 BUCKET_GRAMS = 4_000_000  # partial counts that one merging task holds, on average
+TOKEN_BYTES = 4           # a low guess, for the number of buckets
+CHUNK_BYTES = 16 << 20    # text of the rows that are counted and scored together
+ROW_BYTES = 64            # added for every row, so that empty texts fill chunks too
 
+CELLS = "bucket int, chunk long, key binary, context binary, every binary, target binary"
+PAIRS = "bucket int, chunk long, key binary, every binary, target binary"
+WORDS = "chunk long, key binary, every binary, target binary, every_left binary, target_left binary, sums array<long>"
 
 
-def _known(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
-    if not len(vocabulary):
-        return np.zeros(len(words), dtype=bool)
-    at = np.searchsorted(vocabulary, words)
-    at[at == len(vocabulary)] = 0
-    return vocabulary[at] == words
+def _dealt(batches):
+    """The rows with the number of their chunk: neighbours of one task."""
+    part, held = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        _, offsets = W.text_buffer(batch.column("text"))
+        begin = held + offsets[:-1] + ROW_BYTES * np.arange(len(offsets) - 1)
+        held += int(offsets[-1]) + ROW_BYTES * (len(offsets) - 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((part << 32) + begin // CHUNK_BYTES)],
+                                         [*batch.schema.names, "chunk"])
 
 
-def _partial_counts(buckets: int, vocabulary: np.ndarray | None):
-    """Per chunk of rows and bucket: sorted n-gram hashes with their counts in all and in target rows.
+def _runs(chunk: np.ndarray):
+    """Bounds of the runs of rows of one chunk."""
+    cut = np.flatnonzero(np.diff(chunk)) + 1
+    return zip(np.r_[0, cut].tolist(), np.r_[cut, len(chunk)].tolist()) if len(chunk) else ()
 
-    Words, or with a vocabulary the pairs of its words.
-    """
+
+def _partial_counts(buckets: int, n: int):
+    """Per chunk and bucket: hashes of the words (``n`` = 1) or pairs (2), counted in all and in target rows."""
     def run(batches):
         for batch in batches:
             raw, offsets = W.text_buffer(batch.column("text"))
             chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j in W.row_chunks(offsets):
+            chunk = batch.column("chunk").to_numpy()
+            for i, j in _runs(chunk):
                 words, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 own = np.repeat(chosen[i:j], np.diff(first)).astype(np.int64)
-                before = words
-                if vocabulary is not None:
-                    pairs, at = G.bigram_hashes(words, first)
-                    known = _known(vocabulary, words)
-                    keep = known[at] & known[at + 1]
-                    at = at[keep]
-                    words, own, before = pairs[keep], own[at], words[at]
-                k, c, e, t = G.summed(words, before, np.ones(len(words), np.int64), own)
+                keys = before = words
+                if n == 2:
+                    keys, at = G.bigram_hashes(words, first)
+                    before, own = words[at], own[at]
+                k, c, e, t = G.summed(keys, before, np.ones(len(keys), np.int64), own)
                 home = k % np.uint64(buckets)
-                order = np.argsort(home, kind="stable")
+                order = np.lexsort((c, home))             # equal contexts side by side: they compress
                 cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
-                cols = G.cells([k[order], c[order], e[order].astype(np.uint32), t[order].astype(np.uint32)], cuts)
-                yield G.filled(pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), *cols],
-                                                          ["bucket", "key", "context", "every", "target"]), ["key"])
+                context = c[order] if n == 2 else c[:0]
+                cols = G.cells([k[order], context, e[order].astype(np.uint32), t[order].astype(np.uint32)],
+                               cuts)
+                yield G.filled(pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(buckets, dtype=np.int32)), pa.array(np.full(buckets, chunk[i])), *cols],
+                    ["bucket", "chunk", "key", "context", "every", "target"]), ["key"])
     return run
 
 
-def _merged_counts(floor: float):
+class _Merged:
+    """Sums over the cells of one bucket, and what each cell gets back."""
+
+    def __init__(self, table: pa.Table, floor: float):
+        key = G.uncell(table["key"], np.uint64)
+        self.chunk = table["chunk"].to_numpy()
+        row = np.repeat(np.arange(table.num_rows), pc.binary_length(table["key"]).to_numpy() // 8)
+        self.order = np.argsort(key, kind="stable")
+        key = key[self.order]
+        first = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+        self.start = np.flatnonzero(first)
+        self.key = key[self.start]
+        self.every, self.target = (
+            np.add.reduceat(G.uncell(table[c], np.uint32).astype(np.int64)[self.order], self.start)
+            if len(key) else np.zeros(0, np.int64) for c in ("every", "target"))
+        self.keep = self.every >= floor
+        entry = np.cumsum(first) - 1
+        back = np.flatnonzero(self.keep[entry])
+        row = row[self.order[back]]
+        by_row = np.argsort(row, kind="stable")
+        self.entry = entry[back][by_row]                  # entries per cell, keys ascending
+        self.cuts = np.searchsorted(row[by_row], np.arange(table.num_rows + 1))
+
+    def returned(self, *values: np.ndarray) -> list[pa.Array]:
+        return G.cells([v[self.entry] for v in (self.key, self.every, self.target, *values)], self.cuts)
+
+
+def _merged_pairs(buckets: int, floor: float):
+    """Counts of frequent pairs for the chunks that hold them; sums per first word for the words' buckets."""
     def run(table: pa.Table) -> pa.Table:
-        k, c, e, t = G.summed(
-            G.uncell(table["key"], np.uint64), G.uncell(table["context"], np.uint64),
-            G.uncell(table["every"], np.uint32).astype(np.int64), G.uncell(table["target"], np.uint32).astype(np.int64))
-        keep = e >= floor
-        return pa.table({"key": pa.array(k[keep].view(np.int64)), "context": pa.array(c[keep].view(np.int64)),
-                         "every": pa.array(e[keep]), "target": pa.array(t[keep])})
+        m = _Merged(table, floor)
+        context = G.uncell(table["context"], np.uint64)[m.order][m.start][m.keep]
+        c, _, e, t = G.summed(context, context, m.every[m.keep], m.target[m.keep])
+        home = c % np.uint64(buckets)
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
+        names = ["bucket", "chunk", "key", "every", "target"]
+        to_chunks = pa.RecordBatch.from_arrays(
+            [pa.nulls(len(m.chunk), pa.int32()), pa.array(m.chunk), *m.returned()], names)
+        to_words = pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(buckets, dtype=np.int32)), pa.nulls(buckets, pa.int64()),
+             *G.cells([c[order], e[order], t[order]], cuts)], names)
+        return pa.Table.from_batches([G.filled(to_chunks, ["key"]), G.filled(to_words, ["key"])])
     return run
 
 
-def frequent_grams(rows: DataFrame, tokens: int, share: float, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Sorted hashes of the n-grams holding at least ``share`` of ``tokens``, their first words and both counts.
+def _merged_words(floor: float):
+    """Counts of frequent words, and of the frequent pairs they begin, for the chunks that hold them.
 
-    At most ``1 / share`` entries reach the driver.  With a vocabulary the n-grams are pairs of its words; if
-    its share is no higher, no frequent pair is missed, as both words are at least as frequent.
+    One more row without chunk: tokens and target tokens, then frequent words and their tokens and target tokens.
     """
-    spark = rows.sparkSession
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / BUCKET_GRAMS))
-    found = (rows.mapInArrow(_partial_counts(buckets, vocabulary), "bucket int, key binary, context binary, every binary, target binary")
-             .groupBy("bucket").applyInArrow(_merged_counts(max(2.0, share * tokens)),
-                                             "key long, context long, every long, target long").toArrow())
-    keys = found["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    context = found["context"].to_numpy().view(np.uint64)
-    return keys[order], context[order], found["every"].to_numpy()[order], found["target"].to_numpy()[order]
+    def run(table: pa.Table) -> pa.Table:
+        counted = pc.is_valid(table["chunk"])
+        sums, m = table.filter(pc.invert(counted)), _Merged(table.filter(counted), floor)
+        keys = G.uncell(sums["key"], np.uint64)
+        k, _, e, t = G.summed(keys, keys, G.uncell(sums["every"], np.int64), G.uncell(sums["target"], np.int64))
+        left = np.zeros((2, len(m.key)), np.int64)
+        left[:, np.searchsorted(m.key, k)] = e, t         # both words of a counted pair are counted
+        totals = [m.every.sum(), m.target.sum(), m.keep.sum(), m.every[m.keep].sum(), m.target[m.keep].sum()]
+        names = ["chunk", "key", "every", "target", "every_left", "target_left", "sums"]
+        kind = pa.list_(pa.int64())
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array(m.chunk, pa.int64()), *m.returned(*left), pa.nulls(len(m.chunk), kind)], names)
+        total = pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 5, pa.array([[int(x) for x in totals]], kind)], names)
+        return pa.Table.from_batches([G.filled(rows, ["key"]), total])
+    return run
+
+
+def _unique(cells: pa.Table, columns: list[str]) -> list[np.ndarray]:
+    """The columns of the cells, by ascending key; a key that came twice came with the same counts."""
+    key, at = np.unique(G.uncell(cells["key"], np.uint64), return_index=True)
+    return [key, *(G.uncell(cells[c], np.int64)[at] for c in columns)]
 
 
 class Models:
-    """Losses per unigram and per bigram under both models, over one vocabulary."""
-
-    def __init__(self, words, pairs, tokens: int, target_tokens: int):
-        self.word, _, every, target = words
-        self.pair, context, pair_every, pair_target = pairs
-        rest_every, rest_target = max(tokens - every.sum(), 1), max(target_tokens - target.sum(), 0)
-        every, target = np.r_[every, rest_every].astype(float), np.r_[target, rest_target].astype(float)
-        p = every / every.sum()
-        self.p_every = p
-        self.p_target = (target + PRIOR * p * len(p)) / (target.sum() + PRIOR * len(p))
-        before = self.word_ids(context)
-        self.pair_every, self.left_every = self._conditional(pair_every, every, before)
-        self.pair_target, self.left_target = self._conditional(pair_target, target, before)
-
-    @staticmethod
-    def _conditional(pair: np.ndarray, single: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bigram part of each kept pair's probability, and the weight that every context leaves to unigrams."""
-        part = (1 - BACKOFF) * pair / np.maximum(single[before], 1.0)
-        left = 1 - np.bincount(before, weights=part, minlength=len(single))
-        return part, np.maximum(left, BACKOFF)
+    """Losses under both models, for the words and pairs of one chunk.
+
+    ``sums``: tokens and target tokens of the corpus, words of the vocabulary and their tokens and target tokens.
+    """
+
+    def __init__(self, words, pairs, sums):
+        self.word, every, target, every_left, target_left = words
+        self.pair, *self.pairs = pairs
+        tokens, target_tokens, size, known, target_known = sums
+        every = np.r_[every, max(tokens - known, 1)].astype(float)
+        target = np.r_[target, max(target_tokens - target_known, 0)].astype(float)
+        total, target_total, size = known + every[-1], target_known + target[-1], size + 1
+        p = every / total
+        self.chances = (target + PRIOR * p * size) / (target_total + PRIOR * size), p
+        self.singles = np.maximum(target, 1.0), np.maximum(every, 1.0)
+        self.left = [np.maximum(1 - (1 - BACKOFF) * np.r_[used, 0] / single, BACKOFF)
+                     for used, single in zip((target_left, every_left), self.singles)]
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         """Index of every word in the vocabulary; the last index is the unknown word."""
@@ -139,33 +202,39 @@ class Models:
             known = self.pair[slot] == pairs
         else:
             slot, known = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
-        for p, part, left in ((self.p_target, self.pair_target, self.left_target),
-                              (self.p_every, self.pair_every, self.left_every)):
+        before = ids[at]
+        for p, single, left, pair in zip(self.chances, self.singles, self.left, self.pairs[::-1]):
             chance = p[ids]
             seen = np.zeros(len(pairs))
-            seen[known] = part[slot[known]]
-            chance[at + 1] = seen + left[ids[at]] * chance[at + 1]
+            seen[known] = (1 - BACKOFF) * pair[slot[known]] / single[before[known]]
+            chance[at + 1] = seen + left[before] * chance[at + 1]
             out.append(-np.log(chance))
         return out[0], out[1]
 
 
-def train_models(rows: DataFrame) -> Models:
-    """Both models from (text, target) rows, over all of them."""
-    def totals(batches):
-        every = target = 0
-        for batch in batches:
-            raw, offsets = W.text_buffer(batch.column("text"))
-            chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j in W.row_chunks(offsets):
-                starts, _ = W.word_bounds(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                n = np.diff(np.searchsorted(starts, offsets[i:j + 1] - offsets[i]))
-                every, target = every + int(n.sum()), target + int(n[chosen[i:j]].sum())
-        yield pa.RecordBatch.from_arrays([pa.array([every]), pa.array([target])], ["every", "target"])
+def model_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, ...]]:
+    """Counts of the frequent pairs and words, by chunk that holds them, and the sums of ``Models``.
+
+    From (text, target, chunk) rows; the counts are written in the shared folder.
+    """
+    spark = rows.sparkSession
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tokens = size / TOKEN_BYTES
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / BUCKET_GRAMS))
 
-    n = rows.mapInArrow(totals, "every long, target long").agg(F.sum("every"), F.sum("target")).first()
-    tokens, target = n[0] or 0, n[1] or 0
-    words = frequent_grams(rows, tokens, WORD_SHARE)
-    return Models(words, frequent_grams(rows, tokens, PAIR_SHARE, words[0]), tokens, target)
+    def written(cells: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        cells.write.option("compression", "zstd").parquet(path)
+        return spark.read.parquet(path)
+
+    pairs = written(rows.mapInArrow(_partial_counts(buckets, 2), CELLS).groupBy("bucket")
+                    .applyInArrow(_merged_pairs(buckets, FEWEST), PAIRS), "lm-pairs")
+    words = rows.mapInArrow(_partial_counts(buckets, 1), CELLS).drop("context").unionByName(
+        pairs.where("chunk is null"))
+    words = written(words.groupBy("bucket").applyInArrow(_merged_words(FEWEST), WORDS), "lm-words")
+    sums = words.where("chunk is null").agg(*(F.sum(F.col("sums")[i]) for i in range(5))).first()
+    return pairs.where("chunk is not null").drop("bucket"), words.where("chunk is not null").drop("sums"), tuple(
+        x or 0 for x in sums)
 
 
 def lm_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,29 +244,37 @@ def lm_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     Repeated rows score alike.  Without labelled-good documents the target falls back to the background
     unigrams.  Other columns are ignored; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
     marks = label_table(labels, id_col).where("good").select("label_id", "good")
     few = marks.count() <= LABEL_ROWS
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = base.join(F.broadcast(marks) if few else marks, F.col("id") == F.col("label_id"), "left").select(
-        "text", F.coalesce("good", F.lit(False)).alias("target"))
-    shared = docs.sparkSession.sparkContext.broadcast(train_models(rows))
-
-    def run(batches):
-        models = shared.value
-        for batch in batches:
-            raw, offsets = W.text_buffer(batch.column("text"))
-            parts = []
-            for i, j in W.row_chunks(offsets):
-                words, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                target, background = models.losses(words, first)
-                parts.append((np.diff(first), G.row_sums(target, first), G.row_sums(background, first)))
-            n, a, b = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
-            none = n == 0
-            n1 = np.maximum(n, 1)
-            cols = [pa.array(np.round(x / n1, 6).astype(float), mask=none) for x in (a, b, b - a)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n.astype(np.int64)), *cols],
-                                             ["id", "n_tokens", "loss_target", "loss_background", "score"])
-
     kind = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(run, f"id {kind}, n_tokens long, loss_target double, loss_background double, score double"
-                           ).withColumnRenamed("id", id_col)
+    rows = base.join(F.broadcast(marks) if few else marks, F.col("id") == F.col("label_id"), "left").select(
+        "id", "text", F.coalesce("good", F.lit(False)).alias("target"))
+    path = scratch_path(spark, "lm-rows")                 # chunks must not change between the passes
+    rows.mapInArrow(_dealt, f"id {kind}, text string, target boolean, chunk long").write.option(
+        "compression", "zstd").parquet(path)
+    rows = spark.read.parquet(path)
+    pairs, words, sums = model_cells(rows.select("text", "target", "chunk"))
+
+    def run(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        of_words = pc.is_valid(cells["every_left"])
+        models = Models(_unique(cells.filter(of_words), ["every", "target", "every_left", "target_left"]),
+                        _unique(cells.filter(pc.invert(of_words)), ["every", "target"]), sums)
+        raw, offsets = W.text_buffer(rows["text"])
+        parts = []
+        for i, j in W.row_chunks(offsets):
+            hashes, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            target, background = models.losses(hashes, first)
+            parts.append((np.diff(first), G.row_sums(target, first), G.row_sums(background, first)))
+        n, a, b = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        none = n == 0
+        n1 = np.maximum(n, 1)
+        cols = [pa.array(np.round(x / n1, 6).astype(float), mask=none) for x in (a, b, b - a)]
+        return pa.Table.from_arrays([rows["id"], pa.array(n.astype(np.int64)), *cols],
+                                    ["id", "n_tokens", "loss_target", "loss_background", "score"])
+
+    cells = words.unionByName(pairs, allowMissingColumns=True)
+    return (rows.select("chunk", "id", "text").groupBy("chunk").cogroup(cells.groupBy("chunk"))
+            .applyInArrow(run, f"id {kind}, n_tokens long, loss_target double, loss_background double, score double")
+            .withColumnRenamed("id", id_col))

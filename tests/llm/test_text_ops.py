@@ -335,6 +335,21 @@ def test_lm_scores_match_python(spark, edge):
     assert lm_score.lm_scores(edge.limit(0), labels).count() == 0
 
 
+def test_lm_counts_keep_rare_words_of_a_large_corpus(spark):
+    """1.6 M tokens: a floor of 2e-6 of them would leave every n-gram that occurs twice to the unknown word."""
+    filler = spark.range(100, numPartitions=5).selectExpr("id", "repeat('filler ', 16000) as text")
+    rare = spark.range(200, 202, numPartitions=2).selectExpr("id", "'seldom seen words' as text")
+    labels = spark.createDataFrame([(200, 1, 0), (0, 1, 0)], "id long, quality int, toxic int")
+    got = {r["id"]: r for r in lm_score.lm_scores(filler.unionByName(rare), labels, "id").collect()}
+    n, nt, size = 1_600_006, 16_003, 5
+    p = 2 / (n + 1)                                       # one token stands for the unknown word
+    pt = (1 + lm_score.PRIOR * p * size) / (nt + lm_score.PRIOR * size)
+    assert len(got) == 102
+    for i in (200, 201):
+        assert got[i]["loss_background"] == pytest.approx(-(np.log(p) + 2 * np.log(0.6 + 0.4 * p)) / 3, abs=2e-6)
+        assert got[i]["loss_target"] == pytest.approx(-(np.log(pt) + 2 * np.log(0.6 + 0.4 * pt)) / 3, abs=2e-6)
+
+
 def sellers(pattern, text):
     """Least edits of an occurrence of ``pattern`` anywhere in ``text``."""
     row = np.zeros(len(text) + 1, dtype=int)
