@@ -21,6 +21,7 @@ SEED = 20_000
 CHUNK = 64                # texts whose trigram counts are multiplied at once
 CHUNK_CHARS = 400_000
 TABLE = 1 << 15           # trigram vectors that a worker keeps
+BLOCK = 1 << 13           # distinct trigrams whose counts and vectors are multiplied at once, at most TABLE
 SCALE = 1 << 20           # sums are taken over integers: the same for any task order
 MAX_LANGUAGES = 10_000    # prototypes are shipped to the tasks, 4 KB each
 
@@ -44,18 +45,18 @@ def trigram_vector(code: int, dim: int = DIM) -> np.ndarray:
 
 
 class Vectors:
-    """Vectors of trigram codes seen by this worker, in one growing matrix of bounded size."""
+    """Vectors of trigram codes seen by this worker, in one growing matrix of at most ``TABLE`` rows."""
 
     def __init__(self, dim: int):
         self.dim, self.rows, self.at = dim, np.empty((0, dim), np.int8), {}
 
     def take(self, codes: list[int]) -> np.ndarray:
         missing = [c for c in codes if c not in self.at]
-        if len(self.at) + len(missing) > max(TABLE, len(codes)):
+        if len(self.at) + len(missing) > TABLE:
             self.at, missing = {}, codes
         need = len(self.at) + len(missing)
         if need > len(self.rows):
-            grown = np.empty((max(need, 2 * len(self.rows)), self.dim), np.int8)
+            grown = np.empty((min(max(need, 2 * len(self.rows)), TABLE), self.dim), np.int8)
             grown[:len(self.rows)] = self.rows
             self.rows = grown
         for c in missing:
@@ -90,12 +91,12 @@ def letters_of(text: str) -> np.ndarray:
     return s[keep]
 
 
-def trigram_counts(texts: list[str]) -> tuple[list[int], np.ndarray]:
-    """Codes of the distinct trigrams, and a (texts x codes) matrix of counts."""
+def trigram_places(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the distinct trigrams; text and index of its code of every trigram."""
     rows = [letters_of(t) for t in texts]
     lengths = np.array([max(0, len(r) - 2) for r in rows])
     if not lengths.sum():
-        return [], np.zeros((len(texts), 0), np.float32)
+        return (np.zeros(0, np.int64),) * 3
     joined = np.concatenate(rows)
     alphabet = np.flatnonzero(np.bincount(joined)) if joined.max() < 1 << 16 else np.unique(joined)
     k = len(alphabet)
@@ -115,9 +116,36 @@ def trigram_counts(texts: list[str]) -> tuple[list[int], np.ndarray]:
         at = place[code]
     else:
         used, at = np.unique(code, return_inverse=True)
-    counts = np.bincount(doc * len(used) + at, minlength=len(texts) * len(used)).reshape(len(texts), len(used))
-    abc = alphabet[used // k ** 2].tolist(), alphabet[used // k % k].tolist(), alphabet[used % k].tolist()
-    return [a << 42 | b << 21 | c for a, b, c in zip(*abc)], counts.astype(np.float32)
+    abc = alphabet[used // k ** 2], alphabet[used // k % k], alphabet[used % k]
+    a, b, c = (x.astype(np.int64) for x in abc)
+    return a << 42 | b << 21 | c, doc, at
+
+
+def trigram_counts(texts: list[str]) -> tuple[list[int], np.ndarray]:
+    """Codes of the distinct trigrams, and a (texts x codes) matrix of counts."""
+    codes, doc, at = trigram_places(texts)
+    counts = np.bincount(doc * len(codes) + at, minlength=len(texts) * len(codes)).reshape(len(texts), len(codes))
+    return codes.tolist(), counts.astype(np.float32)
+
+
+def trigram_sums(texts: list[str], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the vectors of every text's trigrams, as whole numbers, and trigrams per text.
+
+    Only ``BLOCK`` vectors are held at once, however many distinct trigrams there are.
+    """
+    codes, doc, at = trigram_places(texts)
+    n = np.bincount(doc, minlength=len(texts))
+    kind = np.float32 if n.max(initial=0) < 1 << 24 else np.float64   # exact up to there
+    out = np.zeros((len(texts), dim), kind)
+    if len(codes) > BLOCK:
+        order = np.argsort(at, kind="stable")
+        doc, at = doc[order], at[order]
+    for a in range(0, len(codes), BLOCK):
+        some = codes[a:a + BLOCK].tolist()
+        i, j = (0, len(at)) if len(codes) <= BLOCK else np.searchsorted(at, [a, a + BLOCK])
+        counts = np.bincount(doc[i:j] * len(some) + at[i:j] - a, minlength=len(texts) * len(some))
+        out += counts.reshape(len(texts), len(some)).astype(kind) @ vectors(dim).take(some)
+    return out, n
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -138,10 +166,9 @@ def _bundles(dim: int):
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for i, j in chunks(texts):
-                codes, counts = trigram_counts([t or "" for t in texts[i:j]])
-                if codes:
-                    share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-                    found = np.rint(share @ vectors(dim).take(codes) * SCALE).astype(np.int64)
+                sums, n = trigram_sums([t or "" for t in texts[i:j]], dim)
+                if n.any():
+                    found = np.rint(sums / np.maximum(n, 1)[:, None] * SCALE).astype(np.int64)
                     for lang, row in zip(langs[i:j], found):
                         total[lang] = total.get(lang, 0) + row
         if total:
@@ -174,14 +201,13 @@ def predict_texts(texts: list[str | None], names: list[str], prototypes: np.ndar
     if not names:
         return lang, score
     for i, j in chunks(texts):
-        codes, counts = trigram_counts([t or "" for t in texts[i:j]])
-        if not codes:
+        bundle, n = trigram_sums([t or "" for t in texts[i:j]], prototypes.shape[1])
+        if not n.any():
             continue
-        bundle = counts @ vectors(prototypes.shape[1]).take(codes)
         norm = np.linalg.norm(bundle, axis=1)
         cosine = (bundle @ prototypes.T) / np.where(norm == 0, 1, norm)[:, None]
         best = cosine.argmax(axis=1)
-        for d in np.flatnonzero(counts.sum(axis=1)).tolist():
+        for d in np.flatnonzero(n).tolist():
             lang[i + d] = names[best[d]]
             score[i + d] = float(min(1.0, max(0.0, cosine[d, best[d]])))
     return lang, score

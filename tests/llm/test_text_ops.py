@@ -222,6 +222,20 @@ def test_trigram_vectors_are_bound_products():
     assert counts.sum(axis=1).tolist() == [5, 0, 5] and (counts[0] == counts[2]).all() and len(codes) == 3
 
 
+def test_language_vectors_stay_bounded():
+    """A text with more distinct trigrams than a worker keeps vectors of."""
+    text = "".join(map(chr, np.random.default_rng(3).integers(0x4E00, 0x9FA0, 40_000)))
+    sums, n = language_id.trigram_sums(["ab ab", text, ""], 64)
+    letters = language_id.letters_of(text)
+    assert n.tolist() == [5, 40_000, 0] and len(language_id.trigram_places([text])[0]) > language_id.TABLE
+    v = np.array([language_id.letter_vector(c, 64) for c in letters.tolist()]).astype(int)
+    whole = (np.roll(v[:-2], 2, axis=1) * np.roll(v[1:-1], 1, axis=1) * v[2:]).sum(axis=0)
+    assert (sums[1] == whole).all() and not sums[2].any()
+    assert len(language_id.vectors(64).rows) <= language_id.TABLE
+    lang, score = language_id.predict_texts([text], ["a", "z"], np.array([-sums[1], sums[1]], np.float32) / np.linalg.norm(sums[1]))
+    assert lang == ["z"] and score[0] == pytest.approx(1, abs=1e-5)
+
+
 def brute_quality(text):
     w = WORD.findall(text or "")
     seen, dup = set(), 0
