@@ -25,8 +25,8 @@ from .graph import saved
 
 UNIGRAMS, BIGRAMS = 1 << 20, 1 << 17
 BUCKETS = UNIGRAMS + BIGRAMS
-PRIOR = 20.0
-SIGMA = 4.0               # deviations from the expected target count below this many are chance
+PRIOR = 0.5               # counts: a word's absence from the target must tell in small tables too
+SIGMA = 2.0               # deviations from the expected target count below this many are chance
 LEAST = math.log(2)       # ratios nearer to 0 than this count as 0
 MAX_LOST = 0.02           # share of the labelled good documents that the threshold may drop
 BINS = 4000               # of the score histogram that sets the threshold

@@ -295,6 +295,15 @@ def test_quality_drops_junk_and_keeps_good(spark):
     assert np.mean(good) >= 0.97 and np.mean(junk) <= 0.1
 
 
+def test_quality_drops_toxic_documents_of_a_small_table(spark):
+    """1,000 documents: an expected target count of a few must be enough for a word's absence to tell."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.quality_verdicts(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id").where(
+        "not base_failed and toxic = 1").collect()
+    assert len(rows) > 30 and np.mean([r["kept"] for r in rows]) <= 0.3
+
+
 def test_lm_scores_match_python(spark, edge):
     d, labels = docs(spark), spark.read.parquet(f"{SF}/labels.parquet")
     extra = spark.createDataFrame([(9000 + i, t, "en", "s", 0) for i, t in enumerate(EDGE_TEXTS)], d.schema)
