@@ -249,12 +249,19 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def with_known_language(docs: DataFrame, names: list[str], prototypes: np.ndarray, text_col: str = "text") -> DataFrame:
-    """The rows, all columns, that ``identify`` would not call ``und``."""
+    """The rows, all columns, whose text has letters.
+
+    Those are the rows that ``identify`` would not call ``und``; where no language was learned they stay too.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            lang, _ = predict_texts(batch.column(at).to_pylist(), names, prototypes)
-            yield batch.filter(pa.array([x != "und" for x in lang], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if names:
+                keep = [x != "und" for x in predict_texts(texts, names, prototypes)[0]]
+            else:
+                keep = [len(letters_of(t or "")) > 0 for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -176,6 +176,13 @@ def test_pipeline_keeps_clean_documents_and_packs_them(spark):
         assert r["doc_tokens"] == len(tok.encode(clean, add_special_tokens=False).ids) + 1
 
 
+def test_pipeline_keeps_documents_without_any_language(spark):
+    rows = [(1, "clean text", None), (2, None, None), (3, "", None), (4, " 12 ! ", None), (5, "\u65e5\u672c", None), (None, "a", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, d, SF)
+    assert kept.columns == d.columns and {r["doc_id"] for r in kept.collect()} == {1, 5, None}
+
+
 def test_nothing_else_imports_the_subpackage():
     for f in (ROOT / "riskwise").rglob("*.py"):
         if "llm" not in f.relative_to(ROOT).parts:
