@@ -300,10 +300,12 @@ def variants(source: str, seed: int) -> Iterator[tuple[str, str]]:
 
 
 def training_rows(pages: DataFrame, html_col: str, sample_pages: int) -> DataFrame:
-    """(label, features) of the nodes of the ``sample_pages`` pages of smallest hash."""
+    """(label, features) of the nodes of the ``sample_pages`` distinct pages of smallest hash."""
     h = F.xxhash64(F.col(html_col))
-    sample = (pages.where(F.length(html_col) <= SAMPLE_CHARS).select(F.col(html_col).alias("html"), h.alias("h"))
-              .orderBy("h", "html").limit(sample_pages).repartition(8))
+    rows = pages.where(F.length(html_col) <= SAMPLE_CHARS).select(F.col(html_col).alias("html"), h.alias("h"))
+    least = rows.select("h").distinct().orderBy("h").limit(sample_pages)       # only hashes are shuffled
+    sample = (rows.join(F.broadcast(least), "h", "left_semi").groupBy("h").agg(F.min("html").alias("html"))
+              .orderBy("h").limit(sample_pages).repartition(8).select("html", "h"))
 
     def run(batches):
         for batch in batches:

@@ -70,6 +70,17 @@ def test_decoding_allows_no_kept_node_below_a_rejected_one(trees):
     assert all(keep[p.parent[i]] or not keep[i] for i in range(1, len(p.tag)))
 
 
+def test_copies_of_a_page_do_not_fill_the_training_sample(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("html")
+    first = pages.orderBy(F.xxhash64("html")).limit(1)
+    copies = pages.unionByName(first.crossJoin(spark.range(50)).select("html"))
+
+    def rows(p):
+        return sorted((r["label"], tuple(r["features"])) for r in html_extract.training_rows(p, "html", 5).collect())
+
+    assert rows(copies) == rows(pages) and len(rows(pages)) > 0
+
+
 def test_extraction_edges(spark, trees):
     assert html_extract.extract_many([None, "", "<p", "</p></div>", "<!-- x"], trees)[:2] == ["", ""]
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
