@@ -136,16 +136,16 @@ ORACLE = {
         FROM r WHERE score > 0 QUALIFY rank <= 50""",
     # every window of 35 words is written out and counted: no anchors
     "op12_substring_dedup": r"""
-        WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS no, doc_id,
                           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-        p AS (SELECT row, words, unnest(range(1, len(words) - 33)) AS at FROM d WHERE len(words) >= 35),
-        w AS (SELECT row, at, count(*) OVER (PARTITION BY array_to_string(words[at:at + 34], ' ')) AS n FROM p),
-        gone AS (SELECT row, list(DISTINCT i) AS gone FROM (SELECT row, unnest(range(at, at + 35)) AS i FROM w WHERE n > 1)
-                 GROUP BY row)
+        p AS (SELECT no, words, unnest(range(1, len(words) - 33)) AS pos FROM d WHERE len(words) >= 35),
+        w AS (SELECT no, pos, count(*) OVER (PARTITION BY array_to_string(words[pos:pos + 34], ' ')) AS n FROM p),
+        gone AS (SELECT no, list(DISTINCT i) AS gone FROM (SELECT no, unnest(range(pos, pos + 35)) AS i FROM w WHERE n > 1)
+                 GROUP BY no)
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
                sha256(coalesce(array_to_string(
                    list_filter(words, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' '), '')) AS kept_sha256
-        FROM d LEFT JOIN gone ON d.row = gone.row""",
+        FROM d LEFT JOIN gone ON d.no = gone.no""",
     "op13_hard_negatives": """
         WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
