@@ -12,6 +12,7 @@ import json
 from pyspark.sql import SparkSession
 
 from riskwise import roles
+from riskwise.operators import quarantine
 from riskwise.plans import workflow
 from riskwise.sources import files
 
@@ -41,6 +42,7 @@ def main(argv=None) -> None:
     s.add_argument("model_dir")
     s.add_argument("csv")
     s.add_argument("out")
+    s.add_argument("--rejects", help="folder for records that cannot be scored (default: OUT-rejects)")
     a = ap.parse_args(argv)
     spark = _session()
     if a.cmd == "train":
@@ -49,9 +51,12 @@ def main(argv=None) -> None:
         grid = L.FULL_GRID if a.grid == "full" else L.WALKTHROUGH_GRID
         print(json.dumps(workflow.train_and_select(spark, df, a.out_dir, grid=grid)))
     else:
-        recs = files.read_csv(spark, a.csv, roles.SCORING_SCHEMA)
-        workflow.score_records(recs, a.model_dir).write.mode("overwrite").parquet(a.out)
-        print(json.dumps({"scored": a.out}))
+        recs = files.read_csv_records(spark, a.csv, roles.SCORING_SCHEMA)
+        rejects = a.rejects or a.out.rstrip("/") + "-rejects"
+        good, bad = quarantine.split(recs, workflow.SCORING_CHECK)
+        bad.write.mode("overwrite").parquet(rejects)
+        workflow.score_records(good, a.model_dir).write.mode("overwrite").parquet(a.out)
+        print(json.dumps({"scored": a.out, "rejects": rejects}))
 
 
 if __name__ == "__main__":

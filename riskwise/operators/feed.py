@@ -49,8 +49,9 @@ class FeedScorer:
         return cls({c: row[f"m{i}"] for i, c in enumerate(features)},
                    {c: row[f"s{i}"] for i, c in enumerate(features)}, clip=dict(clip))
 
-    def transform(self, events: DataFrame) -> DataFrame:
-        x = C.clip_columns(with_k(events), self.clip)
+    def transform(self, events: DataFrame, extract: bool = True) -> DataFrame:
+        """Adds the scores; ``extract=False`` takes the features as they are, instead of ``k`` from ``props``."""
+        x = C.clip_columns(with_k(events) if extract else events, self.clip)
         scaled = ScaleModel(self.mean, self.std, suffix="__z")  # a constant feature scales to 0
         x = scaled.transform(x)
         z = [F.col(f"{c}__z") for c in self.mean]

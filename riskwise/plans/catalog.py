@@ -13,7 +13,7 @@ from riskwise import roles
 from riskwise.functions import columns as C
 from riskwise.operators import evaluate as EV
 from riskwise.operators import feed as FD
-from riskwise.operators import quality, split, stats
+from riskwise.operators import quality, quarantine, split, stats
 from riskwise.operators.prep import fit_impute, fit_scale
 from riskwise.operators.score import LinearRisk, band_summary
 from riskwise.session import scratch_path, table
@@ -305,6 +305,19 @@ def q_stream_score(spark, sf_dir):
     return spark.read.parquet(ST.score_stream(spark, src, scorer)).select(*FEED_COLS)
 
 
+def q_quarantine_stream(spark, sf_dir):
+    """Events with faults by id arrive in a stream; every one ends up scored or rejected with its reasons."""
+    ST, scorer, src = _stream_setup(spark, sf_dir)
+    fault = F.col("event_id") % 30
+    bad = src.withColumns({
+        "value": F.when(fault == 0, None).when(fault == 1, float("nan")).when(fault == 4, float("inf")).otherwise(F.col("value")),
+        "props": F.when(fault.isin(2, 4), F.lit("no json")).otherwise(F.col("props")),
+        "ts": F.when(fault == 3, None).otherwise(F.col("ts"))})
+    rows = quarantine.read_checked(spark, ST.score_stream_checked(spark, bad, scorer))
+    return rows.select("event_id", F.col(roles.FEED_KEY).alias("feed_key"), "accepted",
+                       F.concat_ws("; ", "reasons").alias("reasons"), "risk_pct", "diagnosis", "clock")
+
+
 def q_stream_last20(spark, sf_dir):
     ST, scorer, src = _stream_setup(spark, sf_dir)
     out = ST.read_last_n(spark, ST.last_n_stream(spark, src, scorer))
@@ -495,6 +508,46 @@ def q_csv_scan(spark, sf_dir):
     return quality.kpis(back, "label", ["l_quantity", "l_discount"], LI.zero_missing)
 
 
+def faulty_lines(li: DataFrame) -> DataFrame:
+    """lineitem measurements as CSV lines, with a fault in every fifth one or so, chosen by the row's key."""
+    fault = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 40
+
+    def field(c, **bad):
+        out = F.col(c).cast("string")
+        for text, numbers in bad.items():
+            out = F.when(fault.isin(*numbers), F.lit(FAULT_TEXTS[text])).otherwise(out)
+        return F.coalesce(out, F.lit(""))
+
+    fields = [field("l_orderkey"), field("l_linenumber"), field("l_quantity", missing=[0], text=[3]),
+              field("l_extendedprice", missing=[3], nan=[1], infinite=[5]), field("l_discount", text=[2]),
+              field("l_tax", missing=[4], nan=[6])]
+    return li.select(F.concat(F.concat_ws(",", *fields), F.when(fault == 7, F.lit(",extra")).otherwise(F.lit(""))).alias("value"))
+
+
+#: What a faulty field holds.
+FAULT_TEXTS = {"missing": "", "text": "12x", "nan": "NaN", "infinite": "Infinity"}
+
+
+def q_quarantine_batch(spark, sf_dir):
+    """CSV records with faults by key; good ones are scored, bad ones kept with their reasons."""
+    from pyspark.sql import types as T
+
+    from riskwise.sources import files
+    li = lineitem(spark, sf_dir)
+    path, out = scratch_path(spark, "faulty-csv"), scratch_path(spark, "checked")
+    faulty_lines(li).write.text(path)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())]
+                          + [T.StructField(c, T.DoubleType()) for c in LI.features])
+    records = files.read_csv_records(spark, path, schema, header=False)
+    model = LinearRisk.for_role(li, LI)
+    quarantine.write_checked(quarantine.scored(records, quarantine.Check(schema, LI.zero_missing),
+                               lambda rows: model.transform(rows).select("kept", "p", "prediction"), ["p", "prediction"]), out)
+    rows = quarantine.read_checked(spark, out)
+    return rows.select(F.col("entered.l_orderkey").cast("long").alias("l_orderkey"),
+                       F.col("entered.l_linenumber").cast("int").alias("l_linenumber"), "accepted",
+                       F.concat_ws("; ", "reasons").alias("reasons"), F.round("p", 6).alias("p"), "prediction")
+
+
 def q_schema_ingest(spark, sf_dir):
     """Enforce a scoring-record schema on raw rows."""
     from pyspark.sql import types as T
@@ -573,6 +626,8 @@ QUERIES = {
     "timeline": q_timeline,
     "feed_kpis": q_feed_kpis,
     "stream_score": q_stream_score,
+    "quarantine_batch": q_quarantine_batch,
+    "quarantine_stream": q_quarantine_stream,
     "stream_last20": q_stream_last20,
     "stream_trend": q_stream_trend,
     "doc_features": q_doc_features,

@@ -411,3 +411,29 @@ ORACLE["ml_form_checks"] = "SELECT unnest([" + ", ".join(
     f"'median rank of {c}'" for c in LI.zero_missing) + ", 'binned ROC-AUC']) AS \"check\", true AS ok"
 ORACLE["stream_model_score"] = ORACLE["doc_features"].replace("l.quality, ", "").replace(
     "FROM documents d JOIN labels l USING (doc_id)", ", true AS agrees FROM documents d")
+
+# records with faults by key: what scoring needs decides, one reason per field, in field order
+_W = LI.weights
+ORACLE["quarantine_batch"] = f"""
+    WITH {_li_filled()},
+    f AS (SELECT l_orderkey, l_linenumber, (l_orderkey * 7 + l_linenumber) % 40 AS f, z1, z2, z3,
+                 CASE WHEN (l_orderkey * 7 + l_linenumber) % 40 IN (4, 6) THEN (m_tax - a4) / s4 ELSE z4 END AS z4
+          FROM li_z, li_stats, li_med),
+    r AS (SELECT *, concat_ws('; ', CASE WHEN f = 7 THEN 'malformed line' END,
+                              CASE f WHEN 0 THEN 'l_quantity: missing' WHEN 3 THEN 'l_quantity: not double' END,
+                              CASE f WHEN 1 THEN 'l_extendedprice: NaN' WHEN 3 THEN 'l_extendedprice: missing'
+                                     WHEN 5 THEN 'l_extendedprice: not finite' END,
+                              CASE WHEN f = 2 THEN 'l_discount: not double' END) AS reasons,
+                 1.0 / (1.0 + exp(-({LI.intercept} + {_W[0]} * z1 + {_W[1]} * z2 + {_W[2]} * z3 + {_W[3]} * z4))) AS p FROM f)
+    SELECT l_orderkey, l_linenumber, reasons = '' AS accepted, reasons, CASE WHEN reasons = '' THEN round(p, 6) END AS p,
+           CASE WHEN reasons = '' THEN CAST(p > {roles.DECISION_THRESHOLD} AS INTEGER) END AS prediction
+    FROM r"""
+ORACLE["quarantine_stream"] = f"""
+    WITH {_feed_sql()},
+    r AS (SELECT *, concat_ws('; ', CASE WHEN ts IS NULL OR event_id % 30 = 3 THEN 'ts: missing' END,
+                              CASE event_id % 30 WHEN 0 THEN 'value: missing' WHEN 1 THEN 'value: NaN'
+                                                 WHEN 4 THEN 'value: not finite' END,
+                              CASE WHEN event_id % 30 IN (2, 4) OR k IS NULL THEN 'k: missing' END) AS reasons FROM feed)
+    SELECT event_id, feed_key, reasons = '' AS accepted, reasons, CASE WHEN reasons = '' THEN risk_pct END AS risk_pct,
+           CASE WHEN reasons = '' THEN diagnosis END AS diagnosis, CASE WHEN reasons = '' THEN clock END AS clock
+    FROM r"""

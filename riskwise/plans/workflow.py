@@ -14,10 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskwise import roles
 from riskwise.functions import columns as C
 from riskwise.operators import evaluate as EV
+from riskwise.operators import quarantine as QR
 from riskwise.operators import split as SP
 from riskwise.plans import learners as L
 from riskwise.sources import files
@@ -28,7 +30,15 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
                      zero_missing: Sequence[str] = roles.CLINICAL_ZERO_MISSING,
                      label: str = roles.CLINICAL_LABEL, key: Sequence[str] | None = None,
                      grid: dict = L.FULL_GRID, test_pct: int = 20) -> dict:
-    """Returns paths and the champion name; every artefact is a distributed write."""
+    """Returns paths and the champion name; every artefact is a distributed write.
+
+    Rows that cannot be trained on (a feature that is not imputed or a label missing, text for a number)
+    are written to ``rejected_rows`` with their reasons and take no part.
+    """
+    check = training_check(df, features, zero_missing, label)
+    rows, paths = QR.checked(df, check, [c for c in key or () if c not in check.schema.names]), {"rejects": f"{out_dir}/rejected_rows"}
+    rows.where("not accepted").select("entered.*", "reasons").write.mode("overwrite").parquet(paths["rejects"])
+    df = rows.where("accepted").drop("accepted", "entered", "reasons")
     key = list(key) if key else list(features) + [label]  # no id column: hash the whole record
     data = SP.hash_split(L.prepare(df, features, zero_missing), key, test_pct)
     train, test = data.where("split = 'train'").persist(), data.where("split = 'test'").persist()
@@ -41,7 +51,7 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
     for name, r in results.items():
         m = L.test_metrics(r.model, test, name, label)
         metrics = m if metrics is None else metrics.unionByName(m)
-    paths = {"model": f"{out_dir}/best_model", "metrics": f"{out_dir}/model_comparison",
+    paths |= {"model": f"{out_dir}/best_model", "metrics": f"{out_dir}/model_comparison",
              "predictions": f"{out_dir}/test_predictions", "coefficients": f"{out_dir}/coefficients", "document": f"{out_dir}/model_document"}
     L.save_model(results[champion].model, paths["model"])
     files.write_metrics_json(metrics, paths["metrics"])
@@ -61,6 +71,24 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
     return {"champion": champion, **paths}
 
 
+def training_check(df: DataFrame, features: Sequence[str], zero_missing: Sequence[str], label: str) -> QR.Check:
+    """M2: numeric features, of which those that are imputed may be missing, and a label of 0 or 1."""
+    whole = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
+    fields = [T.StructField(c, df.schema[c].dataType if isinstance(df.schema[c].dataType, whole) else T.DoubleType())
+              for c in features]
+    return QR.Check(T.StructType([*fields, T.StructField(label, T.IntegerType())]), tuple(zero_missing), ((label, (0, 1)),))
+
+
+SCORING_CHECK = QR.Check(roles.SCORING_SCHEMA, roles.CLINICAL_ZERO_MISSING)
+
+
+def score_checked(records: DataFrame, model_path: str, check: QR.Check = SCORING_CHECK,
+                  zero_missing: Sequence[str] = roles.CLINICAL_ZERO_MISSING, keep: Sequence[str] = ()) -> DataFrame:
+    """M2 + S1: every record, scored if it passes the check, else with its reasons (see ``learners.score_checked``)."""
+    out = L.score_checked(L.load_model(model_path), records, check, zero_missing, keep)
+    return out.withColumns({"outcome": C.outcome_word("prediction"), "band": C.risk_band(F.col("p") * 100.0)})
+
+
 def score_records(records: DataFrame, model_path: str,
                   zero_missing: Sequence[str] = roles.CLINICAL_ZERO_MISSING) -> DataFrame:
     """M14 + P8-P15: score every record with the saved pipeline."""

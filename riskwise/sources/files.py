@@ -15,10 +15,26 @@ from pyspark.sql import types as T
 from riskwise import roles
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = roles.CLINICAL_SCHEMA,
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = roles.CLINICAL_SCHEMA,
              header: bool = True) -> DataFrame:
-    """Header CSV with a declared schema; malformed rows fail the job."""
-    return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
+    """Header CSV with a declared schema; malformed rows fail the job (``read_csv_records`` keeps them).
+
+    ``schema=None`` lets Spark infer names and types, which takes another pass over the files.
+    """
+    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
+
+
+def read_csv_records(spark: SparkSession, path: str, schema: T.StructType = roles.SCORING_SCHEMA,
+                     header: bool = True, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Every line of a CSV as a record of text fields, for ``operators.quarantine``.
+
+    No line ends the job: a line with too few or too many fields comes with the fields that it has, and as a whole
+    in the column ``corrupt``.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(corrupt, T.StringType())])
+    return (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False).csv(path))
 
 
 def to_frame(df: DataFrame, schema: T.StructType = roles.SCORING_SCHEMA, strict: bool = True) -> DataFrame:

@@ -16,9 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskwise import roles
-from riskwise.operators.feed import FeedScorer, newest_per_key, rolling_rate
+from riskwise.operators.feed import FeedScorer, newest_per_key, rolling_rate, with_k
+from riskwise.operators.quarantine import Check, scored
 from riskwise.session import scratch_path
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -50,14 +52,33 @@ def score_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, sin
     return append_stream(spark, out, "feed-scored", sink)
 
 
-def append_stream(spark: SparkSession, rows: DataFrame, name: str, sink: str | None = None) -> str:
+def append_stream(spark: SparkSession, rows: DataFrame, name: str, sink: str | None = None,
+                  partition_by: tuple = ()) -> str:
     """Append a stateless stream to a parquet sink until its source is drained (exactly-once file sink)."""
     sink = sink or scratch_path(spark, name)
-    _run(rows.writeStream.format("parquet").option("path", sink)
+    _run(rows.writeStream.format("parquet").option("path", sink).partitionBy(*partition_by)
          .option("checkpointLocation", sink + "-ckpt").trigger(availableNow=True).start())
     return sink
 
 
+FEED_CHECK = Check(T.StructType([T.StructField(roles.FEED_ID, T.LongType()), T.StructField(roles.FEED_TIME, T.TimestampNTZType())]
+                                + [T.StructField(c, T.DoubleType()) for c in roles.FEED_FEATURES]))
+
+
+def score_stream_checked(spark: SparkSession, source: DataFrame, scorer: FeedScorer, check: Check = FEED_CHECK,
+                         sink: str | None = None) -> str:
+    """T1 + M2: score every record that passes the check; the others go, as entered and with their reasons, to the
+    folder ``accepted=false`` of the same exactly-once sink.  No record ends the stream, and a replayed
+    epoch writes both parts again or neither."""
+    def score(rows: DataFrame) -> DataFrame:
+        out = scorer.transform(rows, extract=False)
+        return out.select("kept", "prediction", "p", "risk_pct", "diagnosis", "tag", "clock")
+
+    rows = scored(with_k(source), check, score, ["prediction", "p", "risk_pct", "diagnosis", "tag", "clock"],
+                  [roles.FEED_ID, roles.FEED_KEY, roles.FEED_TIME])
+    return append_stream(spark, rows, "feed-checked", sink, ("accepted",))
+
+
 RECORDS = "event_id long, feed_key string, ts timestamp_ntz, prediction int, us long"
 RATES = RECORDS + ", n_window long, n_pos long, pos_rate double"
 SINCE = "feed_key string, since long"
@@ -86,7 +107,7 @@ def last_n_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, n:
     sink = sink or scratch_path(spark, "feed-last-n")
     for part, schema in (("records", RECORDS), ("rates", RATES), ("since", SINCE)):
         _empty_log(spark, f"{sink}/{part}", schema)
-    scored = scorer.transform(source).select(
+    rows = scorer.transform(source).select(
         F.col(roles.FEED_ID).alias("event_id"), F.col(roles.FEED_KEY).alias("feed_key"),
         F.col(roles.FEED_TIME).alias("ts"), "prediction",
         F.coalesce(F.unix_micros(F.col(roles.FEED_TIME).cast("timestamp")), F.lit(_FIRST)).alias("us"))
@@ -109,7 +130,7 @@ def last_n_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, n:
         (rates.select(*[f.split()[0] for f in RATES.split(", ")])
          .write.mode("overwrite").parquet(f"{sink}/rates/epoch={epoch}"))
 
-    _run(scored.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
+    _run(rows.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
          .trigger(availableNow=True).start())
     return sink
 
@@ -138,7 +159,7 @@ def trend_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, win
     """
     sink = sink or scratch_path(spark, "feed-trend")
     _empty_log(spark, sink, TREND)
-    scored = scorer.transform(source).select(
+    rows = scorer.transform(source).select(
         F.col(roles.FEED_TIME).cast("timestamp").alias("et"), F.col(roles.FEED_KEY).alias("feed_key"), "risk_pct")
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -147,7 +168,7 @@ def trend_stream(spark: SparkSession, source: DataFrame, scorer: FeedScorer, win
          .select(F.col("w.start").alias("window_start"), "feed_key", "n", "sum_risk")
          .write.mode("overwrite").parquet(f"{sink}/epoch={epoch}"))
 
-    _run(scored.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
+    _run(rows.writeStream.foreachBatch(write).option("checkpointLocation", sink + "-ckpt")
          .trigger(availableNow=True).start())
     return sink
 
