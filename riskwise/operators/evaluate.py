@@ -50,21 +50,27 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
     def rows(lv):
         return F.sum(F.when(F.col("label") == lv, F.col("n")).otherwise(0))
 
-    odd = F.coalesce(F.sum(F.when(F.col("label").isin(0, 1), 0).otherwise(F.col("n"))), F.lit(0))
+    odd = F.sum(F.when(F.col("label").isin(0, 1), 0).otherwise(F.col("n")))
     c = conf.groupBy(*group_cols).agg(
         cnt(1, 1).alias("tp"), cnt(0, 1).alias("fp"), cnt(1, 0).alias("fn"), cnt(0, 0).alias("tn"),
-        rows(0).alias("n0"),
-        F.when(odd > 0, F.raise_error(F.concat(odd.cast("string"), F.lit(" rows have a label other than 0 and 1")))
-               .cast("long")).otherwise(rows(1)).alias("n1"))
-    n = F.col("n0") + F.col("n1")
-    p1, r1 = _ratio(F.col("tp"), F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("n1"))
-    p0, r0 = _ratio(F.col("tn"), F.col("tn") + F.col("fn")), _ratio(F.col("tn"), F.col("n0"))
+        rows(0).alias("neg"), rows(1).alias("pos"), odd.alias("odd"))
+    return _metrics(c, group_cols, digits)
+
+
+def _metrics(c: DataFrame, group_cols: Sequence[str], digits) -> DataFrame:
+    """The seven metrics from one row of counts per group."""
+    odd = F.coalesce(F.col("odd"), F.lit(0))
+    c = c.withColumn("pos", F.when(odd > 0, F.raise_error(F.concat(
+        odd.cast("string"), F.lit(" rows have a label other than 0 and 1"))).cast("long")).otherwise(F.col("pos")))
+    n = F.col("neg") + F.col("pos")
+    p1, r1 = _ratio(F.col("tp"), F.col("tp") + F.col("fp")), _ratio(F.col("tp"), F.col("pos"))
+    p0, r0 = _ratio(F.col("tn"), F.col("tn") + F.col("fn")), _ratio(F.col("tn"), F.col("neg"))
 
     def f1(p, r):
         return _ratio(F.lit(2.0) * p * r, p + r)
 
-    w1, w0 = _ratio(F.col("n1"), n), _ratio(F.col("n0"), n)
-    out = c.select(
+    w1, w0 = _ratio(F.col("pos"), n), _ratio(F.col("neg"), n)
+    return c.select(
         *group_cols,
         _round(_ratio(F.col("tp") + F.col("tn"), n), digits).alias("accuracy"),
         _round(p1 * w1 + p0 * w0, digits).alias("precision"),
@@ -74,7 +80,45 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
         _round(r1, digits).alias("recall_pos"),
         _round(f1(p1, r1), digits).alias("f1_pos"),
     )
-    return out
+
+
+COUNTS = ("tp", "fp", "fn", "tn", "pos", "neg", "odd")
+
+
+def score_counts(df: DataFrame, score: str = "p", label: str = "label", pred: str = "prediction",
+                 group_cols: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, score) with all that confusion, ROC-AUC and ROC curve count, stored once.
+
+    The scored rows are read a single time, however many of the three are asked for; the counts
+    of parts of a table add up.  Columns: ``score`` and ``tp, fp, fn, tn, pos, neg, odd`` (rows with another label).
+    """
+    y, yhat = F.col(label), F.col(pred)
+    counts = df.groupBy(*group_cols, F.col(score).cast("double").alias("score")).agg(
+        F.count_if((y == 1) & (yhat == 1)).alias("tp"), F.count_if((y == 0) & (yhat == 1)).alias("fp"),
+        F.count_if((y == 1) & (yhat == 0)).alias("fn"), F.count_if((y == 0) & (yhat == 0)).alias("tn"),
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
+        F.count_if(~F.coalesce(y.isin(0, 1), F.lit(False))).alias("odd"))
+    shared_dir(df.sparkSession)
+    return counts.checkpoint(eager=True)
+
+
+def metrics_of_counts(counts: DataFrame, group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
+    """A11/A12/A14 from :func:`score_counts`."""
+    return _metrics(counts.groupBy(*group_cols).agg(*[F.sum(c).alias(c) for c in COUNTS]), group_cols, digits)
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
+    """The counts that can be ranked: those with a score, and with a 0/1 label."""
+    return counts.where(F.col("score").isNotNull() & ~F.isnan("score") & (F.col("pos") + F.col("neg") > 0))
+
+
+def auc_of_counts(counts: DataFrame, group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
+    """A13 from :func:`score_counts`; a class missing from a group gives NULL."""
+    rt = running_totals(_ranked(counts), "score", ["neg"], group_cols)
+    return rt.groupBy(*group_cols).agg(
+        _round(F.try_divide(
+            F.sum(F.col("pos").cast("double") * (F.col("before_neg").cast("double") + 0.5 * F.col("neg"))),
+            F.sum("pos").cast("double") * F.sum("neg").cast("double")), digits).alias("roc_auc"))
 
 
 def _scored(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -116,10 +160,13 @@ def roc_curve(df: DataFrame, score: str = "p", label: str = "label", resolution:
     ``roc_points`` has a point at every score.
     """
     steps = int(round(1 / resolution))
-    df = df.withColumn(score, F.when(F.col(score).between(0, 1) | F.col(score).isNull() | F.isnan(score), F.col(score))
-                       .otherwise(F.raise_error(F.lit("ROC buckets need scores in 0..1")).cast("double")))
     b = (_scored(df, score, label).groupBy(F.floor(F.col(score) * steps).cast("long").alias("bucket"))
-         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
+         .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"),
+              F.min(score).alias("lo"), F.max(score).alias("hi")))
+    # the range is checked once per bucket: per row, the check would hold the whole score expression again
+    fits = (F.col("lo") >= 0) & (F.col("hi") <= 1)
+    b = b.withColumn("bucket", F.when(fits, F.col("bucket")).otherwise(
+        F.raise_error(F.lit("ROC buckets need scores in 0..1")).cast("long"))).drop("lo", "hi")
     w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
     wall = Window.partitionBy(F.lit(1))
     out = (b.withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w))
@@ -131,11 +178,14 @@ def roc_curve(df: DataFrame, score: str = "p", label: str = "label", resolution:
         F.round(F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")), digits).alias("fpr"))
 
 
-def roc_points(df: DataFrame, score: str = "p", label: str = "label", digits: int = 6) -> DataFrame:
+def roc_points(df: DataFrame, score: str = "p", label: str = "label", digits: int = 6, reduce: bool = False) -> DataFrame:
     """ROC points at every distinct score: (threshold, tp, fp, tpr, fpr).
 
     A row is predicted positive at a threshold when its score is not below it.  Counts come from
     distributed running totals, so no window spans the whole table.
+
+    ``reduce`` leaves out every point between the first and the last that lies half way between its neighbours: the
+    step into it and the step out of it add the same positives and negatives.  That changes no area under the curve.
     """
     counts = (_scored(df, score, label).groupBy(F.col(score).cast("double").alias("threshold"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")))
@@ -143,7 +193,11 @@ def roc_points(df: DataFrame, score: str = "p", label: str = "label", digits: in
     counts = counts.checkpoint(eager=True)
     total = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
     P, N = F.lit(total["pos"] or 0).cast("long"), F.lit(total["neg"] or 0).cast("long")
-    rt = running_totals(counts, "threshold", ["pos", "neg"])
+    rt = running_totals(counts, "threshold", ["pos", "neg"], previous=["pos", "neg"] if reduce else ())
+    if reduce:
+        first = (F.col("before_pos") + F.col("pos") == P) & (F.col("before_neg") + F.col("neg") == N)
+        turn = (F.col("pos") != F.col("prev_pos")) | (F.col("neg") != F.col("prev_neg"))
+        rt = rt.where(first | F.col("prev_pos").isNull() | turn)
     return (rt.select("threshold", (P - F.col("before_pos")).alias("tp"), (N - F.col("before_neg")).alias("fp"))
             .withColumn("tpr", F.round(F.try_divide(F.col("tp").cast("double"), P.cast("double")), digits))
             .withColumn("fpr", F.round(F.try_divide(F.col("fp").cast("double"), N.cast("double")), digits)))
@@ -160,9 +214,9 @@ def trapezoid_auc(roc: DataFrame, digits: int = 6) -> DataFrame:
 
 def metric_table(scored_long: DataFrame, model_col: str = "model", score: str = "p",
                  label: str = "label", pred: str = "prediction", digits: int = 6) -> DataFrame:
-    """Tall (model, metric, score) table of the five reported metrics."""
-    cls = classification_metrics(scored_long, label, pred, [model_col], digits)
-    auc = auc_exact(scored_long, score, label, [model_col], digits)
+    """Tall (model, metric, score) table of the five reported metrics, from one pass over the scored rows."""
+    counts = score_counts(scored_long, score, label, pred, [model_col])
+    cls, auc = metrics_of_counts(counts, [model_col], digits), auc_of_counts(counts, [model_col], digits)
     wide = cls.join(auc, model_col)
     return wide.unpivot([model_col], list(METRICS), "metric", "score")
 

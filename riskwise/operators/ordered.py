@@ -33,10 +33,14 @@ def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                   group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                   group_cols: Sequence[str] = (), buckets: int | None = None,
+                   previous: Sequence[str] = ()) -> DataFrame:
     """Adds ``before_<c>``: the sum of ``c`` over rows of the same group with a
     strictly smaller ``order_col`` (ties broken by nothing: pre-aggregate first).
 
+    ``previous`` names columns whose value in the row before, by ``order_col``, is added as ``prev_<c>`` (NULL in
+    a group's first row); a bucket's first row gets it from the border row of the last bucket before it that has any.
+
     ``buckets`` defaults to one per ~1M input rows (16 to 65,536), so the largest
     window partition stays around a million rows at any table size; the sketch, merged in
     two levels, follows the bucket count.
@@ -52,10 +56,14 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
     src = df.withColumn("__x", F.col(order_col).cast("double"))
     b = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(src)
-    tot = b.groupBy(*group_cols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wb = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.struct(*previous, F.lit(True).alias("__any"))
+    tot = b.groupBy(*group_cols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols],
+                                            F.max_by(before, F.col(order_col)).alias("__last"))
+    wb = Window.partitionBy(*group_cols).orderBy("__b")
+    up_to = wb.rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group_cols, "__b",
-                     *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in sum_cols])
+                     *[F.coalesce(F.sum(f"__t_{c}").over(up_to), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
+                     *([F.lag("__last").over(wb).alias("__border")] if previous else []))
     # ``off`` has at most groups x buckets rows; AQE broadcasts it when its measured
     # size is under the broadcast threshold and shuffles it otherwise.
     off = off.withColumnsRenamed({c: f"__g_{c}" for c in group_cols} | {"__b": "__ob"})
@@ -63,7 +71,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     for c in group_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
     j = b.join(off, same).drop("__ob", *[f"__g_{c}" for c in group_cols])
-    w = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = j.withColumns({f"before_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))
+    w = Window.partitionBy(*group_cols, "__b").orderBy(order_col)
+    inside = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = j.withColumns({f"before_{c}": F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))
                          for c in sum_cols})
+    if previous:
+        out = out.withColumn("__before", F.coalesce(F.lag(before).over(w), F.col("__border")))
+        out = out.withColumns({f"prev_{c}": F.col(f"__before.{c}") for c in previous}).drop("__before", "__border")
     return out.drop("__x", "__b", *[f"__o_{c}" for c in sum_cols])

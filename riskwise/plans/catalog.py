@@ -214,6 +214,10 @@ def q_roc_points(spark, sf_dir):
     return EV.roc_points(li_scored(spark, sf_dir)).withColumn("threshold", F.round("threshold", 6))
 
 
+def q_roc_reduced(spark, sf_dir):
+    return EV.roc_points(li_scored(spark, sf_dir), reduce=True).withColumn("threshold", F.round("threshold", 6))
+
+
 def q_roc_auc_trapezoid(spark, sf_dir):
     return EV.trapezoid_auc(EV.roc_curve(li_scored(spark, sf_dir)))
 
@@ -612,6 +616,7 @@ QUERIES = {
     "classification_metrics": q_classification_metrics,
     "roc_curve": q_roc_curve,
     "roc_points": q_roc_points,
+    "roc_reduced": q_roc_reduced,
     "roc_auc_trapezoid": q_roc_auc_trapezoid,
     "auc_exact": q_auc_exact,
     "auc_binned": q_auc_binned,

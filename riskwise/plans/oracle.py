@@ -437,3 +437,13 @@ ORACLE["quarantine_stream"] = f"""
     SELECT event_id, feed_key, reasons = '' AS accepted, reasons, CASE WHEN reasons = '' THEN risk_pct END AS risk_pct,
            CASE WHEN reasons = '' THEN diagnosis END AS diagnosis, CASE WHEN reasons = '' THEN clock END AS clock
     FROM r"""
+
+# a point stays unless its step and the next lower threshold's step are the same
+ORACLE["roc_reduced"] = f"""
+    WITH {_li_filled()}, s AS (SELECT p, sum(label) AS pos, sum(1 - label) AS neg FROM li_scored GROUP BY 1),
+    c AS (SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
+                 sum(pos) OVER () AS n_pos, sum(neg) OVER () AS n_neg, lag(p) OVER w AS higher,
+                 lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg
+          FROM s WINDOW w AS (ORDER BY p DESC))
+    SELECT round(p, 6) AS threshold, tp, fp, round(tp / n_pos, 6) AS tpr, round(fp / n_neg, 6) AS fpr FROM c
+    WHERE higher IS NULL OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg"""
