@@ -8,7 +8,7 @@ merged with opposing order until one is left.  If a window exceeds the capacity,
 window count rises by one and the pool is split again; if that took over a fiftieth more
 windows, longer pieces are halved first.
 
-A sequence whose length is a power of two needs no padding.  So the tokens of a pool
+A sequence whose length is a power of two needs no padding.  So the tokens of a pool of more than one window
 that would leave its last window part empty are first cut off as a few sequences of such lengths.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import gc
 import heapq
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -30,22 +31,31 @@ from . import words as W
 WINDOW = 4096
 POOL_TOKENS = 1 << 19     # tokens packed together in one task
 UNIT = 64                 # shorter pieces are joined to runs of about this many tokens
-MEMO = 250_000            # words, and half the letter runs, that a worker keeps between groups of texts
+MEMO = 300_000            # distinct parts of texts, about 60 MB, that a worker remembers
+GROUP_BYTES = 4 << 20     # texts encoded together
 SIGNS = b".,;:!?%*#$&|<>()[]{}+-=/_~^@\"`"
-GROUP_BYTES = 2 << 20     # texts encoded together
+
+#: Kind of a byte: 0 white space, 1 ASCII letter, 2 closing sign, 3 any other.
+KIND = np.full(256, 3, dtype=np.uint8)
+KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+KIND[list(SIGNS)] = 2
+
+#: The character that stands for a byte in the vocabulary: itself if it prints, else the next one from 256 on.
+_PRINTS = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Token ids (little-endian uint32 bytes) of whole texts.
-
-    The vocabulary's splitter never joins characters across white space, nor letters with
-    anything else, and lower-cases.  So a text's ids are the concatenation of its
-    words' ids, and those of a word that is letters and closing signs are the letters' ids and
-    the signs' ids.  Each distinct word is looked up once.  ASCII letters go straight to the
-    vocabulary's model; other new letter runs are encoded together, where every one ends with
-    the only token that carries the end-of-word mark.
+    """Token ids of whole texts.
+
+    The vocabulary's splitter never joins characters across white space, nor letters with the
+    closing signs that follow them, and lower-cases.  So a text's ids are the concatenation of those of its
+    parts: the letters and the signs of a word that is letters and closing signs, and any other word as it is.
+    The distinct parts of a group of texts are encoded once, by the vocabulary's model if they are
+    letters, and every text's ids are gathered from theirs.
     """
 
     def __init__(self, path: str):
@@ -53,65 +63,95 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _ids(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn_letters(self, runs: set[bytes]) -> None:
-        """Encode runs of letters, some not ASCII, in one call."""
-        order = list(runs)
-        ids = np.frombuffer(self._ids(b" ".join(order)), dtype="<u4")
-        stop = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        if len(stop) != len(order):     # a character that the splitter does not take for a letter
-            self.letters.update((r, self._ids(r)) for r in order)
-            return
-        raw = ids.tobytes()
-        self.letters.update((r, raw[x:y]) for r, x, y in zip(order, [0, *stop], stop))
-
-    def learn(self, texts: set[bytes]) -> None:
-        new = texts - self.words.keys()
-        if len(self.words) + len(new) > MEMO:
-            self.words, new = {}, texts
-        if len(self.letters) > 2 * MEMO:
-            self.letters = {}
-        words, letters, signs, tokenize = self.words, self.letters, {b"": b""}, self.model.tokenize
-        later: list[tuple[bytes, bytes, bytes]] = []
-        for w in new:
+    def _run(self, letters: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of runs of letters, some not ASCII: normalised in one call, their bytes written as the vocabulary does.
+
+        A run stays whole only if it still is letters then, all of scripts whose letters every splitter knows.
+        """
+        plain = self.tokenizer.normalizer.normalize_str(b" ".join(runs).decode("utf-8", "replace")).split(" ")
+        if len(plain) != len(runs):
+            return {r: self._ids(r) for r in runs}
+        return {r: self._run(s.encode().decode("latin-1").translate(BYTE_CHARS)) if s.isalpha() and max(s) < "\u2000"
+                else self._ids(r) for r, s in zip(runs, plain)}
+
+    def encoded(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of distinct parts.  What is met first is remembered, which is what is frequent."""
+        known, out, later = self.known, {}, []
+        for w in [w for w in parts if w not in known]:
+            if w.isalpha():                             # ASCII letters only
+                out[w] = self._run(w.decode("ascii"))
+                continue
             run = w.rstrip(SIGNS)
-            tail = w[len(run):]
-            if tail not in signs:
-                signs[tail] = self._ids(tail)
-            run = run.lower()           # ASCII letters only; the tokenizer lower-cases the rest
-            if run in letters:
-                words[w] = letters[run] + signs[tail]
-            elif run.isalpha():
-                ids = [t.id for t in tokenize(run.decode("ascii"))]
-                letters[run] = found = struct.pack(f"<{len(ids)}I", *ids)
-                words[w] = found + signs[tail]
-            elif run and run.decode("utf-8", "replace").isalpha():
-                later.append((w, run, tail))
+            if not w.isascii() and run.decode("utf-8", "replace").isalpha():
+                later.append((w, run, w[len(run):]))
             else:
-                words[w] = self._ids(w)
+                out[w] = self._ids(w)
         if later:
-            self._learn_letters({r for _, r, _ in later})
-            words.update((w, letters[r] + signs[t]) for w, r, t in later)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        parts = [t.split() for t in texts]
+            runs = self._runs(list({r for _, r, _ in later}))
+            tails = {t: self._ids(t) for t in {t for _, _, t in later}}
+            out.update((w, runs[r] + tails[t]) for w, r, t in later)
+        found = [known[w] if w in known else out[w] for w in parts]
+        room = MEMO - len(known)
+        if room > 0:
+            known.update(itertools.islice(out.items(), room))
+        return found
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, one after the other, and where each row's begin (length rows + 1)."""
+        text, first = _parts(raw, offsets)
+        coded = text.dictionary_encode()
+        code, parts = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        held = parts.buffers()[2].to_pybytes() if len(parts) else b""
+        cuts = np.frombuffer(parts.buffers()[1], np.int64, len(parts) + 1).tolist() if len(parts) else [0]
         collecting = gc.isenabled()
         gc.disable()                    # many small objects, none of them in cycles
         try:
-            self.learn(set().union(*parts))
+            found = self.encoded([held[x:y] for x, y in zip(cuts, cuts[1:])])
         finally:
             if collecting:
                 gc.enable()
-        return [b"".join(map(self.words.__getitem__, p)) for p in parts]
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        lengths = size[code]
+        ends = np.r_[0, np.cumsum(lengths)]
+        return flat[np.repeat(begin[code] - ends[:-1], lengths) + np.arange(ends[-1])], ends[first]
+
+
+def _parts(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The parts of all rows, ASCII letters in lower case, and the index of every row's first part (length rows + 1)."""
+    kind = KIND[raw]
+    inside = kind > 0
+    row = np.zeros(len(raw) + 1, dtype=bool)
+    row[offsets] = True
+    start = inside.copy()
+    start[1:] &= ~inside[:-1] | row[1:-1]                  # first byte of a word
+    at = np.flatnonzero(start)
+    if len(at):
+        # words of letters, then closing signs: the kinds do not fall, and none is beyond
+        fall = np.zeros(len(raw), dtype=bool)
+        fall[1:] = (kind[1:] < kind[:-1]) & ~start[1:] & inside[1:]
+        odd = np.add.reduceat((fall | (kind > 2)).view(np.uint8), at, dtype=np.int32) > 0
+        tail = np.zeros(len(raw), dtype=bool)
+        tail[1:] = (kind[1:] == 2) & (kind[:-1] == 1) & ~start[1:]
+        cut = np.flatnonzero(tail)
+        start[cut[~odd[np.searchsorted(at, cut, side="right") - 1]]] = True
+        at = np.flatnonzero(start)
+    text = W.LOWER[raw[inside]]
+    size = np.add.reduceat(inside.view(np.uint8), at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
+    bounds = np.r_[0, np.cumsum(size)]
+    return (pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(text)]),
+            np.searchsorted(at, offsets))
 
 
 def encoder(path: str) -> WordEncoder:
@@ -227,8 +267,8 @@ def pack_pool(pieces: list[Piece], window: int = WINDOW) -> list[list[Piece]]:
     """Sequences of at most ``window`` ids holding every id of the pieces once."""
     pieces = list(pieces)
     total = sum(map(len, pieces))
-    if not total:
-        return []
+    if total <= window:                 # differencing one way: no document is cut for the sake of padding
+        return [_rejoined(pieces)] if total else []
     k = total // window
     # what is beyond k full windows, and room for uneven windows, as powers of two
     spare = min(total, -(-(total - k * window + 8 * k) // UNIT) * UNIT)
@@ -283,13 +323,17 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             types = (kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
+        def rows(ids: np.ndarray, first: np.ndarray) -> Iterator[bytes]:
+            first = first.tolist()
+            return (ids[x:y].tobytes() + end for x, y in zip(first, first[1:]))
+
         pool: list[Piece] = []
         held = 0
         for batch in batches:
             kind = batch.schema.field("id").type
             raw, offsets = W.text_buffer(batch.column("text"))
-            encoded = (ids + end for i, j in W.row_chunks(offsets, GROUP_BYTES)
-                       for ids in encode([raw[offsets[x]:offsets[x + 1]].tobytes() for x in range(i, j)]))
+            encoded = (ids for i, j in W.row_chunks(offsets, GROUP_BYTES)
+                       for ids in rows(*encode(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])))
             for doc, ids in zip(batch.column("id").to_pylist(), encoded):
                 n, full = len(ids) // 4, []
                 for start in range(0, n, window):
