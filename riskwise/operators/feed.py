@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskwise import roles
 from riskwise.functions import columns as C
 from riskwise.operators.prep import ScaleModel
+from riskwise.operators.quantiles import sketch_points
+from riskwise.session import saved
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -69,80 +71,123 @@ class FeedScorer:
 
 
 ROWS_PER_SLICE = 1_000_000
+SPLITS = 64               # ranges that an over-full slice is cut into
+BROADCAST_ROWS = 500_000  # rows of a slice table up to which it is sent to every task
 
 
-def slice_seconds(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> int:
-    """Slice width so that the busiest feed puts about ``rows_per_slice`` records in
-    one slice: one aggregate gives the highest per-feed event rate (1 s .. 1 day)."""
-    sec = F.unix_seconds(F.col(ts).cast("timestamp"))
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
-                                  (F.max(sec) - F.min(sec) + 1).alias("span"))
-    rate = per_key.agg(F.max(F.col("n") / F.col("span"))).first()[0]
-    if not rate:
-        return 86400
-    return int(min(86400, max(1, rows_per_slice / rate)))
+def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` in which NULL equals NULL; the columns come from the left."""
+    other = right.withColumnsRenamed({c: f"__r_{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return left.join(other, on, how).drop(*[f"__r_{c}" for c in cols])
 
 
-def rolling_rate(df: DataFrame, key: str, ts: str, tie: str, flag: str, n: int = roles.FEED_HISTORY,
-                 bucket_seconds: int | None = None) -> DataFrame:
+def _hinted(df: DataFrame, rows: int) -> DataFrame:
+    """Sent to every task if it is known to be small, else left to the planner."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _cut_full(rows: DataFrame, at: Sequence[str], value: Column, name: str, limit: int, within: Column | None = None) -> DataFrame:
+    """Adds ``name``: the range of ``value`` in slices (columns ``at``) of more than twice ``limit`` rows, else 0.
+
+    The range ends are quantiles from a sketch of the over-full slices alone.  An end is a range of its own, so that
+    one hot value is apart from its neighbours.  With ``within``, only slices of one value of that are cut.
+    """
+    counts = [F.count(F.lit(1)).alias("__n")]
+    single = F.lit(True)
+    if within is not None:
+        counts += [F.min(within).alias("__lo"), F.max(within).alias("__hi")]
+        single = F.col("__lo").eqNullSafe(F.col("__hi"))
+    full = rows.groupBy(*at).agg(*counts).where((F.col("__n") > 2 * limit) & single).select(*at)
+    n = full.count()
+    if not n:
+        return rows.withColumn(name, F.lit(0))
+    cuts = (_null_safe(rows, _hinted(full, n), at).groupBy(*at).agg(F.kll_sketch_agg_double(value).alias("__k"))
+            .select(*at, sketch_points("__k", [i / SPLITS for i in range(1, SPLITS)]).alias("__cuts")))
+    cuts = saved(cuts)                                     # a sketch is random: all later reads must see the same ends
+    joined = _null_safe(rows, _hinted(cuts, n), at, "left")
+    place = F.size(F.filter("__cuts", lambda c: c <= value)) + F.size(F.filter("__cuts", lambda c: c < value))
+    return joined.withColumn(name, F.when(F.col("__cuts").isNull() | value.isNull(), 0).otherwise(place)).drop("__cuts")
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], ts: str, tie: str, limit: int) -> tuple[DataFrame, bool]:
+    """Adds ``__sid``: consecutive slices, in order of (ts, tie), of the feeds of more than twice ``limit`` rows.
+
+    Every such feed is cut into equal stretches of time, as many as it has ``limit`` rows; stretches that hold far more
+    are cut again, by time and then by ``tie`` (a burst, or records without a time).  Neighbours are put together
+    until they hold ``limit`` rows.  All tables of slices have about rows / limit rows.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    feeds = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__from"), F.max(us).alias("__to"))
+    total = feeds.agg(F.sum("__n").alias("n"), F.max("__n").alias("most")).first()
+    limit = max(limit, (total["n"] or 0) // 200_000)
+    if (total["most"] or 0) <= 2 * limit:
+        return df.withColumn("__sid", F.lit(0).cast("long")), False
+    big = feeds.where(F.col("__n") > 2 * limit)            # at most 100,000 rows
+    width = F.greatest(F.lit(1).cast("double"), (F.col("__to") - F.col("__from") + 1) * float(limit) / F.col("__n"))
+    # a NULL time sorts first (ascending NULLS FIRST), so it gets the lowest slice
+    rows = _null_safe(df, F.broadcast(big.withColumn("__width", width).drop("__n", "__to")), keys, "left")
+    stretch = F.coalesce(F.floor((us - F.col("__from")) / F.col("__width")).cast("long"), F.lit(-1))
+    cut = rows.where("__from is not null or __width is not null")
+    cut = cut.withColumn("__b", F.when(us.isNull(), F.lit(-1)).otherwise(stretch)).drop("__from", "__width")
+    part, time = [*keys, "__b"], us.cast("double")
+    whole = df.schema[tie].dataType.typeName() in ("long", "integer", "short", "byte", "double", "float")
+    for name in ("__t1", "__t2", *(("__i1", "__i2") if whole else ())):
+        by_time = name.startswith("__t")
+        cut = _cut_full(cut, part, time if by_time else F.col(tie).cast("double"), name, limit, None if by_time else time)
+        part = [*part, name]
+    slices = cut.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy(*part[len(keys):]).rowsBetween(Window.unboundedPreceding, -1)
+    sid = F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / F.lit(limit)).cast("long")
+    slices = saved(slices.withColumn("__sid", sid).drop("__n"))
+    cut = _null_safe(cut, _hinted(slices, slices.count()), part).drop(*part[len(keys):])
+    small = rows.where("__from is null and __width is null").drop("__from", "__width")
+    return cut.unionByName(small.withColumn("__sid", F.lit(0).cast("long"))), True
+
+
+def _halo(rows: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int) -> DataFrame:
+    """For every slice, the last ``n`` rows of its feed before it, with that slice's ``__sid``.
+
+    Each slice hands on its last ``n`` rows at most; they are numbered along the feed, and a slice takes those
+    whose numbers come right before its own first one, so slices shorter than ``n`` are reached across.
+    """
+    last = Window.partitionBy(*keys, "__sid").orderBy(F.desc(ts), F.desc(tie))
+    tails = rows.withColumn("__r", F.row_number().over(last)).where(F.col("__r") <= n).drop("__r")
+    along = Window.partitionBy(*keys).orderBy("__sid", ts, tie)
+    tails = saved(tails.withColumn("__c", F.row_number().over(along)))
+    ends = tails.groupBy(*keys, "__sid").agg(F.max("__c").alias("__m"))
+    starts = ends.withColumn("__at", F.lag("__m").over(Window.partitionBy(*keys).orderBy("__sid"))).where("__at is not null")
+    copies = tails.drop("__sid").withColumn("__at", F.explode(F.sequence(F.col("__c"), F.col("__c") + F.lit(n - 1)))).drop("__c")
+    return _null_safe(copies, starts.drop("__m"), [*keys, "__at"]).drop("__at")
+
+
+def rolling_rate(df: DataFrame, key: str | Sequence[str], ts: str, tie: str, flag: str, n: int = roles.FEED_HISTORY,
+                 rows_per_slice: int = ROWS_PER_SLICE, also: dict | None = None) -> DataFrame:
     """Per record, the count and the positive rate over the last ``n`` records of
     its feed (ordered by ``ts``, ``tie``) - a ROWS frame of ``n - 1`` preceding.
 
     A plain ``Window.partitionBy(key)`` puts a whole feed in one task; a feed
     holding a third of all records would make that task a third of the job.
-    Instead:
-
-    1. records are cut into (key, time-bucket) slices and counted per slice;
-    2. a window over the slice counts (bounded by keys x buckets, not by rows)
-       gives each slice its starting row number and positive count;
-    3. a window *inside* each slice adds the local running count and sum, which
-       yields the record's global row number ``rn`` and cumulative positives;
-    4. the value at ``rn - n`` comes from one grouped pass on (key, rn): every
-       record also emits a look-up copy at ``rn + n``; grouping hashes on the row
-       number too, so a hot feed spreads over all partitions (groups hold <= 2 rows).
-
-    ``bucket_seconds`` trades the two window sizes: the offsets window holds
-    (time range / bucket) rows per feed, the inner window one feed-bucket of
-    records.  By default it is sized from the data (``slice_seconds``) so that a
-    slice of the busiest feed holds about a million records.
+    Instead, large feeds are cut into slices of about ``rows_per_slice`` consecutive records (``_sliced``), and every slice
+    gets a halo: the ``n - 1`` records of its feed before it (``_halo``).  Then one ordinary frame inside each
+    slice gives every record its whole window.  Each record is shuffled once; beyond it only ``n - 1`` per
+    slice are.  A feed whose records all carry one time, or none, is cut by ``tie``.
+
+    ``also`` maps further output names to columns that are summed over the same frame.
     """
-    if bucket_seconds is None:
-        bucket_seconds = slice_seconds(df, key, ts)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    # a NULL time sorts first (ascending NULLS FIRST), so it gets the lowest slice
-    slice_of = F.coalesce(F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("long"),
-                          F.lit(-(2 ** 63)))
-    base = df.withColumn("__b", slice_of) \
-             .withColumn("__f", F.coalesce(F.col(flag).cast("long"), F.lit(0)))
-    slices = base.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("__c"), F.sum("__f").alias("__s"))
-    wb = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = slices.select(F.col(key).alias("__k"), F.col("__b").alias("__ob"),
-                        F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__oc"),
-                        F.coalesce(F.sum("__s").over(wb), F.lit(0)).alias("__os"))
-    w = Window.partitionBy(key, "__b").orderBy(ts, tie)
-    # NULL-safe on the feed key: records without a key form their own feed, none is dropped
-    ranked = (base.join(off, base[key].eqNullSafe(off["__k"]) & (base["__b"] == off["__ob"]))
-              .drop("__k", "__ob")
-              .withColumn("__rn", F.col("__oc") + F.row_number().over(w))
-              .withColumn("__cum", F.col("__os") + F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    # one pass instead of a self-join: each record is emitted at its own row number
-    # and, as a look-up copy carrying its cumulative count, at row number + n; a
-    # group of (key, row number) then holds the record and the value n rows back.
-    payload = [c for c in df.columns]
-    rec = ranked.select(key, "__rn", "__cum", F.struct(*[F.col(c) for c in payload if c != key]).alias("__row"))
-    row_type = rec.schema["__row"].dataType
-    both = rec.select(key, F.inline(F.array(
-        F.struct(F.col("__rn").alias("__j"), F.col("__cum").alias("__c"),
-                 F.lit(None).cast("long").alias("__p"), F.col("__row").alias("__row")),
-        F.struct((F.col("__rn") + F.lit(n)).alias("__j"), F.lit(None).cast("long").alias("__c"),
-                 F.col("__cum").alias("__p"), F.lit(None).cast(row_type).alias("__row")))))
-    g = (both.groupBy(key, "__j")
-         .agg(F.max("__c").alias("__cum"), F.max("__p").alias("__pcum"),
-              F.first("__row", ignorenulls=True).alias("__row"))
-         .where(F.col("__cum").isNotNull()))
-    n_win = F.least(F.col("__j"), F.lit(n))
-    pos = F.col("__cum") - F.coalesce(F.col("__pcum"), F.lit(0))
-    return (g.select(key, "__row.*", n_win.cast("long").alias("n_window"), pos.cast("long").alias("n_pos"))
+    keys = [key] if isinstance(key, str) else list(key)
+    rows, cut = _sliced(df, keys, ts, tie, rows_per_slice)
+    rows = rows.withColumn("__halo", F.lit(False))
+    if cut:
+        near = _halo(rows, keys, ts, tie, n - 1) if n > 1 else rows.where("false")
+        rows = rows.unionByName(near.withColumn("__halo", F.lit(True)))
+    frame = Window.partitionBy(*keys, "__sid").orderBy(ts, tie).rowsBetween(-(n - 1), 0)
+    sums = {"n_pos": F.coalesce(F.col(flag).cast("long"), F.lit(0)), **(also or {})}
+    out = rows.withColumn("n_window", F.count(F.lit(1)).over(frame))
+    out = out.withColumns({name: F.sum(c).over(frame) for name, c in sums.items()}).where("not __halo")
+    return (out.select(*df.columns, "n_window", *sums)
             .withColumn("pos_rate", F.round(F.col("n_pos").cast("double") / F.col("n_window").cast("double"), 6)))
 
 

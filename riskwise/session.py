@@ -103,6 +103,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: lineage ends there, and a lost executor costs no more than it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one test table; Catalyst prunes columns and pushes filters into the scan."""
     ship(spark)

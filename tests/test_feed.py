@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from riskwise.operators import feed as FD
@@ -22,11 +23,12 @@ def _events(n=3000, seed=5):
     return rows
 
 
-def test_rolling_rate_matches_brute_force(spark):
+@pytest.mark.parametrize("slice_rows", [7, 100, 1_000_000])     # slices shorter than a window, several, none
+def test_rolling_rate_matches_brute_force(spark, slice_rows):
     rows = _events()
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, feed string, flag int")
     got = {r["event_id"]: (r["n_window"], r["n_pos"])
-           for r in FD.rolling_rate(df, "feed", "ts", "event_id", "flag", n=20, bucket_seconds=7200).collect()}
+           for r in FD.rolling_rate(df, "feed", "ts", "event_id", "flag", n=20, rows_per_slice=slice_rows).collect()}
     pdf = pd.DataFrame(rows, columns=["event_id", "ts", "feed", "flag"]).sort_values(["feed", "ts", "event_id"])
     for _, g in pdf.groupby("feed"):
         flags = g["flag"].tolist()
@@ -105,3 +107,45 @@ def test_stratified_split_hot_key_and_copies(spark):
     want = sorted((r["label"], r["key"], r["v"]) for r in ordered.collect() if r["rn"] <= need[r["label"]])
     have = sorted((r["label"], r["key"], r["v"]) for r in s.where("split = 'test'").collect())
     assert have == want
+
+
+def _brute_rate(rows, n):
+    out, feeds = {}, {}
+    for r in rows:
+        feeds.setdefault(r[2], []).append(r)
+    for feed in feeds.values():
+        feed.sort(key=lambda r: (r[1] is not None, r[1] or datetime.min, r[0]))
+        for i, r in enumerate(feed):
+            w = feed[max(0, i - n + 1):i + 1]
+            out[r[0]] = (len(w), sum(x[3] or 0 for x in w))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 5, 20])
+def test_rolling_rate_of_bursts_is_spread_and_exact(spark, n):
+    # one feed within a single second, one without any time, one NULL feed, one spread out with a burst in it
+    t0, rnd = datetime(2024, 1, 1), random.Random(n)
+    rows = [(i, t0, "second", rnd.randint(0, 1)) for i in range(0, 1500)]
+    rows += [(i, None, "timeless", rnd.choice([0, 1, None])) for i in range(1500, 2300)]
+    rows += [(i, t0 + timedelta(microseconds=rnd.randint(0, 3)), None, 1) for i in range(2300, 3000)]
+    rows += [(i, t0 + timedelta(days=rnd.randint(0, 300)) if i % 2 else t0 + timedelta(hours=5), "mixed", rnd.randint(0, 1))
+             for i in range(3000, 4000)]
+    rows += [(i, t0, f"small{i % 7}", 1) for i in range(4000, 4030)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, feed string, flag int")
+    got = FD.rolling_rate(df, "feed", "ts", "event_id", "flag", n=n, rows_per_slice=60)
+    assert {r["event_id"]: (r["n_window"], r["n_pos"]) for r in got.collect()} == _brute_rate(rows, n)
+    cut, many = FD._sliced(df, ["feed"], "ts", "event_id", 60)
+    sizes = cut.groupBy("feed", "__sid").count()
+    assert many and sizes.agg(F.max("count")).first()[0] <= 300
+    assert cut.count() == len(rows)
+    assert sizes.where("feed = 'second'").count() >= 10 and sizes.where("feed = 'timeless'").count() >= 6
+
+
+def test_halo_adds_little_and_rows_are_shuffled_once(spark):
+    df = spark.range(5000).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01' + make_interval(0,0,0,0,0,0,id) AS ts", "'a' AS feed", "1 AS flag")
+    rows, _ = FD._sliced(df, ["feed"], "ts", "event_id", 500)
+    slices = rows.select("__sid").distinct().count()
+    assert FD._halo(rows, ["feed"], "ts", "event_id", 19).count() == 19 * (slices - 1)
+    two = FD.rolling_rate(df, ["feed", "flag"], "ts", "event_id", "flag", rows_per_slice=500, also={"ids": F.col("event_id")})
+    assert two.agg(F.sum("ids")).first()[0] == sum(sum(range(max(0, i - 19), i + 1)) for i in range(5000))
