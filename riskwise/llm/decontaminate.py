@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from . import caches
+
 RATE = 0.1                    # edits per passage character
 Q = 6
 BLOCK_CHARS = 4_000_000       # passage characters held by one pass over the documents
@@ -253,6 +255,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
              pa.int64(), pa.int64(), pa.int64()]
 
     def searcher(index: Passages):
+        @caches.task("decontaminate")
         def run(batches):
             for batch in batches:
                 ids = batch.column("id").to_pylist()
@@ -276,6 +279,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     at = docs.columns.index(text_col)
 
     def keeper(index: Passages):
+        @caches.task("decontaminate")
         def run(batches):
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)

@@ -15,7 +15,7 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of the edge list; label = smallest node reachable.
 
     Alternating large-star and small-star rounds: every round hangs each node's larger,
@@ -27,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     e = saved(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
               .where("hi is not null and lo is not null and hi <> lo").distinct())
     state = _state(e)
-    for _ in range(max_rounds):
+    while True:     # until nothing changes; every round that changes something brings nodes nearer to their smallest one
         both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         least = least.withColumn("m", F.least("u", "m"))

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import caches
 from . import grams as G
 from . import words as W
 from .graph import components, saved
@@ -69,6 +70,7 @@ def _rows(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _members(k: int):
+    @caches.task("jaccard_join")
     def run(batches):
         for batch in batches:
             n, cls = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64)
@@ -88,6 +90,7 @@ def _prefix_chunks(k: int, num: int, den: int, buckets: int):
     those classes get their count here, so a shingle of a third of all documents
     costs one entry per batch.
     """
+    @caches.task("jaccard_join")
     def run(batches):
         for batch in batches:
             seen, parts, owners = set(), [], []
@@ -164,6 +167,7 @@ def _active_sets(k: int):
     """Set, bitmap and seed keys of the active classes' representatives."""
     salts = np.uint64(0x9E3779B97F4A7C15) * np.arange(1, 2 * SEEDS, 2, dtype=np.uint64)
 
+    @caches.task("jaccard_join")
     def run(batches):
         for batch in batches:
             cls, rows = batch.column("cls").to_numpy(zero_copy_only=False), []
@@ -185,6 +189,7 @@ def _active_sets(k: int):
 
 def _linked(num: int, den: int):
     """Keep the pairs whose sorted arrays overlap enough."""
+    @caches.task("jaccard_join")
     def run(batches):
         for batch in batches:
             left, right = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
@@ -213,6 +218,7 @@ def _postings(num: int, den: int):
     """(tile, cls, comp): each prefix shingle in the set's size band and the next one up."""
     ratio = math.log(den / num)
 
+    @caches.task("jaccard_join")
     def run(batches):
         for batch in batches:
             tiles, counts = [], []
@@ -399,11 +405,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     found = saved(_components(docs, id_col, text_col, k, num, den).where("id is not null and n_shingles > 0")
                   .select(F.col("id").alias("drop_id"), F.col("th").alias("drop_th"),
                           (F.col("id") != F.col("component_id")).alias("dropped")))
-    th = F.xxhash64(F.col(text_col).cast("string"))
+    th = F.xxhash64(docs[text_col].cast("string"))
 
     def minus(rows: DataFrame, how: str) -> DataFrame:
         few = rows.count() <= BROADCAST_CLASSES
-        same = (F.col(id_col).cast("long") == F.col("drop_id")) & (th == F.col("drop_th"))
+        same = (docs[id_col].cast("long") == rows["drop_id"]) & (th == rows["drop_th"])    # whatever else ``docs`` holds
         return docs.join(F.broadcast(rows) if few else rows, same, how)
 
     repeated = saved(found.where(~F.col("dropped")).groupBy("drop_id", "drop_th").count().where("count > 1")

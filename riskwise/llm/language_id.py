@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from . import caches
+
 DIM = 1024
 SEED = 20_000
 CHUNK = 64                # texts whose trigram counts are multiplied at once
@@ -27,6 +29,8 @@ MAX_LANGUAGES = 10_000    # prototypes are shipped to the tasks, 4 KB each
 
 _letters: dict[tuple[int, int], np.ndarray] = {}
 _is_letter: list[np.ndarray] = []
+_vectors: dict[int, "Vectors"] = {}
+caches.remember("language_id", lambda: (_letters.clear(), _vectors.clear(), _is_letter.clear()))
 
 
 def letter_vector(cp: int, dim: int = DIM) -> np.ndarray:
@@ -65,9 +69,6 @@ class Vectors:
         return self.rows[[self.at[c] for c in codes]].astype(np.float32)
 
 
-_vectors: dict[int, Vectors] = {}
-
-
 def vectors(dim: int) -> Vectors:
     return _vectors.setdefault(dim, Vectors(dim))
 
@@ -161,6 +162,7 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def _bundles(dim: int):
     """Partial prototype sums of one task, one row per language and dimension."""
+    @caches.task("language_id")
     def run(batches):
         total: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -223,6 +225,7 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, text_col
     rest = docs.drop("lang_pred", "score")
     at = rest.columns.index(text_col)
 
+    @caches.task("language_id")
     def run(batches):
         for batch in batches:
             lang, score = predict_texts(batch.column(at).to_pylist(), names, prototypes)
@@ -255,6 +258,7 @@ def with_known_language(docs: DataFrame, names: list[str], prototypes: np.ndarra
     """
     at = docs.columns.index(text_col)
 
+    @caches.task("language_id")
     def run(batches):
         for batch in batches:
             texts = batch.column(at).to_pylist()

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import caches
 from . import words as W
 
 WINDOW = 4096
@@ -46,6 +47,7 @@ _PRINTS = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <=
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 _encoders: dict[str, "WordEncoder"] = {}
+caches.remember("packing", _encoders.clear)
 
 
 class WordEncoder:
@@ -305,6 +307,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     end = int(end_id).to_bytes(4, "little")
 
+    @caches.task("packing")
     def run(batches):
         encode = encoder(tokenizer_path).encode
         base = TaskContext.get().partitionId() << 32

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import caches
+
 BASE = ("assign", "access", "hex")
 EMBEDDED = ("github", "npm", "xprv")
 KINDS = BASE + EMBEDDED
@@ -132,6 +134,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     input row; other columns are ignored; an empty table gives an empty result.  A text is
     scanned whole, whatever its length.
     """
+    @caches.task("secret_scan")
     def run(batches):
         for batch in batches:
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t)] if t else []
@@ -153,6 +156,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     at = docs.columns.index(text_col)
     length = docs.columns.index(length_col) if length_col in docs.columns else None
 
+    @caches.task("secret_scan")
     def run(batches):
         for batch in batches:
             before = batch.column(at).to_pylist()

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import caches
+
 WINDOW = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -24,6 +26,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 _powers: dict[str, np.ndarray] = {}
+caches.remember("words", _powers.clear)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
