@@ -63,8 +63,28 @@ def _per_class(label: str, values: dict, cast: str) -> Column:
     return e
 
 
+PREFIX_BITS = 12          # of the key hash: classes x 4,096 counts are collected
+RANKED_ROWS = 1_000_000   # rows of one class in its cut prefix up to which they are ranked in one window
+
+
+def _cut_prefixes(base: DataFrame, label: str, prefix: Column, test_frac: float) -> dict:
+    """Per class: (prefix in which the test side ends, test rows in it, rows in it), from one histogram."""
+    counts: dict = {}
+    for v, p, n in base.groupBy(label, prefix.alias("__p")).count().collect():
+        if v is not None:
+            counts.setdefault(v, []).append((p, n))
+    cuts = {}
+    for v, found in counts.items():
+        room = math.ceil(test_frac * sum(n for _, n in found) - 1e-9)
+        for p, n in sorted(found):
+            if 0 < room <= n:
+                cuts[v] = (p, room, n)
+            room -= n
+    return cuts
+
+
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_cols: Sequence[str],
-                     test_frac: float = 0.2, col: str = "split") -> DataFrame:
+                     test_frac: float = 0.2, col: str = "split", ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """Exact stratified split.
 
     Per label value, the ``ceil(test_frac * n_label)`` rows first in the order
@@ -73,29 +93,45 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
     the row hash is a 52-bit md5 of the tie columns (exact as a double) - without ever ranking a whole
     class, a whole key or a whole group of copies in one task:
 
-    1. the per-class cut on the key hash is an exact k-th value (distributed
-       histogram narrowing, see ``quantiles``);
-    2. inside the rows that tie on it (all rows of one key - possibly a third of
-       the table), the cut on the row hash is again an exact k-th value;
-    3. rows still tied are copies (equal tie columns), so which of them are taken
-       does not change the result; the first ``room`` are taken by per-partition
-       quotas (counts per input partition, a bounded table), so the numbering
-       window holds at most one input partition.
+    1. a histogram of the first 12 bits of the key hash per class says in which prefix a class is cut;
+    2. the rows of the cut prefixes, about 1/4,096 of the table, are stored; all others are decided by their prefix;
+    3. stored rows are ranked in one window per class, if the histogram says that there are at most ``ranked_rows``.
+       A key with a large part of the table makes more: then the cuts on key hash and row hash are exact k-th values
+       (see ``quantiles``), and rows still tied, which are copies, so that it makes no difference
+       which are taken, are taken by per-partition quotas.
+
+    The table is read twice, and once more for the output.
     """
     h, h2 = "__h", "__h2"
-    base = df.withColumn(h, key_hash(key_cols)).withColumn(h2, key_hash(tie_cols, 13) if tie_cols else F.lit(0))
-    counts = {r[0]: r[1] for r in base.groupBy(label).count().collect()}  # one row per class
-    need = {v: math.ceil(test_frac * n - 1e-9) for v, n in counts.items() if v is not None}
-
+    base = df.withColumn(h, key_hash(key_cols))
+    prefix = F.shiftright(F.col(h), 32 - PREFIX_BITS)
+    cuts = _cut_prefixes(base, label, prefix, test_frac)
+    b0 = base.withColumn("__t0", _per_class(label, {v: c[0] for v, c in cuts.items()}, "bigint")).withColumn("__p", prefix)
+    outside = F.col("__t0").isNull() | (F.col("__p") != F.col("__t0"))
+    rest0 = b0.where(outside).withColumn(col, F.when(F.col("__p") < F.col("__t0"), "test").otherwise("train"))
+    # read by every later pass: stored once in the shared folder (a reliable checkpoint, so its
+    # partitions are also fixed for the quotas below)
+    shared_dir(df.sparkSession)
+    near = (b0.where(~outside).drop("__t0", "__p").withColumn(h2, key_hash(tie_cols, 13) if tie_cols else F.lit(0))
+            .checkpoint(eager=True))
+    rest0 = rest0.drop(h, "__t0", "__p")
+    need = {v: c[1] for v, c in cuts.items()}
+    if all(c[2] <= ranked_rows for c in cuts.values()):
+        first = F.row_number().over(Window.partitionBy(label).orderBy(h, h2)) <= _per_class(label, need, "bigint")
+        return rest0.unionByName(near.withColumn(col, F.when(first, "test").otherwise("train")).drop(h, h2))
+    return rest0.unionByName(_cut_exactly(near, label, need, col))
+
+
+def _cut_exactly(base: DataFrame, label: str, need: dict, col: str) -> DataFrame:
+    """The rows with ``col``: per class, the ``need`` first in the order of ``__h`` and ``__h2`` are ``test``."""
+    h, h2 = "__h", "__h2"
     # level 1: key hash
     thr1, below1 = _kth_per_class(base, label, h, need)
     b1 = base.withColumn("__t1", _per_class(label, thr1, "bigint"))
     room1 = {v: need[v] - below1.get(v, 0) for v in thr1}
     rest1 = (b1.where(F.col("__t1").isNull() | (F.col(h) != F.col("__t1")))
              .withColumn(col, F.when(F.col(h) < F.col("__t1"), "test").otherwise("train")))
-    # the tie group is read by every later pass: store it once in the shared folder
-    # (a reliable checkpoint, so its partitions are also fixed for the quotas below)
-    shared_dir(df.sparkSession)
+    # the tie group is read by every later pass
     tie1 = b1.where(F.col(h) == F.col("__t1")).checkpoint(eager=True)
 
     # level 2: tie-column hash inside the tied key
@@ -119,7 +155,7 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], tie_col
         quota.append((v, pid, q))
     qschema = T.StructType([T.StructField(label, base.schema[label].dataType),
                             T.StructField("__pid", T.IntegerType()), T.StructField("__q", T.LongType())])
-    qdf = df.sparkSession.createDataFrame(quota, qschema)
+    qdf = base.sparkSession.createDataFrame(quota, qschema)
     w = Window.partitionBy(label, "__pid").orderBy("__mid")
     rest3 = (tie2.join(F.broadcast(qdf), [label, "__pid"], "left")  # bounded: classes x partitions
              .withColumn(col, F.when(F.row_number().over(w) <= F.coalesce(F.col("__q"), F.lit(0)), "test")

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -51,6 +52,19 @@ def test_newest_per_key_and_timeline(spark):
         pdf.sort_values(["ts", "event_id"]).tail(20)["event_id"].tolist()
 
 
+def test_stratified_split_small_classes(spark):
+    # classes of one to three rows, a NULL class, no test rows at all, all rows for the test
+    rows = [(i, c) for i, c in enumerate([0] * 50 + [1] * 3 + [2] * 2 + [3] + [None] * 4)]
+    df = spark.createDataFrame(rows, "id long, label int")
+    for frac in (0.0, 0.2, 0.5, 1.0):
+        got = {}
+        for r in SP.stratified_split(df, "label", ["id"], ["id"], frac).collect():
+            got.setdefault(r["label"], []).append(r["split"])
+        assert {v: x.count("test") for v, x in got.items()} == {
+            v: math.ceil(frac * n) for v, n in ((0, 50), (1, 3), (2, 2), (3, 1))} | {None: 0}
+    assert SP.stratified_split(df.limit(0), "label", ["id"], ["id"], 0.2).count() == 0
+
+
 def test_folds_disjoint_and_covering(spark):
     df = spark.range(0, 5000).withColumn("label", (F.col("id") % 3 == 0).cast("int"))
     f = SP.fold_assign(df, ["id"], 3)
@@ -87,14 +101,15 @@ def test_quantiles_ignore_nan(spark):
     assert Q.exact_quantiles(df, ["x"], [0.5])[("x", 0.5)] == 2.0
 
 
-def test_stratified_split_hot_key_and_copies(spark):
+@pytest.mark.parametrize("ranked_rows", [1_000_000, 10])     # ranked in one window; cut by k-th values and quotas
+def test_stratified_split_hot_key_and_copies(spark, ranked_rows):
     # one key holds a third of all rows, and half of those are identical copies
     hot = spark.range(0, 1000).select(F.lit(7).alias("key"), F.lit(1).alias("label"),
                                       F.when(F.col("id") < 500, F.lit(-1)).otherwise(F.col("id")).alias("v"))
     rest = spark.range(0, 2000).select((F.col("id") % 900 + 100).alias("key"),
                                        (F.col("id") % 2).cast("int").alias("label"), F.col("id").alias("v"))
     df = hot.unionByName(rest).repartition(7)
-    s = SP.stratified_split(df, "label", ["key"], ["key", "label", "v"], 0.2)
+    s = SP.stratified_split(df, "label", ["key"], ["key", "label", "v"], 0.2, ranked_rows=ranked_rows)
     got = {(r["label"], r["split"]): r["count"] for r in s.groupBy("label", "split").count().collect()}
     n1, n0 = 1000 + 1000, 1000
     assert got[(1, "test")] == 400 and got[(0, "test")] == 200
