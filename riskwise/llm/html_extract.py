@@ -7,7 +7,8 @@ which nothing below a rejected node is kept.  The text of kept nodes is returned
 
 The trees are fitted on a bounded sample of the pages.  Its nodes are labelled by the
 page's own semantic elements; copies with the semantic names taken away and with inserted
-furniture teach the trees to use the other features too.
+furniture teach the trees to use the other features too.  Where no sampled page has such elements, boxes whose
+names speak of content count instead, and where none has those, the box that holds most of a page's paragraphs.
 
 Fixed values: the element groups and the word lists below.
 """
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 SAMPLE_PAGES = 160        # pages whose nodes the trees are fitted on
-SAMPLE_CHARS = 60_000     # longer pages are not sampled (they are still extracted whole)
+SAMPLE_NODES = 4_000      # nodes of one sampled page that are fitted on, evenly spaced if it has more
 TREES, DEPTH = 24, 4
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                  r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>])*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NAMES = {"class", "id", "role", "itemprop", "aria-label"}      # attributes whose words are counted
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 WORD = re.compile(r"[A-Za-z]+")
 
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "select", "canvas"}
@@ -75,11 +77,11 @@ FEATURES = ("depth", "n_children", "sibling_index", "n_siblings", "same_tag_sibl
 class Page:
     """Element nodes in page order, and the text runs below them."""
 
-    __slots__ = ("tag", "parent", "last", "content", "furniture", "hidden", "runs")
+    __slots__ = ("tag", "parent", "last", "content", "furniture", "hidden", "main", "runs")
 
     def __init__(self, source: str):
         self.tag, self.parent, self.last = ["#page"], [-1], [0]
-        self.content, self.furniture, self.hidden = [0], [0], [False]
+        self.content, self.furniture, self.hidden, self.main = [0], [0], [False], [False]
         self.runs: list[tuple[int, str, bool]] = []      # node, text, whether a new block starts
         self._parse(source)
 
@@ -146,18 +148,23 @@ class Page:
 
     def _open(self, name: str, attributes: str, stack: list[int]) -> None:
         content = furniture = 0
-        if attributes and "=" in attributes:
-            for m in ATTRIBUTE.finditer(attributes):
-                for word in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "")):
-                    word = word.lower()
-                    content += word in CONTENT_WORDS
-                    furniture += word in FURNITURE_WORDS
+        hidden = main = False
+        for m in ATTRIBUTE.finditer(attributes) if attributes else ():
+            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if key in NAMES:
+                words = [w.lower() for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))]
+                content += sum(w in CONTENT_WORDS for w in words)
+                furniture += sum(w in FURNITURE_WORDS for w in words)
+                main = main or key == "role" and "main" in words or key == "itemprop" and "articlebody" in value.lower()
+            elif key == "hidden" or key == "style" and NOT_SHOWN.search(value) or key == "aria-hidden" and value.lower() == "true":
+                hidden = True
         self.tag.append(name)
         self.parent.append(stack[-1])
         self.last.append(len(self.tag) - 1)
         self.content.append(content)
         self.furniture.append(furniture)
-        self.hidden.append(bool(attributes and HIDDEN.search(attributes)))
+        self.hidden.append(hidden)
+        self.main.append(main or name in CONTENT_TAGS)
         stack.append(len(self.tag) - 1)
 
     def block_nodes(self) -> list[int]:
@@ -234,21 +241,36 @@ def node_features(page: Page) -> np.ndarray:
         above["furniture"] - counts["furniture"], np.arange(n) / n, below(paragraph), np.log1p(longest)], axis=1)
 
 
-def semantic_labels(page: Page) -> np.ndarray | None:
-    """1 where a node's subtree holds main text by the page's semantic elements; None without any."""
+def semantic_labels(page: Page) -> tuple[int, np.ndarray] | None:
+    """What tells the main text, and 1 where a node's subtree holds any of it; None for a page without text for it.
+
+    0: semantic elements (article, main, role main, itemprop articleBody); 1: boxes with more words of content than of
+    furniture in their names; 2: the box with most text in paragraphs directly below it.
+    """
     n = len(page.tag)
-    inside, furniture = np.zeros(n, bool), np.zeros(n, bool)
+    furniture = np.zeros(n, bool)
     for i in range(1, n):
-        p = page.parent[i]
         bad = page.tag[i] in FURNITURE_TAGS or page.furniture[i] > page.content[i] or page.tag[i] in ("head", "title")
-        furniture[i] = furniture[p] or bad
-        inside[i] = (inside[p] or page.tag[i] in CONTENT_TAGS) and not furniture[i]
-    if not inside.any():
-        return None
-    label = inside.copy()
-    for i in range(n - 1, 0, -1):
-        label[page.parent[i]] |= label[i]
-    return label.astype(np.float64)
+        furniture[i] = furniture[page.parent[i]] or bad
+    named = [page.tag[i] in ("div", "section", "td") and page.content[i] > page.furniture[i] for i in range(n)]
+    for told, roots in enumerate((page.main, named, None)):
+        if roots is None:
+            held = np.zeros(n)
+            for node, run, _ in page.runs:
+                while node > 0 and page.tag[node] not in PARAGRAPHS:
+                    node = page.parent[node]
+                if node > 0 and not furniture[node]:
+                    held[page.parent[node]] += len(run.strip())
+            roots = (held == held.max()) & (held > 0)
+        inside = np.zeros(n, bool)
+        for i in range(1, n):
+            inside[i] = (inside[page.parent[i]] or roots[i]) and not furniture[i]
+        if inside.any():
+            label = inside.copy()
+            for i in range(n - 1, 0, -1):
+                label[page.parent[i]] |= label[i]
+            return told, label.astype(np.float64)
+    return None
 
 
 #: Furniture put into sampled pages, with texts of the page: where it goes, and its markup.
@@ -265,17 +287,22 @@ INSERTS = (
     ("after", '<aside><h4>{s}</h4><p>{l}</p></aside>'),
     ("after", '<div id="disqus" class="replies"><p>{m}</p><p>{l}</p></div>'),
 )
-#: Names that replace <article> in sampled pages.
+#: Start tags that replace the semantic element of sampled pages.
 UNWRAPS = ('<div class="post-content">', '<div id="main">', "<div>", "<section>", '<main class="page">', '<article class="story">')
 
 
+SEMANTIC = re.compile(r"<(article|main)(?=[\s>])(?:\"[^\"]*\"|'[^']*'|[^>])*>", re.I)
+
+
 def variants(source: str, seed: int) -> Iterator[tuple[str, str]]:
     """(labelling source, shown source): the page as it is, and a disguised copy with furniture."""
     yield source, source
     rng = np.random.default_rng(seed)
     words = re.sub(r"<[^>]*>", " ", re.sub(r"(?s)<(script|style).*?</\1>", " ", source)).split()
-    if len(words) < 20 or "<article>" not in source:
+    found = SEMANTIC.search(source)
+    if len(words) < 20 or not found:
         return
+    start, end = found[0], f"</{found[1]}>"
 
     def some(n: int) -> str:
         a = int(rng.integers(0, max(1, len(words) - n)))
@@ -286,41 +313,45 @@ def variants(source: str, seed: int) -> Iterator[tuple[str, str]]:
         where, markup = INSERTS[k]
         markup = re.sub(r"\{(.)\}", lambda m: some({"s": 3, "l": 24, "m": 70}[m[1]]), markup)
         if where == "before":
-            marked = marked.replace("<article>", markup + "<article>", 1)
+            marked = marked.replace(start, markup + start, 1)
         elif where == "after":
-            marked = marked.replace("</article>", "</article>" + markup, 1)
+            marked = marked.replace(end, end + markup, 1)
         else:
-            spots = [m.end() for m in re.finditer(r"</p>", marked) if m.end() <= marked.find("</article>")]
+            spots = [m.end() for m in re.finditer(r"</p>", marked) if m.end() <= marked.find(end)]
             if spots:
                 at = spots[int(rng.integers(0, len(spots)))]
                 marked = marked[:at] + markup + marked[at:]
     opening = UNWRAPS[int(rng.integers(0, len(UNWRAPS)))]
     tag = re.match(r"<(\w+)", opening)[1]
-    yield marked, marked.replace("<article>", opening, 1).replace("</article>", f"</{tag}>", 1)
+    yield marked, marked.replace(start, opening, 1).replace(end, f"</{tag}>", 1)
 
 
 def training_rows(pages: DataFrame, html_col: str, sample_pages: int) -> DataFrame:
-    """(label, features) of the nodes of the ``sample_pages`` distinct pages of smallest hash."""
+    """(told, label, features) of the nodes of the ``sample_pages`` distinct pages of smallest hash."""
     h = F.xxhash64(F.col(html_col))
-    rows = pages.where(F.length(html_col) <= SAMPLE_CHARS).select(F.col(html_col).alias("html"), h.alias("h"))
+    rows = pages.where(F.length(html_col) > 0).select(F.col(html_col).alias("html"), h.alias("h"))
     least = rows.select("h").distinct().orderBy("h").limit(sample_pages)       # only hashes are shuffled
     sample = (rows.join(F.broadcast(least), "h", "left_semi").groupBy("h").agg(F.min("html").alias("html"))
               .orderBy("h").limit(sample_pages).repartition(8).select("html", "h"))
 
     def run(batches):
         for batch in batches:
-            labels, rows = [], []
+            told, labels, rows = [], [], []
             for source, seed in zip(batch.column("html").to_pylist(), batch.column("h").to_pylist()):
                 for marked, shown in variants(source, seed & 0xFFFFFFFF):
                     truth, page = semantic_labels(Page(marked)), Page(shown)
-                    if truth is not None and len(truth) == len(page.tag):
-                        labels += truth.tolist()
-                        rows += node_features(page).tolist()
+                    if truth is not None and len(truth[1]) == len(page.tag):
+                        n = len(page.tag)
+                        some = np.arange(n) if n <= SAMPLE_NODES else np.linspace(0, n - 1, SAMPLE_NODES).astype(np.int64)
+                        told += [truth[0]] * len(some)
+                        labels += truth[1][some].tolist()
+                        rows += node_features(page)[some].tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.float64()), pa.array(rows, pa.list_(pa.float64()))], ["label", "f"])
+                [pa.array(told, pa.int32()), pa.array(labels, pa.float64()), pa.array(rows, pa.list_(pa.float64()))],
+                ["told", "label", "f"])
 
-    rows = sample.mapInArrow(run, "label double, f array<double>")
-    return rows.select("label", array_to_vector("f").alias("features"))
+    rows = sample.mapInArrow(run, "told int, label double, f array<double>")
+    return rows.select("told", "label", array_to_vector("f").alias("features"))
 
 
 class Trees:
@@ -345,7 +376,9 @@ class Trees:
             self.trees.append((float(weight), np.array(nodes)))
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        """Half the log-odds that a node holds main text."""
+        """Half the log-odds that a node holds main text; without trees, what the fixed rule says."""
+        if not self.trees:
+            return fixed_rule(x)
         out = np.zeros(len(x))
         row = np.arange(len(x))
         for weight, t in self.trees:
@@ -360,14 +393,27 @@ class Trees:
         return out
 
 
+def fixed_rule(x: np.ndarray) -> np.ndarray:
+    """Furniture: what lies in elements of furniture, or under more names of furniture than of content, and boxes
+    that are mostly links."""
+    at = {name: x[:, i] for i, name in enumerate(FEATURES)}
+    named = (at["furniture_tag"] + at["furniture_above"] > 0) | (
+        at["furniture_words"] + at["furniture_words_above"] > at["content_words"] + at["content_words_above"])
+    links = (at["link_density"] > 0.5) & (at["is_link"] == 0) & (at["is_inline"] == 0)
+    return np.where(named | links, -1.0, 1.0)
+
+
 def fit_trees(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Trees:
-    """Trees fitted on the sample; without labelled nodes of both kinds an empty ensemble."""
+    """Trees fitted on the sampled pages that tell their main text best; an empty ensemble, which means
+    ``fixed_rule``, if there are not labelled nodes of both kinds."""
     rows = training_rows(pages, html_col, sample_pages).cache()
     try:
-        kinds = {r["label"] for r in rows.select("label").distinct().collect()}
-        if kinds != {0.0, 1.0}:
+        kinds = [tuple(r) for r in rows.select("told", "label").distinct().collect()]
+        told = [t for t in range(3) if (t, 0.0) in kinds and (t, 1.0) in kinds]
+        if not told:
             return Trees()
-        return Trees(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxMemoryInMB=64).fit(rows))
+        return Trees(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxMemoryInMB=64)
+                     .fit(rows.where(F.col("told") == told[0]).drop("told")))
     finally:
         rows.unpersist()
 
@@ -435,12 +481,15 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", text_col: str =
     """All rows and columns but ``html_col``, with ``text_col`` (replaced if it exists).
 
     NULL or empty html gives an empty text, as does a page without main text.  Broken, unclosed
-    and very long markup is parsed whole.  Without semantic elements in the sample nothing can be learned:
-    then all visible text is kept.  Equal pages give equal texts; an empty table gives an empty result.
+    and very long markup is parsed whole.  Where nothing can be learned from the sampled pages, ``fixed_rule`` judges the
+    nodes.  Equal pages give equal texts; an empty table gives an empty result.
     """
     trees = fit_trees(pages, html_col, sample_pages)
     rest = [c for c in pages.columns if c not in (html_col, text_col)]
-    source = pages.select(*rest, F.col(html_col).cast("string").alias("__html"))
+    name = "__html"
+    while name in rest:
+        name += "_"
+    source = pages.select(*rest, F.col(html_col).cast("string").alias(name))
     schema = StructType([*source.schema.fields[:-1], StructField(text_col, StringType())])
 
     def run(batches):

@@ -198,3 +198,55 @@ def test_nothing_else_imports_the_subpackage():
     for f in (ROOT / "riskwise").rglob("*.py"):
         if "llm" not in f.relative_to(ROOT).parts:
             assert "riskwise.llm" not in f.read_text() and "from .llm" not in f.read_text()
+
+
+def _replaced(column, *pairs):
+    for a, b in pairs:
+        column = F.replace(column, F.lit(a), F.lit(b))
+    return column
+
+
+SHAPES = {      # ordinary pages that tell their main text in other ways, or hold traps in attribute values
+    "longer than 60,000 characters": lambda h: F.concat(h, F.lit("<script>" + "var x = 1;" * 8000 + "</script>")),
+    "a box named for content": lambda h: _replaced(h, ("<article>", '<div class="post-content">'), ("</article>", "</div>")),
+    "a box without a name": lambda h: _replaced(h, ("<article>", "<div>"), ("</article>", "</div>")),
+    "main with attributes": lambda h: _replaced(h, ("<article>", '<main id="x">'), ("</article>", "</main>")),
+    "role main": lambda h: _replaced(h, ("<article>", "<div role=main>"), ("</article>", "</div>")),
+    "hidden in a data value": lambda h: _replaced(h, ("<article>", '<article data-t="a hidden gem">')),
+    "hidden in title and class": lambda h: _replaced(h, ("<article>", '<article title="A hidden gem" class="overflow hidden lg:block">')),
+}
+
+
+@pytest.fixture(scope="module")
+def plain_texts(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html")
+    return pages, {r["page_id"]: r["text"] for r in html_extract.extract_main_text(pages).collect()}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_main_text_whatever_the_page_looks_like(plain_texts, shape):
+    pages, want = plain_texts
+    got = html_extract.extract_main_text(pages.withColumn("html", SHAPES[shape](F.col("html"))).withColumn("__html", F.lit(1)))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
+
+
+def test_hidden_is_an_attribute_not_a_word():
+    page = html_extract.Page('<p hidden>a</p><p style="color:red; display : none">b</p><p aria-hidden="true">c</p><p class="hidden x">d</p>'
+                             '<p title="so hidden here">e</p><p data-hidden=1>f</p><p hidden="">g</p><p aria-hidden=false>h</p>')
+    assert page.hidden[1:] == [True, True, True, False, False, False, True, False]
+
+
+def test_fixed_rule_where_nothing_can_be_learned(spark):
+    html = ['<div class="menu"><a href="/">Home</a></div><b>Some words.</b><footer>imprint</footer>', "just text", "<p></p>", None, ""]
+    pages = spark.createDataFrame(list(enumerate(html)), "page_id int, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(pages).collect()}
+    assert got == {0: "Some words.", 1: "just text", 2: "", 3: "", 4: ""}
+
+
+def test_what_tells_the_main_text():
+    told = [html_extract.semantic_labels(html_extract.Page(h)) for h in (
+        "<div class=content><p>a</p></div><article><p>b</p></article>", "<div class=content><p>a</p></div><div><p>long text</p></div>",
+        "<div><p>a</p></div><div><p>long text</p></div><nav><p>a much longer menu text</p></nav>", "<b>x</b>")]
+    assert [t and t[0] for t in told] == [0, 1, 2, None]
+    assert told[0][1].tolist() == [1, 0, 0, 1, 1] and told[1][1].tolist() == [1, 1, 1, 0, 0]
+    assert told[2][1].tolist() == [1, 0, 0, 1, 1, 0, 0]
