@@ -133,6 +133,43 @@ def guidance_text(rules: Sequence[tuple], default: str, sep: str = "\n") -> Colu
     return F.when(joined == "", F.lit(default)).otherwise(joined)
 
 
+RULES = 10_000            # rows of a rule table
+RULE_SCHEMA = "position int, column string, above double, upto double, text string"
+
+
+def rule_lines(df: DataFrame, rules: DataFrame, default: str, sep: str = "\n") -> Column:
+    """P14 + R6 with the rules as data: the texts of all rules that a record meets, by position, or the default.
+
+    A rule (``RULE_SCHEMA``) is met by a value above ``above`` and not above ``upto``; a NULL bound is none, a NULL or NaN value
+    meets no rule.  ``{value:.1f}`` in a text is filled with the value.  Rules may overlap; equal positions go by
+    column, bounds and text.  The rules become one array of at most ``RULES`` entries that every record is
+    held against in place, so nothing is joined or shuffled; an unknown column is an error.
+    """
+    found = [tuple(r) for r in rules.select("position", "column", "above", "upto", "text").limit(RULES + 1).collect()]
+    if len(found) > RULES:
+        raise ValueError(f"more than {RULES} rules")
+    unknown = sorted({c for _, c, *_ in found} - set(df.columns))
+    if unknown:
+        raise ValueError(f"rules on columns that the records lack: {unknown}")
+    if not found:
+        return F.lit(default)
+    names = sorted({c for _, c, *_ in found})
+    order = sorted(found, key=lambda r: tuple((x is not None, x) for x in r))
+    table = F.array(*[F.struct(F.lit(names.index(c)).alias("at"), F.lit(lo).cast("double").alias("above"),
+                               F.lit(hi).cast("double").alias("upto"), F.lit(text).alias("text")) for _, c, lo, hi, text in order])
+    values = F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in names])
+
+    def met(r: Column) -> Column:
+        v = values[r["at"]]
+        return v.isNotNull() & F.coalesce(v > r["above"], F.lit(True)) & F.coalesce(v <= r["upto"], F.lit(True))
+
+    def said(r: Column) -> Column:
+        return F.replace(r["text"], F.lit("{value:.1f}"), F.format_string("%.1f", values[r["at"]]))
+
+    lines = F.transform(F.filter(table, met), said)
+    return F.when(F.size(lines) == 0, F.lit(default)).otherwise(F.array_join(lines, sep))
+
+
 def metric_label(name) -> Column:
     """``roc_auc`` -> ``ROC-AUC``."""
     return F.replace(F.upper(_c(name)), F.lit("_"), F.lit("-"))

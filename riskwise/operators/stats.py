@@ -62,31 +62,22 @@ def histogram_by_label(df: DataFrame, widths: dict, label: str) -> DataFrame:
             .groupBy("column", "bin", "label").agg(F.count(F.lit(1)).alias("n")))
 
 
-PAIRS_PER_PASS = 9  # 10 buffer fields per pair: stays under the 100-field codegen limit
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation for every ordered pair, pairwise-complete rows.
 
-    Each aggregate computes up to ``PAIRS_PER_PASS`` pairs of the upper triangle
-    (and the diagonal) so it stays inside whole-stage codegen; ``stack`` mirrors
-    each chunk and the chunks are unioned.  A constant column yields NULL instead of
-    a division error.
+    One scan at any width: every row gives one element per pair of the upper triangle (and the diagonal), and each task
+    sums these into one row of mergeable co-moments per pair before anything is shuffled.  A constant
+    column, or a pair without complete rows, yields NULL.
     """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        aggs, parts = [], []
-        for i, j in pairs[start:start + PAIRS_PER_PASS]:
-            a, b = cols[i], cols[j]
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-            both = xa.isNotNull() & xb.isNotNull()
-            sa, sb = F.stddev_samp(F.when(both, xa)), F.stddev_samp(F.when(both, xb))
-            aggs.append(F.round(F.try_divide(F.covar_samp(xa, xb), sa * sb), digits).alias(f"r_{i}_{j}"))
-            parts += [f"'{a}'", f"'{b}'", f"r_{i}_{j}"]
-            if a != b:
-                parts += [f"'{b}'", f"'{a}'", f"r_{i}_{j}"]
-        chunk = df.agg(*aggs).selectExpr(f"stack({len(parts) // 3}, {', '.join(parts)}) AS (col_a, col_b, r)")
-        out = chunk if out is None else out.unionByName(chunk)
-    return out
+    spark = df.sparkSession
+    at = range(len(cols))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in at for j in at if i <= j])
+    xs = F.array(*[F.col(c).cast("double") for c in cols])
+    rows = df.select(xs.alias("xs"), F.inline(pairs)).select("i", "j", F.col("xs")[F.col("i")].alias("x"), F.col("xs")[F.col("j")].alias("y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    sx, sy = F.stddev_samp(F.when(both, F.col("x"))), F.stddev_samp(F.when(both, F.col("y")))
+    found = rows.groupBy("i", "j").agg(F.round(F.try_divide(F.covar_samp("x", "y"), sx * sy), digits).alias("r"))
+    names = spark.createDataFrame([(min(i, j), max(i, j), cols[i], cols[j]) for i in at for j in at],
+                                  "i int, j int, col_a string, col_b string")
+    return names.join(found, ["i", "j"], "left").select("col_a", "col_b", "r")     # one row per ordered pair

@@ -176,6 +176,17 @@ def q_guidance_rules(spark, sf_dir):
                      .alias("guidance"))
 
 
+def q_guidance_table(spark, sf_dir):
+    """The fixed rules as a table, and rules with an upper bound that overlap them."""
+    more = (("l_quantity", 10.0, 20.0, "- Quantity is moderate ({value:.1f})."), ("l_quantity", 15.0, 45.0, "- Quantity is above 15 and up to 45."),
+            ("l_tax", None, 0.0, "- No tax."))
+    rules = [(i, c, t, None, text) for i, (c, t, text) in enumerate(roles.LINEITEM_GUIDANCE)]
+    rules += [(i + len(rules), *r) for i, r in enumerate(more)]
+    li = lineitem(spark, sf_dir).select(*LI.key, *LI.features)
+    return li.select(*LI.key, C.rule_lines(li, spark.createDataFrame(rules, C.RULE_SCHEMA), roles.LINEITEM_GUIDANCE_DEFAULT)
+                     .alias("guidance"))
+
+
 def q_report_text(spark, sf_dir):
     """P15 on the values as entered: the score uses the filled ones, the report does not print them."""
     li = lineitem(spark, sf_dir).select(*LI.key, *LI.features)
@@ -383,10 +394,10 @@ def q_champion(spark, sf_dir):
     """A15 on the walkthrough grid: pick the model with the best mean CV ROC-AUC
     (first wins ties), then report its held-out metrics."""
     from riskwise.plans import learners as L
-    results = {}
-    for name in L.MODEL_ORDER:
-        if name in L.WALKTHROUGH_GRID:
-            results[name], test = _train_one(spark, sf_dir, name, "walkthrough")
+    train, test = _doc_split(spark, sf_dir)
+    with L.prepare_folds(train, roles.DOC_FEATURES, DOC_ZERO_MISSING, roles.DOC_LABEL, ["doc_id"]) as folds:
+        results = {name: L.tune(train, name, L.WALKTHROUGH_GRID[name], roles.DOC_FEATURES, DOC_ZERO_MISSING, roles.DOC_LABEL,
+                                ["doc_id"], prepared=folds) for name in L.MODEL_ORDER if name in L.WALKTHROUGH_GRID}
     order = {n: i for i, n in enumerate(L.MODEL_ORDER)}
     cv = spark.createDataFrame([(n, float(r.cv_auc)) for n, r in results.items()], "model string, roc_auc double")
     board = EV.leaderboard(cv, order)
@@ -441,6 +452,27 @@ def q_tuning_checks(spark, sf_dir):
                         *[F.lit(bool(v)).alias(k) for k, v in ok.items()])
 
 
+def q_tree_contributions(spark, sf_dir):
+    """Contributions of boosted trees on every document; with what is expected they make up the model's own score."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from riskwise.functions.text import text_features
+    from riskwise.operators.explain import tree_contributions
+    from riskwise.plans import learners as L
+    train, _ = _doc_split(spark, sf_dir)
+    gbt = L.make_classifier("GradientBoosting", roles.DOC_LABEL)
+    stages = L.prep_pipeline(roles.DOC_FEATURES, DOC_ZERO_MISSING).getStages()
+    model = Pipeline(stages=[*stages, gbt.copy({gbt.maxIter: 5, gbt.maxDepth: 3})]).fit(train)
+    docs = text_features(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")).drop("text")
+    rows = L.prepare(docs, roles.DOC_FEATURES, DOC_ZERO_MISSING)
+    terms = tree_contributions(model, rows, roles.DOC_FEATURES, ["doc_id"]).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("contribution").alias("made"), F.max("expected").alias("expected"))
+    own = model.transform(rows).select("doc_id", vector_to_array("rawPrediction")[1].alias("score"))
+    agrees = F.abs(F.col("made") + F.col("expected") - F.col("score")) < 1e-9
+    return terms.join(own, "doc_id").select("doc_id", "n_terms", agrees.alias("agrees"))
+
+
 def q_stream_model_score(spark, sf_dir):
     """T1 with a saved pipeline: every document scored as it arrives, held against the batch scores."""
     from pyspark.ml import Pipeline
@@ -581,6 +613,24 @@ def q_metrics_document(spark, sf_dir):
     return files.read_metrics_document(spark, path)
 
 
+def q_model_publication(spark, sf_dir):
+    """A scaler published, then replaced by one fitted on all rows; the newest version standardises the table."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from riskwise.plans import learners as L
+    clean = C.to_double(C.zeros_to_null(lineitem(spark, sf_dir).select(*LI.key, *LI.features), LI.zero_missing), LI.features)
+    filled = fit_impute(clean, LI.zero_missing, "median").transform(clean)
+    steps = Pipeline(stages=[VectorAssembler(inputCols=list(LI.features), outputCol="x"),
+                             StandardScaler(inputCol="x", outputCol="z", withMean=True, withStd=True)])
+    path = scratch_path(spark, "published")
+    for rows in (filled.where("l_quantity < 10"), filled):
+        L.publish_model(steps.fit(rows), path, rows, LI.features)
+    z = L.load_published(filled, path).transform(filled).withColumn("z", vector_to_array("z"))
+    return z.select(*LI.key, *[F.round(F.col("z")[i], 6).alias(f"z_{c}") for i, c in enumerate(LI.features)])
+
+
 def q_predictions_sink(spark, sf_dir):
     """Per-row predictions written as a table and read back."""
     from riskwise.plans.learners import export_predictions
@@ -611,6 +661,7 @@ QUERIES = {
     "margin_to_probability": q_margin_to_probability,
     "contributions": q_contributions,
     "guidance_rules": q_guidance_rules,
+    "guidance_table": q_guidance_table,
     "report_text": q_report_text,
     "confusion": q_confusion,
     "classification_metrics": q_classification_metrics,
@@ -647,6 +698,7 @@ QUERIES = {
     "lr_coefficients": q_lr_coefficients,
     "learner_checks": q_learner_checks,
     "tuning_checks": q_tuning_checks,
+    "tree_contributions": q_tree_contributions,
     "stream_model_score": q_stream_model_score,
     "ml_form_checks": q_ml_form_checks,
     "embedding_group_means": q_embedding_group_means,
@@ -657,4 +709,5 @@ QUERIES = {
     "metrics_json": q_metrics_json,
     "metrics_document": q_metrics_document,
     "predictions_sink": q_predictions_sink,
+    "model_publication": q_model_publication,
 }

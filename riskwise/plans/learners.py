@@ -5,10 +5,10 @@ Spark ML supplies the learners.  What changes against a plain
 
 * folds come from a key hash (``split.fold_assign``), so they do not depend on
   partitioning;
-* the preprocessing (median imputer, assembler, scaler) is fitted once per fold on
-  that fold's training rows - leakage-free - and the transformed fold frames are
-  cached, so only the classifier is fitted per grid point (31 x 3 classifier fits
-  instead of 98 full pipeline fits);
+* the preprocessing (median imputer, scaler) of every fold's training rows - leakage-free - comes from
+  one scan: statistics per fold are merged over the other folds.  The transformed fold frames are
+  cached and shared by all families, so only the classifier is fitted per grid point (31 x 3
+  classifier fits instead of 98 full pipeline fits);
 * all (fold, grid point) fits run concurrently on a thread pool;
 * the winner is chosen on the mean cross-validated ROC-AUC, and the held-out test
   rows are only used to report the winner's metrics.
@@ -16,24 +16,30 @@ Spark ML supplies the learners.  What changes against a plain
 
 from __future__ import annotations
 
+import itertools
+import math
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskwise.functions import columns as C
 from riskwise.operators import evaluate as EV
 from riskwise.operators import quarantine as QR
 from riskwise.operators import split as SP
+from riskwise.operators.prep import ScaleModel
+from riskwise.operators.quantiles import sketch_points, task_group
 
 SEED = 42
 MODEL_ORDER = ("LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting",
@@ -116,15 +122,107 @@ class TuneResult:
     model: PipelineModel
 
 
+SKETCH_K = 4096           # rank error of a fold's median about 0.05 % of its rows
+
+
+def _fold_stats(data: DataFrame, features: Sequence[str], zero_missing: Sequence[str], folds: int) -> dict:
+    """fold -> feature -> (values, mean, squared deviation, missing, median) of the rows *outside* the fold, from one scan.
+
+    Moments and sketches are taken per fold and merged: a fold's training side is what the other folds have.
+    """
+    part, merge, final = [], [], []
+    for i, c in enumerate(features):
+        x = F.col(c).cast("double")
+        part.append(F.struct(F.count(x).alias("n"), F.coalesce(F.avg(x), F.lit(0.0)).alias("m"),
+                             F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)).alias("d"), F.count_if(x.isNull()).alias("z")).alias(f"s{i}"))
+        merge.append(F.collect_list(f"s{i}").alias(f"s{i}"))
+        final.append(F.flatten(F.collect_list(f"s{i}")).alias(f"s{i}"))
+        if c in zero_missing:
+            part.append(F.kll_sketch_agg_double(x, SKETCH_K).alias(f"k{i}"))
+            merge.append(F.kll_merge_agg_double(f"k{i}", SKETCH_K).alias(f"k{i}"))
+            final.append(F.kll_merge_agg_double(f"k{i}", SKETCH_K).alias(f"k{i}"))
+    by_fold = data.groupBy(task_group(), "__fold").agg(*part).groupBy("__fold").agg(*merge)
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("__fold"))
+    sides = by_fold.withColumn("side", F.explode(others)).groupBy("side").agg(*final)
+    median = [sketch_points(f"k{i}", [0.5])[0].alias(f"q{i}") for i, c in enumerate(features) if c in zero_missing]
+    out: dict = {}
+    for row in sides.select("side", *[f"s{i}" for i in range(len(features))], *median).collect():     # one row per fold
+        stats = out[row["side"]] = {}
+        for i, c in enumerate(features):
+            n, mean, dev, missing = 0, 0.0, 0.0, 0
+            for s in row[f"s{i}"]:
+                n, mean, dev = _merged(n, mean, dev, s["n"], s["m"], s["d"])
+                missing += s["z"]
+            fill = row[f"q{i}"] if c in zero_missing else None
+            if fill is not None:                          # the missing values all become the median
+                n, mean, dev = _merged(n, mean, dev, missing, fill, 0.0)
+            elif c in zero_missing:
+                raise ValueError(f"surrogate cannot be computed: no values in {c!r}")
+            stats[c] = (n, mean, dev, fill)
+    return out
+
+
+def _merged(n: int, mean: float, dev: float, n2: int, mean2: float, dev2: float) -> tuple[int, float, float]:
+    """Number, mean and squared deviation of two groups together."""
+    total = n + n2
+    if not total:
+        return 0, 0.0, 0.0
+    step = mean2 - mean
+    return total, mean + step * n2 / total, dev + dev2 + step * step * n * n2 / total
+
+
+@dataclass
+class Folds:
+    """Fold frames (training and validation side: label, features) that all families share; closes its caches."""
+
+    data: DataFrame
+    frames: list
+    surrogates: list
+    prep: list            # fitted preparation stages for all rows
+
+    def __enter__(self) -> "Folds":
+        return self
+
+    def __exit__(self, *_) -> None:
+        for frame in itertools.chain([self.data], *self.frames):
+            frame.unpersist()
+
+
+def prepare_folds(train: DataFrame, features: Sequence[str], zero_missing: Sequence[str], label: str, key: Sequence[str],
+                  folds: int = 3) -> Folds:
+    """The preparation of every fold's training side from one scan, without a fit per fold and family.
+
+    Medians are of merged sketches, as close as the imputer's own approximation; means and deviations are exact.
+    """
+    data = SP.fold_assign(train, key, folds, "__fold").persist()
+    stats = _fold_stats(data, features, zero_missing, folds)
+    frames, fills = [], []
+    for f in range(folds):
+        side = stats.get(f)
+        if side is None:
+            raise ValueError("a fold has no training rows")
+        fills.append({c: s[3] for c, s in side.items() if s[3] is not None})
+        std = {c: math.sqrt(s[2] / (s[0] - 1)) if s[0] > 1 else 0.0 for c, s in side.items()}
+        filled = data.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills[f].items()})
+        scaled = ScaleModel({c: s[1] for c, s in side.items()}, std).transform(filled)
+        rows = scaled.select(label, "__fold", array_to_vector(F.array(*[F.col(c) for c in features])).alias("features"))
+        frames.append((rows.where(F.col("__fold") != f).drop("__fold").persist(), rows.where(F.col("__fold") == f).drop("__fold").persist()))
+    return Folds(data, frames, fills, prep_pipeline(features, zero_missing).fit(data).stages)
+
+
 def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_missing: Sequence[str],
-         label: str, key: Sequence[str], folds: int = 3, parallelism: int | None = None) -> TuneResult:
+         label: str, key: Sequence[str], folds: int = 3, parallelism: int | None = None,
+         prepared: Folds | None = None) -> TuneResult:
     """Fold-wise cross-validation on ROC-AUC, then refit on all training rows.
 
-    The preprocessing is fitted once per fold; then every (fold, grid point) fit
-    runs on one thread pool.  On small data that overlaps many short Spark jobs;
+    ``prepared`` (see :func:`prepare_folds`) is shared by all families tuned on the same rows.  Every (fold, grid point)
+    fit runs on one thread pool.  On small data that overlaps many short Spark jobs;
     on a large cluster each fit already fills the cluster, so keep ``parallelism``
     small there (default: min(8, defaultParallelism)).
     """
+    if prepared is None:
+        with prepare_folds(train, features, zero_missing, label, key, folds) as own:
+            return tune(train, name, grid, features, zero_missing, label, key, folds, parallelism, own)
     spark = train.sparkSession
     if parallelism is None:
         try:
@@ -132,18 +230,7 @@ def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_
         except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
             parallelism = 4
     clf = make_classifier(name, label)
-    maps = param_maps(clf, grid)
-    # the training rows are read by every fold and the final refit: keep them once
-    # (a cache: lost blocks are recomputed from lineage)
-    data = SP.fold_assign(train, key, folds, "__fold").persist()
-    prep = prep_pipeline(features, zero_missing)
-    frames = []
-    for f in range(folds):
-        tr = data.where(F.col("__fold") != f)
-        va = data.where(F.col("__fold") == f)
-        pm = prep.fit(tr)
-        frames.append((pm.transform(tr).select(label, "features").persist(),
-                       pm.transform(va).select(label, "features").persist()))
+    maps, frames = param_maps(clf, grid), prepared.frames
 
     def fit_eval(job):
         f, i = job
@@ -152,23 +239,15 @@ def tune(train: DataFrame, name: str, grid: dict, features: Sequence[str], zero_
         return i, _auc(model.transform(va_x), label)
 
     sums = [0.0] * len(maps)
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for i, auc in pool.map(fit_eval, [(f, i) for f in range(folds) for i in range(len(maps))]):
-                sums[i] += auc
-    finally:
-        for tr_x, va_x in frames:
-            tr_x.unpersist()
-            va_x.unpersist()
-    means = [s / folds for s in sums]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        for i, auc in pool.map(fit_eval, [(f, i) for f in range(len(frames)) for i in range(len(maps))]):
+            sums[i] += auc
+    means = [s / len(frames) for s in sums]
     best = max(range(len(maps)), key=lambda i: (means[i], -i))  # first wins ties
     best_params = {p.name: v for p, v in maps[best].items()}
-    try:
-        final = Pipeline(stages=prep.getStages() + [clf.copy(maps[best])]).fit(data)
-    finally:
-        data.unpersist()
+    final = clf.copy(maps[best]).fit(PipelineModel(prepared.prep).transform(prepared.data))
     table = [({p.name: v for p, v in m.items()}, means[i]) for i, m in enumerate(maps)]
-    return TuneResult(name, best_params, means[best], table, final)
+    return TuneResult(name, best_params, means[best], table, PipelineModel([*prepared.prep, final]))
 
 
 def predictions(model: PipelineModel, df: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -218,8 +297,6 @@ def test_metrics(model: PipelineModel, test: DataFrame, name: str, label: str) -
 def coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """M13 + R4: (feature, weight) of a linear final stage via ``inline(arrays_zip)``,
     plus an ``(intercept)`` row.  The fitted vector has one entry per feature."""
-    from pyspark.sql import SparkSession
-
     last = model.stages[-1]
     one = SparkSession.getActiveSession().createDataFrame(
         [(list(features), [float(w) for w in last.coefficients.toArray()], float(last.intercept))],
@@ -250,6 +327,53 @@ def load_model(path: str) -> PipelineModel:
         raise FileNotFoundError(f"trained model pipeline not found at {path!r}; run training first") from e
 
 
+class FeatureContractError(ValueError):
+    """Records do not have the features, or not in the types, that a published model was fitted on."""
+
+
+POINTERS = "published timestamp, version string, features array<struct<name:string,type:string>>"
+
+
+def publish_model(model: PipelineModel, path: str, rows: DataFrame, features: Sequence[str]) -> str:
+    """S3: a new version of a model beside the old ones, then one row that points to it.
+
+    The version's folder is written whole before its pointer is; the pointer, a one-row file that the job commits
+    at its end, also holds names, order and types of the features in ``rows``.  So a reader gets the old
+    version or the new one, whenever it looks, and never a part.  Returns the version's folder.
+    """
+    spark = rows.sparkSession
+    version = f"{path}/versions/{uuid.uuid4().hex}"
+    model.write().save(version)
+    contract = [(c, rows.schema[c].dataType.simpleString()) for c in features]
+    one = spark.createDataFrame([(version, contract)], "version string, features array<struct<name:string,type:string>>")
+    one.select(F.current_timestamp().alias("published"), "version", "features").coalesce(1).write.mode("append").json(f"{path}/pointers")
+    return version
+
+
+def published(spark: SparkSession, path: str) -> tuple[str, list[tuple[str, str]]]:
+    """The newest version's folder and its features (name, type), in order."""
+    try:
+        row = spark.read.schema(POINTERS).json(f"{path}/pointers").orderBy(F.desc("published"), F.desc("version")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    if row is None:
+        raise FileNotFoundError(f"no model published at {path!r}; run training first")
+    return row["version"], [(f["name"], f["type"]) for f in row["features"]]
+
+
+def load_published(rows: DataFrame, path: str) -> PipelineModel:
+    """The newest published model, if ``rows`` have its features in its types; else an error that names them."""
+    version, contract = published(rows.sparkSession, path)
+    have = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    wrong = [f"{name} is missing" if name not in have else f"{name} is {have[name]}, not {kind}"
+             for name, kind in contract if have.get(name) != kind]
+    if wrong:
+        raise FeatureContractError(f"model {version}: " + "; ".join(wrong))
+    return PipelineModel.load(version)
+
+
 def check_learner(train: DataFrame, test: DataFrame, name: str, features: Sequence[str], zero_missing: Sequence[str],
                   label: str, key: str, path: str) -> tuple:
     """Fit one family at its first grid point, save and load it, score the held-out rows, and check from the rows:

@@ -447,3 +447,13 @@ ORACLE["roc_reduced"] = f"""
           FROM s WINDOW w AS (ORDER BY p DESC))
     SELECT round(p, 6) AS threshold, tp, fp, round(tp / n_pos, 6) AS tpr, round(fp / n_neg, 6) AS fpr FROM c
     WHERE higher IS NULL OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg"""
+ORACLE["model_publication"] = ORACLE["standardize_samp"]
+_RULE_CASES = ", ".join(f"CASE WHEN {c} > {float(t)} THEN '{txt}' END" for c, t, txt in roles.LINEITEM_GUIDANCE)
+ORACLE["guidance_table"] = f"""
+    WITH g AS (SELECT l_orderkey, l_linenumber, concat_ws(chr(10), {_RULE_CASES},
+        CASE WHEN l_quantity > 10 AND l_quantity <= 20 THEN printf('- Quantity is moderate (%.1f).', CAST(l_quantity AS DOUBLE)) END,
+        CASE WHEN l_quantity > 15 AND l_quantity <= 45 THEN '- Quantity is above 15 and up to 45.' END,
+        CASE WHEN l_tax <= 0 THEN '- No tax.' END) AS g FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CASE WHEN coalesce(g, '') = '' THEN '{roles.LINEITEM_GUIDANCE_DEFAULT}' ELSE g END AS guidance
+    FROM g"""
+ORACLE["tree_contributions"] = f"SELECT doc_id, CAST({len(roles.DOC_FEATURES)} AS BIGINT) AS n_terms, true AS agrees FROM documents"

@@ -42,8 +42,9 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
     key = list(key) if key else list(features) + [label]  # no id column: hash the whole record
     data = SP.hash_split(L.prepare(df, features, zero_missing), key, test_pct)
     train, test = data.where("split = 'train'").persist(), data.where("split = 'test'").persist()
-    results = {name: L.tune(train, name, grid[name], features, zero_missing, label, key)
-               for name in L.MODEL_ORDER if name in grid}
+    with L.prepare_folds(train, features, zero_missing, label, key) as folds:
+        results = {name: L.tune(train, name, grid[name], features, zero_missing, label, key, prepared=folds)
+                   for name in L.MODEL_ORDER if name in grid}
     order = {n: i for i, n in enumerate(L.MODEL_ORDER)}
     cv = spark.createDataFrame([(n, float(r.cv_auc)) for n, r in results.items()], "model string, roc_auc double")
     champion = EV.leaderboard(cv, order).where("champion").first()["model"]
