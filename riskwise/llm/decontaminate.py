@@ -15,11 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from riskwise.session import scratch_path
+
 from . import caches
+from .graph import saved
 
 RATE = 0.1                    # edits per passage character
 Q = 6
@@ -227,15 +230,23 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, edits: int
     return int(last[d]), end - int(size[d]), end
 
 
-def passage_blocks(benchmark: DataFrame, item_col: str, text_col: str, rate: float) -> Iterator[Passages]:
-    """Index blocks of bounded size; their number follows the benchmark's size."""
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).where(
-        "text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+def passage_key(text: Column) -> Column:
+    """What stands for a passage's text in an index and its results."""
+    return F.xxhash64(text.cast("string"))
+
+
+def passage_blocks(benchmark: DataFrame, text_col: str, rate: float) -> Iterator[tuple[Passages, int]]:
+    """(index, number of blocks): indexes over the distinct passages, each of about ``BLOCK_CHARS`` characters.
+
+    Repeated passages are reduced to one by Spark first; one block at a time is brought to the driver.
+    """
+    texts = benchmark.select(F.col(text_col).cast("string").alias("text")).where("text is not null").distinct()
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
+    keyed = texts.select(passage_key(F.col("text")).alias("key"), "text")
     for b in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
-        yield Passages(sorted(((r["item"], r["text"]) for r in part.collect()), key=repr), rate=rate)
+        part = keyed if blocks == 1 else keyed.where(F.pmod("key", F.lit(blocks)) == b)
+        yield Passages(sorted((r["key"], r["text"]) for r in part.collect()), rate=rate), blocks
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -243,16 +254,15 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """(``id_col``, ``item_col``, start, end, edits): the best occurrence of every passage in every text.
 
     Positions are code points of the folded text (lower case, one space between words).
-    NULL or empty texts have no matches, nor do passages shorter than one q-gram.
+    NULL or empty texts have no matches, nor do passages shorter than one q-gram (``Q`` characters); a passage of m
+    characters is found with up to ``min(rate * m, m // Q - 1)`` edits.
     Repeated documents or passages match each for itself; a NULL id is carried along.
     Other columns are ignored; if either table is empty, so is the result.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    schema = (f"id {base.schema['id'].dataType.simpleString()}, item {item_type}, start long, `end` long, edits long")
-
-    kinds = [to_arrow_type(base.schema["id"].dataType), to_arrow_type(benchmark.schema[item_col].dataType),
-             pa.int64(), pa.int64(), pa.int64()]
+    id_type = base.schema["id"].dataType
+    schema = f"id {id_type.simpleString()}, key long, start long, `end` long, edits long"
+    kinds = [to_arrow_type(id_type), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def searcher(index: Passages):
         @caches.task("decontaminate")
@@ -263,19 +273,28 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                         for row, p, a, b, e in index.find(batch.column("text").to_pylist())]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["id", "item", "start", "end", "edits"])
+                                                     ["id", "key", "start", "end", "edits"])
         return run
 
-    out = None
-    for index in passage_blocks(benchmark, item_col, item_text, rate):
-        part = base.mapInArrow(searcher(index), schema)
-        out = part if out is None else out.unionByName(part)
-    return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "end", "edits")
+    path, out = scratch_path(docs.sparkSession, "passages-found"), None
+    for index, blocks in passage_blocks(benchmark, item_text, rate):
+        out = base.mapInArrow(searcher(index), schema)
+        if blocks > 1:                     # a block's matches are written before the next one is built
+            out.write.mode("append").parquet(path)
+    if blocks > 1:
+        out = docs.sparkSession.read.schema(schema).parquet(path)
+    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_col).alias("item"), passage_key(F.col(item_text)).alias("key"))
+    return (out.join(items, "key")
+            .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start", "end", "edits"))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text: str = "text", rate: float = RATE) -> DataFrame:
-    """The rows, all columns, whose text holds no passage; NULL texts stay."""
+    """The rows, all columns whatever their names, whose text holds no passage.
+
+    NULL and empty texts stay; repeated rows are judged each for itself, texts of any length whole.  An empty benchmark
+    removes nothing; an empty table stays empty.
+    """
     at = docs.columns.index(text_col)
 
     def keeper(index: Passages):
@@ -287,6 +306,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield batch.filter(pa.array(keep))
         return run
 
-    for index in passage_blocks(benchmark, item_col, item_text, rate):
+    for index, blocks in passage_blocks(benchmark, item_text, rate):
         docs = docs.mapInArrow(keeper(index), docs.schema)
+        if blocks > 1:
+            docs = saved(docs)
     return docs

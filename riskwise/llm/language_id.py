@@ -183,7 +183,10 @@ def _bundles(dim: int):
 
 def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                    dim: int = DIM) -> tuple[list[str], np.ndarray]:
-    """Languages (sorted) and their unit-length prototypes, from all rows with both columns."""
+    """Languages (sorted) and their unit-length prototypes, from all rows with both columns.
+
+    More than ``MAX_LANGUAGES`` values of ``lang`` are an error: the prototypes are shipped to every task.
+    """
     base = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null")
     sums = base.mapInArrow(_bundles(dim), "lang string, i int, v long").groupBy("lang", "i").agg(F.sum("v").alias("v"))
@@ -254,7 +257,8 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def with_known_language(docs: DataFrame, names: list[str], prototypes: np.ndarray, text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose text has letters.
 
-    Those are the rows that ``identify`` would not call ``und``; where no language was learned they stay too.
+    Those are the rows that ``identify`` would not call ``und``; where no language was learned they stay too.  NULL and
+    empty texts go; repeated rows and NULL ids are rows like others; an empty table stays empty.
     """
     at = docs.columns.index(text_col)
 

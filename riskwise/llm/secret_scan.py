@@ -151,7 +151,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     """The same rows and columns with every span replaced by ``[kind]``.
 
     ``length_col``, if the table has it, is set to the new length of changed texts.
-    NULL texts stay NULL; rows without secrets are unchanged.
+    NULL texts stay NULL; rows without secrets are unchanged.  Repeated rows and NULL ids are rows like others,
+    texts of any length are scanned whole, an empty table stays empty.
     """
     at = docs.columns.index(text_col)
     length = docs.columns.index(length_col) if length_col in docs.columns else None

@@ -422,3 +422,27 @@ def test_decontamination_positions_across_pieces(monkeypatch):
     text = "lorem ipsum dolor " * 200 + passage + " sit amet" * 300
     (row, p, a, b, e), = index.find([None, text])
     assert (row, p, e) == (1, 0, 0) and decontaminate.folded(text)[a:b] == passage
+
+
+def test_decontamination_with_many_and_repeated_passages(spark, monkeypatch):
+    # 5,000 distinct passages in several blocks, and one that holds a third of the benchmark's rows
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(3000)]
+    passages = [" ".join(rng.choice(words, 8)) for _ in range(5000)]
+    items = [(i, p) for i, p in enumerate(passages)] + [(10_000 + i, passages[7]) for i in range(2500)] + [(20_000, None)]
+    rows = [(i, " ".join(rng.choice(words, 30))) for i in range(40)]
+    rows += [(100 + i, f"{passages[i * 17]} and more") for i in range(30)] + [(200, f"x {passages[7]} y"), (None, passages[4999]), (201, None)]
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 60_000)
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.benchmark_matches(d, b).collect())
+    want = Counter((100 + i, i * 17, 0) for i in range(30)) + Counter([(None, 4999, 0), (200, 7, 0)])
+    want += Counter((200, 10_000 + i, 0) for i in range(2500))
+    assert got == want
+    kept = decontaminate.without_benchmark(d, b)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 201]
+
+
+def test_redaction_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert secret_scan.redact_secrets(none).count() == 0 and secret_scan.scan_secrets(none).count() == 0
+    assert secret_scan.redact_secrets(none).columns == none.columns
