@@ -32,8 +32,8 @@ from . import words as W
 WINDOW = 4096
 POOL_TOKENS = 1 << 19     # tokens packed together in one task
 UNIT = 64                 # shorter pieces are joined to runs of about this many tokens
-MEMO = 300_000            # distinct parts of texts, about 60 MB, that a worker remembers
-GROUP_BYTES = 4 << 20     # texts encoded together
+MEMO = 200_000            # distinct parts of texts, about 40 MB, that a worker remembers
+GROUP_BYTES = 2 << 20     # texts encoded together
 SIGNS = b".,;:!?%*#$&|<>()[]{}+-=/_~^@\"`"
 
 #: Kind of a byte: 0 white space, 1 ASCII letter, 2 closing sign, 3 any other.
