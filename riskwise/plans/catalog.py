@@ -383,6 +383,14 @@ def _train_query(name):
     return q
 
 
+def q_fit_accuracy(spark, sf_dir):
+    """Accuracy on the fitted rows beside that on the held-out ones."""
+    from riskwise.plans import learners as L
+    train, test = _doc_split(spark, sf_dir)
+    res, _ = _train_one(spark, sf_dir, "LogisticRegression", "walkthrough")
+    return L.accuracy_by_side(res.model, train, test, "LogisticRegression", roles.DOC_LABEL)
+
+
 def q_grid_cv(spark, sf_dir):
     res, _ = _train_one(spark, sf_dir, "LogisticRegression")
     rows = [("LogisticRegression", ", ".join(f"{k}={v}" for k, v in sorted(p.items())), float(round(a, 6)))
@@ -693,6 +701,7 @@ QUERIES = {
     "train_gbt": _train_query("GradientBoosting"),
     "train_svc": _train_query("SupportVectorMachine"),
     "grid_cv": q_grid_cv,
+    "fit_accuracy": q_fit_accuracy,
     "champion": q_champion,
     "save_load_score": q_save_load_score,
     "lr_coefficients": q_lr_coefficients,

@@ -294,6 +294,14 @@ def test_metrics(model: PipelineModel, test: DataFrame, name: str, label: str) -
     return EV.metric_table(pred)
 
 
+def accuracy_by_side(model: PipelineModel, train: DataFrame, test: DataFrame, name: str, label: str) -> DataFrame:
+    """(model, side, n, accuracy) on the rows that were fitted on and on the held-out ones: far apart, the model overfits."""
+    sides = [predictions(model, d, label).withColumn("side", F.lit(s)) for s, d in (("train", train), ("test", test))]
+    return (sides[0].unionByName(sides[1]).groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.count_if(F.col("label") == F.col("prediction")) / F.count(F.lit(1)), 6).alias("accuracy"))
+        .select(F.lit(name).alias("model"), "side", "n", "accuracy"))
+
+
 def coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """M13 + R4: (feature, weight) of a linear final stage via ``inline(arrays_zip)``,
     plus an ``(intercept)`` row.  The fitted vector has one entry per feature."""

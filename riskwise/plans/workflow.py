@@ -10,6 +10,7 @@ risk %, diagnosis, band, guidance and report text as columns.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +54,11 @@ def train_and_select(spark: SparkSession, df: DataFrame, out_dir: str,
         m = L.test_metrics(r.model, test, name, label)
         metrics = m if metrics is None else metrics.unionByName(m)
     paths |= {"model": f"{out_dir}/best_model", "metrics": f"{out_dir}/model_comparison",
-             "predictions": f"{out_dir}/test_predictions", "coefficients": f"{out_dir}/coefficients", "document": f"{out_dir}/model_document"}
+             "predictions": f"{out_dir}/test_predictions", "coefficients": f"{out_dir}/coefficients", "document": f"{out_dir}/model_document", "accuracy": f"{out_dir}/accuracy_by_side"}
     L.save_model(results[champion].model, paths["model"])
     files.write_metrics_json(metrics, paths["metrics"])
+    sides = [L.accuracy_by_side(r.model, train, test, name, label) for name, r in results.items()]
+    functools.reduce(DataFrame.unionByName, sides).write.mode("overwrite").parquet(paths["accuracy"])
     pred = L.predictions(results[champion].model, test, label, list(features))
     pred.write.mode("overwrite").parquet(paths["predictions"])
     linear = None
@@ -90,6 +93,24 @@ def score_checked(records: DataFrame, model_path: str, check: QR.Check = SCORING
     return out.withColumns({"outcome": C.outcome_word("prediction"), "band": C.risk_band(F.col("p") * 100.0)})
 
 
+# a zero stands for a missing value and must stay one
+FEED_CLIP = {c: b for c, b in roles.CLINICAL_CLIP.items() if c not in roles.CLINICAL_ZERO_MISSING}
+FEED_VITALS = ("Glucose", "BloodPressure", "BMI", "Age")
+
+
+def clinical_feed(records: DataFrame, model_path: str, id_col: str, time_col: str, vitals: Sequence[str] = FEED_VITALS) -> DataFrame:
+    """T1, T2 for clinical records, a table or a stream: one feed row per arriving record.
+
+    (id, time, tag, clock, the vitals as numbers, risk_pct, diagnosis, accepted, reasons); values are clipped as the feed
+    clips them before scoring, and a record that cannot be scored is a row without risk and diagnosis, with its reasons.
+    """
+    out = L.score_checked(L.load_model(model_path), records, SCORING_CHECK, roles.CLINICAL_ZERO_MISSING, [id_col, time_col],
+                          clip=FEED_CLIP)
+    return out.select(id_col, time_col, C.record_tag(id_col).alias("tag"), C.clock(time_col).alias("clock"),
+                      *[F.col(f"entered.{c}").try_cast("double").alias(c) for c in vitals], "risk_pct",
+                      C.outcome_word("prediction", roles.FEED_DIAGNOSIS).alias("diagnosis"), "accepted", "reasons")
+
+
 def score_records(records: DataFrame, model_path: str,
                   zero_missing: Sequence[str] = roles.CLINICAL_ZERO_MISSING) -> DataFrame:
     """M14 + P8-P15: score every record with the saved pipeline."""

@@ -33,6 +33,17 @@ def test_train_select_save_and_score(spark):
     metrics = spark.read.json(res["metrics"])
     assert metrics.count() == 10 and set(r["metric"] for r in metrics.collect()) == set(
         ("accuracy", "roc_auc", "f1_score", "precision", "recall"))
+    sides = {(r["model"], r["side"]): r for r in spark.read.parquet(res["accuracy"]).collect()}
+    held = {r["model"]: r["score"] for r in metrics.where("metric = 'accuracy'").collect()}
+    assert set(sides) == {(m, s) for m in grid for s in ("train", "test")}
+    assert all(abs(sides[m, "test"]["accuracy"] - a) < 1e-6 for m, a in held.items())
+    assert sides["DecisionTree", "train"]["n"] + sides["DecisionTree", "test"]["n"] == df.count()
+    feed = workflow.clinical_feed(df.withColumn("id", F.monotonically_increasing_id()).withColumn("at", F.lit("2024-01-01 10:20:30").cast("timestamp_ntz"))
+                                  .withColumn("Age", F.expr("if(id = 3, null, Age)")), res["model"], "id", "at")
+    assert feed.columns == ["id", "at", "tag", "clock", "Glucose", "BloodPressure", "BMI", "Age", "risk_pct", "diagnosis", "accepted", "reasons"]
+    shown = {r["id"]: r for r in feed.where("id < 6").collect()}
+    assert shown[2]["tag"] == "PT-0002" and shown[2]["clock"] == "10:20:30" and shown[2]["diagnosis"] in roles.FEED_DIAGNOSIS
+    assert shown[3]["reasons"] == ["Age: missing"] and shown[3]["risk_pct"] is None and shown[3]["diagnosis"] is None
     coefs = spark.read.parquet(res["coefficients"]).collect()
     assert [r["feature"] for r in coefs][:8] == list(roles.CLINICAL_FEATURES)
     scored = workflow.score_records(df.drop("Outcome").limit(50), res["model"])
