@@ -348,7 +348,13 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, d
     keyed = sets.select("cls", F.explode("keys").alias("key"))
     buckets = (keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"),
                                         F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
-    seeds = (keyed.join(buckets, "key").join(sets.select("cls", "n", "bits"), "cls")
+    # keys of over BLOCK classes are few: sent to every task, so that none of them meets in one
+    hot = saved(buckets.where("cuts > 1"))
+    n_hot = hot.count()
+    dealt = keyed.join(buckets.where("cuts = 1"), "key")
+    if n_hot:
+        dealt = dealt.unionByName(keyed.join(F.broadcast(hot) if n_hot <= BROADCAST_CLASSES else hot, "key"))
+    seeds = (dealt.join(sets.select("cls", "n", "bits"), "cls")
              .withColumn("cut", F.pmod(F.xxhash64("cls"), "cuts")).groupBy("key", "cut")
              .applyInArrow(_seed_pairs(num, den), "a long, b long").distinct())
     first = saved(_verify(seeds, sets, num, den))
