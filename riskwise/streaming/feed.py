@@ -87,6 +87,7 @@ INDEX = "feed_key string, bucket long, n long, base long, parts array<long>"
 RATES = "event_id long, feed_key string, ts timestamp_ntz, prediction int, arrived long, rid long, n_window long, n_pos long, pos_rate double"
 _FIRST = -(2 ** 63)  # a record without an event time comes before all others of its feed
 BUCKET_SECONDS = 86_400
+FILE_ROWS = 1_000_000     # records that one task writes of a bucket
 COMPACT_EVERY = 8         # micro-batches after which the buckets they touched are put together again
 
 
@@ -193,7 +194,8 @@ class History:
         folders = self._folders(rows)
         if not folders:
             return index
-        spread = F.pmod(F.xxhash64("arrived", "rid"), F.ceil(F.lit(1.0)))
+        most = rows.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+        spread = F.pmod(F.xxhash64("arrived", "rid"), F.lit(-(-most // FILE_ROWS)))     # a full bucket is several files
         (self._read(spark, folders).repartition("bucket", spread).write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.path}/base/epoch={epoch}"))
         done = touched.select(F.col("bucket").alias("b"))
