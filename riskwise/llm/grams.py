@@ -32,17 +32,56 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def summed(keys: np.ndarray, carried: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys, the value that each key carries, and the sums of its counts."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     if not len(keys):
         return (keys, carried, *counts)
     start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return (keys[start], carried[order][start], *(np.add.reduceat(c[order], start) for c in counts))
+    return (keys[start], carried[order[start]], *(np.add.reduceat(c[order], start) for c in counts))
 
 
-def cells(parts: list[np.ndarray], cuts: np.ndarray) -> list[pa.Array]:
-    """One binary column per array; cell i holds the slice ``cuts[i]:cuts[i + 1]``."""
-    return [pa.array([p[cuts[i]:cuts[i + 1]].tobytes() for i in range(len(cuts) - 1)], pa.binary()) for p in parts]
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers as their byte planes, compressed, after their count; nothing for no numbers.
+
+    Small numbers take little, and so do ascending ones (``rising``: differences are stored).
+    """
+    if not len(values):
+        return b""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(4, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
+
+
+def unpacked(cell: bytes, dtype, rising: bool = False) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    n = int.from_bytes(cell[:4], "little")
+    if not n:
+        return np.zeros(0, dtype)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(memoryview(cell)[4:], n * size), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(size, n).T).view(dtype).ravel()
+    return np.cumsum(values, dtype=dtype) if rising else values
+
+
+def cells(values: np.ndarray, cuts: np.ndarray, rising: bool = False) -> pa.Array:
+    """A binary column; cell i holds the slice ``cuts[i]:cuts[i + 1]``."""
+    bounds = cuts.tolist()
+    return pa.array([packed(values[i:j], rising) for i, j in zip(bounds, bounds[1:])], pa.binary())
+
+
+def cell_sizes(column: pa.ChunkedArray) -> np.ndarray:
+    """Numbers in each cell."""
+    return np.array([int.from_bytes(x[:4], "little") for x in column.to_pylist()], np.int64)
+
+
+def uncell(column: pa.ChunkedArray, dtype, rising: bool = False) -> np.ndarray:
+    """The numbers of all cells."""
+    out, at = np.empty(int(cell_sizes(column).sum()), dtype), 0
+    for cell in column.to_pylist():
+        part = unpacked(cell, dtype, rising)
+        out[at:at + len(part)] = part
+        at += len(part)
+    return out
 
 
 def filled(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:
@@ -51,7 +90,3 @@ def filled(batch: pa.RecordBatch, columns: list[str]) -> pa.RecordBatch:
     for c in columns:
         keep |= np.diff(np.frombuffer(batch.column(c).buffers()[1], np.int32)[:batch.num_rows + 1]) > 0
     return batch.filter(pa.array(keep))
-
-
-def uncell(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)

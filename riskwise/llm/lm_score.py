@@ -23,8 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskwise.session import scratch_path
+from riskwise.session import written
 
+from . import caches
 from . import grams as G
 from . import words as W
 from .quality import LABEL_ROWS, label_table
@@ -35,102 +36,136 @@ PAIR_SHARE = 0.0
 BACKOFF = 0.4             # weight of the unigram part
 PRIOR = 1.0               # pseudo-count per unigram, at the background rate, in the target model
 BUCKET_GRAMS = 4_000_000  # partial counts that one merging task holds, on average
-TOKEN_BYTES = 4           # a low guess, for the number of buckets
+TOKEN_BYTES = 2           # of compressed text: a low guess, for the number of buckets
 CHUNK_BYTES = 16 << 20    # text of the rows that are counted and scored together
 ROW_BYTES = 64            # added for every row, so that empty texts fill chunks too
 
 CELLS = "bucket int, chunk long, key binary, context binary, every binary, target binary"
 PAIRS = "bucket int, chunk long, key binary, every binary, target binary"
-WORDS = "chunk long, key binary, every binary, target binary, every_left binary, target_left binary, sums array<long>"
+WORDS = "bucket int, chunk long, every binary, target binary, every_left binary, target_left binary, sums array<long>"
 
 
-def _dealt(batches):
-    """The rows with the number of their chunk: neighbours of one task."""
-    part, held = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        _, offsets = W.text_buffer(batch.column("text"))
-        begin = held + offsets[:-1] + ROW_BYTES * np.arange(len(offsets) - 1)
-        held += int(offsets[-1]) + ROW_BYTES * (len(offsets) - 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((part << 32) + begin // CHUNK_BYTES)],
-                                         [*batch.schema.names, "chunk"])
+def _chunks(batches):
+    """One row per chunk of neighbouring rows of one task; the texts are compressed."""
+    part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+    codec = pa.Codec("zstd", compression_level=3)
 
+    def chunk():
+        ids, target, sizes, raw = zip(*held)
+        ids, raw = pa.concat_arrays(ids), np.concatenate(raw)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([(part << 32) + n]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+             pa.array([G.packed(np.concatenate(target))], pa.binary()),
+             pa.array([G.packed(np.concatenate(sizes))], pa.binary()),
+             pa.array([codec.compress(raw, asbytes=True) if len(raw) else b""], pa.binary())],
+            ["chunk", "ids", "target", "sizes", "texts"])
 
-def _runs(chunk: np.ndarray):
-    """Bounds of the runs of rows of one chunk."""
-    cut = np.flatnonzero(np.diff(chunk)) + 1
-    return zip(np.r_[0, cut].tolist(), np.r_[cut, len(chunk)].tolist()) if len(chunk) else ()
+    for batch in batches:
+        raw, offsets = W.text_buffer(batch.column("text"))
+        chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(np.uint8)
+        weight, i = offsets + ROW_BYTES * np.arange(len(offsets)), 0
+        while i < batch.num_rows:
+            j = min(batch.num_rows, max(i + 1, int(np.searchsorted(weight, weight[i] + CHUNK_BYTES - size, "right")) - 1))
+            held.append((batch.column("id")[i:j], chosen[i:j], np.diff(offsets[i:j + 1]), raw[offsets[i]:offsets[j]]))
+            size += int(weight[j] - weight[i])
+            if j < batch.num_rows or size >= CHUNK_BYTES:
+                yield chunk()
+                n, held, size = n + 1, [], 0
+            i = j
+    if held:
+        yield chunk()
+
+
+def _texts(rows, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts of a chunk."""
+    sizes, texts = (rows.column(c)[i].as_buffer() for c in ("sizes", "texts"))
+    offsets = np.r_[0, np.cumsum(G.unpacked(sizes, np.int64))]
+    raw = pa.Codec("zstd").decompress(texts, int(offsets[-1])) if len(texts) else b""
+    return np.frombuffer(raw, np.uint8), offsets
+
+
+def _counted(words: np.ndarray, first: np.ndarray, own: np.ndarray | None, buckets: int, n: int):
+    """Distinct words (``n`` = 1) or pairs (2) of a chunk by bucket, in an order that its texts alone decide.
+
+    Keys, first words (of pairs), counts in all rows and in those of the words marked in ``own``, bounds of the buckets.
+    """
+    keys, at = G.bigram_hashes(words, first) if n == 2 else (words, None)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    every = np.diff(np.r_[start, len(keys)]).astype(np.uint32)
+    keys, target, context = keys[start], None, None
+    if n == 2:
+        context = words[at[order[start]]]
+        order = at[order] if own is not None else None
+    if own is not None:
+        target = np.add.reduceat(own[order], start, dtype=np.uint32) if len(keys) else every
+    del order, start, at
+    home = (keys % np.uint64(buckets)).astype(np.int32)
+    by = np.lexsort((context, home)) if n == 2 else np.argsort(home, kind="stable")    # neighbours are close: they compress
+    cuts = np.searchsorted(home[by], np.arange(buckets + 1, dtype=np.int32))
+    return *(x if x is None else x[by] for x in (keys, context, every, target)), cuts
 
 
 def _partial_counts(buckets: int, n: int):
     """Per chunk and bucket: hashes of the words (``n`` = 1) or pairs (2), counted in all and in target rows."""
+    def cells(rows, i: int) -> list[pa.Array]:            # its arrays are gone when the next chunk is read
+        words, first = W.hash_words(*_texts(rows, i))
+        own = np.repeat(G.unpacked(rows.column("target")[i].as_buffer(), np.uint8), np.diff(first))
+        keys, context, every, target, cuts = _counted(words, first, own, buckets, n)
+        return [G.cells(keys, cuts, n == 1),
+                G.cells(context, cuts, True) if n == 2 else pa.array([b""] * buckets, pa.binary()),
+                G.cells(every, cuts), G.cells(target, cuts)]
+
+    @caches.task("lm_score")
     def run(batches):
         for batch in batches:
-            raw, offsets = W.text_buffer(batch.column("text"))
-            chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            chunk = batch.column("chunk").to_numpy()
-            for i, j in _runs(chunk):
-                words, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                own = np.repeat(chosen[i:j], np.diff(first)).astype(np.int64)
-                keys = before = words
-                if n == 2:
-                    keys, at = G.bigram_hashes(words, first)
-                    before, own = words[at], own[at]
-                k, c, e, t = G.summed(keys, before, np.ones(len(keys), np.int64), own)
-                home = k % np.uint64(buckets)
-                order = np.lexsort((c, home))             # equal contexts side by side: they compress
-                cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
-                context = c[order] if n == 2 else c[:0]
-                cols = G.cells([k[order], context, e[order].astype(np.uint32), t[order].astype(np.uint32)],
-                               cuts)
+            for i in range(batch.num_rows):
                 yield G.filled(pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(buckets, dtype=np.int32)), pa.array(np.full(buckets, chunk[i])), *cols],
-                    ["bucket", "chunk", "key", "context", "every", "target"]), ["key"])
+                    [pa.array(np.arange(buckets, dtype=np.int32)), pa.array([batch.column("chunk")[i].as_py()] * buckets, pa.int64()),
+                     *cells(batch, i)], ["bucket", "chunk", "key", "context", "every", "target"]), ["key"])
     return run
 
 
 class _Merged:
-    """Sums over the cells of one bucket, and what each cell gets back."""
+    """Sums over the cells of one bucket, and what each cell gets back: the sums of its own n-grams in their
+    order, 0 for those that are not frequent.  The chunk knows the keys, so they are not sent again."""
 
-    def __init__(self, table: pa.Table, floor: float):
-        key = G.uncell(table["key"], np.uint64)
-        self.chunk = table["chunk"].to_numpy()
-        row = np.repeat(np.arange(table.num_rows), pc.binary_length(table["key"]).to_numpy() // 8)
+    def __init__(self, table: pa.Table, floor: float, rising: bool):
+        key = G.uncell(table["key"], np.uint64, rising)
+        self.bucket, self.chunk = table["bucket"], table["chunk"]
+        self.cuts = np.r_[0, np.cumsum(G.cell_sizes(table["key"]))]
         self.order = np.argsort(key, kind="stable")
         key = key[self.order]
         first = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
         self.start = np.flatnonzero(first)
         self.key = key[self.start]
         self.every, self.target = (
-            np.add.reduceat(G.uncell(table[c], np.uint32).astype(np.int64)[self.order], self.start)
+            np.add.reduceat(G.uncell(table[c], np.uint32)[self.order], self.start, dtype=np.int64)
             if len(key) else np.zeros(0, np.int64) for c in ("every", "target"))
         self.keep = self.every >= floor
-        entry = np.cumsum(first) - 1
-        back = np.flatnonzero(self.keep[entry])
-        row = row[self.order[back]]
-        by_row = np.argsort(row, kind="stable")
-        self.entry = entry[back][by_row]                  # entries per cell, keys ascending
-        self.cuts = np.searchsorted(row[by_row], np.arange(table.num_rows + 1))
+        self.entry = np.empty(len(key), np.int64)         # of every n-gram of the cells
+        self.entry[self.order] = np.cumsum(first) - 1
 
     def returned(self, *values: np.ndarray) -> list[pa.Array]:
-        return G.cells([v[self.entry] for v in (self.key, self.every, self.target, *values)], self.cuts)
+        return [G.cells(np.where(self.keep, v, 0)[self.entry], self.cuts) for v in (self.every, self.target, *values)]
 
 
 def _merged_pairs(buckets: int, floor: float):
     """Counts of frequent pairs for the chunks that hold them; sums per first word for the words' buckets."""
     def run(table: pa.Table) -> pa.Table:
-        m = _Merged(table, floor)
-        context = G.uncell(table["context"], np.uint64)[m.order][m.start][m.keep]
+        m = _Merged(table, floor, False)
+        context = G.uncell(table["context"], np.uint64, True)[m.order[m.start[m.keep]]]
         c, _, e, t = G.summed(context, context, m.every[m.keep], m.target[m.keep])
         home = c % np.uint64(buckets)
         order = np.argsort(home, kind="stable")
         cuts = np.searchsorted(home[order], np.arange(buckets + 1, dtype=np.uint64))
         names = ["bucket", "chunk", "key", "every", "target"]
-        to_chunks = pa.RecordBatch.from_arrays(
-            [pa.nulls(len(m.chunk), pa.int32()), pa.array(m.chunk), *m.returned()], names)
+        to_chunks = pa.table([m.bucket, m.chunk, pa.nulls(len(m.chunk), pa.binary()), *m.returned()], names)
         to_words = pa.RecordBatch.from_arrays(
             [pa.array(np.arange(buckets, dtype=np.int32)), pa.nulls(buckets, pa.int64()),
-             *G.cells([c[order], e[order], t[order]], cuts)], names)
-        return pa.Table.from_batches([G.filled(to_chunks, ["key"]), G.filled(to_words, ["key"])])
+             *(G.cells(x[order], cuts, x is c) for x in (c, e, t))], names)
+        return pa.concat_tables([to_chunks, pa.Table.from_batches([G.filled(to_words, ["key"])])])
     return run
 
 
@@ -141,26 +176,31 @@ def _merged_words(floor: float):
     """
     def run(table: pa.Table) -> pa.Table:
         counted = pc.is_valid(table["chunk"])
-        sums, m = table.filter(pc.invert(counted)), _Merged(table.filter(counted), floor)
-        keys = G.uncell(sums["key"], np.uint64)
+        sums, m = table.filter(pc.invert(counted)), _Merged(table.filter(counted), floor, True)
+        keys = G.uncell(sums["key"], np.uint64, True)
         k, _, e, t = G.summed(keys, keys, G.uncell(sums["every"], np.int64), G.uncell(sums["target"], np.int64))
         left = np.zeros((2, len(m.key)), np.int64)
         left[:, np.searchsorted(m.key, k)] = e, t         # both words of a counted pair are counted
         totals = [m.every.sum(), m.target.sum(), m.keep.sum(), m.every[m.keep].sum(), m.target[m.keep].sum()]
-        names = ["chunk", "key", "every", "target", "every_left", "target_left", "sums"]
+        names = ["bucket", "chunk", "every", "target", "every_left", "target_left", "sums"]
         kind = pa.list_(pa.int64())
-        rows = pa.RecordBatch.from_arrays(
-            [pa.array(m.chunk, pa.int64()), *m.returned(*left), pa.nulls(len(m.chunk), kind)], names)
-        total = pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 5, pa.array([[int(x) for x in totals]], kind)], names)
-        return pa.Table.from_batches([G.filled(rows, ["key"]), total])
+        rows = pa.table([m.bucket, m.chunk, *m.returned(*left), pa.nulls(len(m.chunk), kind)], names)
+        total = pa.table([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 4,
+                          pa.array([[int(x) for x in totals]], kind)], names)
+        return pa.concat_tables([rows, total])
     return run
 
 
-def _unique(cells: pa.Table, columns: list[str]) -> list[np.ndarray]:
-    """The columns of the cells, by ascending key; a key that came twice came with the same counts."""
-    key, at = np.unique(G.uncell(cells["key"], np.uint64), return_index=True)
-    return [key, *(G.uncell(cells[c], np.int64)[at] for c in columns)]
+def _of_chunk(words: np.ndarray, first: np.ndarray, cells: pa.Table, columns: list[str], buckets: int, n: int):
+    """The frequent words (``n`` = 1) or pairs (2) of a chunk by ascending key, with what its cells got back."""
+    keys = _counted(words, first, None, buckets, n)[0]
+    cells = cells.sort_by("bucket")
+    got = [G.uncell(cells[c], np.int64) for c in columns]
+    if len(got[0]) != len(keys):
+        raise ValueError(f"{len(got[0])} counts came back for {len(keys)} n-grams")
+    kept = np.flatnonzero(got[0])
+    kept = kept[np.argsort(keys[kept])]
+    return [keys[kept], *(x[kept] for x in got)]
 
 
 class Models:
@@ -212,20 +252,14 @@ class Models:
         return out[0], out[1]
 
 
-def model_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, ...]]:
-    """Counts of the frequent pairs and words, by chunk that holds them, and the sums of ``Models``.
+def model_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, ...], int]:
+    """Counts of the frequent pairs and words, by chunk that holds them, the sums of ``Models``, and the number of buckets.
 
-    From (text, target, chunk) rows; the counts are written in the shared folder.
+    From rows of ``_chunks``; the counts are written in the shared folder.
     """
     spark = rows.sparkSession
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tokens = size / TOKEN_BYTES
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / BUCKET_GRAMS))
-
-    def written(cells: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        cells.write.option("compression", "zstd").parquet(path)
-        return spark.read.parquet(path)
+    size = rows.agg(F.sum(F.octet_length("texts"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TOKEN_BYTES / BUCKET_GRAMS))
 
     pairs = written(rows.mapInArrow(_partial_counts(buckets, 2), CELLS).groupBy("bucket")
                     .applyInArrow(_merged_pairs(buckets, FEWEST), PAIRS), "lm-pairs")
@@ -233,8 +267,8 @@ def model_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, ...]]
         pairs.where("chunk is null"))
     words = written(words.groupBy("bucket").applyInArrow(_merged_words(FEWEST), WORDS), "lm-words")
     sums = words.where("chunk is null").agg(*(F.sum(F.col("sums")[i]) for i in range(5))).first()
-    return pairs.where("chunk is not null").drop("bucket"), words.where("chunk is not null").drop("sums"), tuple(
-        x or 0 for x in sums)
+    return (pairs.where("chunk is not null").drop("key"), words.where("chunk is not null").drop("sums"),
+            tuple(x or 0 for x in sums), buckets)
 
 
 def lm_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -244,37 +278,37 @@ def lm_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     Repeated rows score alike.  Without labelled-good documents the target falls back to the background
     unigrams.  Other columns are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     marks = label_table(labels, id_col).where("good").select("label_id", "good")
     few = marks.count() <= LABEL_ROWS
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     rows = base.join(F.broadcast(marks) if few else marks, F.col("id") == F.col("label_id"), "left").select(
         "id", "text", F.coalesce("good", F.lit(False)).alias("target"))
-    path = scratch_path(spark, "lm-rows")                 # chunks must not change between the passes
-    rows.mapInArrow(_dealt, f"id {kind}, text string, target boolean, chunk long").write.option(
-        "compression", "zstd").parquet(path)
-    rows = spark.read.parquet(path)
-    pairs, words, sums = model_cells(rows.select("text", "target", "chunk"))
+    # chunks must not change between the passes
+    chunks = written(rows.mapInArrow(_chunks, f"chunk long, ids array<{kind}>, target binary, sizes binary, texts binary"),
+                     "lm-rows", **{"parquet.block.size": 2 * CHUNK_BYTES})
+    pairs, words, sums, buckets = model_cells(chunks)
 
     def run(rows: pa.Table, cells: pa.Table) -> pa.Table:
-        of_words = pc.is_valid(cells["every_left"])
-        models = Models(_unique(cells.filter(of_words), ["every", "target", "every_left", "target_left"]),
-                        _unique(cells.filter(pc.invert(of_words)), ["every", "target"]), sums)
-        raw, offsets = W.text_buffer(rows["text"])
+        rows, of_words = rows.combine_chunks(), pc.is_valid(cells["every_left"])
+        raw, offsets = _texts(rows, 0)
+        words, first = W.hash_words(raw, offsets)
+        models = Models(_of_chunk(words, first, cells.filter(of_words),
+                                  ["every", "target", "every_left", "target_left"], buckets, 1),
+                        _of_chunk(words, first, cells.filter(pc.invert(of_words)), ["every", "target"], buckets, 2), sums)
         parts = []
         for i, j in W.row_chunks(offsets):
-            hashes, first = W.hash_words(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            target, background = models.losses(hashes, first)
-            parts.append((np.diff(first), G.row_sums(target, first), G.row_sums(background, first)))
-        n, a, b = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+            here = first[i:j + 1] - first[i]
+            target, background = models.losses(words[first[i]:first[j]], here)
+            parts.append((np.diff(here), G.row_sums(target, here), G.row_sums(background, here)))
+        n, a, b = (np.concatenate(x) for x in zip(*parts))
         none = n == 0
         n1 = np.maximum(n, 1)
         cols = [pa.array(np.round(x / n1, 6).astype(float), mask=none) for x in (a, b, b - a)]
-        return pa.Table.from_arrays([rows["id"], pa.array(n.astype(np.int64)), *cols],
+        return pa.Table.from_arrays([rows["ids"].chunk(0).flatten(), pa.array(n.astype(np.int64)), *cols],
                                     ["id", "n_tokens", "loss_target", "loss_background", "score"])
 
     cells = words.unionByName(pairs, allowMissingColumns=True)
-    return (rows.select("chunk", "id", "text").groupBy("chunk").cogroup(cells.groupBy("chunk"))
+    return (chunks.select("chunk", "ids", "sizes", "texts").groupBy("chunk").cogroup(cells.groupBy("chunk"))
             .applyInArrow(run, f"id {kind}, n_tokens long, loss_target double, loss_background double, score double")
             .withColumnRenamed("id", id_col))

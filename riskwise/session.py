@@ -13,11 +13,15 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.errors import PySparkAttributeError
 from pyspark.sql import DataFrame, SparkSession
 
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -103,10 +107,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run inside give back the disk of their shuffles when they end, not when the driver collects garbage.
+
+    For steps whose result is a checkpoint, a written table or a few values; a DataFrame that is run
+    again should not be made inside.
+    """
+    before = spark.conf.get(FREES_SHUFFLES, None)
+    spark.conf.set(FREES_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREES_SHUFFLES)
+        else:
+            spark.conf.set(FREES_SHUFFLES, before)
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: lineage ends there, and a lost executor costs no more than it."""
+    """Reliable checkpoint in the shared folder: lineage ends there, and a lost executor costs no more than it.
+
+    The disk of the shuffles that made it is free afterwards.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)     # the setting holds for DataFrames made under it
+
+
+def written(df: DataFrame, name: str, **options: int) -> DataFrame:
+    """The rows, read from a table written in a fresh sub-folder of the shared folder; disk as in ``saved``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with shuffles_freed(spark):
+        df.select("*").write.options(compression="zstd", **options).parquet(path)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

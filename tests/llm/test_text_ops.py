@@ -1,6 +1,7 @@
 """Operators on documents against brute force on small tables, and their edge cases."""
 
 import hashlib
+import pathlib
 import re
 import zlib
 from collections import Counter
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskwise.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, queries, secret_scan
 from riskwise.llm import words as W
+from riskwise.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -373,6 +375,50 @@ def test_lm_counts_keep_rare_words_of_a_large_corpus(spark):
         assert got[i]["loss_target"] == pytest.approx(-(np.log(pt) + 2 * np.log(0.6 + 0.4 * pt)) / 3, abs=2e-6)
 
 
+def test_lm_chunks_hold_all_rows(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+
+    monkeypatch.setattr(lm_score, "TaskContext", Task)
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 1000)
+    texts = [None, "", "é" * 900, *(f"{i} " * (i % 200) for i in range(400)), None]
+    batches = [pa.RecordBatch.from_pydict({"id": [str(i) for i in range(a, min(a + 7, len(texts)))], "text": texts[a:a + 7],
+                                           "target": [i % 3 == 0 for i in range(a, min(a + 7, len(texts)))]})
+               for a in range(0, len(texts), 7)]
+    seen, numbers = [], []
+    for batch in lm_score._chunks(iter(batches)):
+        raw, offsets = lm_score._texts(batch, 0)
+        marks = lm_score.G.unpacked(batch.column("target")[0].as_py(), np.uint8)
+        ids = batch.column("ids")[0].as_py()
+        assert len(ids) == len(marks) == len(offsets) - 1 and offsets[-2] <= 1000
+        numbers.append(batch.column("chunk")[0].as_py())
+        seen += [(i, raw[a:b].tobytes().decode(), bool(m)) for i, a, b, m in zip(ids, offsets, offsets[1:], marks)]
+    assert seen == [(str(i), x or "", i % 3 == 0) for i, x in enumerate(texts)]
+    assert len(numbers) > 50 and len(set(numbers)) == len(numbers) and {x >> 32 for x in numbers} == {3}
+
+
+def test_packed_numbers():
+    for x in (np.zeros(0, np.int64), np.arange(5, dtype=np.uint32), np.array([0, 1 << 63, (1 << 64) - 1], np.uint64),
+              np.random.default_rng(1).integers(0, 1 << 64, 1000, np.uint64)):
+        for rising in (False, True):
+            assert (lm_score.G.unpacked(lm_score.G.packed(x, rising), x.dtype, rising) == x).all()
+
+
+def test_lm_counts_come_back_without_keys(spark):
+    """With keys and 8-byte counts every frequent pair of a chunk took over 8 bytes."""
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 5000, 200_000))
+    rows = spark.createDataFrame([(0, f"{text} {text}")], "id long, text string")
+    top = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(top.iterdir())
+    labels = spark.createDataFrame([(0, 1, 0)], "id long, quality int, toxic int")
+    assert lm_score.lm_scores(rows, labels, "id").count() == 1
+    pairs = [p for p in set(top.iterdir()) - before if p.name.startswith("lm-pairs")]
+    kept = len({*zip(text.split(), text.split()[1:])})
+    assert len(pairs) == 1 and sum(f.stat().st_size for f in pairs[0].glob("*.parquet")) < 4 * kept
+
+
 def sellers(pattern, text):
     """Least edits of an occurrence of ``pattern`` anywhere in ``text``."""
     row = np.zeros(len(text) + 1, dtype=int)
