@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskwise.session import shared_dir
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: lineage ends there and lost executors
-    cost no recomputation beyond it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+from riskwise.session import saved, shuffles_freed
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -47,5 +40,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _state(e: DataFrame) -> tuple:
-    row = e.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(hi, lo))").alias("x")).first()
+    with shuffles_freed(e.sparkSession):
+        row = e.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(hi, lo))").alias("x")).first()
     return row["n"], row["x"]

@@ -3,6 +3,7 @@
 import hashlib
 import pathlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskwise.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality, queries, secret_scan
 from riskwise.llm import words as W
+from riskwise.llm.graph import components
 from riskwise.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
@@ -107,6 +109,26 @@ def test_jaccard_blocks_and_long_sets(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == brute_components(rows)
 
 
+def test_components_free_their_shuffles(spark):
+    """The rounds' shuffle files stayed until the driver happened to collect garbage."""
+    edges = spark.range(200).selectExpr("id as a", "id + 1 as b")
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"/(shuffle_\d+)_", manager.getAllFiles().mkString("\n")))
+
+    before = shuffles()
+    found = components(edges)
+    made = set()
+    for _ in range(20):                                   # files go in the background
+        made = shuffles() - before
+        if not made:
+            break
+        time.sleep(0.2)
+    assert not made
+    assert found.select("label").distinct().count() == 1 and found.count() == 201
+
+
 def test_keep_one(spark, edge):
     kept = jaccard_join.keep_one(edge)
     assert kept.columns == edge.columns
